@@ -115,16 +115,21 @@ def seasonal_difference(df: DataFrame, value_col: str, time_col: str, season: in
     return df.withColumn(out_col or f"{value_col}_sdiff{season}", F.col(value_col) - F.lag(value_col, season).over(w))
 
 
-def infer_freq(df: DataFrame, time_col: str) -> str:
-    """Median gap between distinct dates >= 6 days -> 'W', else 'D' (< 2 dates -> 'D').
-
-    Runs on the distinct periods only (bounded by the calendar); returns one scalar."""
+def infer_freq_frame(df: DataFrame, time_col: str) -> DataFrame:
+    """W13 as a one-row frame (median_gap_days, freq): median gap between distinct dates
+    >= 6 days -> 'W', else 'D' (fewer than 2 dates -> 'D').  Works on the distinct periods
+    only, whose number is bounded by the calendar."""
     dates = df.select(F.col(time_col).cast("date").alias("d")).where(F.col("d").isNotNull()).distinct()
     gaps = dates.select(F.datediff("d", F.lag("d").over(Window.orderBy("d"))).alias("gap")) \
         .where(F.col("gap").isNotNull())
-    row = gaps.agg(F.percentile("gap", 0.5).alias("m")).first()
-    median = row["m"] if row is not None else None
-    return "W" if median is not None and median >= 6 else "D"
+    median = F.percentile("gap", 0.5)
+    return gaps.agg(median.alias("median_gap_days"),
+                    F.when(median >= 6, "W").otherwise("D").alias("freq"))
+
+
+def infer_freq(df: DataFrame, time_col: str) -> str:
+    """W13 as a scalar for plan-time decisions (one small job)."""
+    return infer_freq_frame(df, time_col).first()["freq"]
 
 
 def calendar_columns(time_col: str, freq: str, holidays: DataFrame | None = None) -> list[Column]:

@@ -295,3 +295,71 @@ FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON
     "f9_model_table_daily": model_table_sql("D"),
     "i5_imputed_weekly": imputed_sql("W"),
 }
+
+
+_WT = f"""WITH {RAW_CTES},
+wt AS (SELECT date_trunc('week', order_purchase_timestamp)::DATE order_week, CAST(count(order_item_id) AS BIGINT) sales_qty
+       FROM merged GROUP BY 1)"""
+
+_METRIC_SELECT = """
+  SELECT {grp} {r_rmse}, {r_mape}, {r_wape}, {r_mase}, {r_rmsse} FROM (
+    SELECT {grp} sqrt(avg((y - p) * (y - p))) rmse,
+      avg(CASE WHEN y <> 0 THEN abs((y - p) / y) END) * 100 mape,
+      sum(abs(y - p)) / nullif(sum(abs(y)), 0) * 100 wape,
+      CASE WHEN count(*) > {s} THEN avg(abs(y - p)) / nullif(avg(abs(nv)), 0) END mase,
+      CASE WHEN count(*) > {s} THEN sqrt(avg((y - p) * (y - p))) / nullif(sqrt(avg(nv * nv)), 0) END rmsse
+    FROM (SELECT *, y - lag(y, {s}) OVER ({part} ORDER BY date) nv FROM preds) x {groupby})"""
+
+
+def _metric_sql(s: int, grouped: bool) -> str:
+    grp = "model," if grouped else ""
+    return _METRIC_SELECT.format(grp=grp, s=s, part="PARTITION BY model" if grouped else "",
+                                 groupby="GROUP BY model" if grouped else "",
+                                 r_rmse=r("rmse", "rmse"), r_mape=r("mape", "mape"), r_wape=r("wape", "wape"),
+                                 r_mase=r("mase", "mase"), r_rmsse=r("rmsse", "rmsse"))
+
+
+ORACLE.update({
+    "b1_rolling_folds_weekly": _WT + """,
+v AS (SELECT CAST(ceil(date_diff('day', DATE '2000-06-25', order_week) / 7.0) AS INTEGER) - 1 fold_id
+      FROM wt WHERE order_week > DATE '2000-06-25'),
+vc AS (SELECT fold_id, count(*) n_valid FROM v GROUP BY 1),
+stop AS (SELECT min(k) k FROM generate_series(0, (SELECT max(fold_id) + 1 FROM vc)) g(k)
+         WHERE k NOT IN (SELECT fold_id FROM vc)),
+base AS (SELECT count(*) b FROM wt WHERE order_week <= DATE '2000-06-25')
+SELECT vc.fold_id, TIMESTAMP '2000-06-25' + vc.fold_id * INTERVAL 7 DAY train_end,
+  TIMESTAMP '2000-06-25' + (vc.fold_id + 1) * INTERVAL 7 DAY valid_end,
+  CAST((SELECT b FROM base) + coalesce((SELECT sum(n_valid) FROM vc v2 WHERE v2.fold_id < vc.fold_id), 0) AS BIGINT) n_train,
+  CAST(vc.n_valid AS BIGINT) n_valid
+FROM vc WHERE vc.fold_id < (SELECT k FROM stop)""",
+    "b2_time_series_cv": _WT + """,
+s AS (SELECT order_week, row_number() OVER (ORDER BY order_week) - 1 r, count(*) OVER () n FROM wt
+      WHERE order_week <= DATE '2000-06-25'),
+k AS (SELECT *, n // 4 size, n - 3 * (n // 4) ft FROM s),
+a AS (SELECT *, CASE WHEN size > 0 AND r >= ft THEN CAST((r - ft) // size AS INTEGER) END split_id FROM k),
+g AS (SELECT split_id, min(order_week) test_first, max(order_week) test_last, count(*) n_test, min(r) r0 FROM a
+      WHERE split_id IS NOT NULL GROUP BY 1)
+SELECT g.split_id, CAST(g.r0 AS BIGINT) n_train, CAST(g.n_test AS BIGINT) n_test,
+  (SELECT max(order_week) FROM a WHERE a.r < g.r0) train_last, g.test_first, g.test_last FROM g""",
+    "b10_compare_lag_models": _WT + """,
+lg AS (SELECT order_week, sales_qty, lag(sales_qty, 1) OVER (ORDER BY order_week) l1,
+       lag(sales_qty, 4) OVER (ORDER BY order_week) l4 FROM wt),
+preds AS (SELECT 'lag1' model, order_week date, CAST(sales_qty AS DOUBLE) y, CAST(l1 AS DOUBLE) p FROM lg WHERE l1 IS NOT NULL
+   UNION ALL SELECT 'lag4', order_week, sales_qty, l4 FROM lg WHERE l4 IS NOT NULL)""" + _metric_sql(1, True),
+    "b9_metrics_seasonal4": _WT + """,
+preds AS (SELECT order_week date, CAST(sales_qty AS DOUBLE) y, CAST(l1 AS DOUBLE) p FROM (
+  SELECT order_week, sales_qty, lag(sales_qty, 1) OVER (ORDER BY order_week) l1 FROM wt) WHERE l1 IS NOT NULL)""" + _metric_sql(4, False),
+    "w11_lookback_sequences": _WT + """
+SELECT order_week, x_seq_csv, y FROM (
+  SELECT order_week, array_to_string(list(sales_qty) OVER (ORDER BY order_week ROWS BETWEEN 14 PRECEDING AND 1 PRECEDING), ',') x_seq_csv,
+    count(sales_qty) OVER (ORDER BY order_week ROWS BETWEEN 14 PRECEDING AND 1 PRECEDING) c, sales_qty y FROM wt) WHERE c = 14""",
+    "w12_seasonal_difference": _WT + """
+SELECT order_week, sales_qty, sales_qty - lag(sales_qty, 52) OVER (ORDER BY order_week) sales_qty_sdiff52 FROM wt""",
+    "w13_infer_freq": f"""WITH {RAW_CTES},
+dw AS (SELECT DISTINCT date_trunc('week', order_purchase_timestamp)::DATE d FROM merged),
+dd AS (SELECT DISTINCT CAST(order_purchase_timestamp AS DATE) d FROM merged),
+gw2 AS (SELECT median(g) m FROM (SELECT date_diff('day', lag(d) OVER (ORDER BY d), d) g FROM dw) WHERE g IS NOT NULL),
+gd2 AS (SELECT median(g) m FROM (SELECT date_diff('day', lag(d) OVER (ORDER BY d), d) g FROM dd) WHERE g IS NOT NULL)
+SELECT {r('m', 'median_gap_days')}, CASE WHEN m >= 6 THEN 'W' ELSE 'D' END freq, 'order_week' time_col FROM gw2
+UNION ALL SELECT {r('m', 'median_gap_days')}, CASE WHEN m >= 6 THEN 'W' ELSE 'D' END, 'order_date' FROM gd2""",
+})

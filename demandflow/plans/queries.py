@@ -142,3 +142,79 @@ QUERIES: dict[str, Query] = {
     "f9_model_table_daily": q_model_table_daily,
     "i5_imputed_weekly": q_imputed_weekly,
 }
+
+
+# --- step 7: folds, CV, metrics, sequences ---------------------------------------------------
+import datetime as _dt  # noqa: E402
+
+from demandflow.operators import backtest, metrics  # noqa: E402
+
+FIRST_TRAIN_END = _dt.datetime(2000, 6, 25)
+STEP = _dt.timedelta(days=7)
+
+
+def weekly_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df, key = period.add_time_key(merged(spark, sf_dir), "W")
+    return period.aggregate_sales_target(df, key)
+
+
+def lag_model_predictions(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Two naive 'models' (lag 1 and lag 4 of the weekly target), FIXTURES section 3."""
+    lagged = features.add_lags(weekly_target(spark, sf_dir), "order_week", ["sales_qty"], [1, 4])
+    return {f"lag{k}": lagged.select(F.col("order_week").alias("date"), F.col("sales_qty").alias("y_true"),
+                                     F.col(f"sales_qty_lag{k}").alias("y_pred")) for k in (1, 4)}
+
+
+def q_rolling_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B1: expanding weekly folds after 2000-06-25, stopping at the first empty window."""
+    return backtest.split_rolling(weekly_target(spark, sf_dir), "order_week", FIRST_TRAIN_END, STEP)
+
+
+def q_time_series_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B2: three time-ordered CV splits of the static training weeks."""
+    t = weekly_target(spark, sf_dir).where(F.col("order_week") <= F.lit(FIRST_TRAIN_END.date()))
+    return backtest.time_series_cv(t, "order_week", 3)
+
+
+def q_compare_lag_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five metrics for each naive model (seasonality 1)."""
+    return normalize(metrics.compare_models(lag_model_predictions(spark, sf_dir)))
+
+
+def q_metrics_seasonal4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B9 with a seasonal naive scale (s = 4) on the lag-1 model, per fold-free series."""
+    p = lag_model_predictions(spark, sf_dir)["lag1"]
+    return normalize(metrics.calculate_metrics(p, order_col="date", seasonality=4))
+
+
+def q_lookback_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """14-week look-back windows of the weekly target (as text for the value hash)."""
+    seq = features.lookback_sequences(weekly_target(spark, sf_dir), "sales_qty", "order_week", 14)
+    return seq.select("order_week", F.array_join(F.transform("x_seq", lambda v: v.cast("string")), ",")
+                      .alias("x_seq_csv"), "y")
+
+
+def q_seasonal_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """y_t - y_(t-52) on the weekly target."""
+    return features.seasonal_difference(weekly_target(spark, sf_dir), "sales_qty", "order_week", 52,
+                                        out_col="sales_qty_sdiff52")
+
+
+def q_infer_freq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inferred frequency of the weekly and the daily period keys."""
+    df = merged(spark, sf_dir)
+    wk, _ = period.add_time_key(df, "W")
+    dy, _ = period.add_time_key(df, "D")
+    return (features.infer_freq_frame(wk, "order_week").withColumn("time_col", F.lit("order_week"))
+            .unionByName(features.infer_freq_frame(dy, "order_date").withColumn("time_col", F.lit("order_date"))))
+
+
+QUERIES.update({
+    "b1_rolling_folds_weekly": q_rolling_folds,
+    "b2_time_series_cv": q_time_series_cv,
+    "b10_compare_lag_models": q_compare_lag_models,
+    "b9_metrics_seasonal4": q_metrics_seasonal4,
+    "w11_lookback_sequences": q_lookback_sequences,
+    "w12_seasonal_difference": q_seasonal_difference,
+    "w13_infer_freq": q_infer_freq,
+})
