@@ -47,3 +47,16 @@ def excess_kurtosis(x: str | Column) -> Column:
     g2 = F.kurtosis(_c(x))
     val = (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * g2 + 6)
     return F.when(n > 3, F.when(g2.isNull(), F.lit(0.0)).otherwise(val))
+
+
+def round_ratio_half_even(num: str | Column, den: str | Column, scale: int = 100, decimals: int = 2) -> Column:
+    """round(num / den * scale, decimals) with half-to-even ties, computed exactly in
+    integer arithmetic (count ratios), so every engine gives the same double."""
+    p = 10 ** decimals
+    n = _c(num).cast("decimal(38,0)") * F.lit(scale * p)
+    d = _c(den).cast("decimal(38,0)")
+    q = F.floor(n / d)
+    rem = n - q * d
+    twice = rem * 2
+    up = (twice > d) | ((twice == d) & (q % 2 == 1))
+    return (F.when(up, q + 1).otherwise(q).cast("double") / F.lit(float(p))).cast("double")

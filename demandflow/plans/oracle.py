@@ -363,3 +363,176 @@ gd2 AS (SELECT median(g) m FROM (SELECT date_diff('day', lag(d) OVER (ORDER BY d
 SELECT {r('m', 'median_gap_days')}, CASE WHEN m >= 6 THEN 'W' ELSE 'D' END freq, 'order_week' time_col FROM gw2
 UNION ALL SELECT {r('m', 'median_gap_days')}, CASE WHEN m >= 6 THEN 'W' ELSE 'D' END, 'order_date' FROM gd2""",
 })
+
+
+def rr(num: str, den: str, scale: int = 100, decimals: int = 2) -> str:
+    """Exact half-even rounding of num/den*scale (integer arithmetic), as
+    ``functions.stats.round_ratio_half_even``."""
+    p = 10 ** decimals
+    n = f"(CAST({num} AS HUGEINT) * {scale * p})"
+    d = f"CAST({den} AS HUGEINT)"
+    q = f"({n} // {d})"
+    rem = f"({n} - {q} * {d})"
+    up = f"(CASE WHEN 2 * {rem} > {d} OR (2 * {rem} = {d} AND {q} % 2 = 1) THEN 1 ELSE 0 END)"
+    return f"(CAST({q} + {up} AS DOUBLE) / {float(p)})"
+
+
+REVIEWS_CTE = """,
+reviews_x AS (
+  SELECT CAST(o_orderkey AS VARCHAR) review_id, CAST(o_orderkey AS VARCHAR) order_id,
+    CAST(substr(o_orderpriority, 1, 1) AS INTEGER) review_score FROM orders
+  UNION ALL
+  SELECT CAST(o_orderkey AS VARCHAR) || 'b', CAST(o_orderkey AS VARCHAR), 6 - CAST(substr(o_orderpriority, 1, 1) AS INTEGER)
+  FROM orders WHERE o_orderkey % 50 = 0),
+otimes AS (
+  SELECT *, (epoch_us(order_approved_at) - epoch_us(order_purchase_timestamp)) / 3600000000.0 approval_time_hours,
+    floor((epoch_us(order_estimated_delivery_date) - epoch_us(order_purchase_timestamp)) / 86400000000.0) prazo
+  FROM orders_x)"""
+EXP = f"WITH {RAW_CTES}{REVIEWS_CTE}"
+RAW_TABLE_COLS = {
+    "orders": ("orders_x", ["order_id", "customer_id", "order_status", "order_purchase_timestamp", "order_approved_at",
+                            "order_estimated_delivery_date"]),
+    "order_items": ("items_x", ["order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value",
+                                "order_delivered_carrier_date", "order_delivered_customer_date"]),
+    "products": ("products_x", ["product_id", "product_category_name"]),
+    "customers": ("customers_x", ["customer_id", "customer_unique_id", "customer_state"]),
+    "order_reviews": ("reviews_x", ["review_id", "order_id", "review_score"]),
+}
+
+
+def _describe_sql(src: str, cols: list[str]) -> str:
+    parts = []
+    for c in cols:
+        parts.append(f"""SELECT '{c}' feature, CAST(count({c}) AS BIGINT) count, {r(f'avg({c})', 'mean')}, {r(f'stddev_samp({c})', 'std')},
+  {r(f'min({c})', 'min')}, {r(f'quantile_cont({c}, 0.25)', 'p25')}, {r(f'quantile_cont({c}, 0.5)', 'p50')},
+  {r(f'quantile_cont({c}, 0.75)', 'p75')}, {r(f'max({c})', 'max')} FROM {src}""")
+    return "\nUNION ALL ".join(parts)
+
+
+def _summary_sql() -> str:
+    ctes, key, cols = period_table_ctes("W")
+    parts = []
+    for c in cols:
+        x = f"CAST({c} AS DOUBLE)"
+        dtype = "bigint" if c == "sales_qty" else "double"
+        nn = f"count({c})"
+        skew = (f"CASE WHEN {nn} > 2 THEN CASE WHEN var_pop({x}) = 0 THEN 0.0 ELSE "
+                f"(avg(power({x} - mu, 3)) / power(var_pop({x}), 1.5)) * sqrt({nn} * ({nn} - 1.0)) / ({nn} - 2.0) END END")
+        kurt = (f"CASE WHEN {nn} > 3 THEN CASE WHEN var_pop({x}) = 0 THEN 0.0 ELSE "
+                f"({nn} - 1.0) / (({nn} - 2.0) * ({nn} - 3.0)) * (({nn} + 1.0) * (avg(power({x} - mu, 4)) / power(var_pop({x}), 2) - 3) + 6) END END")
+        parts.append(f"""SELECT '{c}' feature, '{dtype}' dtype, CAST({nn} AS BIGINT) count_notnull,
+  {r(rr(nn, 'count(*)', 100, 2), 'pct_notnull')}, {r(f'min({x})', 'min')}, {r(f'quantile_cont({x}, 0.25)', 'p25')},
+  {r(f'quantile_cont({x}, 0.5)', 'p50')}, {r(f'quantile_cont({x}, 0.75)', 'p75')}, {r(f'max({x})', 'max')},
+  {r(f'avg({x})', 'mean')}, {r(f'CASE WHEN {nn} > 1 THEN stddev_samp({x}) END', 'std')}, {r(skew, 'skew')},
+  {r(kurt, 'kurtosis')}, CAST(count(DISTINCT {x}) AS BIGINT) n_unique
+FROM (SELECT {c}, avg({x}) OVER () mu FROM period)""")
+    return f"WITH {ctes}\n" + "\nUNION ALL ".join(parts)
+
+
+def _dup_sql() -> str:
+    parts = [f"SELECT '{name}' dataset, CAST(count(*) AS BIGINT) rows, CAST(count(*) - (SELECT count(*) FROM "
+             f"(SELECT DISTINCT * FROM {cte})) AS BIGINT) duplicates FROM {cte}"
+             for name, (cte, _) in RAW_TABLE_COLS.items()]
+    return EXP + "\n" + "\nUNION ALL ".join(parts)
+
+
+def _null_sql() -> str:
+    parts = []
+    for name, (cte, cols) in RAW_TABLE_COLS.items():
+        for c in cols:
+            parts.append(f"SELECT '{name}' dataset, '{c}' \"column\", CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) nulls FROM {cte}")
+    return EXP + "\nSELECT * FROM (" + "\nUNION ALL ".join(parts) + ") WHERE nulls > 0"
+
+
+_ITEM_CHANGES = """,
+freq AS (SELECT product_id FROM items_x WHERE product_id IS NOT NULL GROUP BY 1 HAVING count(order_id) >= 3),
+chg AS (
+  SELECT i.product_id, o.order_id, i.order_item_id, o.order_purchase_timestamp, i.price,
+    (i.price / nullif(lag(i.price) OVER (PARTITION BY i.product_id ORDER BY o.order_purchase_timestamp, o.order_id, i.order_item_id, i.seller_id, i.price, i.freight_value), 0) - 1) * 100 price_pct_change
+  FROM orders_x o JOIN items_x i ON o.order_id = i.order_id WHERE i.product_id IN (SELECT product_id FROM freq))"""
+
+ORACLE.update({
+    "p9_duplicate_rows": _dup_sql(),
+    "p10_null_profile": _null_sql(),
+    "p16_product_labels": f"WITH {RAW_CTES}\nSELECT product_id, 'produto' || CAST(dense_rank() OVER (ORDER BY product_id) AS VARCHAR) produto_n "
+                          "FROM (SELECT DISTINCT product_id FROM merged)",
+    "a11_price_vars_category_unweighted_weekly": _period_block_sql("W", """SELECT dp.product_category_name, pv.order_week, """ +
+        ", ".join(r(f"avg(pv.{v})", f"{v}_mean") for v in ["price_var_w1_point", "price_var_w1_smooth", "price_var_w4_point", "price_var_m4_vs_prev4"]) + """
+FROM pv JOIN (SELECT DISTINCT product_id, product_category_name, order_week FROM d) dp
+  ON pv.product_id = dp.product_id AND pv.order_week = dp.order_week
+WHERE dp.product_category_name IS NOT NULL GROUP BY 1, 2"""),
+    "a13_products_per_order": EXP + f""",
+per AS (SELECT o.order_id, count(DISTINCT i.product_id) n FROM orders_x o JOIN items_x i ON o.order_id = i.order_id GROUP BY 1)
+SELECT CAST(count(*) AS BIGINT) groups, CAST(count(*) FILTER (WHERE n > 1) AS BIGINT) groups_multi,
+  {r(rr('count(*) FILTER (WHERE n > 1)', 'count(*)', 100, 4), 'pct_multi')}, {r('avg(n)', 'mean_distinct')}, CAST(max(n) AS BIGINT) max_distinct FROM per""",
+    "a14_sellers_per_product": EXP + f""",
+per AS (SELECT product_id, count(DISTINCT seller_id) n FROM items_x WHERE product_id IS NOT NULL GROUP BY 1)
+SELECT CAST(count(*) AS BIGINT) groups, CAST(count(*) FILTER (WHERE n > 1) AS BIGINT) groups_multi,
+  {r(rr('count(*) FILTER (WHERE n > 1)', 'count(*)', 100, 4), 'pct_multi')}, {r('avg(n)', 'mean_distinct')}, CAST(max(n) AS BIGINT) max_distinct FROM per""",
+    "a15_row_distinct_counts": EXP + """
+SELECT 'orders_rows' metric, CAST(count(*) AS BIGINT) value FROM orders_x
+UNION ALL SELECT 'orders_ids', count(DISTINCT order_id) FROM orders_x
+UNION ALL SELECT 'items_rows', count(*) FROM items_x
+UNION ALL SELECT 'items_order_ids', count(DISTINCT order_id) FROM items_x
+UNION ALL SELECT 'items_item_ids', count(DISTINCT order_item_id) FROM items_x
+UNION ALL SELECT 'categories', count(DISTINCT p.product_category_name) FROM items_x i LEFT JOIN products_x p ON i.product_id = p.product_id""",
+    "a16_capped_sales_frequency": EXP + f""",
+per AS (SELECT least(count(order_id), 10) n_vendas FROM items_x WHERE product_id IS NOT NULL GROUP BY product_id),
+c AS (SELECT n_vendas, count(*) c FROM per GROUP BY 1)
+SELECT n_vendas, {r('c * 100.0 / sum(c) OVER ()', 'frequencia')},
+  {r('sum(c) OVER (ORDER BY n_vendas DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) * 100.0 / sum(c) OVER ()', 'frequencia_acumulada')}
+FROM c""",
+    "a17_a19_sales_volume_buckets": EXP + f""",
+per AS (SELECT product_id, count(order_id) n, least(count(order_id), 10) bucket FROM items_x WHERE product_id IS NOT NULL GROUP BY 1),
+vol AS (SELECT bucket, sum(n) vol FROM per GROUP BY 1),
+fl AS (SELECT CAST(g AS INTEGER) n_vendas_min, coalesce(vol, 0) vol FROM generate_series(1, 10) t(g) LEFT JOIN vol ON vol.bucket = g),
+pct AS (SELECT n_vendas_min, {rr('vol', '(SELECT sum(vol) FROM fl)', 100, 2)} frequencia FROM fl),
+sc AS (SELECT p.bucket, r.review_score FROM items_x i LEFT JOIN reviews_x r ON i.order_id = r.order_id
+       LEFT JOIN per p ON i.product_id = p.product_id),
+m AS (SELECT bucket, {rr('sum(review_score)', 'count(review_score)', 1, 2)} media_review_score FROM sc GROUP BY 1)
+SELECT n_vendas_min, {r('frequencia', 'frequencia')},
+  {r('round(sum(frequencia) OVER (ORDER BY n_vendas_min DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 2)', 'frequencia_acumulada')},
+  {r('m.media_review_score', 'media_review_score')}
+FROM pct LEFT JOIN m ON m.bucket = pct.n_vendas_min""",
+    "a18_review_multiplicity": EXP + """,
+per AS (SELECT i.order_id, i.product_id, count(DISTINCT r.review_id) n_reviews FROM items_x i LEFT JOIN reviews_x r ON i.order_id = r.order_id GROUP BY 1, 2)
+SELECT n_reviews, CAST(count(DISTINCT order_id) AS BIGINT) orders, CAST(count(DISTINCT product_id) AS BIGINT) products FROM per GROUP BY 1""",
+    "a20_category_table": EXP + f""",
+ip AS (SELECT i.order_id, i.product_id, p.product_category_name c FROM items_x i LEFT JOIN products_x p ON i.product_id = p.product_id
+       WHERE p.product_category_name IS NOT NULL),
+per AS (SELECT c, count(order_id) vendas, count(DISTINCT product_id) itens FROM ip GROUP BY 1),
+best AS (SELECT c FROM per ORDER BY vendas DESC, c LIMIT 20),
+lab AS (SELECT CASE WHEN c IN (SELECT c FROM best) THEN c ELSE 'outros' END categoria, vendas, itens FROM per),
+agg AS (SELECT categoria, CAST(sum(vendas) AS BIGINT) vendas, CAST(sum(itens) AS BIGINT) itens FROM lab GROUP BY 1)
+SELECT categoria, vendas, itens, {r(rr('vendas', 'itens', 1, 2), 'vendas_por_item')},
+  CAST({rr('vendas', '(SELECT sum(vendas) FROM agg)', 100, 2)} AS VARCHAR) || '%' percentual_vendas FROM agg""",
+    "a21_late_delivery_share": EXP + f""",
+j AS (SELECT o.order_estimated_delivery_date e, i.order_delivered_carrier_date c FROM orders_x o LEFT JOIN items_x i ON o.order_id = i.order_id)
+SELECT CAST(count(*) AS BIGINT) rows, CAST(count(*) FILTER (WHERE epoch_us(e) - epoch_us(c) < 0) AS BIGINT) late,
+  {r(rr('count(*) FILTER (WHERE epoch_us(e) - epoch_us(c) < 0)', 'count(*)', 100, 4), 'late_pct')} FROM j""",
+    "a22_describe_order_times": EXP + "\n" + _describe_sql("otimes", ["approval_time_hours", "prazo"]),
+    "a23_summarize_period_table": _summary_sql(),
+    "w8_item_price_changes": EXP + _ITEM_CHANGES + f"""
+SELECT product_id, order_id, order_item_id, order_purchase_timestamp, {r('price', 'price')}, {r('price_pct_change', 'price_pct_change')} FROM chg""",
+    "a24_nonzero_price_change_share": EXP + _ITEM_CHANGES + f"""
+SELECT CAST(count(price_pct_change) AS BIGINT) changes, CAST(count(*) FILTER (WHERE price_pct_change <> 0) AS BIGINT) nonzero,
+  {r(rr('count(*) FILTER (WHERE price_pct_change <> 0)', 'count(price_pct_change)', 100, 4), 'nonzero_pct')} FROM chg""",
+    "a25_histogram_approval_hours": EXP + f""",
+b AS (SELECT min(approval_time_hours) lo, max(approval_time_hours) hi FROM otimes),
+s AS (SELECT lo, CASE WHEN hi > lo THEN hi - lo ELSE 1.0 END span FROM b),
+c AS (SELECT CAST(least(floor((approval_time_hours - s.lo) * 50.0 / s.span), 49) AS INTEGER) bin, count(*) n
+      FROM otimes, s WHERE approval_time_hours IS NOT NULL GROUP BY 1)
+SELECT CAST(g AS INTEGER) bin, {r('s.lo + g * s.span / 50.0', 'lower')}, {r('s.lo + (g + 1) * s.span / 50.0', 'upper')},
+  CAST(coalesce(c.n, 0) AS BIGINT) count
+FROM generate_series(0, 49) t(g) CROSS JOIN s LEFT JOIN c ON c.bin = g""",
+    "a26_box_lead_days_by_region": EXP + f""",
+base AS (SELECT sr.region customer_region, CAST(o.prazo AS DOUBLE) v FROM otimes o LEFT JOIN customers_x c ON o.customer_id = c.customer_id
+         LEFT JOIN state_region sr ON c.customer_state = sr.state WHERE o.prazo IS NOT NULL),
+q AS (SELECT customer_region, quantile_cont(v, 0.25) q1, quantile_cont(v, 0.5) med, quantile_cont(v, 0.75) q3 FROM base GROUP BY 1)
+SELECT q.customer_region, {r('q1', 'q1')}, {r('med', 'median')}, {r('q3', 'q3')}, {r('q3 - q1', 'iqr')},
+  {r('min(CASE WHEN v >= q1 - 1.5 * (q3 - q1) THEN v END)', 'whisker_low')},
+  {r('max(CASE WHEN v <= q3 + 1.5 * (q3 - q1) THEN v END)', 'whisker_high')},
+  CAST(count(*) FILTER (WHERE v < q1 - 1.5 * (q3 - q1) OR v > q3 + 1.5 * (q3 - q1)) AS BIGINT) outliers, CAST(count(*) AS BIGINT) n
+FROM base JOIN q ON base.customer_region = q.customer_region GROUP BY q.customer_region, q1, med, q3""",
+    "w10_weekly_share": _WT + f"\nSELECT order_week, sales_qty, {r('sales_qty / sum(sales_qty) OVER ()', 'share')} FROM wt",
+})

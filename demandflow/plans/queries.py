@@ -218,3 +218,177 @@ QUERIES.update({
     "w12_seasonal_difference": q_seasonal_difference,
     "w13_infer_freq": q_infer_freq,
 })
+
+
+# --- step 8: exploration -----------------------------------------------------------------------
+from demandflow.operators import profile  # noqa: E402
+
+
+def _raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    raw = fixtures.raw_tables(spark, sf_dir)
+    raw["order_reviews"] = fixtures.order_reviews(spark, sf_dir)
+    return raw
+
+
+def _orders_with_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from demandflow.functions.timecols import floor_days_between, hours_between
+    o = fixtures.orders(spark, sf_dir)
+    return o.withColumns({
+        "approval_time_hours": hours_between("order_approved_at", "order_purchase_timestamp"),
+        "prazo": floor_days_between("order_estimated_delivery_date", "order_purchase_timestamp")})
+
+
+def q_duplicate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Full-row duplicates per raw table."""
+    out = None
+    for name, df in _raw(spark, sf_dir).items():
+        part = profile.duplicate_rows(df).withColumn("dataset", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def q_null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P10: columns with nulls per raw table."""
+    out = None
+    for name, df in _raw(spark, sf_dir).items():
+        part = profile.null_profile(df).withColumn("dataset", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def q_schema_info(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Column types and non-null counts of the merged table."""
+    return profile.schema_info(merged(spark, sf_dir))
+
+
+def q_product_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``produto<n>`` labels by ascending product id (globally numbered)."""
+    prods = merged(spark, sf_dir).select("product_id").distinct()
+    return profile.ordinal_labels(prods, "product_id", "produto", "produto_n")
+
+
+def q_price_vars_category_unweighted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unweighted category means of the product changes."""
+    df, key = _keyed(spark, sf_dir)
+    pv = period.price_vars_from_partials(period.product_period_partials(df, key), key)
+    return normalize(profile.category_price_means_unweighted(pv, key))
+
+
+def q_products_per_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A13 (J13 natural join): orders with more than one distinct product."""
+    raw = _raw(spark, sf_dir)
+    o, i = raw["orders"].select("order_id"), raw["order_items"].select("order_id", "product_id")
+    shared = [c for c in o.columns if c in i.columns]
+    return normalize(profile.share_with_more_than_one(o.join(i, shared), "order_id", "product_id"))
+
+
+def q_sellers_per_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products sold by more than one seller."""
+    return normalize(profile.share_with_more_than_one(_raw(spark, sf_dir)["order_items"], "product_id", "seller_id"))
+
+
+def q_row_distinct_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A15 (J2): rows and distinct ids of orders and items, distinct categories sold, as
+    (metric, value) rows."""
+    raw = _raw(spark, sf_dir)
+    o, i = raw["orders"], raw["order_items"]
+    oc = o.agg(F.count(F.lit(1)).cast("bigint").alias("orders_rows"),
+               F.count_distinct("order_id").cast("bigint").alias("orders_ids"))
+    ic = i.join(raw["products"], "product_id", "left").agg(
+        F.count(F.lit(1)).cast("bigint").alias("items_rows"),
+        F.count_distinct("order_id").cast("bigint").alias("items_order_ids"),
+        F.count_distinct("order_item_id").cast("bigint").alias("items_item_ids"),
+        F.count_distinct("product_category_name").cast("bigint").alias("categories"))
+    return oc.unpivot([], oc.columns, "metric", "value").unionByName(ic.unpivot([], ic.columns, "metric", "value"))
+
+
+def q_capped_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product share by capped sales count, cumulative from the top."""
+    return normalize(profile.capped_frequency(_raw(spark, sf_dir)["order_items"], 10))
+
+
+def q_sales_volume_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A17, A19 (J14, J15): sales volume share and mean review per capped bucket."""
+    raw = _raw(spark, sf_dir)
+    return normalize(profile.sales_volume_by_bucket(raw["order_items"], raw["order_reviews"], 10))
+
+
+def q_review_multiplicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct reviews per (order, product)."""
+    raw = _raw(spark, sf_dir)
+    return profile.review_multiplicity(raw["order_items"], raw["order_reviews"])
+
+
+def q_category_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top-20 categories by sales, the rest as 'outros'."""
+    raw = _raw(spark, sf_dir)
+    return normalize(profile.category_table(raw["order_items"], raw["products"], 20))
+
+
+def q_late_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late deliveries (estimated - carrier < 0) over order items."""
+    raw = _raw(spark, sf_dir)
+    return normalize(profile.late_share(raw["orders"].join(raw["order_items"], "order_id", "left")))
+
+
+def q_describe_order_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """describe() of approval hours and promised lead days over orders."""
+    return normalize(profile.describe_columns(_orders_with_times(spark, sf_dir), ["approval_time_hours", "prazo"]))
+
+
+def q_summarize_period_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistical summary of the weekly period table's numeric columns."""
+    return normalize(profile.summarize_features(period_table(spark, sf_dir, "W")))
+
+
+def q_item_price_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W8 (J10, J12): item-grain % price changes of products with >= 3 sales."""
+    raw = _raw(spark, sf_dir)
+    return normalize(profile.item_price_changes(raw["orders"], raw["order_items"], 3))
+
+
+def q_nonzero_change_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A24 (P13): % of item-grain price changes different from zero."""
+    raw = _raw(spark, sf_dir)
+    return normalize(profile.nonzero_change_share(profile.item_price_changes(raw["orders"], raw["order_items"], 3)))
+
+
+def q_histogram_approval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """50-bin equal-width histogram of approval hours."""
+    return normalize(profile.histogram(_orders_with_times(spark, sf_dir), "approval_time_hours", 50))
+
+
+def q_box_lead_days_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A26 (J3, P5): box-plot statistics of promised lead days by customer region."""
+    o = _orders_with_times(spark, sf_dir)
+    cust = clean.add_customer_region(fixtures.customers(spark, sf_dir), fixtures.state_regions(spark, sf_dir))
+    return normalize(profile.box_stats(o.join(cust, "customer_id", "left"), "prazo", "customer_region"))
+
+
+def q_weekly_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each week's share of all items sold."""
+    return normalize(profile.share_of_total(weekly_target(spark, sf_dir), "sales_qty"))
+
+
+QUERIES.update({
+    "p9_duplicate_rows": q_duplicate_rows,
+    "p10_null_profile": q_null_profile,
+    "p15_schema_info": q_schema_info,
+    "p16_product_labels": q_product_labels,
+    "a11_price_vars_category_unweighted_weekly": q_price_vars_category_unweighted,
+    "a13_products_per_order": q_products_per_order,
+    "a14_sellers_per_product": q_sellers_per_product,
+    "a15_row_distinct_counts": q_row_distinct_counts,
+    "a16_capped_sales_frequency": q_capped_frequency,
+    "a17_a19_sales_volume_buckets": q_sales_volume_buckets,
+    "a18_review_multiplicity": q_review_multiplicity,
+    "a20_category_table": q_category_table,
+    "a21_late_delivery_share": q_late_share,
+    "a22_describe_order_times": q_describe_order_times,
+    "a23_summarize_period_table": q_summarize_period_table,
+    "w8_item_price_changes": q_item_price_changes,
+    "a24_nonzero_price_change_share": q_nonzero_change_share,
+    "a25_histogram_approval_hours": q_histogram_approval,
+    "a26_box_lead_days_by_region": q_box_lead_days_region,
+    "w10_weekly_share": q_weekly_share,
+})
