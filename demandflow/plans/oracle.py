@@ -146,8 +146,8 @@ period AS (
     return ctes, key, ["sales_qty", *PRICE_MEANS, *region_cols(suffix)]
 
 
-def select_rounded(cols: list[str], doubles: set[str]) -> str:
-    return ", ".join(r(c, c) if c in doubles else c for c in cols)
+def select_rounded(cols: list[str], doubles: set[str], snap: bool = True) -> str:
+    return ", ".join(r(c, c) if (c in doubles and snap) else c for c in cols)
 
 
 def period_table_sql(freq: str) -> str:
@@ -225,7 +225,7 @@ def model_table_sql(freq: str) -> str:
     return f"WITH {ctes}\nSELECT {key}, {select_rounded(cols, doubles)} FROM model"
 
 
-def imputed_sql(freq: str) -> str:
+def imputed_sql(freq: str, snap: bool = True) -> str:
     ctes, key, cols, doubles = model_table_ctes(freq)
     var = [c for c in cols if c.startswith(("price_var", "qty_var", "sales"))]
     import re
@@ -239,7 +239,7 @@ def imputed_sql(freq: str) -> str:
         exprs.append(f"{e} AS {c}")
     ctes += f",\nimp AS (SELECT {key}, {', '.join(exprs)} FROM model)"
     have = " OR ".join(f"{c} IS NULL" for c in feats)
-    return (f"WITH {ctes}\nSELECT {key}, {select_rounded(cols, doubles)}, CAST(({have}) AS INTEGER) have_nulls FROM imp")
+    return (f"WITH {ctes}\nSELECT {key}, {select_rounded(cols, doubles, snap)}, CAST(({have}) AS INTEGER) have_nulls FROM imp")
 
 
 def _merged_sql(extra_where: str = "") -> str:
@@ -536,3 +536,54 @@ SELECT q.customer_region, {r('q1', 'q1')}, {r('med', 'median')}, {r('q3', 'q3')}
 FROM base JOIN q ON base.customer_region = q.customer_region GROUP BY q.customer_region, q1, med, q3""",
     "w10_weekly_share": _WT + f"\nSELECT order_week, sales_qty, {r('sales_qty / sum(sales_qty) OVER ()', 'share')} FROM wt",
 })
+
+
+def _imputed_cols() -> tuple[list[str], dict[str, str]]:
+    ctes, key, cols, doubles = model_table_ctes("W")
+    cols = cols + ["have_nulls"]
+    types = {c: ("DOUBLE" if c in doubles else "INT") for c in cols}
+    return cols, types
+
+
+def _e1_sql() -> str:
+    cols, _ = _imputed_cols()
+    feats = [c for c in cols if c != "sales_qty"]
+    parts = [f"""SELECT '{c}' feature, {r(f'count({c}) / count(*)', 'nonnull_frac')},
+  (count({c}) > 0 AND count(*) FILTER (WHERE {c} IS NOT NULL AND {c} NOT IN (0, 1)) = 0) is_binary FROM imp"""
+             for c in feats]
+    body = "\nUNION ALL ".join(parts)
+    return (f"WITH imp AS ({imputed_sql('W', snap=False)})\nSELECT *, (coalesce(nonnull_frac, 0) >= 0.6 AND NOT is_binary) selected "
+            f"FROM ({body})")
+
+
+def _selected_features_sql() -> tuple[str, list[str]]:
+    cols, _ = _imputed_cols()
+    return f"WITH imp AS ({imputed_sql('W', snap=False)})", [c for c in cols if c != "sales_qty"]
+
+
+def _e2_sql() -> str:
+    head, feats = _selected_features_sql()
+    sel = "\nUNION ALL ".join(
+        f"SELECT '{c}' feature, CAST({c} AS DOUBLE) x, CAST(sales_qty AS DOUBLE) y FROM imp" for c in feats)
+    prof = _e1_sql().split("\nSELECT *, ", 1)[1]
+    series_even = "list_sum([exp(lgamma(j + 0.5) - lgamma(0.5) - lgamma(j + 1.0) + j * ln(q)) FOR j IN range(0, CAST((nu - 2) // 2 AS BIGINT) + 1)])"
+    series_odd = "list_sum([exp(lgamma(j + 1.0) + lgamma(1.5) - lgamma(j + 1.5) + j * ln(q)) FOR j IN range(0, CAST((nu - 3) // 2 AS BIGINT) + 1)])"
+    return f"""{head},
+prof AS (SELECT *, (coalesce(nonnull_frac, 0) >= 0.6 AND NOT is_binary) selected FROM ({prof.split(' FROM (', 1)[1][:-1]})),
+longv AS ({sel}),
+pairs AS (SELECT * FROM longv WHERE x IS NOT NULL AND y IS NOT NULL AND feature IN (SELECT feature FROM prof WHERE selected)),
+g AS (SELECT feature, count(*) n, CASE WHEN count(*) >= 3 AND max(x) > min(x) AND max(y) > min(y)
+        THEN least(1.0, greatest(-1.0, covar_samp(x, y) / (stddev_samp(x) * stddev_samp(y)))) END r FROM pairs GROUP BY 1),
+h AS (SELECT feature, n, r, abs(r) a, greatest(0.0, 1 - r * r) q, n - 2 nu FROM g),
+p AS (SELECT feature, n, r, CASE WHEN r IS NULL OR nu < 1 THEN NULL
+        WHEN q = 0 THEN 0.0
+        WHEN nu % 2 = 0 THEN greatest(0.0, 1 - a * {series_even})
+        WHEN nu = 1 THEN greatest(0.0, 1 - 2 / pi() * asin(a))
+        ELSE greatest(0.0, 1 - 2 / pi() * (asin(a) + a * sqrt(q) * {series_odd})) END pv FROM h)
+SELECT feature, {r('r', 'pearson_r')}, CAST(n AS BIGINT) n_used, {r('pv', 'pearson_pvalue')} FROM p"""
+
+
+ORACLE.update({
+    "e1_continuous_feature_profile": _e1_sql(),
+    "e2_pearson_corr": _e2_sql(),
+})

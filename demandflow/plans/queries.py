@@ -392,3 +392,55 @@ QUERIES.update({
     "a26_box_lead_days_by_region": q_box_lead_days_region,
     "w10_weekly_share": q_weekly_share,
 })
+
+
+# --- step 9: feature analysis -----------------------------------------------------------------
+from demandflow.operators import analysis  # noqa: E402
+
+
+def imputed_table(spark: SparkSession, sf_dir: str, freq: str = "W") -> DataFrame:
+    return impute.impute_nulls(model_table(spark, sf_dir, freq))
+
+
+def _analysis_input(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
+    df = imputed_table(spark, sf_dir)
+    return df, analysis.select_continuous_features(df, "sales_qty", 0.6, ["order_week"])
+
+
+def q_continuous_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Non-null fraction, binary test and selection of each numeric column."""
+    df = imputed_table(spark, sf_dir)
+    return normalize(analysis.continuous_feature_profile(df, "sales_qty", 0.6, ["order_week"]))
+
+
+def q_pearson(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pearson r, two-sided p-value and pairs used per selected feature."""
+    df, feats = _analysis_input(spark, sf_dir)
+    return normalize(analysis.compute_pearson_corr(df, "sales_qty", feats))
+
+
+def q_mutual_information(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K-NN (k=3) mutual information per selected feature."""
+    df, feats = _analysis_input(spark, sf_dir)
+    return normalize(analysis.compute_mutual_information(df, "sales_qty", feats, "order_week"))
+
+
+def q_feature_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Combined rank with strength labels."""
+    res = analysis.analyze_continuous_features(imputed_table(spark, sf_dir), "sales_qty", "order_week")
+    return normalize(res["rank"])
+
+
+def q_relevant_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E6 filter: features not low on both Pearson and MI."""
+    res = analysis.analyze_continuous_features(imputed_table(spark, sf_dir), "sales_qty", "order_week")
+    return normalize(analysis.relevant_features(res["rank"]))
+
+
+QUERIES.update({
+    "e1_continuous_feature_profile": q_continuous_profile,
+    "e2_pearson_corr": q_pearson,
+    "e3_mutual_information": q_mutual_information,
+    "e5_feature_rank": q_feature_rank,
+    "e6_relevant_features": q_relevant_features,
+})
