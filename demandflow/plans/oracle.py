@@ -587,3 +587,15 @@ ORACLE.update({
     "e1_continuous_feature_profile": _e1_sql(),
     "e2_pearson_corr": _e2_sql(),
 })
+
+
+ORACLE.update({
+    "b5_backtest_seasonal_naive": _WT + """,
+lg AS (SELECT order_week, sales_qty, lag(sales_qty, 1) OVER (ORDER BY order_week) p,
+       CASE WHEN order_week > DATE '2000-06-25' THEN CAST(ceil(date_diff('day', DATE '2000-06-25', order_week) / 7.0) AS INTEGER) - 1 END fold_id
+       FROM wt),
+vc AS (SELECT DISTINCT fold_id FROM lg WHERE fold_id IS NOT NULL),
+stop AS (SELECT min(k) k FROM generate_series(0, (SELECT max(fold_id) + 1 FROM vc)) g(k) WHERE k NOT IN (SELECT fold_id FROM vc))
+SELECT order_week date, CAST(sales_qty AS DOUBLE) y_true, CAST(p AS DOUBLE) y_pred, fold_id FROM lg
+WHERE order_week BETWEEN DATE '2000-06-26' AND DATE '2000-11-13' AND fold_id < (SELECT k FROM stop)""",
+})

@@ -444,3 +444,108 @@ QUERIES.update({
     "e5_feature_rank": q_feature_rank,
     "e6_relevant_features": q_relevant_features,
 })
+
+
+# --- step 10: models and backtests -----------------------------------------------------------
+from demandflow.operators import models  # noqa: E402
+
+TEST_START = _dt.date(2000, 6, 26)
+TEST_END = _dt.date(2000, 11, 13)
+# Registered GBT settings are small: every boosting round x tree level is one Spark job,
+# and on the weekly test series job latency, not data, dominates.
+GBT_PARAMS = {"maxDepth": 4, "stepSize": 0.1, "maxIter": 10, "minInstancesPerNode": 10, "subsamplingRate": 1.0}
+SEARCH_GRID = {"maxDepth": [3, 4], "stepSize": [0.05, 0.1], "maxIter": [5, 10], "minInstancesPerNode": [5, 10]}
+
+
+def lag_roll_features(df: DataFrame) -> list[str]:
+    """Model features are the lag and rolling columns."""
+    return [c for c in df.columns if "roll" in c or "lag" in c]
+
+
+def _bt(df: DataFrame, fp, target: str = "sales_qty") -> DataFrame:
+    return backtest.backtest(df, fp, "order_week", target, FIRST_TRAIN_END, STEP, TEST_START, TEST_END, parallelism=8)
+
+
+def q_backtest_seasonal_naive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expanding-window backtest of the naive forecast over the test weeks."""
+    t = weekly_target(spark, sf_dir)
+    return _bt(t, models.seasonal_naive_fit_predict("sales_qty", "order_week", 1))
+
+
+def _gbt_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = imputed_table(spark, sf_dir).cache()
+    return _bt(df, models.gbt_fit_predict(lag_roll_features(df), "sales_qty", "order_week", GBT_PARAMS))
+
+
+def _additive_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _bt(weekly_target(spark, sf_dir).cache(), models.additive_fit_predict("sales_qty", "order_week"))
+
+
+def _seasonal_ar_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _bt(weekly_target(spark, sf_dir).cache(), models.seasonal_ar_fit_predict("sales_qty", "order_week", 52))
+
+
+def _lookback_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _bt(weekly_target(spark, sf_dir).cache(), models.lookback_fit_predict("sales_qty", "order_week", 4))
+
+
+def q_gbt_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gradient-boosted trees on the lag/rolling features, per fold."""
+    return normalize(_gbt_predictions(spark, sf_dir))
+
+
+def q_additive_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trend + Fourier seasonality ridge regression, per fold."""
+    return normalize(_additive_predictions(spark, sf_dir))
+
+
+def q_seasonal_ar_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seasonal autoregression on (1, 52) differences, per fold."""
+    return normalize(_seasonal_ar_predictions(spark, sf_dir))
+
+
+def q_lookback_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Standardised 4-week look-back linear autoregression, per fold."""
+    return normalize(_lookback_predictions(spark, sf_dir))
+
+
+def q_model_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metric table of the five forecasters over the test weeks."""
+    preds = {
+        "seasonal_naive": q_backtest_seasonal_naive(spark, sf_dir),
+        "gbt": _gbt_predictions(spark, sf_dir),
+        "additive": _additive_predictions(spark, sf_dir),
+        "seasonal_ar": _seasonal_ar_predictions(spark, sf_dir),
+        "lookback": _lookback_predictions(spark, sf_dir),
+    }
+    return normalize(metrics.compare_models(preds))
+
+
+def q_gbt_random_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B3 (B2): seeded random search (4 draws) over a GBT grid with 3 time-ordered CV splits."""
+    df = imputed_table(spark, sf_dir).cache()
+    _, table = models.random_search_gbt(df, lag_roll_features(df), "order_week", "sales_qty",
+                                        FIRST_TRAIN_END.date(), 3, 4, SEARCH_GRID, parallelism=8)
+    return normalize(table)
+
+
+def q_feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GBT feature importances on the static training window."""
+    df = imputed_table(spark, sf_dir)
+    feats = lag_roll_features(df)
+    train = df.where(F.col("order_week") <= F.lit(FIRST_TRAIN_END.date()))
+    (tr,) = models.fill_from_train(train, [train], feats)
+    model, _ = models.gbt_model(tr, feats, "sales_qty", "order_week", GBT_PARAMS)
+    return normalize(models.feature_importances(spark, model, feats))
+
+
+QUERIES.update({
+    "b5_backtest_seasonal_naive": q_backtest_seasonal_naive,
+    "b4_gbt_backtest": q_gbt_backtest,
+    "b7_additive_backtest": q_additive_backtest,
+    "b8_seasonal_ar_backtest": q_seasonal_ar_backtest,
+    "b8b_lookback_backtest": q_lookback_backtest,
+    "b11_model_metrics": q_model_metrics,
+    "b3_gbt_random_search": q_gbt_random_search,
+    "b6_feature_importance": q_feature_importance,
+})
