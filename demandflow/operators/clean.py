@@ -91,9 +91,10 @@ def add_customer_region(df: DataFrame, mapping: Mapping[str, Iterable[str]] | Da
     key = F.upper(F.col(state_col)) if upper else F.col(state_col)
     mapping = REGION_STATES if mapping is None else mapping
     if isinstance(mapping, DataFrame):
+        from demandflow.session import bounded_broadcast
         dim = mapping.select(F.col("state").alias("__state"), F.col("region").alias(out_col)) \
             .dropDuplicates(["__state"])
-        joined = df.join(dim, key == F.col("__state"), "left").drop("__state")
+        joined = df.join(bounded_broadcast(dim), key == F.col("__state"), "left").drop("__state")
         return joined.withColumn(out_col, F.coalesce(F.col(out_col), F.lit(default))) if default else joined
     pairs = []
     for region, states in mapping.items():
@@ -172,7 +173,7 @@ def build_merged(orders: DataFrame, items: DataFrame, products: DataFrame, custo
 
     Join order differs from the textbook orders->items->products->customers: items meet
     products first (shuffle on product_id), then the order side (orders with their
-    customers, both order grain) on order_id.  The final shuffle is on order_id, which
+    customers, both order grain, region already mapped on the customers) on order_id.  The final shuffle is on order_id, which
     already clusters the (order_id, order_item_id) deduplication, so the item-grain data
     is shuffled twice instead of four times.  Inner/left semantics are the same.
     """
@@ -180,18 +181,19 @@ def build_merged(orders: DataFrame, items: DataFrame, products: DataFrame, custo
     products = cast_ids_to_str(safe_select(products, PRODUCTS_COLS))
     customers = cast_ids_to_str(safe_select(customers, CUSTOMERS_COLS))
     items = cast_ids_to_str(items)
+    # The region depends on the customer's state only: map it on the customers table, before
+    # any item-grain join, so item rows are never shuffled by state (a handful of keys).
+    customers = add_customer_region(customers, region_mapping)
 
     item_cols = [c for c in items.columns if c != "order_id"]
     prod_cols = [c for c in products.columns if c != "product_id"]
-    cust_cols = [c for c in customers.columns if c != "customer_id"]
+    cust_cols = [c for c in customers.columns if c != "customer_id"]  # includes customer_region
     order_cols = list(orders.columns)
 
     items_p = items.join(products, "product_id", "left")
     order_side = orders.join(customers, "customer_id", "left")
     df = order_side.join(items_p, "order_id", "inner")
     df = df.select(*order_cols, *item_cols, *prod_cols, *cust_cols)
-
-    df = add_customer_region(df, region_mapping)
     df = coerce_datetime(df, DATE_COLS)
     df = delivered_filter(df)
     if dedupe:

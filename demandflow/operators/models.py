@@ -85,7 +85,12 @@ def gbt_model(train: DataFrame, features: list[str], target_col: str, date_col:
         data = _tail_flag(data, date_col, validation_fraction)
         kw["validationIndicatorCol"] = "__is_val"
     gbt = GBTRegressor(featuresCol="__features", labelCol=target_col, seed=seed, **kw, **params)
-    return gbt.fit(data.withColumn(target_col, F.col(target_col).cast("double"))), assembler
+    # the estimator scans its input several times; persist it for the fit only
+    data = data.withColumn(target_col, F.col(target_col).cast("double")).persist()
+    try:
+        return gbt.fit(data), assembler
+    finally:
+        data.unpersist()
 
 
 def gbt_fit_predict(features: list[str], target_col: str, date_col: str, params: Mapping | None = None,

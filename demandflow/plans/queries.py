@@ -472,21 +472,33 @@ def q_backtest_seasonal_naive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _bt(t, models.seasonal_naive_fit_predict("sales_qty", "order_week", 1))
 
 
+def _model_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The imputed weekly table, checkpointed once: fold and search loops then read it
+    instead of recomputing the pipeline per Spark ML pass."""
+    from demandflow.session import materialize
+    return materialize(imputed_table(spark, sf_dir))
+
+
+def _weekly_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from demandflow.session import materialize
+    return materialize(weekly_target(spark, sf_dir))
+
+
 def _gbt_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = imputed_table(spark, sf_dir).cache()
+    df = _model_input(spark, sf_dir)
     return _bt(df, models.gbt_fit_predict(lag_roll_features(df), "sales_qty", "order_week", GBT_PARAMS))
 
 
 def _additive_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _bt(weekly_target(spark, sf_dir).cache(), models.additive_fit_predict("sales_qty", "order_week"))
+    return _bt(_weekly_input(spark, sf_dir), models.additive_fit_predict("sales_qty", "order_week"))
 
 
 def _seasonal_ar_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _bt(weekly_target(spark, sf_dir).cache(), models.seasonal_ar_fit_predict("sales_qty", "order_week", 52))
+    return _bt(_weekly_input(spark, sf_dir), models.seasonal_ar_fit_predict("sales_qty", "order_week", 52))
 
 
 def _lookback_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _bt(weekly_target(spark, sf_dir).cache(), models.lookback_fit_predict("sales_qty", "order_week", 4))
+    return _bt(_weekly_input(spark, sf_dir), models.lookback_fit_predict("sales_qty", "order_week", 4))
 
 
 def q_gbt_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -523,7 +535,7 @@ def q_model_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_gbt_random_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B3 (B2): seeded random search (4 draws) over a GBT grid with 3 time-ordered CV splits."""
-    df = imputed_table(spark, sf_dir).cache()
+    df = _model_input(spark, sf_dir)
     _, table = models.random_search_gbt(df, lag_roll_features(df), "order_week", "sales_qty",
                                         FIRST_TRAIN_END.date(), 3, 4, SEARCH_GRID, parallelism=8)
     return normalize(table)
@@ -531,7 +543,7 @@ def q_gbt_random_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """GBT feature importances on the static training window."""
-    df = imputed_table(spark, sf_dir)
+    df = _model_input(spark, sf_dir)
     feats = lag_roll_features(df)
     train = df.where(F.col("order_week") <= F.lit(FIRST_TRAIN_END.date()))
     (tr,) = models.fill_from_train(train, [train], feats)

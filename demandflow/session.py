@@ -56,3 +56,11 @@ def materialize(df: DataFrame) -> DataFrame:
     recomputing joins; survives executor loss because the files sit in the shared folder."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """Broadcast hint only behind a proven size bound: a ``limit(max_rows + 1)`` count
+    (one tiny job) must stay within ``max_rows``; otherwise the frame is returned as is and
+    the join shuffles (or AQE decides from measured sizes)."""
+    from pyspark.sql import functions as F
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

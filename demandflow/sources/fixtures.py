@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from demandflow.session import bounded_broadcast
+
 # Fixed values of the stand-in mapping (FIXTURES.md section 3).
 STATUS_MAP = {"F": "delivered", "O": "shipped"}          # anything else -> "processing"
 APPROVED_NULL_MOD = 97      # order_approved_at is null when order key % 97 = 0
@@ -82,8 +84,8 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers with the nation name as their state code."""
     c = table(spark, sf_dir, "customer")
-    n = table(spark, sf_dir, "nation")
-    return c.join(n, c.c_nationkey == n.n_nationkey, "left").select(
+    n = table(spark, sf_dir, "nation")   # 25 rows by the TPC-H definition
+    return c.join(bounded_broadcast(n, 1000), c.c_nationkey == n.n_nationkey, "left").select(
         F.col("c_custkey").cast("string").alias("customer_id"),
         F.col("c_custkey").cast("string").alias("customer_unique_id"),
         F.col("n_name").alias("customer_state"),
@@ -93,8 +95,8 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def state_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """State -> region dimension (nation name -> region name)."""
     n = table(spark, sf_dir, "nation")
-    r = table(spark, sf_dir, "region")
-    return n.join(r, n.n_regionkey == r.r_regionkey, "left").select(
+    r = table(spark, sf_dir, "region")   # 5 rows by the TPC-H definition
+    return n.join(bounded_broadcast(r, 1000), n.n_regionkey == r.r_regionkey, "left").select(
         F.col("n_name").alias("state"), F.col("r_name").alias("region"))
 
 
