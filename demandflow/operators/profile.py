@@ -210,14 +210,29 @@ def late_share(df: DataFrame, estimated_col: str = "order_estimated_delivery_dat
 def item_price_changes(orders: DataFrame, items: DataFrame, min_sales: int = 3) -> DataFrame:
     """W8 (J10, J12): per-product % price change between consecutive sales in purchase
     order, for products with at least ``min_sales`` sales; ties in the timestamp are broken
-    by order id, item id, seller, price and freight (a total order up to identical rows)."""
+    by order id, item id, seller, price and freight (a total order up to identical rows).
+
+    The previous sale is found in two levels so that no task holds a whole product: a
+    window inside (product, purchase day) gives the previous row within the day; the first
+    row of a day takes the last price of the product's previous sales day, read from a
+    partially aggregated (product, day) table whose per-product size is bounded by the
+    calendar."""
+    order = ["order_purchase_timestamp", "order_id", "order_item_id", "seller_id", "price", "freight_value"]
     frequent = sales_per_product(items).where(F.col("n_sales") >= min_sales).select("product_id")
-    oi = orders.join(items, "order_id", "left").join(frequent, "product_id", "left_semi")
-    w = Window.partitionBy("product_id").orderBy("order_purchase_timestamp", "order_id", "order_item_id",
-                                                 "seller_id", "price", "freight_value")
-    change = (F.try_divide(F.col("price"), F.lag("price").over(w)) - 1) * 100
-    return oi.select("product_id", "order_id", "order_item_id", "order_purchase_timestamp", "price",
-                     change.alias("price_pct_change"))
+    oi = orders.join(items, "order_id", "left").join(frequent, "product_id", "left_semi") \
+        .withColumn("__day", F.col("order_purchase_timestamp").cast("date"))
+    w_day = Window.partitionBy("product_id", "__day").orderBy(*order)
+    rows = oi.select("product_id", "__day", *order, F.lag("price").over(w_day).alias("__prev_in_day"),
+                     (F.row_number().over(w_day) == 1).alias("__first"))
+    last = oi.groupBy("product_id", "__day").agg(
+        F.max_by("price", F.struct(*[F.col(c) for c in order])).alias("__last"))
+    prev_day = last.select("product_id", "__day", F.lag("__last").over(
+        Window.partitionBy("product_id").orderBy("__day")).alias("__prev_day_last"))
+    j = rows.join(prev_day, ["product_id", "__day"], "left")
+    prev = F.when(F.col("__first"), F.col("__prev_day_last")).otherwise(F.col("__prev_in_day"))
+    change = (F.try_divide(F.col("price"), prev) - 1) * 100
+    return j.select("product_id", "order_id", "order_item_id", "order_purchase_timestamp", "price",
+                    change.alias("price_pct_change"))
 
 
 def nonzero_change_share(changes: DataFrame, col: str = "price_pct_change") -> DataFrame:
@@ -262,7 +277,10 @@ def box_stats(df: DataFrame, value_col: str, group_col: str, approx: bool = Fals
     quart = quart.withColumn("iqr", F.col("q3") - F.col("q1"))
     lo = F.col("q1") - 1.5 * F.col("iqr")
     hi = F.col("q3") + 1.5 * F.col("iqr")
-    j = base.join(quart, group_col)
+    # one row per group: broadcast it (size checked) rather than hashing every value row
+    # on a handful of group keys
+    from demandflow.session import bounded_broadcast
+    j = base.join(bounded_broadcast(quart), group_col)
     return j.groupBy(group_col, "q1", "median", "q3", "iqr").agg(
         F.min(F.when(F.col("__v") >= lo, F.col("__v"))).alias("whisker_low"),
         F.max(F.when(F.col("__v") <= hi, F.col("__v"))).alias("whisker_high"),
