@@ -599,3 +599,46 @@ stop AS (SELECT min(k) k FROM generate_series(0, (SELECT max(fold_id) + 1 FROM v
 SELECT order_week date, CAST(sales_qty AS DOUBLE) y_true, CAST(p AS DOUBLE) y_pred, fold_id FROM lg
 WHERE order_week BETWEEN DATE '2000-06-26' AND DATE '2000-11-13' AND fold_id < (SELECT k FROM stop)""",
 })
+
+
+_RWT = f"""WITH {RAW_CTES},
+wt AS (SELECT customer_region, date_trunc('week', order_purchase_timestamp)::DATE order_week,
+       CAST(count(order_item_id) AS BIGINT) sales_qty FROM merged WHERE customer_region IS NOT NULL GROUP BY 1, 2)"""
+
+
+def _region_lags_sql() -> str:
+    cols = []
+    for lag in LAGS:
+        cols.append(f"lag(sales_qty, {lag}) OVER w sales_qty_lag{lag}")
+    for win in ROLL_WINDOWS:
+        frame = f"(PARTITION BY customer_region ORDER BY order_week ROWS BETWEEN {win} PRECEDING AND 1 PRECEDING)"
+        full = f"count(sales_qty) OVER {frame} = {win}"
+        cols.append(r(f"CASE WHEN {full} THEN avg(sales_qty) OVER {frame} END", f"sales_qty_roll{win}_mean"))
+        cols.append(r(f"CASE WHEN {full} THEN stddev_samp(sales_qty) OVER {frame} END", f"sales_qty_roll{win}_std"))
+    return (_RWT + f"\nSELECT customer_region, order_week, sales_qty, {', '.join(cols)} FROM wt "
+            "WINDOW w AS (PARTITION BY customer_region ORDER BY order_week)")
+
+
+ORACLE.update({
+    "w7_region_lags_rollings": _region_lags_sql(),
+    "b9_region_lag_model_metrics": _RWT + """,
+preds AS (SELECT customer_region model, order_week date, CAST(sales_qty AS DOUBLE) y, CAST(l1 AS DOUBLE) p FROM (
+  SELECT customer_region, order_week, sales_qty, lag(sales_qty, 1) OVER (PARTITION BY customer_region ORDER BY order_week) l1
+  FROM wt) WHERE l1 IS NOT NULL)""" + _metric_sql(1, True).replace("SELECT model,", "SELECT model AS customer_region,", 1),
+    "b1_region_folds": _RWT + """,
+v AS (SELECT customer_region, CAST(ceil(date_diff('day', DATE '2000-06-25', order_week) / 7.0) AS INTEGER) - 1 fold_id
+      FROM wt WHERE order_week > DATE '2000-06-25'),
+vc AS (SELECT customer_region, fold_id, count(*) n_valid FROM v GROUP BY 1, 2),
+mx AS (SELECT customer_region, max(fold_id) m FROM vc GROUP BY 1),
+stop AS (SELECT mx.customer_region, min(g.k) k FROM mx, generate_series(0, mx.m + 1) g(k)
+         WHERE NOT EXISTS (SELECT 1 FROM vc WHERE vc.customer_region = mx.customer_region AND vc.fold_id = g.k)
+         GROUP BY 1),
+base AS (SELECT customer_region, count(*) b FROM wt WHERE order_week <= DATE '2000-06-25' GROUP BY 1)
+SELECT vc.customer_region, vc.fold_id, TIMESTAMP '2000-06-25' + vc.fold_id * INTERVAL 7 DAY train_end,
+  TIMESTAMP '2000-06-25' + (vc.fold_id + 1) * INTERVAL 7 DAY valid_end,
+  CAST(coalesce(base.b, 0) + coalesce((SELECT sum(n_valid) FROM vc v2 WHERE v2.customer_region = vc.customer_region
+       AND v2.fold_id < vc.fold_id), 0) AS BIGINT) n_train,
+  CAST(vc.n_valid AS BIGINT) n_valid
+FROM vc JOIN stop ON vc.customer_region = stop.customer_region LEFT JOIN base ON base.customer_region = vc.customer_region
+WHERE vc.fold_id < stop.k""",
+})

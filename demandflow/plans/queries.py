@@ -561,3 +561,39 @@ QUERIES.update({
     "b3_gbt_random_search": q_gbt_random_search,
     "b6_feature_importance": q_feature_importance,
 })
+
+
+# --- series_keys: the same operators over many series -------------------------------------------
+def region_weekly_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df, key = period.add_time_key(merged(spark, sf_dir), "W")
+    return period.aggregate_sales_target(df.where(F.col("customer_region").isNotNull()), key, ["customer_region"])
+
+
+def q_region_lags_rollings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10, W6, W7 per series: weekly items per region with lags and causal rollings
+    computed in windows partitioned by region."""
+    t = region_weekly_target(spark, sf_dir)
+    return normalize(features.add_lags_and_rollings(t, "order_week", ["sales_qty"], features.LAGS, ["sales_qty"],
+                                                    features.ROLL_WINDOWS, series_keys=["customer_region"]))
+
+
+def q_region_lag_model_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B9 per series: metrics of the lag-1 forecast for each region (naive scale per region)."""
+    t = features.add_lags(region_weekly_target(spark, sf_dir), "order_week", ["sales_qty"], [1],
+                          series_keys=["customer_region"])
+    p = t.select("customer_region", F.col("order_week").alias("date"), F.col("sales_qty").alias("y_true"),
+                 F.col("sales_qty_lag1").alias("y_pred"))
+    return normalize(metrics.calculate_metrics(p, order_col="date", group_cols=["customer_region"]))
+
+
+def q_region_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B1 per series: expanding folds of each region's weekly series."""
+    return backtest.split_rolling(region_weekly_target(spark, sf_dir), "order_week", FIRST_TRAIN_END, STEP,
+                                  series_keys=["customer_region"])
+
+
+QUERIES.update({
+    "w7_region_lags_rollings": q_region_lags_rollings,
+    "b9_region_lag_model_metrics": q_region_lag_model_metrics,
+    "b1_region_folds": q_region_folds,
+})
