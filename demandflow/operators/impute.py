@@ -66,3 +66,28 @@ def null_totals(df: DataFrame) -> DataFrame:
     if "have_nulls" in df.columns:
         aggs.append((F.avg("have_nulls") * 100).alias("have_nulls_pct"))
     return df.agg(*aggs)
+
+
+def imputation_summary(df: DataFrame, protect_lags: bool = False) -> DataFrame:
+    """I5 diagnostics in one aggregation over the frame *before* imputation: null cells
+    before, null cells after (zero-filled columns drop out, ``have_nulls`` is never null)
+    and the % of rows flagged by ``have_nulls``."""
+    from demandflow.functions.stats import round_ratio_half_even
+    var_cols = set(variation_columns(df, protect_lags))
+    imputed = impute_nulls(df, protect_lags)
+    any_null = F.lit(False)
+    for c in model_feature_candidates(imputed.drop("have_nulls")):
+        filled = c in var_cols
+        any_null = any_null | (F.lit(False) if filled else F.col(c).isNull())
+    before = sum_nulls([F.col(c) for c in df.columns])
+    after = sum_nulls([F.col(c) for c in df.columns if c not in var_cols])
+    n = F.count(F.lit(1))
+    return df.agg(before.alias("null_cells_before"), after.alias("null_cells_after"),
+                  round_ratio_half_even(F.sum(any_null.cast("int")), n, 100, 4).alias("have_nulls_pct"))
+
+
+def sum_nulls(cols):
+    total = F.lit(0).cast("bigint")
+    for c in cols:
+        total = total + F.sum(c.isNull().cast("bigint"))
+    return total

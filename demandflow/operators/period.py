@@ -84,15 +84,23 @@ def product_period_partials(df: DataFrame, time_col: str, series_keys: Iterable[
                             product_col: str = "product_id",
                             category_col: str = "product_category_name") -> DataFrame:
     """Additive partials per (series, product, category, period): item count, price sum and
-    non-null price count.  This is the only shuffle of item-grain rows in the price branch."""
+    non-null price count.  This is the only shuffle of item-grain rows in the price branch
+    (the distinct-order weight adds two more group-bys, see ``_order_weights``)."""
     keys = [*series_keys, product_col, category_col, time_col]
     mode = _weight_mode(df)
-    qty = F.count("order_item_id") if mode == "items" else F.count(F.lit(1))
+    qty = F.count("order_item_id") if mode == "items" else F.lit(None).cast("bigint")
     return (df.where(F.col(product_col).isNotNull() & F.col(time_col).isNotNull())
             .groupBy(*keys)
             .agg(qty.alias("n_items"), F.sum("price").alias("price_sum"), F.count("price").alias("price_n")))
 
 
+def _order_weights(df: DataFrame, keys: list[str], out: str) -> DataFrame:
+    """A2 (ii): distinct orders x mean price per group (distinct counts do not add up
+    across groups, so this weight needs its own group-by)."""
+    return df.where(F.col(keys[-1]).isNotNull()).groupBy(*keys).agg(
+        (F.count_distinct("order_id") * F.avg("price")).alias(out))
+
+
 def _price_window_columns(df: DataFrame, keys: list[str], time_col: str) -> DataFrame:
     """W2-W5 over one row per (keys, period), ordered by period; rows, not calendar steps."""
     w = Window.partitionBy(*keys).orderBy(time_col)
@@ -120,12 +128,15 @@ def _price_window_columns(df: DataFrame, keys: list[str], time_col: str) -> Data
 
 def price_vars_from_partials(partials: DataFrame, time_col: str, series_keys: Iterable[str] = (),
                              product_col: str = "product_id",
-                             category_col: str = "product_category_name") -> DataFrame:
+                             category_col: str = "product_category_name",
+                             weight_mode: str = "items", rows: DataFrame | None = None) -> DataFrame:
     """A1 + W1-W5 from the partials; keeps the per-category partials in ``__cats`` so the
     category fan-out (J5) needs no join.
 
     The partials are hash-partitioned by product once; the (product, period) roll-up and
-    the product window both reuse that partitioning.
+    the product window both reuse that partitioning.  ``weight_mode`` picks the A2 revenue
+    weight: items x mean price, distinct orders x mean price (needs the item ``rows``), or
+    the price sum.
     """
     keys = [*series_keys, product_col]
     per_product = (
@@ -134,12 +145,19 @@ def price_vars_from_partials(partials: DataFrame, time_col: str, series_keys: It
         .agg(
             (F.sum("price_sum") / F.nullif(F.sum("price_n"), F.lit(0))).alias("price_mean"),
             F.sum("n_items").alias("__n_items"),
+            F.sum("price_sum").alias("__price_sum"),
             F.collect_list(F.struct(F.col(category_col).alias("category"), "n_items", "price_sum", "price_n"))
             .alias("__cats"),
         )
-        .withColumn("revenue", F.col("__n_items") * F.col("price_mean"))
-        .drop("__n_items")
     )
+    if weight_mode == "items":
+        per_product = per_product.withColumn("revenue", F.col("__n_items") * F.col("price_mean"))
+    elif weight_mode == "sum":
+        per_product = per_product.withColumn("revenue", F.col("__price_sum").cast("double"))
+    else:
+        w = _order_weights(rows, [*keys, time_col], "revenue")
+        per_product = per_product.join(w, [*keys, time_col], "left")
+    per_product = per_product.drop("__n_items", "__price_sum")
     return _price_window_columns(per_product, keys, time_col)
 
 
@@ -150,28 +168,35 @@ def compute_price_vars_by_product(df: DataFrame, time_col: str, series_keys: Ite
     cat = "product_category_name"
     src = df if cat in df.columns else df.withColumn(cat, F.lit(None).cast("string"))
     pv = price_vars_from_partials(product_period_partials(src, time_col, series_keys, product_col),
-                                  time_col, series_keys, product_col)
+                                  time_col, series_keys, product_col, weight_mode=_weight_mode(src), rows=src)
     return pv.drop("__cats", "revenue")
 
 
 def aggregate_price_vars_to_category(price_vars: DataFrame, time_col: str, series_keys: Iterable[str] = (),
-                                     category_col: str = "product_category_name") -> DataFrame:
+                                     category_col: str = "product_category_name", weight_mode: str = "items",
+                                     rows: DataFrame | None = None) -> DataFrame:
     """A4 (+J4, J5, A2, A3): category x period revenue-weighted means of the four changes.
 
     Input is the output of ``price_vars_from_partials``: each product row fans out to every
-    category it had in the period; the category's own revenue (for A5) is carried along.
+    category it had in the period; the category's own revenue (for A5) is carried along
+    (or, for the distinct-order weight, computed from ``rows`` and joined: J6).
     """
     keys = [*series_keys, time_col]
     fan = price_vars.select(*keys, *PRICE_VARS, "revenue", F.explode("__cats").alias("__c")) \
         .where(F.col("__c.category").isNotNull())
-    return (
-        fan.groupBy(*series_keys, F.col("__c.category").alias(category_col), time_col)
-        .agg(
-            *[masked_wavg(v, "revenue").alias(f"{v}_mean") for v in PRICE_VARS],
-            (F.sum("__c.n_items") * (F.sum("__c.price_sum") / F.nullif(F.sum("__c.price_n"), F.lit(0))))
-            .alias("revenue_cat"),
-        )
-    )
+    mean_price = F.sum("__c.price_sum") / F.nullif(F.sum("__c.price_n"), F.lit(0))
+    if weight_mode == "items":
+        rev_cat = F.sum("__c.n_items") * mean_price
+    elif weight_mode == "sum":
+        rev_cat = F.sum("__c.price_sum").cast("double")
+    else:
+        rev_cat = F.lit(None).cast("double")
+    out = fan.groupBy(*series_keys, F.col("__c.category").alias(category_col), time_col).agg(
+        *[masked_wavg(v, "revenue").alias(f"{v}_mean") for v in PRICE_VARS], rev_cat.alias("revenue_cat"))
+    if weight_mode == "orders":
+        w = _order_weights(rows, [*series_keys, category_col, time_col], "revenue_cat")
+        out = out.drop("revenue_cat").join(w, [*series_keys, category_col, time_col], "left")
+    return out
 
 
 def aggregate_price_vars_to_time(price_cat: DataFrame, time_col: str, series_keys: Iterable[str] = ()) -> DataFrame:
@@ -263,16 +288,20 @@ def period_table_from_keyed(df: DataFrame, time_col: str, series_keys: Iterable[
                             regions: Iterable[str] | None = None) -> DataFrame:
     """A12 body on rows that already carry deltas and the period key."""
     series_keys = list(series_keys)
-    if _weight_mode(df) != "items":
-        raise ValueError("build_period_table needs order_item_id; use the per-block functions otherwise")
+    mode = _weight_mode(df)
     partials = product_period_partials(df, time_col, series_keys)
-    price_vars = price_vars_from_partials(partials, time_col, series_keys)
-    price_cat = aggregate_price_vars_to_category(price_vars, time_col, series_keys)
+    price_vars = price_vars_from_partials(partials, time_col, series_keys, weight_mode=mode, rows=df)
+    price_cat = aggregate_price_vars_to_category(price_vars, time_col, series_keys, weight_mode=mode, rows=df)
     price_time = aggregate_price_vars_to_time(price_cat, time_col, series_keys)
     per_reg = region_period_partials(df, time_col, series_keys)
-    target_time = wide_weighted_from_partials(per_reg, time_col, series_keys, suffix_map=suffix_map,
-                                              regions=regions)
     keys = [*series_keys, time_col]
+    if mode == "items":
+        target_time = wide_weighted_from_partials(per_reg, time_col, series_keys, suffix_map=suffix_map,
+                                                  regions=regions)
+    else:
+        target_time = aggregate_sales_target(df, time_col, series_keys).join(
+            wide_weighted_from_partials(per_reg, time_col, series_keys, suffix_map=suffix_map, regions=regions,
+                                        with_target=False), keys, "left")
     out = target_time.join(price_time, keys, "left")
     front = [*keys, "sales_qty", *PRICE_MEANS]
     return out.select(*front, *[c for c in out.columns if c not in front])

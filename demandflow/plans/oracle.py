@@ -71,10 +71,14 @@ d AS (
   FROM merged)"""
 
 
-def price_ctes(key: str) -> str:
+def _qty(mode: str) -> str:
+    return "count(order_item_id)" if mode == "items" else "count(DISTINCT order_id)"
+
+
+def price_ctes(key: str, mode: str = "items") -> str:
     return f"""
 pp AS (
-  SELECT product_id, {key}, avg(price) price_mean, count(order_item_id) * avg(price) revenue
+  SELECT product_id, {key}, avg(price) price_mean, {_qty(mode)} * avg(price) revenue
   FROM d WHERE product_id IS NOT NULL AND {key} IS NOT NULL GROUP BY 1, 2),
 pf AS (
   SELECT *, last_value(price_mean IGNORE NULLS) OVER (PARTITION BY product_id ORDER BY {key}
@@ -101,7 +105,7 @@ pcat AS (
   WHERE dp.product_category_name IS NOT NULL
   GROUP BY 1, 2),
 wcat AS (
-  SELECT product_category_name, {key}, count(order_item_id) * avg(price) revenue_cat
+  SELECT product_category_name, {key}, {_qty(mode)} * avg(price) revenue_cat
   FROM d WHERE product_category_name IS NOT NULL GROUP BY 1, 2),
 ptime AS (
   SELECT pcat.{key}, {', '.join(wavg_sql('pcat.' + m, 'wcat.revenue_cat') + ' ' + m for m in PRICE_MEANS)}
@@ -113,7 +117,7 @@ def wavg_sql(v: str, w: str) -> str:
     return f"(sum(CASE WHEN {ok} THEN {v} * {w} END) / nullif(sum(CASE WHEN {ok} THEN {w} END), 0))"
 
 
-def region_ctes(key: str, suffix: dict[str, str]) -> str:
+def region_ctes(key: str, suffix: dict[str, str], mode: str = "items") -> str:
     wide = []
     for metric in DELTA_COLS.values():
         for region, suf in suffix.items():
@@ -126,10 +130,10 @@ def region_ctes(key: str, suffix: dict[str, str]) -> str:
 preg AS (
   SELECT customer_region, {key}, avg(delivery_diff_estimated) delivery_diff_estimated_mean,
     avg(estimated_delivery_lead_days) est_delivery_lead_days_mean, avg(approval_time_hours) approval_time_hours_mean,
-    count(*) sales
+    {'count(*)' if mode == 'items' else 'count(DISTINCT order_id)'} sales
   FROM d WHERE customer_region IS NOT NULL AND {key} IS NOT NULL GROUP BY 1, 2),
 treg AS (SELECT {key}, {', '.join(wide + weighted)} FROM preg GROUP BY 1),
-target AS (SELECT {key}, CAST(count(order_item_id) AS BIGINT) sales_qty FROM d WHERE {key} IS NOT NULL GROUP BY 1)"""
+target AS (SELECT {key}, CAST({_qty(mode)} AS BIGINT) sales_qty FROM d WHERE {key} IS NOT NULL GROUP BY 1)"""
 
 
 def region_cols(suffix: dict[str, str]) -> list[str]:
@@ -137,9 +141,10 @@ def region_cols(suffix: dict[str, str]) -> list[str]:
     return cols + list(WEIGHTED_COLS.values())
 
 
-def period_table_ctes(freq: str, suffix: dict[str, str] = FIXTURE_REGION_SUFFIX) -> tuple[str, str, list[str]]:
+def period_table_ctes(freq: str, suffix: dict[str, str] = FIXTURE_REGION_SUFFIX,
+                      mode: str = "items") -> tuple[str, str, list[str]]:
     key = "order_week" if freq == "W" else "order_date"
-    ctes = RAW_CTES + "," + keyed_cte(freq) + "," + price_ctes(key) + "," + region_ctes(key, suffix) + f""",
+    ctes = RAW_CTES + "," + keyed_cte(freq) + "," + price_ctes(key, mode) + "," + region_ctes(key, suffix, mode) + f""",
 period AS (
   SELECT t.{key}, t.sales_qty, {', '.join('p.' + m for m in PRICE_MEANS)}, {', '.join('g.' + c for c in region_cols(suffix))}
   FROM target t LEFT JOIN ptime p USING ({key}) LEFT JOIN treg g USING ({key}))"""
@@ -150,8 +155,8 @@ def select_rounded(cols: list[str], doubles: set[str], snap: bool = True) -> str
     return ", ".join(r(c, c) if (c in doubles and snap) else c for c in cols)
 
 
-def period_table_sql(freq: str) -> str:
-    ctes, key, cols = period_table_ctes(freq)
+def period_table_sql(freq: str, mode: str = "items") -> str:
+    ctes, key, cols = period_table_ctes(freq, mode=mode)
     doubles = set(cols) - {"sales_qty"}
     return f"WITH {ctes}\nSELECT {key}, {select_rounded(cols, doubles)} FROM period"
 
@@ -642,3 +647,20 @@ SELECT vc.customer_region, vc.fold_id, TIMESTAMP '2000-06-25' + vc.fold_id * INT
 FROM vc JOIN stop ON vc.customer_region = stop.customer_region LEFT JOIN base ON base.customer_region = vc.customer_region
 WHERE vc.fold_id < stop.k""",
 })
+
+
+def _null_summary_sql() -> str:
+    ctes, key, cols, doubles = model_table_ctes("W")
+    before = " + ".join(f"count(*) FILTER (WHERE {c} IS NULL)" for c in [key] + cols)
+    imp_cols = [key] + cols + ["have_nulls"]
+    after = " + ".join(f"count(*) FILTER (WHERE {c} IS NULL)" for c in imp_cols)
+    return (f"WITH m AS ({model_table_sql('W')}), i AS ({imputed_sql('W')})\n"
+            f"SELECT CAST((SELECT {before} FROM m) AS BIGINT) null_cells_before, "
+            f"CAST((SELECT {after} FROM i) AS BIGINT) null_cells_after, "
+            f"{r(rr('(SELECT sum(have_nulls) FROM i)', '(SELECT count(*) FROM i)', 100, 4), 'have_nulls_pct')}")
+
+
+ORACLE.update({
+    "a12_period_table_weekly_order_weights": period_table_sql("W", mode="orders"),
+    "i5_imputation_summary": _null_summary_sql(),
+})

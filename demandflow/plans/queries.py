@@ -597,3 +597,22 @@ QUERIES.update({
     "b9_region_lag_model_metrics": q_region_lag_model_metrics,
     "b1_region_folds": q_region_folds,
 })
+
+
+# --- A2/A6/A10 fallbacks and I5 diagnostics ------------------------------------------------------
+def q_period_table_order_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2 (ii), A6, A10 fallbacks: without an item id, revenue weights, regional sales
+    weights and the target count distinct orders."""
+    m = merged(spark, sf_dir).drop("order_item_id")
+    return normalize(period.build_period_table(m, "W", suffix_map=FIXTURE_REGION_SUFFIX))
+
+
+def q_imputation_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Null cells before and after imputation and the share of rows with have_nulls."""
+    return normalize(impute.imputation_summary(model_table(spark, sf_dir, "W")))
+
+
+QUERIES.update({
+    "a12_period_table_weekly_order_weights": q_period_table_order_weights,
+    "i5_imputation_summary": q_imputation_summary,
+})
