@@ -15,6 +15,9 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # local mode runs everything in the driver JVM; Spark's 1 GB default is too small for
+    # concurrent model fits (takes effect only when this builder starts the JVM)
+    "spark.driver.memory": "8g",
 }
 
 
