@@ -3,12 +3,13 @@ driver tables.  Names start with the SURVEY inventory ID they exercise."""
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandflow.operators import clean, features, impute, period
+from demandflow.operators import analysis, backtest, clean, features, impute, metrics, models, period, profile
 from demandflow.plans.common import merged, normalize
 from demandflow.sources import fixtures
 from demandflow.sources.fixtures import FIXTURE_REGION_SUFFIX
@@ -145,9 +146,7 @@ QUERIES: dict[str, Query] = {
 
 
 # --- step 7: folds, CV, metrics, sequences ---------------------------------------------------
-import datetime as _dt  # noqa: E402
 
-from demandflow.operators import backtest, metrics  # noqa: E402
 
 FIRST_TRAIN_END = _dt.datetime(2000, 6, 25)
 STEP = _dt.timedelta(days=7)
@@ -221,7 +220,6 @@ QUERIES.update({
 
 
 # --- step 8: exploration -----------------------------------------------------------------------
-from demandflow.operators import profile  # noqa: E402
 
 
 def _raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -395,7 +393,6 @@ QUERIES.update({
 
 
 # --- step 9: feature analysis -----------------------------------------------------------------
-from demandflow.operators import analysis  # noqa: E402
 
 
 def imputed_table(spark: SparkSession, sf_dir: str, freq: str = "W") -> DataFrame:
@@ -447,7 +444,6 @@ QUERIES.update({
 
 
 # --- step 10: models and backtests -----------------------------------------------------------
-from demandflow.operators import models  # noqa: E402
 
 TEST_START = _dt.date(2000, 6, 26)
 TEST_END = _dt.date(2000, 11, 13)
