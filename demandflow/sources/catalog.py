@@ -6,9 +6,10 @@ import glob
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Declared schemas of the raw CSV files (no inference pass over the data).
+# Declared types of the raw CSV columns, applied by column name (no inference pass).
 _TS = T.TimestampNTZType()
 REFERENCE_SCHEMAS: dict[str, T.StructType] = {
     "orders": T.StructType([
@@ -62,20 +63,24 @@ def load_dataset(spark: SparkSession, base_dir: str, fmt: str = "csv",
                  schemas: dict[str, T.StructType] | None = None) -> dict[str, DataFrame]:
     """Every ``*.csv`` (or ``*.parquet``) file of ``base_dir`` keyed by base name.
 
-    CSV files get a declared schema when their name contains a known role, so no inference
-    scan runs; unknown files fall back to header-only string columns.  Reads are lazy.
+    CSV columns are read by header name as text (no inference pass over the data), then
+    the columns declared for the file's role are cast by name; a declared schema is never
+    applied by position, so column order in the file does not matter.  Reads are lazy.
     """
     pattern = os.path.join(base_dir, f"*.{fmt}")
     catalog: dict[str, DataFrame] = {}
     for path in sorted(glob.glob(pattern)):
         name = os.path.basename(path)
-        if fmt == "csv":
-            reader = spark.read.option("header", True)
-            schema = _schema_for(name, schemas)
-            reader = reader.schema(schema) if schema is not None else reader
-            catalog[name] = reader.csv(path)
-        else:
+        if fmt != "csv":
             catalog[name] = spark.read.parquet(path)
+            continue
+        df = spark.read.option("header", True).option("inferSchema", False).csv(path)
+        schema = _schema_for(name, schemas)
+        if schema is not None:
+            types = {f.name: f.dataType for f in schema.fields}
+            df = df.select(*[F.col(c).cast(types[c]).alias(c) if c in types and not isinstance(
+                types[c], T.StringType) else F.col(c) for c in df.columns])
+        catalog[name] = df
     return catalog
 
 
