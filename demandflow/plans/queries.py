@@ -400,7 +400,10 @@ def imputed_table(spark: SparkSession, sf_dir: str, freq: str = "W") -> DataFram
 
 
 def _analysis_input(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
-    df = imputed_table(spark, sf_dir)
+    """The imputed table, checkpointed: feature selection and the statistics then read it
+    instead of each recomputing the pipeline."""
+    from demandflow.session import materialize
+    df = materialize(imputed_table(spark, sf_dir))
     return df, analysis.select_continuous_features(df, "sales_qty", 0.6, ["order_week"])
 
 
@@ -424,13 +427,15 @@ def q_mutual_information(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_feature_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Combined rank with strength labels."""
-    res = analysis.analyze_continuous_features(imputed_table(spark, sf_dir), "sales_qty", "order_week")
+    df, _ = _analysis_input(spark, sf_dir)
+    res = analysis.analyze_continuous_features(df, "sales_qty", "order_week")
     return normalize(res["rank"])
 
 
 def q_relevant_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E6 filter: features not low on both Pearson and MI."""
-    res = analysis.analyze_continuous_features(imputed_table(spark, sf_dir), "sales_qty", "order_week")
+    df, _ = _analysis_input(spark, sf_dir)
+    res = analysis.analyze_continuous_features(df, "sales_qty", "order_week")
     return normalize(analysis.relevant_features(res["rank"]))
 
 
