@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _micros(step: dt.timedelta | int) -> int:
@@ -16,9 +17,24 @@ def _micros(step: dt.timedelta | int) -> int:
 
 
 def _ts(value) -> Column:
+    """A TIMESTAMP_NTZ literal that does not pass through the session time zone (a Python
+    datetime literal would be read as a zoned instant first)."""
+    if isinstance(value, dt.datetime):
+        return F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+    if isinstance(value, dt.date):
+        return F.lit(value.isoformat()).cast("timestamp_ntz")
     return F.lit(value).cast("timestamp_ntz")
 
 
+def lit_like(value, dtype) -> Column:
+    """Literal of ``value`` in the type of a date/time column, without time-zone shifts."""
+    if isinstance(dtype, T.TimestampNTZType):
+        return _ts(value)
+    if isinstance(dtype, T.DateType) and isinstance(value, dt.datetime):
+        return F.lit(value.date())
+    return F.lit(value).cast(dtype)
+
+
 def valid_fold_id(date_col: str, first_train_end, step: dt.timedelta | int) -> Column:
     """Fold whose validation window (e_k, e_k + step] holds the row, e_k = first + k*step;
     -1 for rows on or before the first cut-off."""
@@ -60,8 +76,8 @@ def fold_frames(df: DataFrame, folds: DataFrame, date_col: str) -> list[tuple[in
     out = []
     ts = F.col(date_col).cast("timestamp_ntz")
     for row in folds.orderBy("fold_id").select("fold_id", "train_end", "valid_end").collect():
-        train = df.where(ts <= F.lit(row["train_end"]))
-        valid = df.where((ts > F.lit(row["train_end"])) & (ts <= F.lit(row["valid_end"])))
+        train = df.where(ts <= _ts(row["train_end"]))
+        valid = df.where((ts > _ts(row["train_end"])) & (ts <= _ts(row["valid_end"])))
         out.append((row["fold_id"], train, valid))
     return out
 
@@ -94,10 +110,11 @@ def time_series_cv(df: DataFrame, date_col: str, n_splits: int = 3, series_keys:
 def cv_frames(df: DataFrame, date_col: str, n_splits: int = 3) -> list[tuple[DataFrame, DataFrame]]:
     """B2 as (train, test) pairs cut by date (rows of one series have distinct dates)."""
     pairs = []
+    dtype = df.schema[date_col].dataType
     for row in time_series_cv(df, date_col, n_splits).orderBy("split_id").collect():
         d = F.col(date_col)
-        pairs.append((df.where(d <= F.lit(row["train_last"])),
-                      df.where((d >= F.lit(row["test_first"])) & (d <= F.lit(row["test_last"])))))
+        pairs.append((df.where(d <= lit_like(row["train_last"], dtype)),
+                      df.where((d >= lit_like(row["test_first"], dtype)) & (d <= lit_like(row["test_last"], dtype)))))
     return pairs
 
 
@@ -117,16 +134,16 @@ def backtest(df: DataFrame, fit_predict: FitPredict, date_col: str, target_col:
 
     folds = split_rolling(df, date_col, first_train_end, step)
     if test_start is not None:   # folds whose window ends before the test period never contribute
-        folds = folds.where(F.col("valid_end") >= F.lit(test_start).cast("timestamp_ntz"))
+        folds = folds.where(F.col("valid_end") >= _ts(test_start))
     if test_end is not None:
-        folds = folds.where(F.col("train_end") < F.lit(test_end).cast("timestamp_ntz"))
+        folds = folds.where(F.col("train_end") < _ts(test_end))
     dtype = df.schema[date_col].dataType
     tasks = []
     for fold_id, train, valid in fold_frames(df, folds, date_col):
         if test_start is not None:
-            valid = valid.where(F.col(date_col) >= F.lit(test_start).cast(dtype))
+            valid = valid.where(F.col(date_col) >= lit_like(test_start, dtype))
         if test_end is not None:
-            valid = valid.where(F.col(date_col) <= F.lit(test_end).cast(dtype))
+            valid = valid.where(F.col(date_col) <= lit_like(test_end, dtype))
         tasks.append((fold_id, train, valid))
 
     def run(task):

@@ -22,7 +22,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from demandflow.operators.backtest import cv_frames
+from demandflow.operators.backtest import cv_frames, lit_like
 
 # Search space of the gradient-boosted trees.  Sizes follow the original grid where Spark
 # has the parameter (depth, learning rate, rounds, row and column sampling, minimum leaf
@@ -141,7 +141,7 @@ def random_search_gbt(df: DataFrame, features: list[str], date_col: str, target_
                       parallelism: int = 4):
     """Time-ordered CV (B2) over the rows up to ``first_train_end``; mean RMSE of each
     sampled grid point; returns (best params, score table)."""
-    static = df.where(F.col(date_col) <= F.lit(first_train_end).cast(df.schema[date_col].dataType))
+    static = df.where(F.col(date_col) <= lit_like(first_train_end, df.schema[date_col].dataType))
     folds = cv_frames(static, date_col, n_splits)
     evaluator = RegressionEvaluator(labelCol=target_col, predictionCol="prediction", metricName="rmse")
     from concurrent.futures import ThreadPoolExecutor

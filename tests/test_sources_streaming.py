@@ -10,15 +10,15 @@ from demandflow.sources import catalog
 
 
 def test_s1_s2_load_and_resolve(spark, tmp_path):
-    (tmp_path / "olist_orders_dataset.csv").write_text(
+    (tmp_path / "shop_orders.csv").write_text(
         "order_id,customer_id,order_status,order_purchase_timestamp,order_approved_at,"
         "order_delivered_carrier_date,order_delivered_customer_date,order_estimated_delivery_date\n"
         "o1,c1,delivered,2018-01-01 10:00:00,not a date,,,2018-01-10 00:00:00\n")
-    (tmp_path / "olist_order_items_dataset.csv").write_text(
+    (tmp_path / "shop_order_items.csv").write_text(
         "order_id,order_item_id,product_id,seller_id,shipping_limit_date,price,freight_value\n"
         "o1,1,p1,s1,2018-01-02 00:00:00,10.5,1.0\n")
     cat = catalog.load_dataset(spark, str(tmp_path))
-    assert sorted(cat) == ["olist_order_items_dataset.csv", "olist_orders_dataset.csv"]
+    assert sorted(cat) == ["shop_order_items.csv", "shop_orders.csv"]
     items = catalog.resolve_table(cat, "order_items")
     assert items.schema["price"].dataType.simpleString() == "double"
     orders = catalog.resolve_table(cat, "ORDERS")

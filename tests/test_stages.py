@@ -13,8 +13,8 @@ def test_stages_end_to_end(spark, tmp_path):
     raw = tmp_path / "raw"
     raw.mkdir()
     tables = fixtures.raw_tables(spark, "/root/testdata/sf0.001")
-    names = {"orders": "olist_orders_dataset", "order_items": "olist_order_items_dataset",
-             "products": "olist_products_dataset", "customers": "olist_customers_dataset"}
+    names = {"orders": "shop_orders", "order_items": "shop_order_items",
+             "products": "shop_products", "customers": "shop_customers"}
     for role, df in tables.items():   # small stand-in tables written as single CSV files
         df.toPandas().to_csv(raw / f"{names[role]}.csv", index=False)
     out = tmp_path / "interim"
