@@ -181,7 +181,7 @@ def q_compare_lag_models(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_metrics_seasonal4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B9 with a seasonal naive scale (s = 4) on the lag-1 model, per fold-free series."""
+    """B9 with a seasonal naive scale (s = 4) for the lag-1 model over the whole weekly series."""
     p = lag_model_predictions(spark, sf_dir)["lag1"]
     return normalize(metrics.calculate_metrics(p, order_col="date", seasonality=4))
 
