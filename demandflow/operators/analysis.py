@@ -181,7 +181,7 @@ def ksg_mutual_information(x: np.ndarray, y: np.ndarray, k: int = 3, standardize
 def compute_mutual_information(df: DataFrame, target_col: str, features: list[str], order_col: str,
                                series_keys: Iterable[str] = (), n_neighbors: int = 3, standardize: bool = True,
                                random_state: int | None = 42, min_rows: int = 5,
-                               max_group_rows: int = 200_000) -> DataFrame:
+                               max_group_rows: int = 50_000) -> DataFrame:
     """Mutual information per (series, feature); fewer than ``min_rows`` pairs gives
     null.  Rows are ordered by ``order_col`` inside the group, so the seeded jitter is
     reproducible.  Groups larger than ``max_group_rows`` are refused (the estimator is
