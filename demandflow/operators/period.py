@@ -86,7 +86,7 @@ def product_period_partials(df: DataFrame, time_col: str, series_keys: Iterable[
     """Additive partials per (series, product, category, period): item count, price sum and
     non-null price count.  This is the only shuffle of item-grain rows in the price branch
     (the distinct-order weight adds two more group-bys, see ``_order_weights``)."""
-    keys = [*series_keys, product_col, category_col, time_col]
+    keys = list(dict.fromkeys([*series_keys, product_col, category_col, time_col]))
     mode = _weight_mode(df)
     qty = F.count("order_item_id") if mode == "items" else F.lit(None).cast("bigint")
     return (df.where(F.col(product_col).isNotNull() & F.col(time_col).isNotNull())
@@ -223,7 +223,7 @@ def region_period_partials(df: DataFrame, time_col: str, series_keys: Iterable[s
         sales = F.count(F.lit(1))
         target = F.lit(None).cast("bigint")
     return (df.where(F.col(time_col).isNotNull())
-            .groupBy(*series_keys, region_col, time_col)
+            .groupBy(*dict.fromkeys([*series_keys, region_col, time_col]))
             .agg(*[F.avg(src).alias(dst) for src, dst in DELTA_COLS.items()],
                  sales.alias("sales"), target.alias("__target")))
 

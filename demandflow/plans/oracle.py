@@ -75,41 +75,46 @@ def _qty(mode: str) -> str:
     return "count(order_item_id)" if mode == "items" else "count(DISTINCT order_id)"
 
 
-def price_ctes(key: str, mode: str = "items") -> str:
+def price_ctes(key: str, mode: str = "items", series: str | None = None) -> str:
+    sk = f"{series}, " if series else ""            # series key prefix in select / group by
+    sp = f"{series}, " if series else ""            # ... and in partition by
+    n = 1 if series else 0
+    on = f"pv.{series} = dp.{series} AND " if series else ""
+    g2 = ", ".join(str(i) for i in range(1, 3 + n))
     return f"""
 pp AS (
-  SELECT product_id, {key}, avg(price) price_mean, {_qty(mode)} * avg(price) revenue
-  FROM d WHERE product_id IS NOT NULL AND {key} IS NOT NULL GROUP BY 1, 2),
+  SELECT {sk}product_id, {key}, avg(price) price_mean, {_qty(mode)} * avg(price) revenue
+  FROM d WHERE product_id IS NOT NULL AND {key} IS NOT NULL GROUP BY {g2}),
 pf AS (
-  SELECT *, last_value(price_mean IGNORE NULLS) OVER (PARTITION BY product_id ORDER BY {key}
+  SELECT *, last_value(price_mean IGNORE NULLS) OVER (PARTITION BY {sp}product_id ORDER BY {key}
       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) ff,
     CASE WHEN count(price_mean) OVER w4 = 4 THEN avg(price_mean) OVER w4 END price_roll4_mean
-  FROM pp WINDOW w4 AS (PARTITION BY product_id ORDER BY {key} ROWS BETWEEN 3 PRECEDING AND CURRENT ROW)),
+  FROM pp WINDOW w4 AS (PARTITION BY {sp}product_id ORDER BY {key} ROWS BETWEEN 3 PRECEDING AND CURRENT ROW)),
 pg AS (
   SELECT *, ff / nullif(lag(ff, 1) OVER w, 0) - 1 price_var_w1_point,
     ff / nullif(lag(ff, 4) OVER w, 0) - 1 price_var_w4_point,
-    last_value(price_roll4_mean IGNORE NULLS) OVER (PARTITION BY product_id ORDER BY {key}
+    last_value(price_roll4_mean IGNORE NULLS) OVER (PARTITION BY {sp}product_id ORDER BY {key}
       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) rff
-  FROM pf WINDOW w AS (PARTITION BY product_id ORDER BY {key})),
+  FROM pf WINDOW w AS (PARTITION BY {sp}product_id ORDER BY {key})),
 pv AS (
   SELECT *, rff / nullif(lag(rff, 4) OVER w, 0) - 1 price_var_m4_vs_prev4,
-    avg(price_var_w1_point) OVER (PARTITION BY product_id ORDER BY {key} ROWS BETWEEN 1 PRECEDING AND CURRENT ROW) price_var_w1_smooth
-  FROM pg WINDOW w AS (PARTITION BY product_id ORDER BY {key})),
+    avg(price_var_w1_point) OVER (PARTITION BY {sp}product_id ORDER BY {key} ROWS BETWEEN 1 PRECEDING AND CURRENT ROW) price_var_w1_smooth
+  FROM pg WINDOW w AS (PARTITION BY {sp}product_id ORDER BY {key})),
 pcat AS (
-  SELECT dp.product_category_name, pv.{key}, {wavg_sql('pv.price_var_w1_point', 'pv.revenue')} price_var_w1_point_mean,
+  SELECT {('dp.' + series + ', ') if series else ''}dp.product_category_name, pv.{key}, {wavg_sql('pv.price_var_w1_point', 'pv.revenue')} price_var_w1_point_mean,
     {wavg_sql('pv.price_var_w1_smooth', 'pv.revenue')} price_var_w1_smooth_mean,
     {wavg_sql('pv.price_var_w4_point', 'pv.revenue')} price_var_w4_point_mean,
     {wavg_sql('pv.price_var_m4_vs_prev4', 'pv.revenue')} price_var_m4_vs_prev4_mean
-  FROM pv JOIN (SELECT DISTINCT product_id, product_category_name, {key} FROM d) dp
-    ON pv.product_id = dp.product_id AND pv.{key} = dp.{key}
+  FROM pv JOIN (SELECT DISTINCT {sk}product_id, product_category_name, {key} FROM d) dp
+    ON {on}pv.product_id = dp.product_id AND pv.{key} = dp.{key}
   WHERE dp.product_category_name IS NOT NULL
-  GROUP BY 1, 2),
+  GROUP BY {g2}),
 wcat AS (
-  SELECT product_category_name, {key}, {_qty(mode)} * avg(price) revenue_cat
-  FROM d WHERE product_category_name IS NOT NULL GROUP BY 1, 2),
+  SELECT {sk}product_category_name, {key}, {_qty(mode)} * avg(price) revenue_cat
+  FROM d WHERE product_category_name IS NOT NULL GROUP BY {g2}),
 ptime AS (
-  SELECT pcat.{key}, {', '.join(wavg_sql('pcat.' + m, 'wcat.revenue_cat') + ' ' + m for m in PRICE_MEANS)}
-  FROM pcat LEFT JOIN wcat USING (product_category_name, {key}) GROUP BY 1)"""
+  SELECT {('pcat.' + series + ', ') if series else ''}pcat.{key}, {', '.join(wavg_sql('pcat.' + m, 'wcat.revenue_cat') + ' ' + m for m in PRICE_MEANS)}
+  FROM pcat LEFT JOIN wcat USING ({sk}product_category_name, {key}) GROUP BY {", ".join(str(i) for i in range(1, 2 + n))})"""
 
 
 def wavg_sql(v: str, w: str) -> str:
@@ -117,7 +122,9 @@ def wavg_sql(v: str, w: str) -> str:
     return f"(sum(CASE WHEN {ok} THEN {v} * {w} END) / nullif(sum(CASE WHEN {ok} THEN {w} END), 0))"
 
 
-def region_ctes(key: str, suffix: dict[str, str], mode: str = "items") -> str:
+def region_ctes(key: str, suffix: dict[str, str], mode: str = "items", series: str | None = None) -> str:
+    sk = f"{series}, " if series else ""
+    n = 1 if series else 0
     wide = []
     for metric in DELTA_COLS.values():
         for region, suf in suffix.items():
@@ -128,12 +135,12 @@ def region_ctes(key: str, suffix: dict[str, str], mode: str = "items") -> str:
                         f"THEN sum({metric} * sales) / sum(sales) END {out}")
     return f"""
 preg AS (
-  SELECT customer_region, {key}, avg(delivery_diff_estimated) delivery_diff_estimated_mean,
+  SELECT {sk}customer_region, {key}, avg(delivery_diff_estimated) delivery_diff_estimated_mean,
     avg(estimated_delivery_lead_days) est_delivery_lead_days_mean, avg(approval_time_hours) approval_time_hours_mean,
     {'count(*)' if mode == 'items' else 'count(DISTINCT order_id)'} sales
-  FROM d WHERE customer_region IS NOT NULL AND {key} IS NOT NULL GROUP BY 1, 2),
-treg AS (SELECT {key}, {', '.join(wide + weighted)} FROM preg GROUP BY 1),
-target AS (SELECT {key}, CAST({_qty(mode)} AS BIGINT) sales_qty FROM d WHERE {key} IS NOT NULL GROUP BY 1)"""
+  FROM d WHERE customer_region IS NOT NULL AND {key} IS NOT NULL GROUP BY {", ".join(str(i) for i in range(1, 3 + n))}),
+treg AS (SELECT {sk}{key}, {', '.join(wide + weighted)} FROM preg GROUP BY {", ".join(str(i) for i in range(1, 2 + n))}),
+target AS (SELECT {sk}{key}, CAST({_qty(mode)} AS BIGINT) sales_qty FROM d WHERE {key} IS NOT NULL GROUP BY {", ".join(str(i) for i in range(1, 2 + n))})"""
 
 
 def region_cols(suffix: dict[str, str]) -> list[str]:
@@ -142,12 +149,14 @@ def region_cols(suffix: dict[str, str]) -> list[str]:
 
 
 def period_table_ctes(freq: str, suffix: dict[str, str] = FIXTURE_REGION_SUFFIX,
-                      mode: str = "items") -> tuple[str, str, list[str]]:
+                      mode: str = "items", series: str | None = None) -> tuple[str, str, list[str]]:
     key = "order_week" if freq == "W" else "order_date"
-    ctes = RAW_CTES + "," + keyed_cte(freq) + "," + price_ctes(key, mode) + "," + region_ctes(key, suffix, mode) + f""",
+    sk = f"{series}, " if series else ""
+    ctes = (RAW_CTES + "," + keyed_cte(freq) + "," + price_ctes(key, mode, series) + ","
+            + region_ctes(key, suffix, mode, series) + f""",
 period AS (
-  SELECT t.{key}, t.sales_qty, {', '.join('p.' + m for m in PRICE_MEANS)}, {', '.join('g.' + c for c in region_cols(suffix))}
-  FROM target t LEFT JOIN ptime p USING ({key}) LEFT JOIN treg g USING ({key}))"""
+  SELECT {('t.' + series + ', ') if series else ''}t.{key}, t.sales_qty, {', '.join('p.' + m for m in PRICE_MEANS)}, {', '.join('g.' + c for c in region_cols(suffix))}
+  FROM target t LEFT JOIN ptime p USING ({sk}{key}) LEFT JOIN treg g USING ({sk}{key}))""")
     return ctes, key, ["sales_qty", *PRICE_MEANS, *region_cols(suffix)]
 
 
@@ -155,10 +164,11 @@ def select_rounded(cols: list[str], doubles: set[str], snap: bool = True) -> str
     return ", ".join(r(c, c) if (c in doubles and snap) else c for c in cols)
 
 
-def period_table_sql(freq: str, mode: str = "items") -> str:
-    ctes, key, cols = period_table_ctes(freq, mode=mode)
+def period_table_sql(freq: str, mode: str = "items", series: str | None = None) -> str:
+    ctes, key, cols = period_table_ctes(freq, mode=mode, series=series)
     doubles = set(cols) - {"sales_qty"}
-    return f"WITH {ctes}\nSELECT {key}, {select_rounded(cols, doubles)} FROM period"
+    sk = f"{series}, " if series else ""
+    return f"WITH {ctes}\nSELECT {sk}{key}, {select_rounded(cols, doubles)} FROM period"
 
 
 HOLIDAY_CTE = """
@@ -664,3 +674,6 @@ ORACLE.update({
     "a12_period_table_weekly_order_weights": period_table_sql("W", mode="orders"),
     "i5_imputation_summary": _null_summary_sql(),
 })
+
+
+ORACLE["a12_period_table_weekly_by_state"] = period_table_sql("W", series="customer_state")

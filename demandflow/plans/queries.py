@@ -617,3 +617,13 @@ QUERIES.update({
     "a12_period_table_weekly_order_weights": q_period_table_order_weights,
     "i5_imputation_summary": q_imputation_summary,
 })
+
+
+def q_period_table_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A12 per series: the weekly period table of every customer state (series_keys), with
+    price windows partitioned by (state, product) and every aggregate keyed by state."""
+    return normalize(period.build_period_table(merged(spark, sf_dir), "W", series_keys=["customer_state"],
+                                               suffix_map=FIXTURE_REGION_SUFFIX))
+
+
+QUERIES["a12_period_table_weekly_by_state"] = q_period_table_by_state
