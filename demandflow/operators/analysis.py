@@ -133,7 +133,7 @@ def _scale_no_mean(a: np.ndarray) -> np.ndarray:
 
 
 def ksg_mutual_information(x: np.ndarray, y: np.ndarray, k: int = 3, standardize: bool = True,
-                           seed: int | None = 42, chunk: int | None = None) -> float:
+                           seed: int | None = 42, chunk: int | None = None, grid: float | None = None) -> float:
     """Kraskov-Stoegbauer-Grassberger estimator 1 (max-norm), the estimator behind the
     common ``mutual_info_regression``: z-score, rescale, add the seeded 1e-10 jitter that
     breaks ties, then I = psi(N) + psi(k) - <psi(n_x + 1) + psi(n_y + 1)>, floored at 0.
@@ -157,6 +157,11 @@ def ksg_mutual_information(x: np.ndarray, y: np.ndarray, k: int = 3, standardize
         y = y + 1e-10 * max(1.0, float(np.mean(np.abs(y)))) * rng.standard_normal(n)
     else:
         y = _scale_no_mean(y)
+    if grid:
+        # optional snap of the scaled coordinates: distances become exact multiples of the
+        # grid step, so equal distances are equal in every engine (a well-posed tie rule)
+        x = np.round(x / grid) * grid
+        y = np.round(y / grid) * grid
     nx = np.empty(n, dtype=np.int64)
     ny = np.empty(n, dtype=np.int64)
     chunk = chunk or max(1, (1 << 22) // max(n, 1))     # about 4M distances per block
@@ -181,10 +186,11 @@ def ksg_mutual_information(x: np.ndarray, y: np.ndarray, k: int = 3, standardize
 def compute_mutual_information(df: DataFrame, target_col: str, features: list[str], order_col: str,
                                series_keys: Iterable[str] = (), n_neighbors: int = 3, standardize: bool = True,
                                random_state: int | None = 42, min_rows: int = 5,
-                               max_group_rows: int = 50_000) -> DataFrame:
+                               max_group_rows: int = 50_000, grid: float | None = None) -> DataFrame:
     """Mutual information per (series, feature); fewer than ``min_rows`` pairs gives
     null.  Rows are ordered by ``order_col`` inside the group, so the seeded jitter is
-    reproducible.  Groups larger than ``max_group_rows`` are refused (the estimator is
+    reproducible; ``random_state=None`` with a ``grid`` gives the jitter-free estimator on
+    grid-snapped z-scores, whose ties are exact.  Groups larger than ``max_group_rows`` are refused (the estimator is
     O(N^2) per group) instead of being truncated."""
     keys = list(series_keys)
     pairs = feature_pairs(df, target_col, features, [*keys, order_col])
@@ -199,7 +205,7 @@ def compute_mutual_information(df: DataFrame, target_col: str, features: list[st
         pdf = pdf.sort_values(order_col, kind="mergesort")
         n = len(pdf)
         mi = None if n < min_rows else ksg_mutual_information(pdf["x"].to_numpy(), pdf["y"].to_numpy(), n_neighbors,
-                                                              standardize, random_state)
+                                                              standardize, random_state, grid=grid)
         row = {k: pdf[k].iloc[0] for k in keys}
         row.update(feature=pdf["feature"].iloc[0], mi=mi, n_used=n)
         return pd.DataFrame([row], columns=[f.name for f in schema.fields])

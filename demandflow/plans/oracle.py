@@ -677,3 +677,40 @@ ORACLE.update({
 
 
 ORACLE["a12_period_table_weekly_by_state"] = period_table_sql("W", series="customer_state")
+
+
+def _e3_exact_sql() -> str:
+    """Brute-force KSG (k = 3) per feature: all pairs of one feature's rows (fine for an
+    oracle; the Spark query never forms pairs)."""
+    head, feats = _selected_features_sql()
+    sel = "\nUNION ALL ".join(
+        f"SELECT '{c}' feature, order_week i, CAST({c} AS DOUBLE) x, CAST(sales_qty AS DOUBLE) y FROM imp" for c in feats)
+    prof = _e1_sql().split("\nSELECT *, ", 1)[1]
+    return f"""{head},
+prof AS (SELECT *, (coalesce(nonnull_frac, 0) >= 0.6 AND NOT is_binary) selected FROM ({prof.split(' FROM (', 1)[1][:-1]})),
+longv AS ({sel}),
+p AS (SELECT * FROM longv WHERE x IS NOT NULL AND y IS NOT NULL AND feature IN (SELECT feature FROM prof WHERE selected)),
+st AS (SELECT feature, avg(x) mx, stddev_pop(x) sx, avg(y) my, stddev_pop(y) sy, count(*) n FROM p GROUP BY 1),
+z1 AS (SELECT p.feature, p.i, CASE WHEN sx > 0 THEN (x - mx) / sx ELSE x - mx END x1,
+         CASE WHEN sy > 0 THEN (y - my) / sy ELSE y - my END y1 FROM p JOIN st USING (feature)),
+st2 AS (SELECT feature, stddev_pop(x1) sx1, stddev_pop(y1) sy1 FROM z1 GROUP BY 1),
+z AS (SELECT feature, i, round((CASE WHEN sx1 > 0 THEN x1 / sx1 ELSE x1 END) * 1048576.0) / 1048576.0 x,
+        round((CASE WHEN sy1 > 0 THEN y1 / sy1 ELSE y1 END) * 1048576.0) / 1048576.0 y
+      FROM z1 JOIN st2 USING (feature)),
+pr AS (SELECT a.feature, a.i, abs(a.x - b.x) dx, abs(a.y - b.y) dy FROM z a JOIN z b ON a.feature = b.feature AND a.i <> b.i),
+kth AS (SELECT feature, i, d eps FROM (SELECT feature, i, greatest(dx, dy) d,
+          row_number() OVER (PARTITION BY feature, i ORDER BY greatest(dx, dy)) rn FROM pr) WHERE rn = 3),
+cnt AS (SELECT pr.feature, pr.i, count(*) FILTER (WHERE pr.dx <= nextafter(k.eps, 0.0)) nx,
+          count(*) FILTER (WHERE pr.dy <= nextafter(k.eps, 0.0)) ny FROM pr JOIN kth k USING (feature, i) GROUP BY 1, 2),
+h AS (SELECT g m, sum(1.0 / g) OVER (ORDER BY g ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) hm
+      FROM generate_series(1, 20000) t(g)),
+ps AS (SELECT cnt.feature, avg(coalesce(hx.hm, 0.0)) mhx, avg(coalesce(hy.hm, 0.0)) mhy FROM cnt
+       LEFT JOIN h hx ON hx.m = cnt.nx LEFT JOIN h hy ON hy.m = cnt.ny GROUP BY 1),
+mi AS (SELECT st.feature, st.n, CASE WHEN st.n >= 5 THEN greatest(0.0,
+          (coalesce(hn.hm, 0.0) - 0.5772156649015329) + (1.5 - 0.5772156649015329)
+          - (ps.mhx - 0.5772156649015329) - (ps.mhy - 0.5772156649015329)) END v
+       FROM st LEFT JOIN ps USING (feature) LEFT JOIN h hn ON hn.m = st.n - 1)
+SELECT feature, {r('v', 'mi')}, CAST(n AS BIGINT) n_used FROM mi"""
+
+
+ORACLE["e3_mutual_information_exact"] = _e3_exact_sql()

@@ -627,3 +627,14 @@ def q_period_table_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["a12_period_table_weekly_by_state"] = q_period_table_by_state
+
+
+def q_mutual_information_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E3 without the tie-breaking jitter: the same k-NN estimator (k=3) on z-scores snapped
+    to the 2**-20 grid, so ties are exact and a brute-force SQL twin exists."""
+    df, feats = _analysis_input(spark, sf_dir)
+    return normalize(analysis.compute_mutual_information(df, "sales_qty", feats, "order_week", random_state=None,
+                                                         grid=2.0 ** -20))
+
+
+QUERIES["e3_mutual_information_exact"] = q_mutual_information_exact
