@@ -576,7 +576,12 @@ def _selected_features_sql() -> tuple[str, list[str]]:
     return f"WITH imp AS ({imputed_sql('W', snap=False)})", [c for c in cols if c != "sales_qty"]
 
 
-def _e2_sql() -> str:
+def _plain(expr: str, alias: str) -> str:
+    return f"{expr} AS {alias}"
+
+
+def _e2_sql(snap: bool = True) -> str:
+    rs = r if snap else _plain
     head, feats = _selected_features_sql()
     sel = "\nUNION ALL ".join(
         f"SELECT '{c}' feature, CAST({c} AS DOUBLE) x, CAST(sales_qty AS DOUBLE) y FROM imp" for c in feats)
@@ -595,7 +600,7 @@ p AS (SELECT feature, n, r, CASE WHEN r IS NULL OR nu < 1 THEN NULL
         WHEN nu % 2 = 0 THEN greatest(0.0, 1 - a * {series_even})
         WHEN nu = 1 THEN greatest(0.0, 1 - 2 / pi() * asin(a))
         ELSE greatest(0.0, 1 - 2 / pi() * (asin(a) + a * sqrt(q) * {series_odd})) END pv FROM h)
-SELECT feature, {r('r', 'pearson_r')}, CAST(n AS BIGINT) n_used, {r('pv', 'pearson_pvalue')} FROM p"""
+SELECT feature, {rs('r', 'pearson_r')}, CAST(n AS BIGINT) n_used, {rs('pv', 'pearson_pvalue')} FROM p"""
 
 
 ORACLE.update({
@@ -679,7 +684,7 @@ ORACLE.update({
 ORACLE["a12_period_table_weekly_by_state"] = period_table_sql("W", series="customer_state")
 
 
-def _e3_exact_sql() -> str:
+def _e3_exact_sql(snap: bool = True) -> str:
     """Brute-force KSG (k = 3) per feature: all pairs of one feature's rows (fine for an
     oracle; the Spark query never forms pairs)."""
     head, feats = _selected_features_sql()
@@ -710,7 +715,31 @@ mi AS (SELECT st.feature, st.n, CASE WHEN st.n >= 5 THEN greatest(0.0,
           (coalesce(hn.hm, 0.0) - 0.5772156649015329) + (1.5 - 0.5772156649015329)
           - (ps.mhx - 0.5772156649015329) - (ps.mhy - 0.5772156649015329)) END v
        FROM st LEFT JOIN ps USING (feature) LEFT JOIN h hn ON hn.m = st.n - 1)
-SELECT feature, {r('v', 'mi')}, CAST(n AS BIGINT) n_used FROM mi"""
+SELECT feature, {(r if snap else _plain)('v', 'mi')}, CAST(n AS BIGINT) n_used FROM mi"""
 
 
 ORACLE["e3_mutual_information_exact"] = _e3_exact_sql()
+
+
+def _rank_sql(relevant_only: bool = False) -> str:
+    label_r = ("CASE WHEN pearson_r IS NULL THEN NULL WHEN abs(pearson_r) < 0.3 THEN 'Baixo' "
+               "WHEN abs(pearson_r) < 0.5 THEN 'Moderado' ELSE 'Forte' END")
+    label_m = "CASE WHEN mi IS NULL THEN NULL WHEN mi < 0.3 THEN 'Baixo' WHEN mi < 0.6 THEN 'Moderado' ELSE 'Forte' END"
+    where = ("WHERE NOT (pearson_label IS NOT DISTINCT FROM 'Baixo') OR NOT (mi_label IS NOT DISTINCT FROM 'Baixo')"
+             if relevant_only else "")
+    return f"""WITH e2 AS ({_e2_sql(snap=False)}),
+e3 AS ({_e3_exact_sql(snap=False)}),
+j AS (SELECT coalesce(e2.feature, e3.feature) feature, e2.pearson_r, e3.mi FROM e2 FULL OUTER JOIN e3 ON e2.feature = e3.feature),
+mx AS (SELECT max(abs(pearson_r)) rmax, max(mi) mmax FROM j),
+nz AS (SELECT feature, pearson_r, mi,
+         CASE WHEN pearson_r IS NOT NULL AND (SELECT rmax FROM mx) > 0 THEN abs(pearson_r) / (SELECT rmax FROM mx) END r_norm_abs,
+         CASE WHEN mi IS NOT NULL AND (SELECT mmax FROM mx) > 0 THEN mi / (SELECT mmax FROM mx) END mi_norm FROM j),
+sc AS (SELECT *, (coalesce(r_norm_abs, 0) + coalesce(mi_norm, 0))
+         / nullif(CAST(r_norm_abs IS NOT NULL AS INTEGER) + CAST(mi_norm IS NOT NULL AS INTEGER), 0) score,
+         {label_r} pearson_label, {label_m} mi_label FROM nz)
+SELECT feature, {r('pearson_r', 'pearson_r')}, {r('mi', 'mi')}, {r('r_norm_abs', 'r_norm_abs')}, {r('mi_norm', 'mi_norm')},
+  {r('score', 'score')}, pearson_label, mi_label FROM sc {where}"""
+
+
+ORACLE["e5_feature_rank_exact"] = _rank_sql()
+ORACLE["e6_relevant_features_exact"] = _rank_sql(relevant_only=True)

@@ -638,3 +638,25 @@ def q_mutual_information_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["e3_mutual_information_exact"] = q_mutual_information_exact
+
+
+def _rank_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df, feats = _analysis_input(spark, sf_dir)
+    pearson = analysis.compute_pearson_corr(df, "sales_qty", feats)
+    mi = analysis.compute_mutual_information(df, "sales_qty", feats, "order_week", random_state=None, grid=2.0 ** -20)
+    return analysis.add_strength_labels(analysis.combined_rank(pearson, mi))
+
+
+def q_feature_rank_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E5, F13, J16 on the jitter-free mutual information: normalised |r| and MI, their
+    null-aware mean and the strength labels."""
+    return normalize(_rank_exact(spark, sf_dir))
+
+
+def q_relevant_features_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E6 on the jitter-free mutual information: features not low on both criteria."""
+    return normalize(analysis.relevant_features(_rank_exact(spark, sf_dir)))
+
+
+QUERIES["e5_feature_rank_exact"] = q_feature_rank_exact
+QUERIES["e6_relevant_features_exact"] = q_relevant_features_exact
