@@ -262,3 +262,21 @@ def lookback_fit_predict(target_col: str, date_col: str, lookback: int = 14, reg
         return _with_prediction(valid, pred, [date_col])
 
     return fit_predict
+
+
+def feature_subset_sweep(df: DataFrame, importances: DataFrame, ks: Iterable[int], target_col: str, date_col: str,
+                         first_train_end, step, test_start=None, test_end=None, params: Mapping | None = None,
+                         parallelism: int = 4) -> DataFrame:
+    """For each k, backtest the tree model on the k most important features and report
+    one metric row per k (B9), labelled ``k``."""
+    from demandflow.operators.backtest import backtest
+    from demandflow.operators.metrics import calculate_metrics
+
+    out = None
+    for k, feats in top_k_feature_sets(importances, ks).items():
+        preds = backtest(df, gbt_fit_predict(feats, target_col, date_col, params), date_col, target_col,
+                         first_train_end, step, test_start, test_end, parallelism)
+        row = calculate_metrics(preds, order_col="date").withColumn("k", F.lit(k)) \
+            .withColumn("n_features", F.lit(len(feats)))
+        out = row if out is None else out.unionByName(row)
+    return out

@@ -77,3 +77,14 @@ def test_standardize_fit_on_train(spark):
     out, params = standardize(df, ["x"], fit_df=df.where("tr"), suffix="_z")
     assert params["x"] == (2.0, 1.0)
     assert [r.x_z for r in out.orderBy("x").collect()] == [-1.0, 1.0, 3.0, 98.0]
+
+
+def test_b6_feature_subset_sweep(spark, seasonal):
+    from demandflow.operators.features import add_lags
+    df = add_lags(seasonal, "d", ["y"], [1, 7]).cache()
+    imp = spark.createDataFrame([("y_lag7", 0.6), ("y_lag1", 0.3), ("dow", 0.1)], "feature string, importance double")
+    out = models.feature_subset_sweep(df, imp, [1, 3], "y", "d", dt.datetime(2020, 7, 1), 7,
+                                      params={"maxIter": 3, "maxDepth": 2}, parallelism=8)
+    rows = {r.k: r for r in out.collect()}
+    assert set(rows) == {1, 3} and rows[1].n_features == 1 and rows[3].n_features == 3
+    assert all(rows[k].rmse is not None for k in rows)
