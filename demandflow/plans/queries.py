@@ -660,3 +660,20 @@ def q_relevant_features_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES["e5_feature_rank_exact"] = q_feature_rank_exact
 QUERIES["e6_relevant_features_exact"] = q_relevant_features_exact
+
+
+def q_feature_subset_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importances on the static training window, then one backtest per top-k feature
+    set (k = 10..60) with one metric row per k."""
+    df = _model_input(spark, sf_dir)
+    feats = lag_roll_features(df)
+    train = df.where(F.col("order_week") <= F.lit(FIRST_TRAIN_END.date()))
+    (tr,) = models.fill_from_train(train, [train], feats)
+    model, _ = models.gbt_model(tr, feats, "sales_qty", "order_week", GBT_PARAMS)
+    imp = models.feature_importances(spark, model, feats)
+    return normalize(models.feature_subset_sweep(df, imp, [10, 20, 30, 40, 50, 60], "sales_qty", "order_week",
+                                                 FIRST_TRAIN_END, STEP, TEST_START, TEST_END, GBT_PARAMS,
+                                                 parallelism=8))
+
+
+QUERIES["b6_feature_subset_sweep"] = q_feature_subset_sweep
