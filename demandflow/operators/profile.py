@@ -300,3 +300,15 @@ def category_price_means_unweighted(price_vars: DataFrame, time_col: str) -> Dat
         .where(F.col("__c.category").isNotNull())
     return fan.groupBy(F.col("__c.category").alias("product_category_name"), time_col) \
         .agg(*[F.avg(v).alias(f"{v}_mean") for v in PRICE_VARS])
+
+
+def row_and_distinct_counts(df: DataFrame, id_cols: Iterable[str], prefix: str, approx: bool = False,
+                            rsd: float = 0.01) -> DataFrame:
+    """``<prefix>_rows`` and ``<prefix>_<col>_distinct`` as (metric, value) rows from one
+    aggregation; ``approx=True`` uses HyperLogLog++ (``approx_count_distinct``, relative
+    error ``rsd``) so no exact distinct set is shuffled at scale."""
+    cols = list(id_cols)
+    distinct = (lambda c: F.approx_count_distinct(c, rsd)) if approx else F.count_distinct
+    agg = df.agg(F.count(F.lit(1)).cast("bigint").alias(f"{prefix}_rows"),
+                 *[distinct(c).cast("bigint").alias(f"{prefix}_{c}_distinct") for c in cols])
+    return agg.unpivot([], agg.columns, "metric", "value")

@@ -486,11 +486,11 @@ SELECT CAST(count(*) AS BIGINT) groups, CAST(count(*) FILTER (WHERE n > 1) AS BI
   {r(rr('count(*) FILTER (WHERE n > 1)', 'count(*)', 100, 4), 'pct_multi')}, {r('avg(n)', 'mean_distinct')}, CAST(max(n) AS BIGINT) max_distinct FROM per""",
     "a15_row_distinct_counts": EXP + """
 SELECT 'orders_rows' metric, CAST(count(*) AS BIGINT) value FROM orders_x
-UNION ALL SELECT 'orders_ids', count(DISTINCT order_id) FROM orders_x
-UNION ALL SELECT 'items_rows', count(*) FROM items_x
-UNION ALL SELECT 'items_order_ids', count(DISTINCT order_id) FROM items_x
-UNION ALL SELECT 'items_item_ids', count(DISTINCT order_item_id) FROM items_x
-UNION ALL SELECT 'categories', count(DISTINCT p.product_category_name) FROM items_x i LEFT JOIN products_x p ON i.product_id = p.product_id""",
+UNION ALL SELECT 'orders_order_id_distinct', count(DISTINCT order_id) FROM orders_x
+UNION ALL SELECT 'items_rows', count(*) FROM items_x i LEFT JOIN products_x p ON i.product_id = p.product_id
+UNION ALL SELECT 'items_order_id_distinct', count(DISTINCT i.order_id) FROM items_x i LEFT JOIN products_x p ON i.product_id = p.product_id
+UNION ALL SELECT 'items_order_item_id_distinct', count(DISTINCT i.order_item_id) FROM items_x i LEFT JOIN products_x p ON i.product_id = p.product_id
+UNION ALL SELECT 'items_product_category_name_distinct', count(DISTINCT p.product_category_name) FROM items_x i LEFT JOIN products_x p ON i.product_id = p.product_id""",
     "a16_capped_sales_frequency": EXP + f""",
 per AS (SELECT least(count(order_id), 10) n_vendas FROM items_x WHERE product_id IS NOT NULL GROUP BY product_id),
 c AS (SELECT n_vendas, count(*) c FROM per GROUP BY 1)

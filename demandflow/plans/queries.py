@@ -286,18 +286,13 @@ def q_sellers_per_product(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_row_distinct_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A15 (J2): rows and distinct ids of orders and items, distinct categories sold, as
-    (metric, value) rows."""
+    """A15 (J2): rows and distinct ids of orders and of items (with their categories), as
+    (metric, value) rows; exact distinct counts (``approx=True`` is the at-scale option)."""
     raw = _raw(spark, sf_dir)
-    o, i = raw["orders"], raw["order_items"]
-    oc = o.agg(F.count(F.lit(1)).cast("bigint").alias("orders_rows"),
-               F.count_distinct("order_id").cast("bigint").alias("orders_ids"))
-    ic = i.join(raw["products"], "product_id", "left").agg(
-        F.count(F.lit(1)).cast("bigint").alias("items_rows"),
-        F.count_distinct("order_id").cast("bigint").alias("items_order_ids"),
-        F.count_distinct("order_item_id").cast("bigint").alias("items_item_ids"),
-        F.count_distinct("product_category_name").cast("bigint").alias("categories"))
-    return oc.unpivot([], oc.columns, "metric", "value").unionByName(ic.unpivot([], ic.columns, "metric", "value"))
+    orders = profile.row_and_distinct_counts(raw["orders"], ["order_id"], "orders")
+    items = profile.row_and_distinct_counts(raw["order_items"].join(raw["products"], "product_id", "left"),
+                                            ["order_id", "order_item_id", "product_category_name"], "items")
+    return orders.unionByName(items)
 
 
 def q_capped_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:

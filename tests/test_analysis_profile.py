@@ -137,3 +137,11 @@ def test_ordinal_labels_global_and_partitioned(spark):
     assert glob == {("a", "produto1"), ("b", "produto2"), ("c", "produto3")}
     part = {(r.g, r.p, r.lab) for r in profile.ordinal_labels(df, "p", "produto", "lab", ["g"]).collect()}
     assert ("y", "c", "produto2") in part and ("x", "b", "produto2") in part
+
+
+def test_a15_counts_exact_and_approx(spark):
+    df = spark.createDataFrame([(i % 7, i) for i in range(1000)], "a int, b int")
+    exact = {r.metric: r.value for r in profile.row_and_distinct_counts(df, ["a", "b"], "t").collect()}
+    assert exact == {"t_rows": 1000, "t_a_distinct": 7, "t_b_distinct": 1000}
+    approx = {r.metric: r.value for r in profile.row_and_distinct_counts(df, ["a", "b"], "t", approx=True).collect()}
+    assert approx["t_a_distinct"] == 7 and abs(approx["t_b_distinct"] - 1000) <= 50

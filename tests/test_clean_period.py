@@ -102,4 +102,7 @@ def test_merged_matches_fixture_counts(spark):
     from demandflow.plans.common import merged
     m = merged(spark, "/root/testdata/sf0.01")
     assert m.count() == 14596
-    assert m.select(F.countDistinct("product_id")).first()[0] == 1972
+    row = m.agg(F.countDistinct("product_id").alias("p"), F.countDistinct("product_category_name").alias("c"),
+                F.countDistinct("customer_state").alias("s"),
+                F.countDistinct(F.trunc(F.col("order_purchase_timestamp").cast("date"), "week")).alias("w")).first()
+    assert (row.p, row.c, row.s, row.w) == (1972, 25, 25, 345)
