@@ -136,7 +136,8 @@ def ksg_mutual_information(x: np.ndarray, y: np.ndarray, k: int = 3, standardize
                            seed: int | None = 42, chunk: int | None = None, grid: float | None = None) -> float:
     """Kraskov-Stoegbauer-Grassberger estimator 1 (max-norm), the estimator behind the
     common ``mutual_info_regression``: z-score, rescale, add the seeded 1e-10 jitter that
-    breaks ties, then I = psi(N) + psi(k) - <psi(n_x + 1) + psi(n_y + 1)>, floored at 0.
+    breaks ties (``seed=None``: no jitter; ``grid``: snap the scaled coordinates to a grid),
+    then I = psi(N) + psi(k) - <psi(n_x + 1) + psi(n_y + 1)>, floored at 0.
 
     Distances are computed in row chunks (memory chunk x N); the marginal counts use the
     same exact coordinate differences."""
@@ -190,8 +191,8 @@ def compute_mutual_information(df: DataFrame, target_col: str, features: list[st
     """Mutual information per (series, feature); fewer than ``min_rows`` pairs gives
     null.  Rows are ordered by ``order_col`` inside the group, so the seeded jitter is
     reproducible; ``random_state=None`` with a ``grid`` gives the jitter-free estimator on
-    grid-snapped z-scores, whose ties are exact.  Groups larger than ``max_group_rows`` are refused (the estimator is
-    O(N^2) per group) instead of being truncated."""
+    grid-snapped z-scores, whose ties are exact.  Groups larger than ``max_group_rows`` are
+    refused (the estimator is O(N^2) per group) instead of being truncated."""
     keys = list(series_keys)
     pairs = feature_pairs(df, target_col, features, [*keys, order_col])
     biggest = pairs.groupBy(*keys, "feature").count().agg(F.max("count")).first()[0]
