@@ -1,7 +1,8 @@
 """Exploration and data-quality tables.
 
-Every table is one or two aggregations with map-side partial aggregation; nothing is
-collected except one-row scalars (histogram bounds) that parametrise the next pass.
+Tables are aggregations with map-side partial aggregation (the item price change adds
+windows over (product, day) and over one row per product-day); the driver only receives
+one-row scalars (histogram bounds, broadcast size checks) that parametrise the next pass.
 """
 
 from __future__ import annotations
