@@ -145,3 +145,17 @@ def test_a15_counts_exact_and_approx(spark):
     assert exact == {"t_rows": 1000, "t_a_distinct": 7, "t_b_distinct": 1000}
     approx = {r.metric: r.value for r in profile.row_and_distinct_counts(df, ["a", "b"], "t", approx=True).collect()}
     assert approx["t_a_distinct"] == 7 and abs(approx["t_b_distinct"] - 1000) <= 50
+
+
+def test_approx_quantiles_close_to_exact(spark):
+    rows = [("a" if i % 2 else "b", float((i * 37) % 1001)) for i in range(4000)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    exact = profile.describe_columns(df, ["v"]).first()
+    approx = profile.describe_columns(df, ["v"], approx=True).first()
+    for q in ("p25", "p50", "p75"):
+        assert abs(exact[q] - approx[q]) <= 2.0
+    ex = {r.g: r for r in profile.box_stats(df, "v", "g").collect()}
+    ap = {r.g: r for r in profile.box_stats(df, "v", "g", approx=True).collect()}
+    assert set(ex) == set(ap) == {"a", "b"}
+    assert all(abs(ex[g].median - ap[g].median) <= 2.0 for g in ex)
+    assert all(ex[g].n == ap[g].n == 2000 for g in ex)
