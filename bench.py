@@ -49,8 +49,10 @@ def main() -> None:
             samples.append(time.perf_counter() - t0)
         timings[name] = round(statistics.median(samples), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    conf = {k: spark.conf.get(k, None) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled",
+                                                 "spark.sql.adaptive.skewJoin.enabled", "spark.driver.memory")}
     print(json.dumps({"metric": "median_query_seconds_total", "value": round(sum(timings.values()), 3),
-                      "unit": "sec", "queries": timings, "sf": sf, "cpus": cpus, "runs": runs}))
+                      "unit": "sec", "queries": timings, "sf": sf, "cpus": cpus, "runs": runs, "conf": conf}))
 
 
 if __name__ == "__main__":
