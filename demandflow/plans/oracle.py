@@ -743,3 +743,19 @@ SELECT feature, {r('pearson_r', 'pearson_r')}, {r('mi', 'mi')}, {r('r_norm_abs',
 
 ORACLE["e5_feature_rank_exact"] = _rank_sql()
 ORACLE["e6_relevant_features_exact"] = _rank_sql(relevant_only=True)
+
+
+def _schema_sql() -> str:
+    counts = "\nUNION ALL ".join(f"SELECT '{c}' col, {i} pos, CAST(count({c}) AS BIGINT) non_null FROM merged"
+                                 for i, c in enumerate(MERGED_COLS))
+    sel = ", ".join(MERGED_COLS)
+    return f"""WITH {RAW_CTES},
+ty AS (SELECT column_name, CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'BIGINT' THEN 'bigint'
+         WHEN 'DOUBLE' THEN 'double' WHEN 'INTEGER' THEN 'int' WHEN 'TIMESTAMP' THEN 'timestamp'
+         ELSE lower(column_type) END dtype
+       FROM (DESCRIBE SELECT {sel} FROM merged)),
+nn AS ({counts})
+SELECT nn.col "column", nn.non_null, ty.dtype, CAST(nn.pos AS INTEGER) position FROM nn JOIN ty ON ty.column_name = nn.col"""
+
+
+ORACLE["p15_schema_info"] = _schema_sql()

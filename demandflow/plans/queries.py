@@ -255,8 +255,11 @@ def q_null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_schema_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Column types and non-null counts of the merged table."""
-    return profile.schema_info(merged(spark, sf_dir))
+    """Column types (engine-neutral names), non-null counts and positions of the merged
+    table."""
+    info = profile.schema_info(merged(spark, sf_dir))
+    neutral = F.when(F.col("dtype") == "timestamp_ntz", F.lit("timestamp")).otherwise(F.col("dtype"))
+    return info.withColumn("dtype", neutral)
 
 
 def q_product_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
