@@ -97,9 +97,10 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_lists(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """Lower-cased (A-Z) words of each text, flat, with the offsets of each text."""
-    t = pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
+def word_lists(texts: pa.Array, lower: bool = True) -> tuple[pa.Array, np.ndarray]:
+    """Words of each text, lower-cased (A-Z) or not, flat, with the offsets of each text."""
+    t = pc.fill_null(texts, "")
+    t = pc.ascii_lower(t) if lower else t
     lists = pc.ascii_split_whitespace(t)
     flat = lists.flatten()
     offsets = lists.offsets.to_numpy().astype(np.int64)

@@ -19,11 +19,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from demandflow.llm.common import Scratch, slices
+from demandflow.llm.common import Scratch, slices, word_lists
 
 PIECES = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("start", T.LongType()),
@@ -34,61 +35,120 @@ _ARROW = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa
                     ("doc_tokens", pa.int64()), ("ids", pa.binary())])
 
 
-class ChunkTokenizer:
-    """Ids of a text, with a bounded cache of chunks.
+_PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
-    The tokenizer drops white space and never makes a token across it, so a text's ids are
-    those of its space-separated chunks in a row; frequent chunks are encoded once.  The cache
-    has two generations of at most ``cache`` chunks each.
-    """
 
-    def __init__(self, path: str, cache: int = 300_000, longest: int = 40):
-        from tokenizers import Tokenizer
+class _Cache:
+    """Two generations of at most ``size`` entries: what is used again stays."""
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.cache, self.longest = cache, longest
+    def __init__(self, size: int):
+        self.size = size
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def _encode(self, chunks: list[str]) -> list[bytes]:
-        encoded = self.tokenizer.encode_batch(chunks, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in encoded]
-
-    def encode(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
-        chunks = text.replace("\n", " ").split(" ")
-        young, old = self.young, self.old
-        new = [c for c in set(chunks) if c not in young]
-        long = {}
-        if new:
-            ask = []
-            for c in new:
-                if c in old:
-                    young[c] = old[c]
-                else:
-                    ask.append(c)
-            for c, ids in zip(ask, self._encode(ask), strict=True) if ask else ():
-                (young if len(c) <= self.longest else long)[c] = ids
-        if long:
-            out = b"".join([young[c] if c in young else long[c] for c in chunks])
-        else:
-            out = b"".join([young[c] for c in chunks])
-        if len(young) > self.cache:
-            self.old, self.young = young, {}
-        return out
+    def missing(self, keys: set[str]) -> list[str]:
+        """Keys that are in neither generation; the others are in the young one afterwards."""
+        if len(self.young) > self.size:
+            self.old, self.young = self.young, {}
+        new = keys.difference(self.young)
+        known = new.intersection(self.old)
+        self.young.update((k, self.old[k]) for k in known)
+        return list(new - known)
+
+
+class WordTokenizer:
+    """Ids of texts, with bounded caches.
+
+    The tokenizer lower-cases, drops white space and never makes a token across it, so a
+    text's ids are those of its words in a row.  Letters are one word to the tokenizer, whose
+    last token is marked as a word end: many new ones are encoded in one call and cut at these
+    marks.  Punctuation after letters is encoded apart from them.  Anything else is encoded as
+    it is.
+    """
+
+    def __init__(self, path: str, cache: int = 200_000, longest: int = 40):
+        from tokenizers import Tokenizer, pre_tokenizers
 
+        self.tokenizer = Tokenizer.from_file(path)
+        # a-z needs none of the normalising: the same vocabulary with words cut at spaces
+        self.plain = Tokenizer(self.tokenizer.model)
+        self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        vocabulary = self.tokenizer.get_vocab()
+        self.is_end = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.is_end[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.longest = longest
+        self.words, self.parts = _Cache(cache), _Cache(cache)
+
+    def _each(self, chunks: list[str]) -> list[bytes]:
+        out = []
+        for i in range(0, len(chunks), 1000):
+            encoded = self.tokenizer.encode_batch_fast(chunks[i:i + 1000], add_special_tokens=False)
+            out += [np.array(e.ids, "<u4").tobytes() for e in encoded]
+        return out
 
-_loaded: dict[str, ChunkTokenizer] = {}
+    def _together(self, tokenizer, words: list[str]) -> list[bytes]:
+        out = []
+        for i in range(0, len(words), 4000):
+            own = words[i:i + 4000]
+            ids = np.array(tokenizer.encode_batch_fast([" ".join(own)], add_special_tokens=False)[0].ids, "<u4")
+            ends = 4 * (np.flatnonzero(self.is_end[ids]) + 1)
+            if len(ends) != len(own):  # a letter that lower-cases to more than letters
+                out += self._each(own)
+                continue
+            raw = ids.tobytes()
+            out += [raw[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+        return out
 
+    def _learn(self, words: list[str]) -> dict[str, bytes]:
+        bases = [w.rstrip(_PUNCTUATION) for w in words]
+        letters = [b.isalpha() for b in bases]
+        # letters, and the punctuation after them
+        need = {x for w, b, ok in zip(words, bases, letters, strict=True) if ok for x in (b, w[len(b):])}
+        new = self.parts.missing(need)
+        part = self.parts.young
+        ascii_words = [x for x in new if x.isascii() and x.isalpha() and x.islower()]
+        part.update(zip(ascii_words, self._together(self.plain, ascii_words), strict=True))
+        other_words = [x for x in new if x.isalpha() and x not in part]
+        part.update(zip(other_words, self._together(self.tokenizer, other_words), strict=True))
+        rest = [x for x in new if not x.isalpha()]
+        part.update(zip(rest, self._each(rest), strict=True))
+        odd = [w for w, ok in zip(words, letters, strict=True) if not ok]
+        out = dict(zip(odd, self._each(odd), strict=True))
+        out.update((w, part[b] if len(w) == len(b) else part[b] + part[w[len(b):]]) for w, b, ok in zip(words, bases, letters, strict=True) if ok)
+        return out
 
-def _tokenizer(name: str) -> ChunkTokenizer:
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, flat (little-endian unsigned 32-bit), with the offsets of each."""
+        # the names of special tokens count as written, before any lower-casing
+        special = pc.any(pc.match_substring(texts, "<|")).as_py()
+        flat, offsets = word_lists(texts, lower=not special)
+        if not len(flat):
+            return np.zeros(0, "<u4"), np.zeros_like(offsets)
+        coded = flat.dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        new = self._learn(self.words.missing(set(words)))
+        known = self.words.young
+        known.update((w, ids) for w, ids in new.items() if len(w) <= self.longest)
+        ids = [known[w] if w in known else new[w] for w in words]
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        pool, begin = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(size) - size
+        codes = coded.indices.to_numpy()
+        upto = np.r_[0, np.cumsum(size[codes])]
+        at = np.arange(upto[-1]) + np.repeat(begin[codes] - upto[:-1], size[codes])
+        return pool[at], upto[offsets]
+
+
+_loaded: dict[str, WordTokenizer] = {}
+
+
+def _tokenizer(name: str) -> WordTokenizer:
     if name not in _loaded:
         import os
 
         import public_tokenizers
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        _loaded[name] = ChunkTokenizer(public_tokenizers.path(name))
+        _loaded[name] = WordTokenizer(public_tokenizers.path(name))
     return _loaded[name]
 
 
@@ -101,10 +161,11 @@ def pieces(docs: DataFrame, max_tokens: int = 2048, tokenizer: str = "word_bpe_4
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = _tokenizer(tokenizer)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", 2_000_000):
+                flat, offsets = tok.encode(part.column("text"))
                 out: list[tuple] = []
-                for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True):
-                    ids = tok.encode(text or "") + end
+                for doc_id, a, b in zip(part.column("doc_id").to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+                    ids = flat[a:b].tobytes() + end
                     total = len(ids) // 4
                     for start in range(0, total, max_tokens):
                         own = ids[4 * start:4 * (start + max_tokens)]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandflow.llm import packing
+from demandflow.llm import decontamination, ngram_join, packing, quality_rules
 from demandflow.llm.common import Scratch, table
 
 
@@ -16,8 +16,30 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(parts, scratch)
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and component of every document under 5-word shingles and Jaccard 0.8."""
+    return ngram_join.clusters(table(spark, sf_dir, "documents").select("doc_id", "text"), Scratch(spark, "op4"))
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every pair of a document and a benchmark item that it leaks."""
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of every document, the base rules and the learned decision list's verdict."""
+    scratch = Scratch(spark, "op7")
+    stats = quality_rules.with_statistics(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    stats = scratch.write(stats.select("row.doc_id", *quality_rules.STATISTICS, "base_failed"), "statistics")
+    rules = quality_rules.learn(stats, table(spark, sf_dir, "labels"), scratch)
+    return quality_rules.judged(stats, rules).select("doc_id", *quality_rules.BASE, "base_failed", "kept")
+
+
 QUERIES = {
     "op2_packing": op2_packing,
+    "op4_ngram_join": op4_ngram_join,
+    "op5_decontamination": op5_decontamination,
+    "op7_quality_rules": op7_quality_rules,
 }
 
 ORACLE: dict[str, str] = {}
