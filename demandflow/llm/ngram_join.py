@@ -14,9 +14,9 @@ empty and linked with nothing.  Two sets link when ``100 * |x & y| >= percent *
    Sorted partitions are streamed and only shingles of two or more sets stay.
 3. *Rounds*: in each shingle's group every set is compared with its neighbour and with the
    first set, in a new order each round, so a group of copies costs its size, not its square.
-   Candidates pass the length and positional filters, and the suffix filter (256 hash ranges
-   of each set bound the overlap); what is left is verified exactly, once per pair.  Links
-   become components.
+   Candidates pass the length and positional filters, and the suffix filter (parities in 1024
+   hash ranges bound how far two sets differ); what is left is verified exactly, once per
+   pair.  Links become components.
 4. *Rest*: all pairs of a group that are still in different components and pass the filters
    are verified as well, so no link between components is missed.
 
@@ -38,7 +38,8 @@ from demandflow.llm.graph import components
 
 BUCKETS = 1 << 20
 SLICE = 1 << 12
-PARTS = 256
+PARTS = 1024
+WORDS = PARTS // 64
 
 
 def sets(texts: pa.Array, n: int) -> list[np.ndarray]:
@@ -174,43 +175,40 @@ def _shared_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield emit(held, np.array([True]))
 
 
-def _signature(s: np.ndarray) -> bytes | None:
-    c = np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=PARTS)
-    return c.astype("<u2").tobytes() if c.max(initial=0) < 1 << 16 else None
+def _sketch(s: np.ndarray) -> np.ndarray:
+    """Parities of the set's counts in PARTS hash ranges, as words of 64 bits."""
+    odd = np.bincount((s >> np.uint64(54)).astype(np.int64), minlength=PARTS) & 1
+    return np.packbits(odd.astype(np.uint8)).view("<i8")
 
 
 def member_sets(docs: DataFrame, n: int) -> DataFrame:
-    """``sid, sig, items`` per text: the suffix-filter counts and the sorted hashes."""
+    """``sid, size, z0 ..., items`` per text: the sketch and the sorted hashes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 own = [s for s in sets(part.column("text"), n) if len(s)]
+                z = np.array([_sketch(s) for s in own], np.int64).reshape(len(own), WORDS)
                 yield pa.RecordBatch.from_pydict({
-                    "sid": pa.array([identity(s) for s in own], pa.int64()), "sig": pa.array([_signature(s) for s in own], pa.binary()),
+                    "sid": pa.array([identity(s) for s in own], pa.int64()), "size": pa.array([len(s) for s in own], pa.int32()),
+                    **{f"z{i}": pa.array(z[:, i]) for i in range(WORDS)},
                     "items": pa.array([s.astype("<u8").tobytes() for s in own], pa.binary())})
 
-    return docs.select("text").mapInArrow(run, "sid long, sig binary, items binary")
+    return docs.select("text").mapInArrow(run, f"sid long, size int, {', '.join(f'z{i} long' for i in range(WORDS))}, items binary")
 
 
-def _pairs_with(pairs: DataFrame, members: DataFrame, column: str) -> DataFrame:
-    left = members.select(F.col("sid").alias("a"), F.col(column).alias("x"))
-    right = members.select(F.col("sid").alias("b"), F.col(column).alias("y"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
+def _renamed(members: DataFrame, key: str, mark: str) -> DataFrame:
+    return members.select(F.col("sid").alias(key), F.col("size").alias(f"size_{mark}"), *[F.col(f"z{i}").alias(f"z{i}_{mark}") for i in range(WORDS)])
+
+
+def _close(percent: int) -> str:
+    """Suffix filter: sets that link differ in at most ``(100 - p) / (100 + p)`` of their sizes'
+    sum, and every hash range of odd difference holds at least one element of one set only."""
+    apart = " + ".join(f"bit_count(z{i}_x ^ z{i}_y)" for i in range(WORDS))
+    return f"{100 + percent} * ({apart}) <= {100 - percent} * (size_x + size_y)"
 
 
 def verified(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a, b`` that link: first the suffix filter, then the sets themselves."""
-    def suffix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ok = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                if not (x.is_valid and y.is_valid):
-                    ok.append(True)
-                    continue
-                p, q = (np.frombuffer(v.as_buffer(), "<u2").astype(np.int64) for v in (x, y))
-                ok.append(bool((100 + percent) * np.minimum(p, q).sum() >= percent * (p.sum() + q.sum())))
-            yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
-
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ok = []
@@ -220,8 +218,10 @@ def verified(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
                 ok.append(100 * both >= percent * (len(p) + len(q) - both))
             yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
 
-    near = _pairs_with(pairs, members, "sig").mapInArrow(suffix, "a long, b long")
-    return _pairs_with(near, members, "items").mapInArrow(exact, "a long, b long")
+    near = pairs.join(_renamed(members, "a", "x"), "a").join(_renamed(members, "b", "y"), "b").where(_close(percent)).select("a", "b")
+    whole = near.join(members.select(F.col("sid").alias("a"), F.col("items").alias("x")), "a")
+    whole = whole.join(members.select(F.col("sid").alias("b"), F.col("items").alias("y")), "b")
+    return whole.select("a", "b", "x", "y").mapInArrow(exact, "a long, b long")
 
 
 def _possible(percent: int) -> str:
@@ -240,7 +240,9 @@ def links(docs: DataFrame, scratch: Scratch, n: int = 5, percent: int = 80, roun
     groups = scratch.write(dealt.mapInArrow(_shared_rows, "key long, n int, sid long, pos int"), "groups")
     named = rows.join(groups.select("sid").distinct(), "sid", "left_semi").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(named.select("doc_id").distinct(), "doc_id", "left_semi")
-    members = scratch.write(member_sets(texts, n).dropDuplicates(["sid"]), "members")
+    members = scratch.write(member_sets(texts, n), "members")
+    if members.count() > members.select("sid").distinct().count():  # ids that occur on several rows
+        members = scratch.write(members.dropDuplicates(["sid"]), "members")
     # the texts of one id belong together
     same = rows.where("sid IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("sid").alias("u"), F.max("sid").alias("v")).where("u != v")
     if same.limit(1).count():
@@ -264,7 +266,9 @@ def links(docs: DataFrame, scratch: Scratch, n: int = 5, percent: int = 80, roun
             many = now.groupBy("key", "c").agg(F.count(F.lit(1)).alias("size")).groupBy("key").agg(F.max_by("c", F.struct("size", "c")).alias("main"))
             now = now.join(many, "key")
             other = now.select("key", F.col("sid").alias("other"), F.col("c").alias("d"), F.col("n").alias("m"), F.col("pos").alias("qos"))
-            pairs = now.where("c != main").join(other, "key").where("c != d AND (d = main OR sid < other)")
+            other = other.join(_renamed(members, "other", "y"), "other")
+            now = now.where("c != main").join(_renamed(members, "sid", "x"), "sid")
+            pairs = now.join(other, "key").where("c != d AND (d = main OR sid < other)").where(_close(percent))
         pairs = pairs.where(_possible(percent)).select(F.least("sid", "other").alias("a"), F.greatest("sid", "other").alias("b")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
