@@ -193,3 +193,12 @@ def learn(stats: DataFrame, labels: DataFrame, scratch: Scratch, bins: int = 64,
 def judged(stats: DataFrame, rules: list[Rule]) -> DataFrame:
     """Adds ``kept``: false where the base rules failed, else the decision list's verdict."""
     return stats.withColumn("kept", F.when(F.col("base_failed"), F.lit(False)).otherwise(verdict(rules)))
+
+
+def keep(docs: DataFrame, rules: list[Rule]) -> DataFrame:
+    """``docs`` without the rejected documents, in one pass and without a shuffle.  The row number
+    is there to be read by the filter: Spark pushes no filter below an expression that is not
+    deterministic, and below this one it would repeat the statistics in every place that a
+    rule names them."""
+    stats = with_statistics(docs).withColumn("_row", F.monotonically_increasing_id())
+    return judged(stats, rules).where("kept AND _row >= 0").select("row.*")

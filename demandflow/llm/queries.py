@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandflow.llm import decontamination, ngram_join, packing, quality_rules
+from demandflow.llm import decontamination, ngram_join, packing, pii, quality_rules
 from demandflow.llm.common import Scratch, table
 
 
@@ -35,11 +35,17 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(stats, rules).select("doc_id", *quality_rules.BASE, "base_failed", "kept")
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text with surrogates in place of detected entities."""
+    return pii.replace(table(spark, sf_dir, "documents").select("doc_id", "text"), Scratch(spark, "op10"))
+
+
 QUERIES = {
     "op2_packing": op2_packing,
     "op4_ngram_join": op4_ngram_join,
     "op5_decontamination": op5_decontamination,
     "op7_quality_rules": op7_quality_rules,
+    "op10_pii": op10_pii,
 }
 
 ORACLE: dict[str, str] = {}
