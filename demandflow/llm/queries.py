@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandflow.llm import decontamination, ngram_join, packing, pii, quality_rules
+from demandflow.llm import decontamination, ngram_join, packing, pii, quality_rules, url_filter, warc
 from demandflow.llm.common import Scratch, table
 
 
@@ -26,6 +26,22 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as WARC archives, read back, and checked against the chain of boundaries."""
+    scratch = Scratch(spark, "op6")
+    path = scratch.path("archives")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    found = warc.candidates(spark, path).select(
+        "file", "offset", "next", "page_id", "record_type", "refers_to", F.octet_length("payload").cast("long").alias("payload_bytes"),
+        F.sha1("payload").alias("payload_digest"))
+    records = scratch.write(warc.reachable(scratch.write(found, "candidates"), scratch), "records")
+    # a revisit's payload is that of the response it refers to
+    full = records.where("record_type = 'response'").groupBy(F.col("page_id").alias("refers_to")).agg(
+        F.min(F.struct("payload_bytes", "payload_digest")).alias("full"))
+    out = records.join(full, "refers_to", "left")
+    return out.select("page_id", *[F.coalesce(f"full.{c}", c).alias(c) for c in ("payload_bytes", "payload_digest")], "record_type", "refers_to")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics of every document, the base rules and the learned decision list's verdict."""
     scratch = Scratch(spark, "op7")
@@ -35,6 +51,20 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(stats, rules).select("doc_id", *quality_rules.BASE, "base_failed", "kept")
 
 
+#: Fixed rules of the query (verdict, host, path).
+URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+             ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's URL judged by the rules, else by the cascade of listed hosts.  The stand-in list
+    holds the hosts that begin with ``ads`` and those whose length is a multiple of five."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    hosts = url_filter.with_parts(pages).select(F.col("host").alias("key"))
+    listed = hosts.where("key LIKE 'ads%' OR (key <> '' AND char_length(key) % 5 = 0)")
+    return url_filter.judge(pages, listed, URL_RULES, Scratch(spark, "op8")).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's text with surrogates in place of detected entities."""
     return pii.replace(table(spark, sf_dir, "documents").select("doc_id", "text"), Scratch(spark, "op10"))
@@ -44,8 +74,38 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op4_ngram_join": op4_ngram_join,
     "op5_decontamination": op5_decontamination,
+    "op6_warc": op6_warc,
     "op7_quality_rules": op7_quality_rules,
+    "op8_url_filter": op8_url_filter,
     "op10_pii": op10_pii,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op6_warc": """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS payload, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+  FROM pages),
+h AS (SELECT payload_digest, max(page_id) AS holder FROM p WHERE payload_bytes >= 1000 GROUP BY payload_digest)
+SELECT p.page_id, p.payload_bytes, p.payload_digest,
+  CASE WHEN h.holder IS NULL OR h.holder = p.page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN h.holder <> p.page_id THEN h.holder END AS refers_to
+FROM p LEFT JOIN h ON p.payload_digest = h.payload_digest AND p.payload_bytes >= 1000""",
+    "op8_url_filter": """
+WITH p AS (
+  SELECT page_id,
+    translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages),
+r AS (
+  SELECT *, CASE
+    WHEN ('.' || host) LIKE '%.example.org' AND path LIKE '/en/1%' THEN 'example.org/en/1'
+    WHEN ('.' || host) LIKE '%.example.org' AND path LIKE '/es/%' THEN 'example.org/es/'
+    WHEN ('.' || host) LIKE '%.com' AND path LIKE '/de/%' THEN 'com/de/'
+    WHEN ('.' || host) LIKE '%.com' AND path LIKE '/fr/%' THEN 'com/fr/'
+    WHEN ('.' || host) LIKE '%.org' AND path LIKE '/%' THEN 'org/' END AS rule
+  FROM p)
+SELECT page_id, host, path, rule, CASE
+  WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+  WHEN host LIKE 'ads%' OR (host <> '' AND length(host) % 5 = 0) THEN 'block' ELSE 'allow' END AS verdict
+FROM r""",
+}
