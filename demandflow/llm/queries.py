@@ -5,10 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandflow.llm import decontamination, ngram_join, packing, pii, quality_rules, url_filter, warc
+from demandflow.llm import (
+    chat_format, decontamination, ngram_join, packing, pii, quality_classifier, quality_rules, url_filter, warc)
 from demandflow.llm.common import Scratch, table
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade and tail probability of every document.  The labels grade it: 0 poor, 1 well
+    written but toxic, 2 well written and not toxic; kept if grade 2 is likelier than not."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    grade = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).otherwise(2)
+    model = quality_classifier.train(docs, labels.where("quality IS NOT NULL AND toxic IS NOT NULL").select("doc_id", grade.alias("grade")))
+    return quality_classifier.scored(docs, model).withColumn("kept", F.col("tail_probability") >= 0.5)
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document packed into sequences of at most 2048 tokens."""
     scratch = Scratch(spark, "op2")
@@ -16,6 +26,11 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(parts, scratch)
 
 
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation repaired at the least cost and rendered, one row per turn."""
+    return chat_format.repair(table(spark, sf_dir, "conversations"), Scratch(spark, "op3"))
+
+
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Set size and component of every document under 5-word shingles and Jaccard 0.8."""
     return ngram_join.clusters(table(spark, sf_dir, "documents").select("doc_id", "text"), Scratch(spark, "op4"))
@@ -71,7 +86,9 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op2_packing": op2_packing,
+    "op3_chat_format": op3_chat_format,
     "op4_ngram_join": op4_ngram_join,
     "op5_decontamination": op5_decontamination,
     "op6_warc": op6_warc,
