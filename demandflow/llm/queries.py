@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandflow.llm import (
-    chat_format, decontamination, ngram_join, packing, pii, quality_classifier, quality_rules, url_filter, warc)
+    chat_format, decontamination, lm_scoring, ngram_join, packing, pii, quality_classifier, quality_rules, url_filter, warc)
 from demandflow.llm.common import Scratch, table
 
 
@@ -80,6 +80,11 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, listed, URL_RULES, Scratch(spark, "op8")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's log10 probability under the bigram model and under the unigram base."""
+    return lm_scoring.score(table(spark, sf_dir, "documents"), Scratch(spark, "op9"))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's text with surrogates in place of detected entities."""
     return pii.replace(table(spark, sf_dir, "documents").select("doc_id", "text"), Scratch(spark, "op10"))
@@ -94,6 +99,7 @@ QUERIES = {
     "op6_warc": op6_warc,
     "op7_quality_rules": op7_quality_rules,
     "op8_url_filter": op8_url_filter,
+    "op9_lm_scoring": op9_lm_scoring,
     "op10_pii": op10_pii,
 }
 
