@@ -112,14 +112,20 @@ def word_lists(texts: pa.Array, lower: bool = True) -> tuple[pa.Array, np.ndarra
     return flat, offsets
 
 
-def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the words of each text, flat, with the offsets of each text."""
+def word_codes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct words' 64-bit hashes, each word's place among them, flat, and the offsets of each text."""
     flat, offsets = word_lists(texts)
     if not len(flat):
-        return np.zeros(0, np.uint64), offsets
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), offsets
     enc = flat.dictionary_encode()
     uniq = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in enc.dictionary.to_pylist()), np.uint64, len(enc.dictionary))
-    return uniq[enc.indices.to_numpy()], offsets
+    return uniq, enc.indices.to_numpy().astype(np.int64), offsets
+
+
+def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of each text, flat, with the offsets of each text."""
+    uniq, codes, offsets = word_codes(texts)
+    return uniq[codes], offsets
 
 
 _BASE = np.uint64(0x2545F4914F6CDD1D)

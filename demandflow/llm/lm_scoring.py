@@ -36,11 +36,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandflow.llm.common import Scratch, mix, slices, word_hashes
+from demandflow.llm.common import Scratch, mix, slices, word_codes
 from demandflow.llm.elias_fano import Trie
 
 BEGIN, END = np.uint64(0xB0), np.uint64(0xE0)
 FREQUENT = 1024
+#: Parts of a shard that are worked on one after the other, each with a trie of its own.
+SUB = 4
 V_BITS = np.uint64(16)  # dropped from a context's hash
 
 
@@ -48,24 +50,24 @@ def is_held_out(doc_id: int | None) -> bool:
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 5 == 1
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, list, np.ndarray]]:
-    """Words of each block, their offsets per document, the ids and which ones train."""
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, list, np.ndarray]]:
+    """Distinct words of each block, its words' codes, their offsets per document, the ids and
+    which ones train."""
     for batch in batches:
         for part in slices(batch, "text"):
             ids = part.column("doc_id").to_pylist()
-            words, offsets = word_hashes(part.column("text"))
-            yield words, offsets, ids, np.array([not is_held_out(i) for i in ids], bool)
+            yield *word_codes(part.column("text")), ids, np.array([not is_held_out(i) for i in ids], bool)
 
 
 def frequent_words(docs: DataFrame, scratch: Scratch) -> tuple[dict[int, int], int, int]:
     """Counts of the words (and the end) above 1/FREQUENT of the training tokens, with the number of
     training tokens and documents."""
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for words, offsets, _, train in _blocks(batches):
-            own = words[np.repeat(train, np.diff(offsets))]
-            word, count = np.unique(own, return_counts=True)
+        for word, code, offsets, _, train in _blocks(batches):
+            own = code[np.repeat(train, np.diff(offsets))]
+            count = np.bincount(own, minlength=len(word))
             tokens = len(own) + int(train.sum())
-            many = count * 2 * FREQUENT >= tokens
+            many = (count > 0) & (count * 2 * FREQUENT >= tokens)
             # a word of more than 1/FREQUENT overall has half of that share in blocks that report it
             yield pa.RecordBatch.from_pydict({"word": pa.array([None, *word[many].view(np.int64).tolist()], pa.int64()),
                                               "n": pa.array([tokens, *count[many].tolist()], pa.int64()),
@@ -81,20 +83,21 @@ def frequent_words(docs: DataFrame, scratch: Scratch) -> tuple[dict[int, int], i
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = shared.value
         counts = np.zeros(len(names), np.int64)
-        for words, offsets, _, train in _blocks(batches):
-            own = words[np.repeat(train, np.diff(offsets))]
-            at = np.minimum(np.searchsorted(names, own), max(0, len(names) - 1))
-            counts += np.bincount(at[names[at] == own], minlength=len(names)) if len(names) else 0
+        for word, code, offsets, _, train in _blocks(batches):
+            count = np.bincount(code[np.repeat(train, np.diff(offsets))], minlength=len(word))
+            at = np.minimum(np.searchsorted(names, word), len(names) - 1)
+            same = names[at] == word
+            np.add.at(counts, at[same], count[same])
         yield pa.RecordBatch.from_pydict({"word": pa.array(names.view(np.int64)), "n": pa.array(counts)})
 
     rows = docs.mapInArrow(exact, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).collect() if len(names) else []
     out = {r["word"] % (1 << 64): r["n"] for r in rows if r["n"] * FREQUENT > tokens}
-    if texts * FREQUENT > tokens:
+    if texts * FREQUENT > tokens:  # the end
         out[int(END)] = texts
     return out, tokens, texts
 
 
-_MESSAGE = "shard long, block long, words binary, pairs_of binary, contexts binary, docs_of binary, docs binary, times binary, train binary"
+_MESSAGE = "shard long, sub long, block long, words binary, pairs_of binary, contexts binary, docs_of binary, docs binary, times binary, train binary"
 _FIELDS = [c.split(" ")[0] for c in _MESSAGE.split(", ")]
 
 
@@ -113,9 +116,8 @@ def messages(docs: DataFrame, frequent: list[int], shards: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
-        for words, offsets, ids, train in _blocks(batches):
+        for uniq, code, offsets, ids, train in _blocks(batches):
             n, size = len(ids), np.diff(offsets)
-            uniq, code = np.unique(words, return_inverse=True)
             uniq = np.concatenate([uniq, [BEGIN, END]])
             begin, end = len(uniq) - 2, len(uniq) - 1
             w = np.insert(code, offsets[1:], end)
@@ -130,7 +132,7 @@ def messages(docs: DataFrame, frequent: list[int], shards: int) -> DataFrame:
                 dealt = mix(pw)
                 split = np.isin(pw, hot.value)
                 dealt[split] = mix(dealt[split] ^ mix(pv[split]))
-                shard = (dealt % np.uint64(shards)).astype(np.int64)
+                shard = (dealt % np.uint64(shards * SUB)).astype(np.int64)
             order = np.argsort(shard, kind="stable")
             e_order = np.argsort(np.repeat(shard, docs_of), kind="stable")
             shard, pw, pv, docs_of = shard[order], pw[order], pv[order], docs_of[order]
@@ -138,14 +140,14 @@ def messages(docs: DataFrame, frequent: list[int], shards: int) -> DataFrame:
             e_at = np.r_[0, np.cumsum(docs_of)]
             cuts = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1], True]) if len(shard) else np.zeros(1, np.int64)
             flags = np.packbits(train).tobytes()
-            out: list[tuple] = [(block % shards, block, None, None, None, np.array([i is not None for i in ids], np.uint8).tobytes(),
+            out: list[tuple] = [(block % shards, 0, block, None, None, None, np.array([i is not None for i in ids], np.uint8).tobytes(),
                                  np.array([i or 0 for i in ids], "<i8").tobytes(), (size + 1).astype("<i8").tobytes(), flags)]
             for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
                 own = pw[a:b]
                 starts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-                out.append((int(shard[a]), block, own[starts].astype("<u8").tobytes(), np.diff(np.r_[starts, b - a]).astype("<u4").tobytes(), _pack48(pv[a:b]),
+                out.append((int(shard[a]) // SUB, int(shard[a]) % SUB, block, own[starts].astype("<u8").tobytes(), np.diff(np.r_[starts, b - a]).astype("<u4").tobytes(), _pack48(pv[a:b]),
                             docs_of[a:b].astype("<u4").tobytes(), doc[e_at[a]:e_at[b]].tobytes(), times[e_at[a]:e_at[b]].tobytes(), flags))
-            types = [pa.int64(), pa.int64()] + [pa.binary()] * 7
+            types = [pa.int64()] * 3 + [pa.binary()] * 7
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=_FIELDS)
             block += 1
 
@@ -159,15 +161,35 @@ _SUM_TYPES = [pa.int64(), pa.string(), *[pa.binary()] * 6, pa.int64()]
 def shard_sums(rows: pa.Table, frequent: dict[int, int], tokens: int, mu: float) -> pa.Table:
     """Sums of one shard per block and document, and the number of its known words."""
     out: list[tuple] = []
-    parts = []
-    for r in rows.to_batches():
-        for m in zip(*[r.column(c) for c in _FIELDS[1:]], strict=True):
-            block, words, *rest = (x.as_py() for x in m)
-            if words is None:
-                _, _, has, ids, times, train = rest
-                out.append((block, "docs", ids, has, train, None, None, times, None))
+    subs: list[list] = [[] for _ in range(SUB)]
+    for batch in rows.to_batches():
+        for sub, block, words, *rest in zip(*[batch.column(c) for c in _FIELDS[1:]], strict=True):
+            if words.is_valid:
+                subs[sub.as_py()].append((block.as_py(), *[x.as_buffer() for x in (words, *rest)]))
             else:
-                parts.append((block, words, *rest))
+                _, _, has, ids, times, train = (x.as_py() for x in rest)
+                out.append((block.as_py(), "docs", ids, has, train, None, None, times, None))
+    known_words = 0
+    sums: dict[int, list[np.ndarray]] = {}
+    for parts in subs:
+        known, got = _part_sums(parts, frequent, tokens, mu)
+        known_words += known
+        for block, *new in got:
+            if block in sums:
+                for have, x in zip(sums[block], new, strict=True):
+                    have += x
+            else:
+                sums[block] = [x.copy() for x in new]
+    out += [(block, "sums", None, None, None, base.tobytes(), scores.astype("<f4").tobytes(), n_known.astype("<u4").tobytes(), None)
+            for block, (base, scores, n_known) in sums.items()]
+    out.append((None, "words", None, None, None, None, None, None, known_words))
+    names = [c.split(" ")[0] for c in _SUMS.split(", ")]
+    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), _SUM_TYPES, strict=True)], names=names)
+
+
+def _part_sums(parts: list, frequent: dict[int, int], tokens: int, mu: float) -> tuple[int, Iterator[tuple]]:
+    """Known words, and sums of base, score and known tokens per document of each block, of the
+    messages of one part of a shard."""
     w = np.concatenate([np.repeat(np.frombuffer(p[1], "<u8"), np.frombuffer(p[2], "<u4")) for p in parts] or [np.zeros(0, np.uint64)])
     v = np.concatenate([_unpack48(p[3]) for p in parts] or [np.zeros(0, np.uint64)])
     docs_of = np.concatenate([np.frombuffer(p[4], "<u4") for p in parts] or [np.zeros(0, np.int64)]).astype(np.int64)
@@ -204,12 +226,8 @@ def shard_sums(rows: pa.Table, frequent: dict[int, int], tokens: int, mu: float)
     total = int(base_at[-1])
     base = np.bincount(doc, times * np.log10(c_word + 0.5)[w_of][pair_of], total)
     scores = np.bincount(doc, times * score[pair_of], total)
-    n_known = np.bincount(doc, times * (c_word > 0)[w_of][pair_of], total).astype("<u4")
-    for p, a, b in zip(parts, base_at[:-1], base_at[1:], strict=True):
-        out.append((p[0], "sums", None, None, None, base[a:b].tobytes(), scores[a:b].astype("<f4").tobytes(), n_known[a:b].tobytes(), None))
-    out.append((None, "words", None, None, None, None, None, None, known_words))
-    names = [c.split(" ")[0] for c in _SUMS.split(", ")]
-    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), _SUM_TYPES, strict=True)], names=names)
+    n_known = np.bincount(doc, times * (c_word > 0)[w_of][pair_of], total)
+    return known_words, ((p[0], base[a:b], scores[a:b], n_known[a:b]) for p, a, b in zip(parts, base_at[:-1], base_at[1:], strict=True))
 
 
 def score(docs: DataFrame, scratch: Scratch, mu: float = 500.0) -> DataFrame:
