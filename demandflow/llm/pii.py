@@ -43,10 +43,11 @@ _CYRILLIC = ("ба", "ве", "ги", "до", "жа", "зе", "ки", "ло", "м
 
 _TITLES = "|".join(sorted(FEMALE + MALE, key=lambda t: (-len(t), t)))
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
-#: One alternative per type.  Look-behinds start a match only where a run of its characters
-#: starts, and all repetitions are bounded, so long unbroken texts take linear time.
-MENTION = "|".join((
-    r"(?<![A-Za-z0-9._+-])[A-Za-z0-9_+][A-Za-z0-9._+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])",
+#: One alternative per type, none of which starts inside a word.  Look-behinds start a match only
+#: where a run of its characters starts, and all repetitions are bounded, so long unbroken texts
+#: take linear time.
+MENTION = r"(?<![A-Za-z0-9])(?:" + "|".join((
+    r"(?<![A-Za-z0-9._+-])[A-Za-z0-9_+][A-Za-z0-9._+-]{0,63}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])",
     rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])",
     r"(?<![0-9A-Za-z+])\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])",
     r"(?<![0-9A-Za-z(])\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?![0-9])",
@@ -54,8 +55,8 @@ MENTION = "|".join((
     r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128}|AKIA[0-9A-Z]{16}|(?:sk|pk|ghp)_[A-Za-z0-9_]{16,128})(?![0-9A-Za-z])",
     r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])",
-    rf"(?<!\p{{L}})(?:{_TITLES})\.? \p{{Lu}}\p{{Ll}}{{1,30}}(?: \p{{Lu}}\p{{Ll}}{{1,30}})?(?!\p{{L}})",
-))
+    rf"(?=[MHFSГ])(?<!\p{{L}})(?:{_TITLES})\.? \p{{Lu}}\p{{Ll}}{{1,30}}+(?: \p{{Lu}}\p{{Ll}}{{1,30}}+)?(?!\p{{L}})",
+)) + ")"
 
 
 def _quoted(s: str) -> str:
@@ -204,8 +205,9 @@ def replace(docs: DataFrame, scratch: Scratch, key: str = "public-example-key")
     """``docs`` with its mentions rewritten in ``text``, and ``n_entities`` (mentions in the text).
     ``key`` is the secret; without it surrogates can't be linked to entities."""
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").cast("string").alias("text"))
-    found = row.withColumn("mentions", F.coalesce(F.expr(_MENTIONS), F.expr("cast(array() as array<string>)")))
-    have = found.where("size(mentions) > 0").withColumn("k", F.md5("text"))
+    # the first match decides whether a text has any; only those that do are searched through
+    have = row.where(F.expr(f"text RLIKE {_RX}")).withColumn("mentions", F.expr(_MENTIONS)).withColumn("k", F.md5("text"))
+    none = F.expr("cast(array() as array<string>)").alias("mentions")
     held = have.select("k", F.explode(F.expr(f"flatten(transform(array_distinct(mentions), m -> {_entities('m')}))")).alias("e")).distinct()
     held = scratch.write(held.select("k", F.substring_index("e", "|", 1).alias("type"), F.expr("substr(e, instr(e, '|') + 1)").alias("canon")), "held")
     named = surrogates(held.select("type", "canon").distinct(), scratch, key)
@@ -213,7 +215,7 @@ def replace(docs: DataFrame, scratch: Scratch, key: str = "public-example-key")
         F.map_from_entries(F.collect_list(F.struct(F.concat_ws("|", "type", "canon"), "surrogate"))).alias("found"))
     changed = have.join(maps, "k").withColumn("text", F.expr(
         f"array_join(zip_with(split(text, {_RX}, -1), transform(mentions, m -> {_rewritten('m', 'found')}), (p, r) -> concat(p, coalesce(r, ''))), '')"))
-    same = found.where("size(mentions) = 0")
+    same = row.where(F.expr(f"text IS NULL OR NOT text RLIKE {_RX}")).select("*", none)
 
     def out(df: DataFrame) -> DataFrame:
         columns: list[Column] = [F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns]
