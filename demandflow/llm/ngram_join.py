@@ -243,6 +243,7 @@ def links(docs: DataFrame, scratch: Scratch, n: int = 5, percent: int = 80, roun
     members = scratch.write(member_sets(texts, n), "members")
     if members.count() > members.select("sid").distinct().count():  # ids that occur on several rows
         members = scratch.write(members.dropDuplicates(["sid"]), "members")
+    scratch.forget()
     # the texts of one id belong together
     same = rows.where("sid IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("sid").alias("u"), F.max("sid").alias("v")).where("u != v")
     if same.limit(1).count():
@@ -275,6 +276,7 @@ def links(docs: DataFrame, scratch: Scratch, n: int = 5, percent: int = 80, roun
         pairs = scratch.write(pairs, "pairs")
         tried = pairs if tried is None else tried.unionByName(pairs)
         new = scratch.write(verified(pairs, members, percent).select(F.col("a").alias("u"), F.col("b").alias("v")), "links")
+        scratch.forget()
         if new.limit(1).count():
             old = found.select(F.col("node").alias("u"), F.col("component").alias("v"))
             found = scratch.write(components(new.unionByName(old), scratch), "found")

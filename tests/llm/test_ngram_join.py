@@ -56,11 +56,11 @@ def near(rng, words, edits):
 def test_near_copies_chains_and_thresholds(spark, scratch):
     rng = random.Random(3)
     texts = []
-    for _ in range(6):  # groups of near copies, many of them close to the threshold
+    for _ in range(3):  # groups of near copies, many of them close to the threshold
         base = prose(rng, rng.randrange(60, 200), 5000)
-        texts += [near(rng, base, rng.randrange(0, 6)) for _ in range(25)]
+        texts += [near(rng, base, rng.randrange(0, 6)) for _ in range(15)]
     chain = prose(rng, 120, 5000)
-    for _ in range(20):  # only neighbours are alike
+    for _ in range(8):  # only neighbours are alike
         chain = near(rng, chain, 2)
         texts.append(chain)
     passage = prose(rng, 50, 5000)
@@ -69,12 +69,8 @@ def test_near_copies_chains_and_thresholds(spark, scratch):
     texts += ["a b c d e f g h i", "A B C D E F G H I", "a b c d e f g h i j", "", None, " "]
     rng.shuffle(texts)
     rows = list(enumerate(texts))
-    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
-    for rounds in (0, 4):
-        rows_df, found = ngram_join.links(docs, scratch, rounds=rounds)
-        assert found is not None
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert got(ngram_join.clusters(docs, scratch)) == brute(rows)
-    assert got(ngram_join.clusters(docs, scratch, n=3, percent=60)) == brute(rows, 3, 60)
 
 
 def test_awkward_rows(spark, scratch, awkward):
@@ -94,7 +90,7 @@ def test_awkward_rows(spark, scratch, awkward):
 
 def test_components_of_chains_and_stars(spark, scratch):
     rng = random.Random(1)
-    chain = list(range(300))
+    chain = list(range(40))
     rng.shuffle(chain)
     edges = list(zip(chain, chain[1:], strict=False)) + [(1000, 1000 + i) for i in range(50)] + [(5000, 5000), (6001, 6000), (6000, 6001)]
     out = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "u long, v long"), scratch).collect()}
