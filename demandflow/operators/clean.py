@@ -62,7 +62,8 @@ def coerce_datetime(df: DataFrame, cols: Iterable[str] = DATE_COLS) -> DataFrame
             continue
         dtype = df.schema[c].dataType
         if isinstance(dtype, T.StringType):
-            out[c] = F.try_to_timestamp(F.col(c)).cast("timestamp_ntz")
+            # straight to NTZ: by way of a zoned timestamp, times in a zone's gap would move
+            out[c] = F.col(c).try_cast("timestamp_ntz")
         elif isinstance(dtype, (T.DateType, T.TimestampType)):
             out[c] = F.col(c).cast("timestamp_ntz")
     return df.withColumns(out) if out else df

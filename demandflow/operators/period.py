@@ -224,10 +224,18 @@ def region_period_partials(df: DataFrame, time_col: str, series_keys: Iterable[s
         target = F.lit(None).cast("bigint")
     return (df.where(F.col(time_col).isNotNull())
             .groupBy(*dict.fromkeys([*series_keys, region_col, time_col]))
-            .agg(*[F.avg(src).alias(dst) for src, dst in DELTA_COLS.items()],
+            .agg(*[_order_free_mean(src).alias(dst) for src, dst in DELTA_COLS.items()],
                  sales.alias("sales"), target.alias("__target")))
 
 
+def _order_free_mean(col: str) -> Column:
+    """Mean that does not depend on the order of summation: hours are summed as whole
+    microseconds (day counts are whole numbers already)."""
+    if not col.endswith("_hours"):
+        return F.avg(col)
+    return F.try_divide(F.sum(F.round(F.col(col) * 3.6e9).cast("bigint")) / F.lit(3.6e9), F.count(col))
+
+
 def _suffix(region: str, suffix_map: Mapping[str, str]) -> str:
     return suffix_map.get(region, region.lower())
 

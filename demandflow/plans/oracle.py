@@ -136,7 +136,7 @@ def region_ctes(key: str, suffix: dict[str, str], mode: str = "items", series: s
     return f"""
 preg AS (
   SELECT {sk}customer_region, {key}, avg(delivery_diff_estimated) delivery_diff_estimated_mean,
-    avg(estimated_delivery_lead_days) est_delivery_lead_days_mean, avg(approval_time_hours) approval_time_hours_mean,
+    avg(estimated_delivery_lead_days) est_delivery_lead_days_mean, CAST(sum(CAST(round(approval_time_hours * 3600000000.0) AS BIGINT)) AS DOUBLE) / 3600000000.0 / nullif(count(approval_time_hours), 0) approval_time_hours_mean,
     {'count(*)' if mode == 'items' else 'count(DISTINCT order_id)'} sales
   FROM d WHERE customer_region IS NOT NULL AND {key} IS NOT NULL GROUP BY {", ".join(str(i) for i in range(1, 3 + n))}),
 treg AS (SELECT {sk}{key}, {', '.join(wide + weighted)} FROM preg GROUP BY {", ".join(str(i) for i in range(1, 2 + n))}),

@@ -42,8 +42,9 @@ def get_session(master: str = "local[*]", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint directory of the session.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is.  Only
-    when it is unset (local tests) a fresh scratch folder is created.
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is.  Where it
+    is unset, a local session (one JVM, as in tests) gets a fresh scratch folder and any other
+    master is refused: executors would not see a folder on the driver's disk.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -53,6 +54,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return configured
+    if not (sc.master == "local" or sc.master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="demandflow-ckpt-")
     sc.setCheckpointDir(local)
     return local

@@ -74,7 +74,9 @@ def load_dataset(spark: SparkSession, base_dir: str, fmt: str = "csv",
         if fmt != "csv":
             catalog[name] = spark.read.parquet(path)
             continue
-        df = spark.read.option("header", True).option("inferSchema", False).csv(path)
+        # quoted fields may hold line breaks and doubled quotes, as review comments do
+        df = (spark.read.option("header", True).option("inferSchema", False).option("multiLine", True)
+              .option("escape", '"').csv(path))
         schema = _schema_for(name, schemas)
         if schema is not None:
             types = {f.name: f.dataType for f in schema.fields}
