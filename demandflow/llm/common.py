@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import atexit
-import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -66,12 +65,6 @@ class Scratch:
         for df in frames:
             delete(self.spark, df._scratch_path)
 
-    def forget(self) -> None:
-        """Let Spark remove the shuffle files of finished jobs now: its cleaner waits for the driver
-        to collect garbage, which a small driver heap may not do in a whole loop of jobs."""
-        gc.collect()
-        self.spark.sparkContext._jvm.System.gc()
-
     def _end(self) -> None:
         try:
             delete(self.spark, self.root)

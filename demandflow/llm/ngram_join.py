@@ -40,7 +40,6 @@ BUCKETS = 1 << 20
 SLICE = 1 << 12
 PARTS = 1024
 WORDS = PARTS // 64
-FILTER = 1 << 23
 
 
 def sets(texts: pa.Array, n: int) -> list[np.ndarray]:
@@ -81,7 +80,7 @@ def profile(docs: DataFrame, n: int) -> DataFrame:
                     "sid": pa.array([identity(s) if len(s) else None for s in own], pa.int64()),
                     "slice": pa.nulls(rows, pa.int32()), "counts": pa.nulls(rows, pa.binary())})
         parts = [(i, counts[i * SLICE:(i + 1) * SLICE]) for i in range(BUCKETS // SLICE)]
-        parts = [(i, c.astype("<i8").tobytes()) for i, c in parts if c.any()]
+        parts = [(i, c.astype("<u4").tobytes()) for i, c in parts if c.any()]
         empty = pa.nulls(len(parts), pa.int64())
         yield pa.RecordBatch.from_pydict({
             "doc_id": empty, "n": empty, "sid": empty, "slice": pa.array([i for i, _ in parts], pa.int32()),
@@ -98,7 +97,7 @@ def rarity(profiled: DataFrame) -> np.ndarray:
         totals: dict[int, np.ndarray] = {}
         for batch in batches:
             for i, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                c = np.frombuffer(blob, "<i8")
+                c = np.frombuffer(blob, "<u4").astype(np.int64)
                 totals[i] = totals[i] + c if i in totals else c
         if totals:
             yield pa.RecordBatch.from_pydict({"slice": pa.array(list(totals), pa.int32()),
@@ -182,33 +181,11 @@ def _sketch(s: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view("<i8")
 
 
-def _place(column: str):
-    return F.pmod(F.xxhash64(column), F.lit(FILTER)).alias("place")
-
-
-def bitmap(df: DataFrame, column: str):
-    """Broadcast bitmap (1 MB) of the hashed values: it lets through all of them and, by chance, a
-    few others, and so spares a shuffle of the rows that it stops."""
-    bits = df.select(_place(column)).groupBy(F.expr("place div 64").alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(place % 64 as int)))").alias("bits"))
-    out = np.zeros(FILTER // 64, np.int64)
-    for r in bits.collect():  # at most FILTER / 64 rows
-        out[r["word"]] = r["bits"]
-    return df.sparkSession.sparkContext.broadcast(out)
-
-
-def _passed(batch: pa.RecordBatch, shared) -> pa.RecordBatch:
-    place = batch.column(batch.num_columns - 1).to_numpy()
-    return batch.filter(pa.array((shared.value[place >> 6] >> (place & 63) & 1).astype(bool)))
-
-
-def member_sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """``sid, size, z0 ..., items`` per text of the ``wanted`` documents (and a few others): the sketch and
-    the sorted hashes."""
-    shared = bitmap(wanted, "doc_id")
-
+def member_sets(docs: DataFrame, n: int) -> DataFrame:
+    """``sid, size, z0 ..., items`` per text: the sketch and the sorted hashes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(_passed(batch, shared), "text"):
+            for part in slices(batch, "text"):
                 own = [s for s in sets(part.column("text"), n) if len(s)]
                 z = np.array([_sketch(s) for s in own], np.int64).reshape(len(own), WORDS)
                 yield pa.RecordBatch.from_pydict({
@@ -216,8 +193,7 @@ def member_sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
                     **{f"z{i}": pa.array(z[:, i]) for i in range(WORDS)},
                     "items": pa.array([s.astype("<u8").tobytes() for s in own], pa.binary())})
 
-    rows = docs.select(F.col("text").cast("string").alias("text"), F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL")
-    return rows.select("text", _place("doc_id")).mapInArrow(run, f"sid long, size int, {', '.join(f'z{i} long' for i in range(WORDS))}, items binary")
+    return docs.select("text").mapInArrow(run, f"sid long, size int, {', '.join(f'z{i} long' for i in range(WORDS))}, items binary")
 
 
 def _renamed(members: DataFrame, key: str, mark: str) -> DataFrame:
@@ -231,7 +207,7 @@ def _close(percent: int) -> str:
     return f"{100 + percent} * ({apart}) <= {100 - percent} * (size_x + size_y)"
 
 
-def verified(pairs: DataFrame, members: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a, b`` that link: first the suffix filter, then the sets themselves."""
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -243,18 +219,8 @@ def verified(pairs: DataFrame, members: DataFrame, scratch: Scratch, percent: in
             yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
 
     near = pairs.join(_renamed(members, "a", "x"), "a").join(_renamed(members, "b", "y"), "b").where(_close(percent)).select("a", "b")
-    near = scratch.write(near, "near")
-
-    def items(side: str, name: str) -> DataFrame:
-        shared = bitmap(near, side)
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                yield _passed(batch, shared).select([0, 1])
-
-        return members.select("sid", "items", _place("sid")).mapInArrow(run, "sid long, items binary").toDF(side, name)
-
-    whole = near.join(items("a", "x"), "a").join(items("b", "y"), "b")
+    whole = near.join(members.select(F.col("sid").alias("a"), F.col("items").alias("x")), "a")
+    whole = whole.join(members.select(F.col("sid").alias("b"), F.col("items").alias("y")), "b")
     return whole.select("a", "b", "x", "y").mapInArrow(exact, "a long, b long")
 
 
@@ -273,10 +239,10 @@ def links(docs: DataFrame, scratch: Scratch, n: int = 5, percent: int = 80, roun
     dealt = prefixes(docs, ranks, n, percent).repartition("key").sortWithinPartitions("key", "n", "sid")
     groups = scratch.write(dealt.mapInArrow(_shared_rows, "key long, n int, sid long, pos int"), "groups")
     named = rows.join(groups.select("sid").distinct(), "sid", "left_semi").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
-    members = scratch.write(member_sets(docs, named, n), "members")
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(named.select("doc_id").distinct(), "doc_id", "left_semi")
+    members = scratch.write(member_sets(texts, n), "members")
     if members.count() > members.select("sid").distinct().count():  # ids that occur on several rows
         members = scratch.write(members.dropDuplicates(["sid"]), "members")
-    scratch.forget()
     # the texts of one id belong together
     same = rows.where("sid IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("sid").alias("u"), F.max("sid").alias("v")).where("u != v")
     if same.limit(1).count():
@@ -308,8 +274,7 @@ def links(docs: DataFrame, scratch: Scratch, n: int = 5, percent: int = 80, roun
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = scratch.write(pairs, "pairs")
         tried = pairs if tried is None else tried.unionByName(pairs)
-        new = scratch.write(verified(pairs, members, scratch, percent).select(F.col("a").alias("u"), F.col("b").alias("v")), "links")
-        scratch.forget()
+        new = scratch.write(verified(pairs, members, percent).select(F.col("a").alias("u"), F.col("b").alias("v")), "links")
         if new.limit(1).count():
             old = found.select(F.col("node").alias("u"), F.col("component").alias("v"))
             found = scratch.write(components(new.unionByName(old), scratch), "found")
