@@ -61,9 +61,24 @@ class Scratch:
         out._scratch_path = path
         return out
 
+    def write_bucketed(self, df: DataFrame, name: str, key: str) -> DataFrame:
+        """A table bucketed by ``key`` into as many buckets as joins have partitions, so that
+        joining small tables with it by ``key`` moves only those.  Rows of ``df`` should already
+        be dealt by ``key``.  ``drop`` it when it is done with, as the catalog names it."""
+        path, label = self.path(name), f"scratch_{uuid.uuid4().hex}"
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        df.write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(buckets, key).saveAsTable(label)
+        out = self.spark.table(label)
+        out._scratch_path, out._scratch_table = path, label
+        return out
+
     def drop(self, *frames: DataFrame) -> None:
+        """Remove these tables, and let the driver notice which shuffle files nothing reads any more."""
         for df in frames:
+            if hasattr(df, "_scratch_table"):
+                self.spark.sql(f"DROP TABLE IF EXISTS {df._scratch_table}")
             delete(self.spark, df._scratch_path)
+        self.spark._jvm.System.gc()
 
     def _end(self) -> None:
         try:

@@ -66,7 +66,8 @@ def identity(s: np.ndarray) -> int:
 
 
 def profile(docs: DataFrame, n: int) -> DataFrame:
-    """``doc_id, n, sid`` per document (slice null) and ``slice, counts`` per task."""
+    """``doc_id, n, sid, mark`` per document (slice null; mark: a hash of the text) and
+    ``slice, counts`` per task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(BUCKETS, np.int64)
         for batch in batches:
@@ -77,17 +78,21 @@ def profile(docs: DataFrame, n: int) -> DataFrame:
                 counts += np.bincount((every & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": part.column("doc_id"), "n": pa.array([len(s) for s in own], pa.int64()),
-                    "sid": pa.array([identity(s) if len(s) else None for s in own], pa.int64()),
+                    "sid": pa.array([identity(s) if len(s) else None for s in own], pa.int64()), "mark": part.column("mark"),
                     "slice": pa.nulls(rows, pa.int32()), "counts": pa.nulls(rows, pa.binary())})
         parts = [(i, counts[i * SLICE:(i + 1) * SLICE]) for i in range(BUCKETS // SLICE)]
         parts = [(i, c.astype("<u4").tobytes()) for i, c in parts if c.any()]
         empty = pa.nulls(len(parts), pa.int64())
         yield pa.RecordBatch.from_pydict({
-            "doc_id": empty, "n": empty, "sid": empty, "slice": pa.array([i for i, _ in parts], pa.int32()),
+            "doc_id": empty, "n": empty, "sid": empty, "mark": empty, "slice": pa.array([i for i, _ in parts], pa.int32()),
             "counts": pa.array([c for _, c in parts], pa.binary())})
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, n long, sid long, slice int, counts binary")
+    return _marked(docs).mapInArrow(run, "doc_id long, n long, sid long, mark long, slice int, counts binary")
+
+
+def _marked(docs: DataFrame) -> DataFrame:
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long"), text.alias("text"), F.xxhash64(text).alias("mark"))
 
 
 def rarity(profiled: DataFrame) -> np.ndarray:
@@ -181,19 +186,19 @@ def _sketch(s: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view("<i8")
 
 
-def member_sets(docs: DataFrame, n: int) -> DataFrame:
-    """``sid, size, z0 ..., items`` per text: the sketch and the sorted hashes."""
+def member_sets(texts: DataFrame, n: int) -> DataFrame:
+    """``sid, size, z0 ..., items`` per text of ``sid, text``: the sketch and the sorted hashes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                own = [s for s in sets(part.column("text"), n) if len(s)]
+                own = sets(part.column("text"), n)
                 z = np.array([_sketch(s) for s in own], np.int64).reshape(len(own), WORDS)
                 yield pa.RecordBatch.from_pydict({
-                    "sid": pa.array([identity(s) for s in own], pa.int64()), "size": pa.array([len(s) for s in own], pa.int32()),
+                    "sid": part.column("sid"), "size": pa.array([len(s) for s in own], pa.int32()),
                     **{f"z{i}": pa.array(z[:, i]) for i in range(WORDS)},
                     "items": pa.array([s.astype("<u8").tobytes() for s in own], pa.binary())})
 
-    return docs.select("text").mapInArrow(run, f"sid long, size int, {', '.join(f'z{i} long' for i in range(WORDS))}, items binary")
+    return texts.select("sid", "text").mapInArrow(run, f"sid long, size int, {', '.join(f'z{i} long' for i in range(WORDS))}, items binary")
 
 
 def _renamed(members: DataFrame, key: str, mark: str) -> DataFrame:
@@ -207,8 +212,15 @@ def _close(percent: int) -> str:
     return f"{100 + percent} * ({apart}) <= {100 - percent} * (size_x + size_y)"
 
 
-def verified(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``a, b`` that link: first the suffix filter, then the sets themselves."""
+def _needed(pairs: DataFrame, members: DataFrame, columns: list[str], scratch: Scratch, name: str) -> DataFrame:
+    """``columns`` of the sets that occur in ``pairs``.  The bucketed sets stay where they are,
+    only ids move; written, so that the joins that follow can split a set with many pairs."""
+    ids = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct()
+    return scratch.write(members.select("sid", *columns).join(ids.hint("shuffle_hash"), "sid", "left_semi"), name)
+
+
+def verified(pairs: DataFrame, members: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """The pairs ``a, b`` that link, written: first the suffix filter, then the sets themselves."""
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ok = []
@@ -218,10 +230,17 @@ def verified(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
                 ok.append(100 * both >= percent * (len(p) + len(q) - both))
             yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
 
-    near = pairs.join(_renamed(members, "a", "x"), "a").join(_renamed(members, "b", "y"), "b").where(_close(percent)).select("a", "b")
-    whole = near.join(members.select(F.col("sid").alias("a"), F.col("items").alias("x")), "a")
-    whole = whole.join(members.select(F.col("sid").alias("b"), F.col("items").alias("y")), "b")
-    return whole.select("a", "b", "x", "y").mapInArrow(exact, "a long, b long")
+    sketches = _needed(pairs, members, ["size", *[f"z{i}" for i in range(WORDS)]], scratch, "sketches")
+    near = pairs.join(_renamed(sketches, "a", "x"), "a").join(_renamed(sketches, "b", "y"), "b").where(_close(percent)).select("a", "b")
+    near = scratch.write(near, "near")
+    scratch.drop(sketches)
+    whole = _needed(near, members, ["items"], scratch, "whole")
+    # both joins read one exchange of the sets
+    both = near.alias("p").join(whole.alias("x"), F.expr("p.a = x.sid")).join(whole.alias("y"), F.expr("p.b = y.sid"))
+    both = both.select("p.a", "p.b", F.col("x.items").alias("x"), F.col("y.items").alias("y"))
+    out = scratch.write(both.mapInArrow(exact, "a long, b long"), "links")
+    scratch.drop(near, whole)
+    return out
 
 
 def _possible(percent: int) -> str:
@@ -234,15 +253,17 @@ def _possible(percent: int) -> str:
 def links(docs: DataFrame, scratch: Scratch, n: int = 5, percent: int = 80, rounds: int = 4) -> tuple[DataFrame, DataFrame]:
     """``doc_id, n, sid`` per row of ``docs`` and ``node, component`` per linked set."""
     profiled = scratch.write(profile(docs, n), "profile")
-    rows = profiled.where("slice IS NULL").select("doc_id", "n", "sid")
+    rows = profiled.where("slice IS NULL").select("doc_id", "n", "sid", "mark")
     ranks = rarity(profiled)
     dealt = prefixes(docs, ranks, n, percent).repartition("key").sortWithinPartitions("key", "n", "sid")
     groups = scratch.write(dealt.mapInArrow(_shared_rows, "key long, n int, sid long, pos int"), "groups")
-    named = rows.join(groups.select("sid").distinct(), "sid", "left_semi").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(named.select("doc_id").distinct(), "doc_id", "left_semi")
-    members = scratch.write(member_sets(texts, n), "members")
-    if members.count() > members.select("sid").distinct().count():  # ids that occur on several rows
-        members = scratch.write(members.dropDuplicates(["sid"]), "members")
+    named = rows.where("doc_id IS NOT NULL").join(groups.select("sid").distinct(), "sid", "left_semi").groupBy("sid").agg(F.min(F.struct("doc_id", "mark")).alias("x"))
+    # a set's text travels, not its hashes, which take more room
+    texts = _marked(docs).join(named.select("sid", "x.*"), ["doc_id", "mark"]).select("sid", "text").repartition("sid")
+    members = scratch.write_bucketed(member_sets(texts, n), "members", "sid")
+    if members.count() > members.select("sid").distinct().count():  # rows that occur several times
+        repeated, members = members, scratch.write_bucketed(members.dropDuplicates(["sid"]), "members", "sid")
+        scratch.drop(repeated)
     # the texts of one id belong together
     same = rows.where("sid IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("sid").alias("u"), F.max("sid").alias("v")).where("u != v")
     if same.limit(1).count():
@@ -274,7 +295,7 @@ def links(docs: DataFrame, scratch: Scratch, n: int = 5, percent: int = 80, roun
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = scratch.write(pairs, "pairs")
         tried = pairs if tried is None else tried.unionByName(pairs)
-        new = scratch.write(verified(pairs, members, percent).select(F.col("a").alias("u"), F.col("b").alias("v")), "links")
+        new = verified(pairs, members, percent, scratch).select(F.col("a").alias("u"), F.col("b").alias("v"))
         if new.limit(1).count():
             old = found.select(F.col("node").alias("u"), F.col("component").alias("v"))
             found = scratch.write(components(new.unionByName(old), scratch), "found")
@@ -282,7 +303,8 @@ def links(docs: DataFrame, scratch: Scratch, n: int = 5, percent: int = 80, roun
                 k += 1
                 continue
         if k >= rounds:
-            return rows, found
+            scratch.drop(members, groups)
+            return rows.drop("mark"), found
         k = rounds  # a round without a link: only the rest is left
 
 
