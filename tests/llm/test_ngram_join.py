@@ -97,3 +97,13 @@ def test_components_of_chains_and_stars(spark, scratch):
     assert all(out[i] == 0 for i in chain)
     assert all(out[1000 + i] == 1000 for i in range(50))
     assert 5000 not in out and out[6001] == out[6000] == 6000
+
+
+def test_a_null_id_beside_copies_hides_no_link(spark, scratch):
+    rng = random.Random(11)
+    words = prose(rng, 60, 5000).split()
+    near = " ".join([*words[:-1], "other"])
+    docs = spark.createDataFrame([(None, " ".join(words)), (4, " ".join(words)), (4, " ".join(words)), (9, near), (2, prose(rng, 60, 5000))],
+                                 "doc_id long, text string")
+    found = got(ngram_join.clusters(docs, scratch))
+    assert found == {None: (56, None), 4: (56, 4), 9: (56, 4), 2: (56, 2)}
