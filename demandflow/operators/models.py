@@ -19,7 +19,7 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandflow.operators.backtest import cv_frames, lit_like
@@ -206,33 +206,40 @@ def additive_fit_predict(target_col: str, date_col: str, n_changepoints: int = 2
 # --- seasonal autoregression on differences -----------------------------------------------------
 def seasonal_ar_fit_predict(target_col: str, date_col: str, season: int = 7, reg_param: float = 0.0):
     """B8 re-aimed: regular and seasonal differencing (d = D = 1) of the target, then
-    z_t = phi * z_(t-1) + Phi * z_(t-s) + c by least squares on the training rows; the
-    forecast integrates back with the observed history:
-    y_hat_t = y_(t-1) + y_(t-s) - y_(t-s-1) + z_hat_t."""
+    z_t = phi * z_(t-1) + Phi * z_(t-s) + c by least squares on the training rows.  The
+    forecast starts from the end of the training rows and feeds its own values back,
+    y_hat_t = y_(t-1) + y_(t-s) - y_(t-s-1) + z_hat_t, so it never reads a validation target.
+    Fewer than 2s + 2 training rows, or a null among the last 2s + 2 targets, give null."""
     s = season
 
     def lags(df: DataFrame) -> DataFrame:
         w = Window.orderBy(date_col)
         y = F.col(target_col).cast("double")
-        d1 = df.select("*", (y - F.lag(y, 1).over(w)).alias("__d1"), F.lag(y, 1).over(w).alias("__y1"),
-                       F.lag(y, s).over(w).alias("__ys"), F.lag(y, s + 1).over(w).alias("__ys1"))
-        z = d1.select("*", (F.col("__d1") - F.lag("__d1", s).over(w)).alias("__z"))
-        return z.select("*", F.lag("__z", 1).over(w).alias("__z1"), F.lag("__z", s).over(w).alias("__zs"))
+        z = df.select(date_col, (y - F.lag(y, 1).over(w) - F.lag(y, s).over(w) + F.lag(y, s + 1).over(w)).alias("__z"))
+        return z.select("__z", F.lag("__z", 1).over(w).alias("__z1"), F.lag("__z", s).over(w).alias("__zs"))
 
     def fit_predict(train: DataFrame, valid: DataFrame) -> DataFrame:
-        cols = [date_col, target_col]
-        hist = lags(train.select(*cols, F.lit(True).alias("__train"))
-                    .unionByName(valid.select(*cols, F.lit(False).alias("__train"))))
-        fit_rows = hist.where(F.col("__train") & F.col("__z").isNotNull()
-                              & F.col("__z1").isNotNull() & F.col("__zs").isNotNull())
-        assembler = VectorAssembler(inputCols=["__z1", "__zs"], outputCol="__x", handleInvalid="keep")
+        # the last 2s + 2 targets: a number of rows fixed by the season
+        tail = train.select(F.col(target_col).cast("double").alias("y"), date_col).orderBy(F.desc(date_col)).limit(2 * s + 2).collect()
+        if len(tail) < 2 * s + 2:
+            return valid.withColumn("prediction", F.lit(None).cast("double"))
+        assembler = VectorAssembler(inputCols=["__z1", "__zs"], outputCol="__x")
         model = LinearRegression(featuresCol="__x", labelCol="__z", regParam=reg_param, solver="normal") \
-            .fit(assembler.transform(fit_rows))
-        pred_rows = hist.where(~F.col("__train")).na.fill(0.0, ["__z1", "__zs"])
-        z_hat = model.transform(assembler.transform(pred_rows))
-        y_hat = F.col("__y1") + F.col("__ys") - F.col("__ys1") + F.col("prediction")
-        out = z_hat.select(date_col, y_hat.alias("prediction"))
-        return _with_prediction(valid, out, [date_col])
+            .fit(assembler.transform(lags(train).na.drop()))
+        phi, phi_s = (float(c) for c in model.coefficients)
+
+        def following(path: Column) -> Column:
+            def y(back: int) -> Column:
+                return F.element_at(path, -back)
+            z1 = y(1) - y(2) - y(s + 1) + y(s + 2)
+            zs = y(s) - y(s + 1) - y(2 * s) + y(2 * s + 1)
+            return y(1) + y(s) - y(s + 1) + F.lit(phi) * z1 + F.lit(phi_s) * zs + F.lit(float(model.intercept))
+
+        history = F.array(*[F.lit(r["y"]).cast("double") for r in reversed(tail)])
+        dates = valid.agg(F.sort_array(F.collect_set(date_col)).alias("date"))   # one fold's calendar
+        path = F.aggregate("date", history, lambda acc, _: F.concat(acc, F.array(following(acc))))
+        steps = dates.withColumn("y", F.slice(path, 2 * s + 3, F.size("date"))).select(F.explode(F.arrays_zip("date", "y")).alias("p"))
+        return _with_prediction(valid, steps.select(F.col("p.date").alias(date_col), F.col("p.y").alias("prediction")), [date_col])
 
     return fit_predict
 

@@ -88,3 +88,15 @@ def test_b6_feature_subset_sweep(spark, seasonal):
     rows = {r.k: r for r in out.collect()}
     assert set(rows) == {1, 3} and rows[1].n_features == 1 and rows[3].n_features == 3
     assert all(rows[k].rmse is not None for k in rows)
+
+
+def test_seasonal_ar_does_not_read_validation_targets(seasonal):
+    fp = models.seasonal_ar_fit_predict("y", "d", 7)
+    cut = F.lit(dt.date(2020, 6, 1))
+    train, valid = seasonal.where(F.col("d") <= cut), seasonal.where(F.col("d") > cut)
+    def got(v):
+        return [r.prediction for r in fp(train, v).orderBy("d").collect()]
+    plain = got(valid)
+    assert len(plain) == valid.count() and None not in plain
+    assert plain == got(valid.withColumn("y", F.col("y") * 10))
+    assert all(p is None for p in [r.prediction for r in fp(train.limit(10), valid).collect()])
