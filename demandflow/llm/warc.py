@@ -9,7 +9,8 @@ framing, so archives go to any store Spark writes to; a file holds at most ``rec
 magic stands, with the offset of its successor by its own Content-Length.  A payload may hold
 the magic, even a whole well-formed record, so no candidate is believed by itself: pointer
 jumping from the start of each file (every round doubles the distance that a pointer
-spans) keeps the candidates that the chain from offset 0 reaches, and only those.
+spans) keeps the candidates that the chain from offset 0 reaches, and only those.  Headers may
+have any length.  An archive whose chain does not end exactly at its length fails the job.
 
 Null html is an empty payload.  A null page id has no id header and reads back as null; null
 and odd URLs are written with CR and LF escaped.  Repeated rows are written as often as they
@@ -19,6 +20,7 @@ Extra columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 import re
 import zlib
 from collections.abc import Iterator
@@ -82,15 +84,29 @@ def _number(value: bytes | None) -> int | None:
 
 def records_at_magic(data: bytes) -> Iterator[tuple]:
     """Every position that reads like a record whose payload is followed by the record end."""
+    starts: list[tuple[int, int]] = []
+    head = -1
     for m in _MAGIC.finditer(data):
-        head = data.find(b"\r\n\r\n", m.start(), m.start() + 65_536)
-        if head < 0:
-            continue
-        fields = {}
-        for line in data[m.end():head].split(b"\r\n"):
+        if m.start() > head:
+            yield from _records_before(data, starts, head)
+            starts, head = [], data.find(b"\r\n\r\n", m.start())
+            if head < 0:
+                return
+        starts.append(m.span())
+    yield from _records_before(data, starts, head)
+
+
+def _records_before(data: bytes, starts: list[tuple[int, int]], head: int) -> Iterator[tuple]:
+    """The records of all magics (start, end) whose header ends at ``head``.  Lines are read once, from the
+    last magic to the first, so many magics before one header end take linear time."""
+    fields: dict[bytes, bytes] = {}
+    below = head
+    for start, lines in reversed(starts):
+        for line in reversed(data[lines:below].split(b"\r\n")):
             name, colon, value = line.partition(b":")
             if colon:
-                fields.setdefault(name.strip().lower(), value.strip())
+                fields[name.strip().lower()] = value.strip()
+        below = lines
         size = _number(fields.get(b"content-length"))
         if size is None or size < 0:
             continue
@@ -98,21 +114,23 @@ def records_at_magic(data: bytes) -> Iterator[tuple]:
         if data[end:end + 4] != b"\r\n\r\n":
             continue
         text = {k: fields.get(k, b"").decode("utf-8", "replace") for k in (b"warc-type", b"warc-target-uri", b"warc-payload-digest")}
-        yield (m.start(), end + 4, text[b"warc-type"], _number(fields.get(b"x-page-id")), _number(fields.get(b"x-refers-to-page-id")),
+        yield (start, end + 4, text[b"warc-type"], _number(fields.get(b"x-page-id")), _number(fields.get(b"x-refers-to-page-id")),
                text[b"warc-target-uri"], text[b"warc-payload-digest"].removeprefix("sha1:"), data[head + 4:end])
 
 
 def candidates(spark: SparkSession, path: str) -> DataFrame:
-    """All candidate records of the archives below ``path``, with their payloads."""
+    """All candidate records of the archives below ``path``, with their payloads, and for each archive
+    one row at the offset of its end, where ``next`` is null."""
     files = spark.read.format("binaryFile").load(path).select(F.xxhash64("path").alias("file"), "content")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for file, content in zip(batch.column(0), batch.column(1), strict=True):
                 rows, size = [], 0
-                for r in records_at_magic(plain(content.as_py())):
+                data = plain(content.as_py())
+                for r in itertools.chain(records_at_magic(data), [(len(data), None, None, None, None, "", None, b"")]):
                     rows.append((file.as_py(), *r))
-                    size += len(r[-1])
+                    size += len(r[-1]) + len(r[5])
                     if size > 4_000_000:
                         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _ARROW.types, strict=True)], schema=_ARROW)
                         rows, size = [], 0
@@ -123,10 +141,10 @@ def candidates(spark: SparkSession, path: str) -> DataFrame:
 
 
 def reachable(found: DataFrame, scratch: Scratch) -> DataFrame:
-    """The rows of ``found`` (``file, offset, next`` and anything else) that the chain from offset 0 of
+    """The records of ``found`` (``file, offset, next`` and anything else) that the chain from offset 0 of
     their file reaches.  ``found`` is read several times: pass a written table.  Round k marks
     what the first 2^k records of a file lead to, so there are as many rounds as the logarithm
-    of the records in the longest file."""
+    of the records in the longest file.  Fails if a file's chain does not end at its length."""
     chain = found.select("file", "offset", F.col("next").alias("to"), (F.col("offset") == 0).alias("marked"))
     chain = scratch.write(chain, "chain")
     while True:
@@ -139,4 +157,8 @@ def reachable(found: DataFrame, scratch: Scratch) -> DataFrame:
         before = chain
         chain = scratch.write(jumped.select("file", "offset", F.col("further").alias("to"), (F.col("marked") | F.coalesce("now", F.lit(False))).alias("marked")), "chain")
         scratch.drop(before)
-    return found.join(chain.where("marked").select("file", "offset"), ["file", "offset"], "left_semi")
+    reached = chain.where("marked").select("file", "offset")
+    broken = found.where("next IS NULL").select("file", "offset").join(reached, ["file", "offset"], "left_anti").count()
+    if broken:
+        raise RuntimeError(f"the chain of records does not end at the end of the file in {broken} archives")
+    return found.where("next IS NOT NULL").join(reached, ["file", "offset"], "left_semi")

@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from demandflow.llm import chat_format, decontamination, pii, quality_classifier, quality_rules, url_filter, warc
@@ -107,6 +108,28 @@ def test_warc_rejects_records_inside_payloads(spark, scratch, tmp_path):
         assert bytes(by[i]["payload"]).decode() == ("" if i in (2, None) else html or "")
 
 
+def test_warc_header_of_any_length_and_broken_chain(spark, scratch, tmp_path):
+    rows = [(i, f"http://h/{i}", f"page {i}") for i in range(9)]
+    rows[4] = (4, "http://h/?q=" + "x" * 100_000, "page 4")
+    path = str(tmp_path / "long")
+    warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), path)
+    got = warc.reachable(scratch.write(warc.candidates(spark, path), "long"), scratch).collect()
+    assert sorted((r["page_id"], r["url"], bytes(r["payload"]).decode()) for r in got) == rows
+    whole = b"WARC/1.1\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
+    for k, tail in enumerate((b"", b"WARC/1.1\r\nContent-Length: 9\r\n\r\nabc\r\n\r\n", b"x")):
+        (tmp_path / f"b{k}").mkdir()
+        (tmp_path / f"b{k}" / "a.warc").write_bytes(whole * 3 + tail)
+        found = scratch.write(warc.candidates(spark, str(tmp_path / f"b{k}")), "b")
+        if tail:
+            with pytest.raises(RuntimeError, match="does not end"):
+                warc.reachable(found, scratch)
+        else:
+            assert warc.reachable(found, scratch).count() == 3
+    # many magics before one header end take linear time and see the first of each field below them
+    many = b"WARC/1.1\r\nX-Page-ID: 1\r\n" * 100_000 + b"WARC/1.0\r\nX-Page-ID: 2\r\nContent-Length: 0\r\n\r\n\r\n\r\n"
+    assert [sum(r[3] == i for r in warc.records_at_magic(many)) for i in (1, 2)] == [100_000, 1]
+
+
 def test_cascade_is_exact(spark, scratch):
     rng = np.random.default_rng(1)
     for n, m in ((0, 10), (10, 0), (500, 3000), (3000, 500), (1, 1)):
