@@ -43,20 +43,25 @@ _CYRILLIC = ("ба", "ве", "ги", "до", "жа", "зе", "ки", "ло", "м
 
 _TITLES = "|".join(sorted(FEMALE + MALE, key=lambda t: (-len(t), t)))
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
-#: One alternative per type, none of which starts inside a word.  Look-behinds start a match only
-#: where a run of its characters starts, and all repetitions are bounded, so long unbroken texts
-#: take linear time.
-MENTION = r"(?<![A-Za-z0-9])(?:" + "|".join((
-    r"(?<![A-Za-z0-9._+-])[A-Za-z0-9_+][A-Za-z0-9._+-]{0,63}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])",
-    rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])",
+_RUN = r"[\p{L}\p{M}\p{N}._+-]"
+_LABEL = r"[\p{L}\p{M}\p{N}-]"
+_NAME = r"\p{Lu}(?:[\p{L}\p{M}]++|(?=[\x27’-]\p{L}))(?:(?:[\x27’]\p{Lu}|-\p{L})[\p{L}\p{M}]*+)*+"
+#: An e-mail is the whole run before its '@' (leading dots and dashes are no part of the entity) and starts
+#: where a run or the rest after the last match starts.
+_EMAIL = (rf"(?:\G|(?<!{_RUN}))[.-]*+{_RUN}++@(?:{_LABEL}{{1,63}}\.){{1,8}}"
+          r"(?:[Xx][Nn]--[A-Za-z0-9-]{2,59}|[A-Za-z]{2,24}|[\p{L}\p{M}]{2,24}+)(?![A-Za-z0-9])")
+#: One alternative per type, none of which starts inside a word.  A run is entered only at its start
+#: and left possessively, or its length is bounded, so long unbroken texts take linear time.
+MENTION = rf"(?:{_EMAIL}|(?<![A-Za-z0-9])(?:" + "|".join((
+    rf"(?<![0-9])(?<![0-9]\.)(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])",
     r"(?<![0-9A-Za-z+])\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])",
     r"(?<![0-9A-Za-z(])\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?![0-9])",
     r"(?<![0-9A-Za-z.-])[0-9]{3}([.-])[0-9]{3}\1[0-9]{4}(?![0-9-]|\.[0-9])",
     r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128}|AKIA[0-9A-Z]{16}|(?:sk|pk|ghp)_[A-Za-z0-9_]{16,128})(?![0-9A-Za-z])",
     r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])",
-    rf"(?=[MHFSГ])(?<!\p{{L}})(?:{_TITLES})\.? \p{{Lu}}\p{{Ll}}{{1,30}}+(?: \p{{Lu}}\p{{Ll}}{{1,30}}+)?(?!\p{{L}})",
-)) + ")"
+    rf"(?=[MHFSГ])(?<!\p{{L}})(?:{_TITLES})\.? {_NAME}(?: {_NAME})?+(?!\p{{L}})",
+)) + "))"
 
 
 def _quoted(s: str) -> str:
@@ -82,7 +87,7 @@ def _kind(m: str) -> str:
 
 def _canon(m: str) -> str:
     """Canonical form of everything but names."""
-    return f"""case {_kind(m)} when 'email' then lower({m}) when 'phone' then right({_digits(m)}, 10)
+    return f"""case {_kind(m)} when 'email' then lower(regexp_replace({m}, '^[.-]+', '')) when 'phone' then right({_digits(m)}, 10)
         when 'card' then {_digits(m)} else {m} end"""
 
 
@@ -95,11 +100,11 @@ def _gender(m: str) -> str:
 
 
 def _given(m: str) -> str:
-    return f"concat('given:', {_gender(m)}, ':', {_script(m)}, '|', lower(split({m}, ' ')[1]))"
+    return f"concat('given:', {_gender(m)}, ':', {_script(m)}, '|', translate(lower(split({m}, ' ')[1]), '’', chr(39)))"
 
 
 def _surname(m: str) -> str:
-    return f"concat('surname:', {_script(m)}, '|', lower(element_at(split({m}, ' '), -1)))"
+    return f"concat('surname:', {_script(m)}, '|', translate(lower(element_at(split({m}, ' '), -1)), '’', chr(39)))"
 
 
 def _entities(m: str) -> str:
@@ -118,10 +123,14 @@ def _rewritten(m: str, found: str) -> str:
     """The surrogate of a mention in the mention's own format; ``found`` maps entities."""
     new = f"element_at({found}, concat({_kind(m)}, '|', {_canon(m)}))"
     kept = f"left({_digits(m)}, greatest(char_length({_digits(m)}) - 10, 0))"
+
+    def cased(word: str, entity: str) -> str:
+        return f"if({word} = upper({word}), upper(element_at({found}, {entity})), initcap(element_at({found}, {entity})))"
+
     return f"""case {_kind(m)} when 'name' then concat_ws(' ', split({m}, ' ')[0],
-            if(size(split({m}, ' ')) = 3, initcap(element_at({found}, {_given(m)})), null), initcap(element_at({found}, {_surname(m)})))
+            if(size(split({m}, ' ')) = 3, {cased(f"split({m}, ' ')[1]", _given(m))}, null), {cased(f"element_at(split({m}, ' '), -1)", _surname(m))})
         when 'phone' then {_filled(m, f"concat({kept}, {new})")} when 'card' then {_filled(m, new)}
-        when 'email' then if({m} = upper({m}), upper({new}), {new}) else {new} end"""
+        when 'email' then concat(regexp_extract({m}, '^[.-]*', 0), if({m} = upper({m}), upper({new}), {new})) else {new} end"""
 
 
 def _luhn(digits: str) -> str:
@@ -144,7 +153,8 @@ def surrogate(key: str) -> dict[str, str]:
         digit = f"substr('0123456789abcdef', {byte} % 16 + 1, 1)" if hexes else f"cast({byte} % 10 as string)"
         lower = digit if hexes else f"substr('abcdefghijklmnopqrstuvwxyz', {byte} % 26 + 1, 1)"
         return f"""array_join(transform(split({s}, ''), (c, i) -> case when c rlike '[0-9]' then {digit} when c rlike '[a-z]' then {lower}
-            when c rlike '[A-Z]' then upper({lower}) else c end), '')"""
+            when c rlike '[A-Z]' then upper({lower}) when c rlike r'\\p{{N}}' then {digit} when c rlike r'[\\p{{L}}\\p{{M}}]' then {lower}
+            else c end), '')"""
 
     def name(syllables: tuple[str, ...], ends: tuple[str, ...]) -> str:
         # three syllables, one more with every other attempt

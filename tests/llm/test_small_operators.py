@@ -163,6 +163,24 @@ def test_surrogates_keep_type_format_identity_and_distinctness(spark, scratch, a
     assert out.count() == awkward.count() and out.columns == [*awkward.columns, "n_entities"]
 
 
+def test_mentions_start_anywhere_in_a_run_and_in_any_script(spark, scratch):
+    hidden = {"-john.doe@corp.com": "john.doe", "...john@corp.com": "john", "josé.garcia@corp.com": "garcia", "josé@corp.com": "jos", "a@münchen.de": "chen",
+              "_" * 70 + "john@corp.com": "john", "иван@почта.рф": "иван", "a@b.com-maria@corp.com": "maria", "..10.1.2.3": "10.1.2.3",
+              "Mr John McDonald": "McDonald", "Mr O'Brien": "Brien", "Mrs Anne-Marie": "Marie", "Mr O’Brien's": "Brien", "Mr SMITH": "SMITH"}
+    long = ["x" * 300_000, ".-" * 150_000, "a.b-" * 80_000, "é" * 300_000, "1.2." * 80_000, "A-" * 100_000]
+    rows = [(k, f"{x} {t} {x}") for k, (t, x) in enumerate((t, x) for t in hidden for x in ("so", *long[:2]))]
+    rows += [(1000 + k, x) for k, x in enumerate(long)] + [(2000, "john.doe@corp.com"), (2001, "Mr O'Brien"), (2002, "Mr " + "A-" * 100_000 + "Ab")]
+    got = {r["doc_id"]: r for r in pii.replace(spark.createDataFrame(rows, "doc_id long, text string"), scratch).collect()}
+    for k, (t, x) in enumerate((t, x) for t in hidden for x in ("so", *long[:2])):
+        assert got[k]["n_entities"] >= 1 and hidden[t] not in got[k]["text"], t
+        assert got[k]["text"].startswith(x + " ") and got[k]["text"].endswith(" " + x)
+    assert all(got[1000 + k]["n_entities"] == 0 and got[1000 + k]["text"] == x for k, x in enumerate(long))
+    places = {t: 3 * k for k, t in enumerate(hidden)}
+    assert got[places["-john.doe@corp.com"]]["text"] == f"so -{got[2000]['text']} so"
+    assert got[places["Mr O'Brien"]]["text"] == f"so {got[2001]['text']} so" and got[places["Mr O’Brien's"]]["text"] == f"so {got[2001]['text']}'s so"
+    assert got[2002]["n_entities"] == 1
+
+
 def test_repairs_are_legal_and_cheapest(spark, scratch):
     c = chat_format.Costs()
     rng = random.Random(7)
