@@ -157,17 +157,19 @@ def surrogate(key: str) -> dict[str, str]:
             else c end), '')"""
 
     def name(syllables: tuple[str, ...], ends: tuple[str, ...]) -> str:
-        # three syllables, one more with every other attempt
+        # three syllables, one more with every attempt
         pick = f"element_at(array({', '.join(repr(s) for s in syllables)}), {byte} % {len(syllables)} + 1)"
         end = f"element_at(array({', '.join(repr(s) for s in ends)}), (cast(conv(substr(h, 127, 2), 16, 10) as int)) % {len(ends)} + 1)"
-        return f"concat(array_join(transform(sequence(0, 2 + attempt div 2), i -> {pick}), ''), {end})"
+        return f"concat(array_join(transform(sequence(0, 2 + attempt), i -> {pick}), ''), {end})"
 
     local, host = "substring_index(canon, '@', 1)", "substring_index(canon, '@', -1)"
     labels = f"split({host}, '[.]')"
     inner = f"array_join(slice({labels}, 1, greatest(size({labels}) - 2, 0)), '.')"
     tail = "concat('example.', element_at(array('com', 'net', 'org'), cast(conv(substr(h, 127, 2), 16, 10) as int) % 3 + 1))"
-    # short names soon run out: later attempts add digits
-    extra = "if(attempt > 1, cast(attempt as string), '')"
+    # short names soon run out: later attempts add 4, 8, 16 and 32 digits
+    more = f"sha2({seed}, '3'), 256)"
+    extra = f"""if(attempt > 1, array_join(transform(sequence(0, shiftleft(1, least(attempt, 5)) - 1),
+        i -> cast(conv(substr({more}, 2 * i + 1, 2), 16, 10) as int) % 10), ''), '')"""
     other = byte.replace("(h,", "(reverse(h),")
     email = f"concat({drawn(local)}, {extra}, '@', if(size({labels}) > 2, concat({drawn(inner, byte=other)}, '.'), ''), {tail})"
     octets = ", ".join(f"cast(cast(conv(substr(h, {8 * k + 1}, 6), 16, 10) as int) % 254 + 1 as string)" for k in range(4))
@@ -192,23 +194,30 @@ def _with_surrogate(entities: DataFrame, key: str) -> DataFrame:
     return entities.select("type", "canon", "attempt", "surrogate")
 
 
-def surrogates(entities: DataFrame, scratch: Scratch, key: str, tries: int = 60) -> DataFrame:
+def surrogates(entities: DataFrame, scratch: Scratch, key: str) -> DataFrame:
     """``type, canon, surrogate`` of distinct entities ``type, canon``: one to one within a type,
-    and none is itself an entity.  Fails if a type's surrogates run out."""
+    and none is itself an entity.  E-mails and names have more surrogates with every attempt, so a few
+    rounds are enough.  A type of fixed length fails if its clashes stay as many for 50 rounds,
+    because its format has too few values."""
     now = scratch.write(_with_surrogate(entities.withColumn("attempt", F.lit(0)), key), "surrogates")
-    for _ in range(tries):
+    fewest, stale = None, 0
+    while True:
         # of those that share a surrogate, the one with the fewest attempts keeps it
         first = now.groupBy("type", "surrogate").agg(F.count(F.lit(1)).alias("sharing"), F.min(F.struct("attempt", "canon")).alias("owner"))
         taken = now.select("type", F.col("canon").alias("surrogate"), F.lit(True).alias("is_entity"))
         clash = first.join(taken, ["type", "surrogate"], "left").where("sharing > 1 OR is_entity")
         again = now.join(clash, ["type", "surrogate"]).where("is_entity OR struct(attempt, canon) <> owner").select("type", "canon")
         again = scratch.write(again, "clashes")
-        if not again.limit(1).count():
+        left = again.count()
+        if not left:
             return now.select("type", "canon", "surrogate")
+        fewest, stale = (left, 0) if fewest is None or left < fewest else (fewest, stale + 1)
+        if stale == 50:
+            raise RuntimeError(f"no free surrogates of the same format for {left} entities")
         marked = now.join(again.withColumn("clash", F.lit(1)), ["type", "canon"], "left")
         marked = marked.select("type", "canon", (F.col("attempt") + F.coalesce("clash", F.lit(0))).alias("attempt"))
-        now = scratch.write(_with_surrogate(marked, key), "surrogates")
-    raise RuntimeError("too many entities of one type for distinct surrogates")
+        before, now = now, scratch.write(_with_surrogate(marked, key), "surrogates")
+        scratch.drop(before, again)
 
 
 def replace(docs: DataFrame, scratch: Scratch, key: str = "public-example-key") -> DataFrame:

@@ -181,6 +181,14 @@ def test_mentions_start_anywhere_in_a_run_and_in_any_script(spark, scratch):
     assert got[2002]["n_entities"] == 1
 
 
+def test_surrogates_of_many_hosts_with_short_names(spark, scratch):
+    emails = spark.range(30_000).selectExpr("'email' AS type", "concat(chr(97 + id % 26), '@', 'h', id, '.com') AS canon")
+    named = scratch.write(pii.surrogates(emails, scratch, "k"), "named")
+    assert named.count() == named.select("surrogate").distinct().count() == 30_000
+    assert not named.join(emails.select(F.col("canon").alias("surrogate")), "surrogate").count()
+    assert named.where("NOT surrogate RLIKE '^[a-z][0-9]{0,8}@example[.](com|net|org)$'").count() == 0
+
+
 def test_repairs_are_legal_and_cheapest(spark, scratch):
     c = chat_format.Costs()
     rng = random.Random(7)
