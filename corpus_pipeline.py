@@ -7,9 +7,9 @@ return the columns of ``docs``.  Stage by stage:
 
 * quality rules: documents that the base rules or the learned decision list reject go.  Null and
   empty texts fail the base rules.
-* n-gram Jaccard join: of each group of linked documents the one with the smallest id stays, of
-  rows that share an id the one with the smallest text (ties: smallest other columns).  Documents
-  with a null id can't be linked and stay.
+* n-gram Jaccard join: of each group of rows whose texts are linked the one with the smallest id
+  stays (null ids last; ties: smallest other columns).  Ids link nothing: unlike texts that share
+  an id all stay, and rows with a null id are compared like others.
 * decontamination: documents that leak an item of ``benchmark`` go.
 * PII: the text of every document with mentions is rewritten, and ``n_chars``, where present,
   follows it.
@@ -41,15 +41,22 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = ngram_join.clusters(docs.select("doc_id", "text"), Scratch(spark, "near"))
-    ids = docs.where("doc_id IS NOT NULL").select("doc_id")
-    repeated = ids.count() > ids.distinct().count()
-    kept = docs.join(found.where("doc_id <> component_id").select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
-    if not repeated:
-        return kept
-    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
-    one = kept.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(F.struct("text", *others)).alias("x"))
-    return one.select("doc_id", "x.*").select(docs.columns).unionByName(kept.where("doc_id IS NULL"))
+    scratch = Scratch(spark, "near")
+    # rows are linked by numbers of their own, not by their ids; wholly equal rows share a number
+    number = F.when(F.col("text").isNotNull(), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])).alias("__row")
+    found = ngram_join.clusters(docs.select(number.alias("doc_id"), "text"), scratch).where("n_shingles > 0")
+    groups = found.select(F.col("doc_id").alias("__row"), F.col("component_id").alias("__group")).distinct()
+    groups = scratch.write(groups, "groups")
+    others = [F.col(f"`{c}`").alias(f"o{i}") for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")]
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), *others)
+    rows = docs.select(number, order.alias("o")).groupBy("__row").agg(F.min("o").alias("o"), F.count(F.lit(1)).alias("n"))
+    first = rows.join(groups, "__row").groupBy("__group").agg(F.min(F.struct("o", "__row", "n")).alias("x"))
+    first = scratch.write(first.select(F.col("x.__row").alias("__row"), F.col("x.n").alias("__n")), "first")
+    numbered = docs.select("*", number)
+    alone = numbered.join(groups.select("__row"), "__row", "left_anti").select(docs.columns)
+    kept = numbered.join(first, "__row")
+    equal = kept.where("__n > 1").dropDuplicates(["__row"])
+    return alone.unionByName(kept.where("__n = 1").select(docs.columns)).unionByName(equal.select(docs.columns))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

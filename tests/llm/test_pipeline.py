@@ -1,6 +1,8 @@
 """The pipeline's stages against brute force on the smallest tables."""
 
-from tests.llm.conftest import SF
+import random
+
+from tests.llm.conftest import SF, prose
 from tests.llm.test_ngram_join import brute
 from tests.llm.test_packing import check
 
@@ -21,3 +23,16 @@ def test_stages_match_brute_force(spark, scratch):
     hidden = scratch.write(stages["pii"](spark, clean, SF), "hidden")
     assert hidden.columns == docs.columns and hidden.count() == clean.count()
     check(stages["packing"](spark, hidden, SF).collect(), [tuple(r) for r in hidden.select("doc_id", "text").collect()])
+
+
+def test_ids_link_no_texts(spark, scratch):
+    import corpus_pipeline as cp
+
+    rng = random.Random(3)
+    a, b, c, d = (prose(rng, 60) for _ in range(4))
+    rows = [(1, a, "p"), (7, a + " w1x", "p"), (7, b, "p"), (9, b + " w2x", "p"), (9, c, "q"), (9, c, "p"), (None, d, "p"), (None, d, "p"),
+            (None, c + " w3x", "p"), (5, None, "p"), (5, "", "p")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = [tuple(r) for r in dict(cp.STAGES)["ngram_join"](spark, docs, SF).collect()]
+    want = [(1, a, "p"), (7, b, "p"), (9, c, "p"), (None, d, "p"), (5, None, "p"), (5, "", "p")]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
