@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandflow.llm import (
-    chat_format, decontamination, lm_scoring, ngram_join, packing, pii, quality_classifier, quality_rules, url_filter, warc)
+    chat_format, decontamination, lm_scoring, ngram_join, packing, pii, quality_classifier, quality_rules, secret_scan, url_filter, warc,
+    whitening)
 from demandflow.llm.common import Scratch, table
 
 
@@ -90,6 +91,22 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.replace(table(spark, sf_dir, "documents").select("doc_id", "text"), Scratch(spark, "op10"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every usable vector whitened along the four leading components of the distinct integer vectors."""
+    out = whitening.whiten(table(spark, sf_dir, "embeddings"), Scratch(spark, "op11"))
+    return out.select("row.vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error", "deviation_digits")
+
+
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: the fixed patterns, and runs that pass the randomness tests."""
+    found = secret_scan.find(table(spark, sf_dir, "documents").select("doc_id", "text"), Scratch(spark, "op12"))
+    counts = [F.expr(f"cast(size(filter(spans, s -> s.kind = {k})) as bigint)").alias(f"n_{name}")
+              for k, name in enumerate(secret_scan.KINDS[:3])]
+    base = F.filter("spans", lambda s: s["kind"] < 3)
+    return found.select("row.doc_id", *counts, F.sha2(secret_scan.span_text(base), 256).alias("base_sha256"),
+                        secret_scan.span_text("spans").alias("spans"))
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_packing": op2_packing,
@@ -101,6 +118,8 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_pii": op10_pii,
+    "op11_whitening": op11_whitening,
+    "op12_secret_scan": op12_secret_scan,
 }
 
 ORACLE: dict[str, str] = {
