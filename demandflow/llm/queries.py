@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandflow.llm import (
-    chat_format, decontamination, lm_scoring, ngram_join, packing, pii, quality_classifier, quality_rules, secret_scan, url_filter, warc,
-    whitening)
+    chat_format, conversation_repair, decontamination, lm_scoring, ngram_join, packing, pii, quality_classifier, quality_rules,
+    secret_scan, url_filter, warc, whitening)
 from demandflow.llm.common import Scratch, table
 
 
@@ -107,6 +107,16 @@ def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secret_scan.span_text("spans").alias("spans"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation after damage: its faults, the cheapest audit and the repaired turns' hash."""
+    rows = conversation_repair.damaged(table(spark, sf_dir, "conversations"))
+    done = conversation_repair.repair(rows.where("code != 0"), Scratch(spark, "op13"))
+    out = conversation_repair.digests(done).withColumnRenamed("conv", "conv_id")
+    lost = rows.groupBy("conv_id").agg(F.max("code").alias("code")).where("code = 0")
+    zero = [F.lit(0).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return out.unionByName(lost.select("conv_id", *zero, F.lit("").alias("audit"), F.sha2(F.lit(""), 256).alias("repaired_sha256")))
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_packing": op2_packing,
@@ -120,6 +130,7 @@ QUERIES = {
     "op10_pii": op10_pii,
     "op11_whitening": op11_whitening,
     "op12_secret_scan": op12_secret_scan,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 ORACLE: dict[str, str] = {
