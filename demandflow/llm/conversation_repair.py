@@ -29,7 +29,9 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
+from itertools import groupby
 
 import pandas as pd
 import pyarrow as pa
@@ -247,6 +249,34 @@ def marked(turns: DataFrame, scratch: Scratch) -> DataFrame:
 _LEGAL = {"su", "ua", "au"}
 
 
+def _rows(batch: pa.RecordBatch, max_bytes: int = 8_000_000) -> Iterator[dict]:
+    """Rows of a batch, a few megabytes of them as Python objects at a time."""
+    step = max(1, batch.num_rows * max_bytes // max(batch.nbytes, 1))
+    for i in range(0, batch.num_rows, step):
+        yield from batch.slice(i, step).to_pylist()
+
+
+def _batches(rows: Iterator[tuple[int, tuple]], schema: T.StructType, max_rows: int = 512, max_bytes: int = 8_000_000) -> Iterator[pa.RecordBatch]:
+    """(size, row) pairs as record batches of bounded size."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    arrow = to_arrow_schema(schema)
+    held: list[tuple] = []
+    size = 0
+
+    def batch() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held, strict=True), arrow.types, strict=True)], schema=arrow)
+
+    for n, row in rows:
+        held.append(row)
+        size += n
+        if len(held) >= max_rows or size >= max_bytes:
+            yield batch()
+            held, size = [], 0
+    if held:
+        yield batch()
+
+
 class _Blocks:
     """Cuts an ordered stream of rows into blocks that hold rows of one conversation."""
 
@@ -267,8 +297,9 @@ class _Blocks:
         if self.rows:
             turns, roles, texts, copies, symbols = (list(c) for c in zip(*self.rows, strict=True))
             whole = ended and self.starts and self.seen_other
-            self.ready.append((self.conv, self.part, self.idx, whole, *self.sums, self.known[0] if self.known else None,
-                               self.known[-1] if self.known else None, turns[0], turns[-1], roles[0][:1], roles[-1][:1], symbols, copies, roles, texts))
+            least, most = (self.known[0], self.known[-1]) if self.known else (None, None)
+            self.ready.append((self.bytes, (self.conv, self.part, self.idx, whole, *self.sums, least, most, turns[0], turns[-1],
+                                            roles[0][:1], roles[-1][:1], symbols, copies, roles, texts)))
             self.idx += 1
         self._fresh(ended)
 
@@ -303,24 +334,19 @@ def blocks(rows: DataFrame, scratch: Scratch, max_rows: int = 1024, max_bytes: i
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        from pyspark.sql.pandas.types import to_arrow_schema
 
-        arrow = to_arrow_schema(schema)
         out = _Blocks(TaskContext.get().partitionId(), max_rows, max_bytes)
 
-        def ready() -> Iterator[pa.RecordBatch]:
-            for row in out.ready:
-                yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, arrow.types, strict=True)], schema=arrow)
-            out.ready = []
+        def ready() -> Iterator[tuple[int, tuple]]:
+            for batch in batches:
+                for row in _rows(batch):
+                    out.add(*row.values())
+                    yield from out.ready
+                    out.ready.clear()
+            out.flush(False)
+            yield from out.ready
 
-        for batch in batches:
-            for i in range(0, batch.num_rows, 256):
-                for row in zip(*[c.to_pylist() for c in batch.slice(i, 256).columns], strict=True):
-                    out.add(*row)
-                if out.ready:
-                    yield pa.Table.from_batches(list(ready())).combine_chunks().to_batches()[0]
-        out.flush(False)
-        yield from ready()
+        return _batches(ready(), schema)
 
     return scratch.write(ordered.mapInArrow(cut, schema), "blocks")
 
@@ -403,29 +429,39 @@ def _finished(df: DataFrame, fix: dict) -> DataFrame:
     schema = T.StructType([df.schema["conv"], *_DONE.fields])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark.sql.pandas.types import to_arrow_schema
-
-        arrow = to_arrow_schema(schema)
-        for batch in batches:
-            for i in range(batch.num_rows):
-                r = batch.slice(i, 1).to_pylist()[0]
-                parts = runs(r["symbols"], r["copies"])
-                audit, _, cost = unroll(parts, r["start"], tuple(r["v"]), r["last"])
-                repaired = [dict(zip(("edit", "role", "text"), t, strict=True)) for t in applied(
-                    audit, r["start"], r["roles"], r["texts"], r["copies"])]
-                illegal, twice = fix.get((r["conv"], r["part"]), (0, 0)) if r["last"] else (0, 0)
-                row = (r["conv"], r["part"], r["idx"], r["whole"], r["blank"], r["duplicate"], r["truncated"], r["illegal"] + illegal,
-                       r["turns"] - twice, r["least"], r["most"], cost, audit, repaired)
-                yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, arrow.types, strict=True)], schema=arrow)
+        def done() -> Iterator[tuple[int, tuple]]:
+            for batch in batches:
+                for r in _rows(batch):
+                    audit, _, cost = unroll(runs(r["symbols"], r["copies"]), r["start"], tuple(r["v"]), r["last"])
+                    repaired = [dict(zip(("edit", "role", "text"), t, strict=True)) for t in applied(
+                        audit, r["start"], r["roles"], r["texts"], r["copies"])]
+                    illegal, twice = fix.get((r["conv"], r["part"]), (0, 0)) if r["last"] else (0, 0)
+                    yield len(audit) + sum(map(len, r["texts"])), (
+                        r["conv"], r["part"], r["idx"], r["whole"], r["blank"], r["duplicate"], r["truncated"], r["illegal"] + illegal,
+                        r["turns"] - twice, r["least"], r["most"], cost, audit, repaired)
+
+        return _batches(done(), schema)
 
     return df.mapInArrow(work, schema)
 
 
+@dataclass(frozen=True)
+class Repaired:
+    """Blocks of repaired conversations: ``conv`` and its blocks' order (``part, idx``), the counts
+    of faults, ``cost``, ``audit`` and ``repaired``, the turns that are left as (edit, role, text).
+    Conversations of one block and those of several are apart."""
+    single: DataFrame
+    several: DataFrame
+
+    def turns(self) -> DataFrame:
+        """One row per turn that is left: ``conv, part, idx, place, edit, role, text``, in that order."""
+        out = self.single.unionByName(self.several).select("conv", "part", "idx", F.posexplode("repaired").alias("place", "t"))
+        return out.select("conv", "part", "idx", "place", "t.*")
+
+
 def repair(df: DataFrame, scratch: Scratch, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text",
-           max_rows: int = 1024) -> DataFrame:
-    """Blocks of repaired conversations: ``conv`` and its blocks' order (``part, idx``), ``whole``
-    (there is no other block), the counts of faults, ``cost``, ``audit`` and ``repaired``, the turns
-    that are left as (edit, role, text).  See :func:`repaired_turns` and :func:`digests`."""
+           max_rows: int = 1024) -> Repaired:
+    """The cheapest repair of every conversation, in blocks of at most ``max_rows`` distinct turns."""
     turns = df.select(F.col(f"`{conv}`").alias("conv"), F.col(f"`{turn}`").alias("turn"), F.col(f"`{role}`").alias("role"), F.col(f"`{text}`").alias("text"))
     found = blocks(marked(turns, scratch), scratch, max_rows)
     final = F.array(*[F.lit(x).cast("long") for x in FINAL])
@@ -453,7 +489,7 @@ def repair(df: DataFrame, scratch: Scratch, conv: str = "conv_id", turn: str = "
             state = ends[c, p][state]
         fix[c, ps[-1]] = (illegal, twice)
         not_last.update((c, p) for p in ps[:-1])
-    return _finished(whole, {}).unionByName(_finished(_started(rest, places, begins, not_last), fix))
+    return Repaired(_finished(whole, {}), _finished(_started(rest, places, begins, not_last), fix))
 
 
 def _chosen(df: DataFrame, wanted: dict) -> list:
@@ -485,66 +521,44 @@ def _started(rest: DataFrame, places: DataFrame, begins: dict, not_last: set) ->
     return rest.join(small.mapInArrow(look, schema).drop("conv"), ["part", "idx"])
 
 
-def repaired_turns(done: DataFrame) -> DataFrame:
-    """One row per turn that is left: ``conv, part, idx, place, edit, role, text``, in that order."""
-    return done.select("conv", "part", "idx", F.posexplode("repaired").alias("place", "t")).select("conv", "part", "idx", "place", "t.*")
-
-
 _DIGEST = T.StructType([*[T.StructField(c, T.LongType()) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")],
                         T.StructField("audit", T.StringType()), T.StructField("repaired_sha256", T.StringType())])
 
 
-def _gaps(least, most, turns: int) -> int | None:
-    gaps = 0 if least is None else most - least + 1 - turns
-    return gaps if gaps < 2**63 else None
-
-
-def digests(done: DataFrame) -> DataFrame:
+def digests(done: Repaired) -> DataFrame:
     """One row per conversation with turns.  SHA-256 reads a conversation in order from its start:
     blocks of one that has several stream through one task, whatever their number, one in memory
     at a time; all other work on them is spread."""
     lines = F.when(F.size("repaired") > 0, F.array_join(F.transform("repaired", lambda t: F.concat(t["role"], F.lit(":"), t["text"])), "\n"))
-    flat = done.withColumn("lines", lines).drop("repaired")
+    single, several = (part.withColumn("lines", lines).drop("repaired") for part in (done.single, done.several))
     gaps = F.when(F.col("least").isNull(), F.lit(0).cast("long")).otherwise(F.expr("try_subtract(most - (turns - 1), least)"))
-    whole = flat.where("whole").select("conv", gaps.alias("gaps"), "blank", "duplicate", "truncated", "illegal", "cost", "audit",
-                                       F.sha2(F.coalesce("lines", F.lit("")), 256).alias("repaired_sha256"))
-    schema = T.StructType([done.schema["conv"], *_DIGEST.fields])
+    single = single.select("conv", gaps.alias("gaps"), "blank", "duplicate", "truncated", "illegal", "cost", "audit",
+                           F.sha2(F.coalesce("lines", F.lit("")), 256).alias("repaired_sha256"))
+    schema = T.StructType([several.schema["conv"], *_DIGEST.fields])
     sums = (*_SUMS, "cost")
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark.sql.pandas.types import to_arrow_schema
-
-        arrow = to_arrow_schema(schema)
-        now: dict = {}
-
-        def row() -> pa.RecordBatch:
-            n = now["sums"]
-            values = (now["conv"], _gaps(now["least"], now["most"], n[4]), n[0], n[1], n[2], n[3], n[5], "".join(now["audit"]), now["sha"].hexdigest())
-            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, arrow.types, strict=True)], schema=arrow)
-
-        for batch in batches:
-            for i in range(batch.num_rows):
-                r = batch.slice(i, 1).to_pylist()[0]
-                if now and now["conv"] != r["conv"]:
-                    yield row()
-                    now = {}
-                if not now:
-                    now = {"conv": r["conv"], "least": None, "most": None, "sums": [0] * 6, "audit": [], "sha": hashlib.sha256(), "any": False}
-                for k, c in enumerate(sums):
-                    now["sums"][k] += r[c]
-                if r["least"] is not None:
-                    now["least"] = r["least"] if now["least"] is None else min(now["least"], r["least"])
-                    now["most"] = r["most"] if now["most"] is None else max(now["most"], r["most"])
-                now["audit"].append(r["audit"])
-                if r["lines"] is not None:
-                    now["sha"].update((("\n" if now["any"] else "") + r["lines"]).encode())
-                    now["any"] = True
-        if now:
-            yield row()
-
-    several = flat.where("NOT whole").repartition("conv").sortWithinPartitions("conv", "part", "idx")
+        def finished() -> Iterator[tuple[int, tuple]]:
+            for conv, rows in groupby((r for batch in batches for r in _rows(batch)), lambda r: r["conv"]):
+                total, least, most, audit, sha, apart = [0] * len(sums), None, None, [], hashlib.sha256(), ""
+                for r in rows:
+                    total = [n + r[c] for n, c in zip(total, sums, strict=True)]
+                    if r["least"] is not None:
+                        least = r["least"] if least is None else min(least, r["least"])
+                        most = r["most"] if most is None else max(most, r["most"])
+                    audit.append(r["audit"])
+                    if r["lines"] is not None:
+                        sha.update((apart + r["lines"]).encode())
+                        apart = "\n"
+                blank, duplicate, truncated, illegal, turns, cost = total
+                gaps = 0 if least is None else most - least + 1 - turns
+                yield 0, (conv, gaps if gaps < 2**63 else None, blank, duplicate, truncated, illegal, cost, "".join(audit), sha.hexdigest())
+
+        return _batches(finished(), schema)
+
+    several = several.repartition("conv").sortWithinPartitions("conv", "part", "idx")
     several = several.select("conv", "part", "idx", *sums, "least", "most", "audit", "lines").mapInArrow(stream, schema)
-    return whole.unionByName(several)
+    return single.unionByName(several)
 
 
 def damaged(df: DataFrame) -> DataFrame:

@@ -190,7 +190,7 @@ def test_conversations_over_many_blocks_and_partitions(spark, scratch, max_rows)
     want[11] = (None, *want[11][1:])
     assert got == want
     # the turns themselves, in order
-    turns = sorted(cr.repaired_turns(done).where("conv = 7").collect(), key=lambda r: (r["part"], r["idx"], r["place"]))
+    turns = sorted(done.turns().where("conv = 7").collect(), key=lambda r: (r["part"], r["idx"], r["place"]))
     text = "\n".join(f"{r['role']}:{r['text']}" for r in turns)
     assert hashlib.sha256(text.encode()).hexdigest() == want[7][-1]
     assert LEGAL.fullmatch("".join(r["role"][:1] for r in turns))
