@@ -1,11 +1,10 @@
 """Feature-target analysis (E1-E7): continuous-feature selection, Pearson correlation with
-its two-sided p-value, k-NN mutual information, combined rank and strength labels.
+its two-sided p-value, mutual information, combined rank and strength labels.
 
 Features are unpivoted into (feature, x, y) rows and grouped by feature (and series), so
-the work spreads over features; all statistics except the mutual information are
-built-in aggregates.  The mutual information needs nearest neighbours and runs per
-(series, feature) group in ``applyInPandas``; a group holds one row per period of one
-series, a number bounded by the calendar, and the size is checked before the job.
+the work spreads over features; all statistics are built-in aggregates, the mutual information
+over quantile bins included.  Only the nearest-neighbour estimator (``method="knn"``), for tables
+with one row per period of a series, runs per (series, feature) group in ``applyInPandas``.
 """
 
 from __future__ import annotations
@@ -67,35 +66,55 @@ def feature_pairs(df: DataFrame, target_col: str, features: list[str], keep: Ite
 
 
 # --- E2 --------------------------------------------------------------------------------------
+_SERIES_TERMS, _FRACTION_STEPS, _SMALL = 400, 120, 5.0
+
+
+def _log_gamma_ratio(z: Column) -> Column:
+    """ln(Gamma(z + 1/2) / Gamma(z)) for z >= 1/2: ten steps up, then Stirling's expansion."""
+    product, up = F.lit(1.0), z + 10
+    for i in range(10):
+        product = product * (z + i) / (z + (i + 0.5))
+    return (F.log(up) / 2 - 1 / (8 * up) + 1 / (192 * F.pow(up, F.lit(3))) - 1 / (640 * F.pow(up, F.lit(5)))
+            + 17 / (14336 * F.pow(up, F.lit(7))) + F.log(product))
+
+
+def pearson_log_pvalue(r: Column, n: Column) -> Column:
+    """ln of the two-sided p-value of Pearson's r with n pairs (t test, nu = n - 2 degrees):
+    p = I_q(nu/2, 1/2), the regularised incomplete beta function at q = 1 - r^2.
+
+    With t^2 / 2 > 5 it is the function's continued fraction (a fixed number of steps; its
+    logarithm does not underflow); below, 1 - I_{r^2}(1/2, nu/2) by a fixed number of terms of
+    the power series, whose value is far from 1 there.  |r| = 1 gives null (p is 0)."""
+    nu = (n - 2).cast("double")
+    a, r2 = nu / 2, r * r
+    q = (1 - F.abs(r)) * (1 + F.abs(r))
+    # q^a |r| / B(a, 1/2)
+    front = a * F.when(r2 < 0.5, F.log1p(-r2)).otherwise(F.log(q)) + F.log(F.abs(r)) + _log_gamma_ratio(a) - 0.5 * math.log(math.pi)
+
+    terms = F.aggregate(F.sequence(F.lit(1), F.lit(_SERIES_TERMS)), F.struct(F.lit(1.0).alias("t"), F.lit(1.0).alias("s")), lambda s, k: F.struct(
+        (s["t"] * (a + (k - 0.5)) / (k + 0.5) * r2).alias("t"), (s["s"] + s["t"] * (a + (k - 0.5)) / (k + 0.5) * r2).alias("s")))["s"]
+    near = F.log1p(-F.least(F.lit(1.0), F.exp(front) * 2 * terms))
+
+    # Lentz: c and d are the ratios of successive numerators and denominators
+    first = 1 / (1 - (a + 0.5) * q / (a + 1))
+
+    def step(s: Column, m: Column) -> Column:
+        even = m * (F.lit(0.5) - m) * q / ((a - 1 + 2 * m) * (a + 2 * m))
+        d1, c1 = 1 / (1 + even * s["d"]), 1 + even / s["c"]
+        odd = -(a + m) * (a + 0.5 + m) * q / ((a + 2 * m) * (a + 1 + 2 * m))
+        d2, c2 = 1 / (1 + odd * d1), 1 + odd / c1
+        return F.struct(c2.alias("c"), d2.alias("d"), (s["h"] * d1 * c1 * d2 * c2).alias("h"))
+
+    start = F.struct(F.lit(1.0).alias("c"), first.alias("d"), first.alias("h"))
+    h = F.aggregate(F.transform(F.sequence(F.lit(1), F.lit(_FRACTION_STEPS)), lambda m: m.cast("double")), start, step)["h"]
+    far = front + F.log(h) - F.log(a)
+    value = F.when(r == 0, F.lit(0.0)).when(nu * r2 <= 2 * _SMALL * q, near).otherwise(far)
+    return F.when(r.isNotNull() & (n >= 3) & (F.abs(r) < 1), value)
+
+
 def pearson_pvalue(r: Column, n: Column) -> Column:
-    """Two-sided p-value of Pearson's r with n pairs (t test, nu = n - 2 degrees).
-
-    With t = r * sqrt(nu / (1 - r^2)) the Student angle satisfies sin(theta) = |r| and
-    cos^2(theta) = 1 - r^2, so P(|T| < t) is the classical finite series in cos^2:
-    nu even: |r| * sum_j c_j q^j, c_j = prod (2i-1)/(2i);  nu odd: 2/pi * (asin|r| +
-    |r| sqrt(q) * sum_j d_j q^j), d_j = prod (2i)/(2i+1);  q = 1 - r^2.
-    """
-    nu = (n - 2).cast("int")
-    a = F.abs(r)
-    q = F.greatest(F.lit(0.0), F.lit(1.0) - r * r)
-    even_m = F.floor((nu - 2) / 2).cast("int")
-    odd_m = F.floor((nu - 3) / 2).cast("int")
-
-    def series(m: Column, ratio) -> Column:
-        init = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("total"))
-        steps = F.sequence(F.lit(1), F.greatest(m, F.lit(0)))
-        acc = F.aggregate(
-            F.when(m >= 1, steps).otherwise(F.array().cast("array<int>")), init,
-            lambda s, j: F.struct((s["term"] * ratio(j) * q).alias("term"), (s["total"] + s["term"] * ratio(j) * q)
-                                  .alias("total")))
-        return acc["total"]
-
-    even = a * series(even_m, lambda j: (2 * j - 1).cast("double") / (2 * j))
-    odd = F.lit(2 / math.pi) * (F.asin(a) + F.when(nu >= 3, a * F.sqrt(q) * series(odd_m, lambda j: (2 * j).cast(
-        "double") / (2 * j + 1))).otherwise(F.lit(0.0)))
-    inside = F.when(nu % 2 == 0, even).otherwise(odd)
-    # greatest skips nulls: a null r must stay a null p.
-    return F.when(r.isNotNull() & (nu >= 1), F.greatest(F.lit(0.0), F.lit(1.0) - inside))
+    """Two-sided p-value; 0 where |r| = 1 (and where it is below the smallest double)."""
+    return F.when(r.isNotNull() & (n >= 3), F.coalesce(F.exp(pearson_log_pvalue(r, n)), F.lit(0.0)))
 
 
 def compute_pearson_corr(df: DataFrame, target_col: str, features: list[str], series_keys: Iterable[str] = ()) -> DataFrame:
@@ -113,7 +132,10 @@ def compute_pearson_corr(df: DataFrame, target_col: str, features: list[str], se
     r = F.when((F.col("n_used") >= 3) & F.col("__r").isNotNull(),
                F.least(F.lit(1.0), F.greatest(F.lit(-1.0), F.col("__r"))))
     out = agg.select(*keys, "feature", r.alias("pearson_r"), F.col("n_used").cast("bigint").alias("n_used"))
-    return out.withColumn("pearson_pvalue", pearson_pvalue(F.col("pearson_r"), F.col("n_used")))
+    out = out.withColumn("__lnp", pearson_log_pvalue(F.col("pearson_r"), F.col("n_used")))
+    # the logarithm is exact where p itself is below the smallest double; null where p is 0
+    p = F.when(F.col("pearson_r").isNotNull(), F.coalesce(F.exp("__lnp"), F.lit(0.0)))
+    return out.withColumns({"pearson_pvalue": p, "log10_pvalue": F.col("__lnp") / F.lit(math.log(10))}).drop("__lnp")
 
 
 # --- E3 --------------------------------------------------------------------------------------
@@ -184,20 +206,33 @@ def ksg_mutual_information(x: np.ndarray, y: np.ndarray, k: int = 3, standardize
     return max(0.0, float(mi))
 
 
-def compute_mutual_information(df: DataFrame, target_col: str, features: list[str], order_col: str,
-                               series_keys: Iterable[str] = (), n_neighbors: int = 3, standardize: bool = True,
-                               random_state: int | None = 42, min_rows: int = 5,
-                               max_group_rows: int = 50_000, grid: float | None = None) -> DataFrame:
-    """Mutual information per (series, feature); fewer than ``min_rows`` pairs gives
-    null.  Rows are ordered by ``order_col`` inside the group, so the seeded jitter is
-    reproducible; ``random_state=None`` with a ``grid`` gives the jitter-free estimator on
-    grid-snapped z-scores, whose ties are exact.  Groups larger than ``max_group_rows`` are
-    refused (the estimator is O(N^2) per group) instead of being truncated."""
+def compute_mutual_information(df: DataFrame, target_col: str, features: list[str], order_col: str | None = None,
+                               series_keys: Iterable[str] = (), method: str = "binned", bins: int | None = None,
+                               n_neighbors: int = 3, standardize: bool = True, random_state: int | None = 42,
+                               min_rows: int = 5, grid: float | None = None) -> DataFrame:
+    """Mutual information per (series, feature); fewer than ``min_rows`` pairs gives null.
+
+    ``method="binned"`` (default) reads a contingency table over quantile bins, linear in the
+    rows at any grain; a ``grid`` snaps the values, so that those which differ by the rounding of
+    earlier sums only are equal.  ``method="knn"`` is the nearest-neighbour estimator: one task per
+    (series, feature) with work that grows with the square of its rows, meant for tables with one
+    row per period of a series.  Its rows are ordered by ``order_col`` inside the group, so the
+    seeded jitter is reproducible; ``random_state=None`` with a ``grid`` gives the jitter-free
+    estimator on grid-snapped z-scores, whose ties are exact."""
     keys = list(series_keys)
+    if method == "binned":
+        from demandflow.operators.mutual_info import binned_mutual_information
+        from demandflow.session import materialize
+        pairs = feature_pairs(df, target_col, features, keys)
+        if grid:
+            pairs = pairs.withColumns({c: F.round(F.col(c) / F.lit(grid)) * F.lit(grid) for c in ("x", "y")})
+        pairs = materialize(pairs)
+        return binned_mutual_information(pairs, [*keys, "feature"], bins, min_rows)
+    if method != "knn":
+        raise ValueError("method must be 'binned' or 'knn'")
+    if order_col is None:
+        raise ValueError("the nearest-neighbour estimator needs order_col")
     pairs = feature_pairs(df, target_col, features, [*keys, order_col])
-    biggest = pairs.groupBy(*keys, "feature").count().agg(F.max("count")).first()[0]
-    if biggest is not None and biggest > max_group_rows:
-        raise ValueError(f"mutual information group of {biggest} rows exceeds max_group_rows={max_group_rows}")
     key_fields = [pairs.schema[k] for k in keys]
     schema = T.StructType([*key_fields, T.StructField("feature", T.StringType()),
                            T.StructField("mi", T.DoubleType()), T.StructField("n_used", T.LongType())])
@@ -275,24 +310,38 @@ def relevant_features(labelled: DataFrame) -> DataFrame:
 
 def analyze_continuous_features(df: DataFrame, target_col: str, order_col: str, min_nonnull_frac: float = 0.6,
                                 n_neighbors_mi: int = 3, random_state: int = 42, top_n: int | None = None,
-                                series_keys: Iterable[str] = ()) -> dict:
+                                series_keys: Iterable[str] = (), mi_method: str = "binned", grid: float | None = None) -> dict:
     """E1 -> E2 -> E3 -> E5 -> E6; empty tables when no feature qualifies; with
-    ``top_n`` also the chart subsets of the best features by score."""
+    ``top_n`` also the chart tables of the best features by score: ``pearson_top`` by falling
+    |r| and ``mi_top`` with mi relative to its maximum, falling.  The reports are sorted as
+    published: r, mi and score falling, nulls last, ties by feature (T2)."""
+    series_keys = list(series_keys)
     spark = df.sparkSession
     feats = select_continuous_features(df, target_col, min_nonnull_frac, [order_col, *series_keys])
     if not feats:
         return {"features": [],
-                "pearson": spark.createDataFrame([], "feature string, pearson_r double, pearson_pvalue double, n_used bigint"),
+                "pearson": spark.createDataFrame([], "feature string, pearson_r double, n_used bigint, pearson_pvalue double, "
+                                                     "log10_pvalue double"),
                 "mi": spark.createDataFrame([], "feature string, mi double, n_used bigint"),
                 "rank": spark.createDataFrame([], "feature string, pearson_r double, mi double, r_norm_abs double, "
                                                   "mi_norm double, score double, pearson_label string, mi_label string")}
     pearson = compute_pearson_corr(df, target_col, feats, series_keys)
-    mi = compute_mutual_information(df, target_col, feats, order_col, series_keys, n_neighbors_mi,
-                                    random_state=random_state)
+    mi = compute_mutual_information(df, target_col, feats, order_col, series_keys, mi_method, n_neighbors=n_neighbors_mi,
+                                    random_state=random_state, grid=grid)
     rank = add_strength_labels(combined_rank(pearson, mi, series_keys))
-    out = {"features": feats, "pearson": pearson, "mi": mi, "rank": rank}
+
+    def report(table: DataFrame, by: Column) -> DataFrame:
+        return table.orderBy(*series_keys, by, "feature")
+
+    out = {"features": feats, "pearson": report(pearson, F.desc_nulls_last("pearson_r")),
+           "mi": report(mi, F.desc_nulls_last("mi")), "rank": report(rank, F.desc_nulls_last("score"))}
     if top_n:
-        best = rank.orderBy(F.desc_nulls_last("score"), "feature").limit(top_n).select("feature")
-        out["pearson_top"] = pearson.join(best, "feature", "left_semi")
-        out["mi_top"] = mi.join(best, "feature", "left_semi")
+        w = Window.partitionBy(*series_keys) if series_keys else Window.partitionBy()
+        nth = F.row_number().over(w.orderBy(F.desc_nulls_last("score"), "feature"))
+        best = rank.select(*series_keys, "feature", nth.alias("__nth")).where(F.col("__nth") <= top_n).drop("__nth")
+        on = [*series_keys, "feature"]
+        out["pearson_top"] = report(pearson.join(best, on, "left_semi"), F.desc_nulls_last(F.abs("pearson_r")))
+        top_mi = mi.join(best, on, "left_semi")
+        most = F.max("mi").over(w)
+        out["mi_top"] = report(top_mi.withColumn("mi_norm", F.when(most > 0, F.col("mi") / most)), F.desc_nulls_last("mi"))
     return out

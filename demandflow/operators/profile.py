@@ -1,8 +1,8 @@
 """Exploration and data-quality tables.
 
-Tables are aggregations with map-side partial aggregation (the item price change adds
-windows over (product, day) and over one row per product-day); the driver only receives
-one-row scalars (histogram bounds, broadcast size checks) that parametrise the next pass.
+Tables are aggregations with map-side partial aggregation; whatever depends on an order over
+many rows (quartiles, numbering, the previous sale) is built on :mod:`ranks`.  The driver only
+receives one-row scalars (histogram bounds) that parametrise the next pass.
 """
 
 from __future__ import annotations
@@ -11,10 +11,11 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from demandflow.functions.stats import bias_corrected_skew, excess_kurtosis, round_ratio_half_even
 from demandflow.operators.impute import numeric_columns
+from demandflow.operators.ranks import dense_numbers, exact_quantiles, previous_values, quantiles_of_ranks, running_totals
+from demandflow.session import literal_rows, materialize
 
 OTHERS_LABEL = "outros"   # fixed value: label of the categories outside the top 20
 
@@ -38,8 +39,8 @@ def schema_info(df: DataFrame) -> DataFrame:
     """Column, type and non-null count (the ``info()`` table)."""
     counts = df.agg(*[F.count(F.col(c)).cast("bigint").alias(c) for c in df.columns])
     long = counts.unpivot([], df.columns, "column", "non_null")
-    types = df.sparkSession.createDataFrame([(f.name, f.dataType.simpleString(), i) for i, f in
-                                             enumerate(df.schema.fields)], "column string, dtype string, position int")
+    types = literal_rows(df.sparkSession, [(f.name, f.dataType.simpleString(), i) for i, f in enumerate(df.schema.fields)],
+                         ["column", "dtype", "position"])
     return long.join(F.broadcast(types), "column")   # one row per column of the schema
 
 
@@ -48,17 +49,14 @@ def ordinal_labels(df: DataFrame, key: str, prefix: str, out_col: str,
     """Dense label ``<prefix><n>`` by ascending ``key`` (``produto1``, ...).
 
     Within ``partition_cols`` it is a partitioned ``dense_rank``.  A global numbering of
-    all distinct keys uses a range-partitioned sort and ``zipWithIndex`` (per-partition
-    counts, then offsets), so no single task receives every key.
+    all distinct keys is a running count over range partitions (:mod:`ranks`), so no
+    single task receives every key.
     """
     parts = list(partition_cols)
     if parts:
         rank = F.dense_rank().over(Window.partitionBy(*parts).orderBy(key))
         return df.withColumn(out_col, F.concat(F.lit(prefix), rank.cast("string")))
-    keys = df.select(key).where(F.col(key).isNotNull()).distinct().orderBy(key)
-    indexed = keys.rdd.zipWithIndex().map(lambda kv: (kv[0][0], kv[1] + 1))
-    schema = T.StructType([df.schema[key], T.StructField("__n", T.LongType())])
-    labels = df.sparkSession.createDataFrame(indexed, schema)
+    labels = dense_numbers(df, key, "__n")
     return df.join(labels, key, "left").withColumn(
         out_col, F.concat(F.lit(prefix), F.col("__n").cast("string"))).drop("__n")
 
@@ -68,21 +66,29 @@ def _long(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "feature", "value")
 
 
+QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+
+
 def describe_columns(df: DataFrame, cols: Iterable[str], approx: bool = False) -> DataFrame:
     """Count, mean, sample std, min, quartiles (linear interpolation), max per column.
 
     Columns are unpivoted and grouped by name, so the work is distributed across columns
-    and partially aggregated.  Exact quartiles keep a value->count map per column (bounded
-    by distinct values); ``approx=True`` switches to bounded-memory ``percentile_approx``.
+    and partially aggregated.  Exact quartiles are picked from running counts over range
+    partitions, so no task holds a column's values; ``approx=True`` switches to
+    ``percentile_approx`` in the same single pass.
     """
     cols = list(cols)
     v = F.col("value")
-    q = (F.percentile_approx(v, [0.25, 0.5, 0.75], 10000) if approx else F.percentile(v, [0.25, 0.5, 0.75]))
-    out = _long(df, cols).groupBy("feature").agg(
-        F.count(v).cast("bigint").alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
-        F.min(v).alias("min"), q.alias("__q"), F.max(v).alias("max"))
-    return out.select("feature", "count", "mean", "std", "min", F.col("__q")[0].cast("double").alias("p25"),
-                      F.col("__q")[1].cast("double").alias("p50"), F.col("__q")[2].cast("double").alias("p75"), "max")
+    long = _long(df, cols)
+    base = [F.count(v).cast("bigint").alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
+            F.min(v).alias("min"), F.max(v).alias("max")]
+    if approx:
+        q = F.percentile_approx(v, list(QUARTILES.values()), 10000)
+        out = long.groupBy("feature").agg(*base, q.alias("__q")).select(
+            "*", *[F.col("__q")[i].cast("double").alias(n) for i, n in enumerate(QUARTILES)])
+    else:
+        out = long.groupBy("feature").agg(*base).join(exact_quantiles(long, ["feature"], "value", QUARTILES), "feature", "left")
+    return out.select("feature", "count", "mean", "std", "min", *QUARTILES, "max")
 
 
 def summarize_features(df: DataFrame, exclude: Iterable[str] = ("product_category_name", "order_week"),
@@ -91,8 +97,7 @@ def summarize_features(df: DataFrame, exclude: Iterable[str] = ("product_categor
     std, bias-corrected skewness (n > 2), excess kurtosis (n > 3), distinct values."""
     exclude = set(exclude)
     cols = [c for c in numeric_columns(df) if c not in exclude]
-    dtypes = df.sparkSession.createDataFrame([(c, df.schema[c].dataType.simpleString()) for c in cols],
-                                             "feature string, dtype string")
+    dtypes = literal_rows(df.sparkSession, [(c, df.schema[c].dataType.simpleString()) for c in cols], ["feature", "dtype"])
     v = F.col("value")
     n_total = F.count(F.lit(1))
     nn = F.count(v)
@@ -154,12 +159,12 @@ def sales_volume_by_bucket(items: DataFrame, reviews: DataFrame | None = None, c
     w = Window.orderBy(F.desc("n_vendas_min")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = pct.withColumn("frequencia_acumulada", F.round(F.sum("frequencia").over(w), 2))
     if reviews is not None:
-        bucket_of = per.select("product_id", "bucket")
-        scored = items.select("order_id", "product_id").join(reviews.select("order_id", "review_score"),
-                                                              "order_id", "left") \
-            .join(bucket_of, "product_id", "left")
-        mean = scored.groupBy("bucket").agg(
-            round_ratio_half_even(F.sum("review_score"), F.count("review_score"), 1, 2).alias("media_review_score"))
+        # an order's reviews and a product's items are summed before they meet
+        of_order = reviews.groupBy("order_id").agg(F.sum("review_score").alias("__s"), F.count("review_score").alias("__c"))
+        of_product = items.where(F.col("product_id").isNotNull()).select("order_id", "product_id").join(of_order, "order_id") \
+            .groupBy("product_id").agg(F.sum("__s").alias("__s"), F.sum("__c").alias("__c"))
+        mean = of_product.join(per.select("product_id", "bucket"), "product_id").groupBy("bucket").agg(
+            round_ratio_half_even(F.sum("__s"), F.sum("__c"), 1, 2).alias("media_review_score"))
         out = out.join(mean, out.n_vendas_min == mean.bucket, "left").drop("bucket")
     return out
 
@@ -173,6 +178,13 @@ def review_multiplicity(items: DataFrame, reviews: DataFrame) -> DataFrame:
                                          F.count_distinct("product_id").cast("bigint").alias("products"))
 
 
+def review_examples(items: DataFrame, reviews: DataFrame, n_reviews: int = 3) -> DataFrame:
+    """The joined rows of every (order, product) with ``n_reviews`` distinct reviews."""
+    joined = items.select("order_id", "product_id").join(reviews, "order_id", "left")
+    per = joined.groupBy("order_id", "product_id").agg(F.count_distinct("review_id").alias("n_reviews"))
+    return joined.join(per.where(F.col("n_reviews") == n_reviews), ["order_id", "product_id"])
+
+
 def top_k(df: DataFrame, order: list[Column], k: int) -> DataFrame:
     """First ``k`` rows of a total order (TakeOrderedAndProject: each task keeps k)."""
     return df.orderBy(*order).limit(k)
@@ -181,10 +193,10 @@ def top_k(df: DataFrame, order: list[Column], k: int) -> DataFrame:
 def category_table(items: DataFrame, products: DataFrame, top: int = 20) -> DataFrame:
     """Sales and distinct products per category; categories outside the ``top`` by
     sales become ``outros`` and are re-aggregated by sum; sales per product and the share
-    of sales as text."""
-    ip = items.join(products, "product_id", "left").where(F.col("product_category_name").isNotNull())
-    per = ip.groupBy("product_category_name").agg(F.count("order_id").alias("vendas"),
-                                                  F.count_distinct("product_id").alias("itens"))
+    of sales as text.  Items collapse to one row per product before they meet the products."""
+    sold = items.where(F.col("product_id").isNotNull()).groupBy("product_id").agg(F.count("order_id").alias("__n"))
+    ip = sold.join(products.where(F.col("product_category_name").isNotNull()), "product_id")
+    per = ip.groupBy("product_category_name").agg(F.sum("__n").alias("vendas"), F.count_distinct("product_id").alias("itens"))
     best = top_k(per, [F.desc("vendas"), F.asc("product_category_name")], top) \
         .select("product_category_name", F.lit(True).alias("__top"))
     lab = per.join(F.broadcast(best), "product_category_name", "left").select(
@@ -210,30 +222,22 @@ def late_share(df: DataFrame, estimated_col: str = "order_estimated_delivery_dat
 
 def item_price_changes(orders: DataFrame, items: DataFrame, min_sales: int = 3) -> DataFrame:
     """W8 (J10, J12): per-product % price change between consecutive sales in purchase
-    order, for products with at least ``min_sales`` sales; ties in the timestamp are broken
-    by order id, item id, seller, price and freight (a total order up to identical rows).
-
-    The previous sale is found in two levels so that no task holds a whole product: a
-    window inside (product, purchase day) gives the previous row within the day; the first
-    row of a day takes the last price of the product's previous sales day, read from a
-    partially aggregated (product, day) table whose per-product size is bounded by the
-    calendar."""
+    order, for products with at least ``min_sales`` sales (items of orders that are missing count
+    as sales but have no place in the sequence); ties in the timestamp are broken by order id,
+    item id, seller, price and freight (a total order up to identical rows).
+
+    One scan of the items: rows are range-partitioned by (product, order), a product's sales
+    are counted per partition, and each partition's first sale of a product takes the last price
+    of the partition before.  A hot product, or a hot day of it, lies in many partitions."""
     order = ["order_purchase_timestamp", "order_id", "order_item_id", "seller_id", "price", "freight_value"]
-    frequent = sales_per_product(items).where(F.col("n_sales") >= min_sales).select("product_id")
-    oi = orders.join(items, "order_id", "left").join(frequent, "product_id", "left_semi") \
-        .withColumn("__day", F.col("order_purchase_timestamp").cast("date"))
-    w_day = Window.partitionBy("product_id", "__day").orderBy(*order)
-    rows = oi.select("product_id", "__day", *order, F.lag("price").over(w_day).alias("__prev_in_day"),
-                     (F.row_number().over(w_day) == 1).alias("__first"))
-    last = oi.groupBy("product_id", "__day").agg(
-        F.max_by("price", F.struct(*[F.col(c) for c in order])).alias("__last"))
-    prev_day = last.select("product_id", "__day", F.lag("__last").over(
-        Window.partitionBy("product_id").orderBy("__day")).alias("__prev_day_last"))
-    j = rows.join(prev_day, ["product_id", "__day"], "left")
-    prev = F.when(F.col("__first"), F.col("__prev_day_last")).otherwise(F.col("__prev_in_day"))
-    change = (F.try_divide(F.col("price"), prev) - 1) * 100
-    return j.select("product_id", "order_id", "order_item_id", "order_purchase_timestamp", "price",
-                    change.alias("price_pct_change"))
+    known = orders.select("order_id", "order_purchase_timestamp").withColumn("__sold", F.lit(True))
+    rows = items.where(F.col("product_id").isNotNull()).join(known, "order_id", "left") \
+        .select("product_id", *order, F.col("__sold").isNotNull().alias("__sold"))
+    out = previous_values(rows, ["product_id", "__sold"], order, "price", "__prev",
+                          total=("order_id", ["product_id"], "__sales"))
+    change = (F.try_divide(F.col("price"), F.col("__prev")) - 1) * 100
+    return out.where((F.col("__sales") >= min_sales) & F.col("__sold")).select(
+        "product_id", "order_id", "order_item_id", "order_purchase_timestamp", "price", change.alias("price_pct_change"))
 
 
 def nonzero_change_share(changes: DataFrame, col: str = "price_pct_change") -> DataFrame:
@@ -267,26 +271,28 @@ def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
 def box_stats(df: DataFrame, value_col: str, group_col: str, approx: bool = False) -> DataFrame:
     """Per group quartiles, whiskers at the furthest value within 1.5 IQR, outliers.
 
-    Quartiles are one aggregation (exact: value->count map per group, bounded by the
-    distinct values; ``approx=True`` for bounded memory); the whiskers need a second pass
-    joined to the per-group quartiles (one row per group)."""
+    Rows collapse to one per (group, value) first.  Exact quartiles are picked from running
+    counts over range partitions (``approx=True``: ``percentile_approx``); the whiskers need a
+    second pass over the collapsed rows, joined to the quartiles (one row per group)."""
     v = F.col(value_col).cast("double")
     base = df.where(v.isNotNull()).select(F.col(group_col), v.alias("__v"))
-    q = (F.percentile_approx("__v", [0.25, 0.5, 0.75], 10000) if approx else F.percentile("__v", [0.25, 0.5, 0.75]))
-    quart = base.groupBy(group_col).agg(q.alias("__q")).select(
-        group_col, F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("median"), F.col("__q")[2].alias("q3"))
-    quart = quart.withColumn("iqr", F.col("q3") - F.col("q1"))
+    base = base.groupBy(group_col, "__v").agg(F.count(F.lit(1)).alias("__c"))
+    if approx:
+        raw = df.where(v.isNotNull()).groupBy(group_col).agg(F.percentile_approx(v, list(QUARTILES.values()), 10000).alias("__q"))
+        quart = raw.select(group_col, *[F.col("__q")[i].alias(n) for i, n in enumerate(("q1", "median", "q3"))])
+    else:
+        base = materialize(base)
+        weighted = running_totals(base, [group_col], ["__v"], "__c")
+        quart = quantiles_of_ranks(weighted, [group_col], "__v", "__c", {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    quart = quart.select(F.col(group_col).alias("__g"), "q1", "median", "q3", (F.col("q3") - F.col("q1")).alias("iqr"))
     lo = F.col("q1") - 1.5 * F.col("iqr")
     hi = F.col("q3") + 1.5 * F.col("iqr")
-    # one row per group: broadcast it (size checked) rather than hashing every value row
-    # on a handful of group keys
-    from demandflow.session import bounded_broadcast
-    j = base.join(bounded_broadcast(quart), group_col)
+    j = base.join(quart, base[group_col].eqNullSafe(F.col("__g"))).where(F.col(group_col).isNotNull())
     return j.groupBy(group_col, "q1", "median", "q3", "iqr").agg(
         F.min(F.when(F.col("__v") >= lo, F.col("__v"))).alias("whisker_low"),
         F.max(F.when(F.col("__v") <= hi, F.col("__v"))).alias("whisker_high"),
-        F.count_if((F.col("__v") < lo) | (F.col("__v") > hi)).cast("bigint").alias("outliers"),
-        F.count(F.lit(1)).cast("bigint").alias("n"))
+        F.sum(F.when((F.col("__v") < lo) | (F.col("__v") > hi), F.col("__c")).otherwise(F.lit(0))).cast("bigint").alias("outliers"),
+        F.sum("__c").cast("bigint").alias("n"))
 
 
 def share_of_total(df: DataFrame, value_col: str, out_col: str = "share") -> DataFrame:

@@ -580,27 +580,68 @@ def _plain(expr: str, alias: str) -> str:
     return f"{expr} AS {alias}"
 
 
-def _e2_sql(snap: bool = True) -> str:
-    rs = r if snap else _plain
+def _selected_pairs_sql() -> str:
+    """CTEs up to ``pairs``: (feature, x, y) rows of the selected features."""
     head, feats = _selected_features_sql()
     sel = "\nUNION ALL ".join(
         f"SELECT '{c}' feature, CAST({c} AS DOUBLE) x, CAST(sales_qty AS DOUBLE) y FROM imp" for c in feats)
     prof = _e1_sql().split("\nSELECT *, ", 1)[1]
-    series_even = "list_sum([exp(lgamma(j + 0.5) - lgamma(0.5) - lgamma(j + 1.0) + j * ln(q)) FOR j IN range(0, CAST((nu - 2) // 2 AS BIGINT) + 1)])"
-    series_odd = "list_sum([exp(lgamma(j + 1.0) + lgamma(1.5) - lgamma(j + 1.5) + j * ln(q)) FOR j IN range(0, CAST((nu - 3) // 2 AS BIGINT) + 1)])"
     return f"""{head},
 prof AS (SELECT *, (coalesce(nonnull_frac, 0) >= 0.6 AND NOT is_binary) selected FROM ({prof.split(' FROM (', 1)[1][:-1]})),
 longv AS ({sel}),
-pairs AS (SELECT * FROM longv WHERE x IS NOT NULL AND y IS NOT NULL AND feature IN (SELECT feature FROM prof WHERE selected)),
+pairs AS (SELECT * FROM longv WHERE x IS NOT NULL AND y IS NOT NULL AND feature IN (SELECT feature FROM prof WHERE selected))"""
+
+
+def _e2_sql(snap: bool = True) -> str:
+    """The p-value by hypergeometric series: of the tail itself, whose terms are all positive, or
+    of the complement where t^2 / 2 is small."""
+    rs = r if snap else _plain
+    front = "(nu / 2.0) * ln(q) + 0.5 * ln(r2) + lgamma((nu + 1) / 2.0) - lgamma(nu / 2.0) - lgamma(0.5)"
+    tail = ("list_sum([exp(lgamma((nu + 1) / 2.0 + j) - lgamma((nu + 1) / 2.0) - lgamma(nu / 2.0 + 1 + j) + lgamma(nu / 2.0 + 1) + j * ln(q)) "
+            "FOR j IN range(0, CAST(ceil(45 / r2) AS BIGINT))])")
+    rest = ("list_sum([exp(lgamma((nu + 1) / 2.0 + j) - lgamma((nu + 1) / 2.0) - lgamma(1.5 + j) + lgamma(1.5) + j * ln(r2)) "
+            "FOR j IN range(0, 600)])")
+    return f"""{_selected_pairs_sql()},
 g AS (SELECT feature, count(*) n, CASE WHEN count(*) >= 3 AND max(x) > min(x) AND max(y) > min(y)
         THEN least(1.0, greatest(-1.0, covar_samp(x, y) / (stddev_samp(x) * stddev_samp(y)))) END r FROM pairs GROUP BY 1),
-h AS (SELECT feature, n, r, abs(r) a, greatest(0.0, 1 - r * r) q, n - 2 nu FROM g),
-p AS (SELECT feature, n, r, CASE WHEN r IS NULL OR nu < 1 THEN NULL
-        WHEN q = 0 THEN 0.0
-        WHEN nu % 2 = 0 THEN greatest(0.0, 1 - a * {series_even})
-        WHEN nu = 1 THEN greatest(0.0, 1 - 2 / pi() * asin(a))
-        ELSE greatest(0.0, 1 - 2 / pi() * (asin(a) + a * sqrt(q) * {series_odd})) END pv FROM h)
-SELECT feature, {rs('r', 'pearson_r')}, CAST(n AS BIGINT) n_used, {rs('pv', 'pearson_pvalue')} FROM p"""
+h AS (SELECT feature, n, r, r * r r2, 1 - r * r q, CAST(n - 2 AS DOUBLE) nu FROM g),
+p AS (SELECT feature, n, r, CASE WHEN r IS NULL THEN NULL WHEN r2 = 0 THEN 0.0 WHEN q = 0 THEN NULL
+        WHEN nu * r2 <= 8 * q THEN ln(1 - exp({front}) * 2 * {rest})
+        ELSE {front} - ln(nu / 2.0) + ln({tail}) END lnp FROM h)
+SELECT feature, {rs('r', 'pearson_r')}, CAST(n AS BIGINT) n_used,
+  {rs('CASE WHEN r IS NOT NULL THEN coalesce(exp(lnp), 0.0) END', 'pearson_pvalue')}, {rs('lnp / ln(10)', 'log10_pvalue')} FROM p"""
+
+
+def _binned_mi_tail(keys: str) -> str:
+    """CTEs from ``pairs`` (keys, x, y) to ``mi``: bins by the rank of the first equal value."""
+    return f"""
+n0 AS (SELECT *, count(*) OVER (PARTITION BY {keys}) n FROM pairs),
+rk AS (SELECT {keys}, n, least(64, greatest(2, CAST(floor(sqrt(n / 5.0)) AS BIGINT))) b,
+         rank() OVER (PARTITION BY {keys} ORDER BY x) - 1 rx, rank() OVER (PARTITION BY {keys} ORDER BY y) - 1 ry FROM n0),
+cell AS (SELECT {keys}, n, rx * b // n bx, ry * b // n byy, count(*) c FROM rk GROUP BY ALL),
+mx AS (SELECT {keys}, bx, sum(c) cx FROM cell GROUP BY ALL),
+my AS (SELECT {keys}, byy, sum(c) cy FROM cell GROUP BY ALL),
+mi AS (SELECT {keys}, n, CASE WHEN n >= 5 THEN greatest(0.0, sum(c / n * ln(c * CAST(n AS DOUBLE) / (cx * cy)))
+           + (count(DISTINCT bx) + count(DISTINCT byy) - count(*) - 1) / (2.0 * n)) END v
+       FROM cell JOIN mx USING ({keys}, bx) JOIN my USING ({keys}, byy) GROUP BY {keys}, n)"""
+
+
+def _e3_binned_sql(snap: bool = True) -> str:
+    snapped = _selected_pairs_sql().replace("\npairs AS (SELECT * FROM", "\npairs AS (SELECT feature, round(x * 1048576.0) / 1048576.0 x, "
+                                            "round(y * 1048576.0) / 1048576.0 y FROM")
+    return f"""{snapped},{_binned_mi_tail('feature')}
+SELECT feature, {(r if snap else _plain)('v', 'mi')}, CAST(n AS BIGINT) n_used FROM mi"""
+
+
+ITEM_FEATURES = ["freight_value", "delivery_diff_estimated", "estimated_delivery_lead_days", "approval_time_hours"]
+
+
+def _e3_item_sql() -> str:
+    sel = "\nUNION ALL ".join(f"SELECT customer_region, '{c}' feature, CAST({c} AS DOUBLE) x, CAST(price AS DOUBLE) y FROM d "
+                              f"WHERE {c} IS NOT NULL AND price IS NOT NULL AND customer_region IS NOT NULL" for c in ITEM_FEATURES)
+    return f"""WITH {RAW_CTES}, {keyed_cte('W')},
+pairs AS ({sel}),{_binned_mi_tail('customer_region, feature')}
+SELECT customer_region, feature, {r('v', 'mi')}, CAST(n AS BIGINT) n_used FROM mi"""
 
 
 ORACLE.update({
@@ -721,14 +762,14 @@ SELECT feature, {(r if snap else _plain)('v', 'mi')}, CAST(n AS BIGINT) n_used F
 ORACLE["e3_mutual_information_exact"] = _e3_exact_sql()
 
 
-def _rank_sql(relevant_only: bool = False) -> str:
+def _rank_sql(mi_sql: str, relevant_only: bool = False) -> str:
     label_r = ("CASE WHEN pearson_r IS NULL THEN NULL WHEN abs(pearson_r) < 0.3 THEN 'Baixo' "
                "WHEN abs(pearson_r) < 0.5 THEN 'Moderado' ELSE 'Forte' END")
     label_m = "CASE WHEN mi IS NULL THEN NULL WHEN mi < 0.3 THEN 'Baixo' WHEN mi < 0.6 THEN 'Moderado' ELSE 'Forte' END"
     where = ("WHERE NOT (pearson_label IS NOT DISTINCT FROM 'Baixo') OR NOT (mi_label IS NOT DISTINCT FROM 'Baixo')"
              if relevant_only else "")
     return f"""WITH e2 AS ({_e2_sql(snap=False)}),
-e3 AS ({_e3_exact_sql(snap=False)}),
+e3 AS ({mi_sql}),
 j AS (SELECT coalesce(e2.feature, e3.feature) feature, e2.pearson_r, e3.mi FROM e2 FULL OUTER JOIN e3 ON e2.feature = e3.feature),
 mx AS (SELECT max(abs(pearson_r)) rmax, max(mi) mmax FROM j),
 nz AS (SELECT feature, pearson_r, mi,
@@ -741,8 +782,12 @@ SELECT feature, {r('pearson_r', 'pearson_r')}, {r('mi', 'mi')}, {r('r_norm_abs',
   {r('score', 'score')}, pearson_label, mi_label FROM sc {where}"""
 
 
-ORACLE["e5_feature_rank_exact"] = _rank_sql()
-ORACLE["e6_relevant_features_exact"] = _rank_sql(relevant_only=True)
+ORACLE["e5_feature_rank_exact"] = _rank_sql(_e3_exact_sql(snap=False))
+ORACLE["e6_relevant_features_exact"] = _rank_sql(_e3_exact_sql(snap=False), relevant_only=True)
+ORACLE["e3_mutual_information_binned"] = _e3_binned_sql()
+ORACLE["e3_item_mutual_information_by_region"] = _e3_item_sql()
+ORACLE["e5_feature_rank"] = _rank_sql(_e3_binned_sql(snap=False))
+ORACLE["e6_relevant_features"] = _rank_sql(_e3_binned_sql(snap=False), relevant_only=True)
 
 
 def _schema_sql() -> str:

@@ -420,20 +420,34 @@ def q_pearson(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_mutual_information(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K-NN (k=3) mutual information per selected feature."""
     df, feats = _analysis_input(spark, sf_dir)
-    return normalize(analysis.compute_mutual_information(df, "sales_qty", feats, "order_week"))
+    return normalize(analysis.compute_mutual_information(df, "sales_qty", feats, "order_week", method="knn"))
+
+
+def q_mutual_information_binned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E3 by quantile bins: mutual information per selected feature."""
+    df, feats = _analysis_input(spark, sf_dir)
+    return normalize(analysis.compute_mutual_information(df, "sales_qty", feats, grid=2.0 ** -20))
+
+
+def q_item_mutual_information(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E3 at item grain, one group per (region, feature): what an item's price tells of its freight
+    and its delivery times."""
+    df = period.calc_time_deltas(merged(spark, sf_dir)).where(F.col("customer_region").isNotNull())
+    feats = ["freight_value", "delivery_diff_estimated", "estimated_delivery_lead_days", "approval_time_hours"]
+    return normalize(analysis.compute_mutual_information(df, "price", feats, series_keys=["customer_region"]))
 
 
 def q_feature_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Combined rank with strength labels."""
+    """Combined rank with strength labels (mutual information by bins)."""
     df, _ = _analysis_input(spark, sf_dir)
-    res = analysis.analyze_continuous_features(df, "sales_qty", "order_week")
+    res = analysis.analyze_continuous_features(df, "sales_qty", "order_week", grid=2.0 ** -20)
     return normalize(res["rank"])
 
 
 def q_relevant_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E6 filter: features not low on both Pearson and MI."""
     df, _ = _analysis_input(spark, sf_dir)
-    res = analysis.analyze_continuous_features(df, "sales_qty", "order_week")
+    res = analysis.analyze_continuous_features(df, "sales_qty", "order_week", grid=2.0 ** -20)
     return normalize(analysis.relevant_features(res["rank"]))
 
 
@@ -441,6 +455,8 @@ QUERIES.update({
     "e1_continuous_feature_profile": q_continuous_profile,
     "e2_pearson_corr": q_pearson,
     "e3_mutual_information": q_mutual_information,
+    "e3_mutual_information_binned": q_mutual_information_binned,
+    "e3_item_mutual_information_by_region": q_item_mutual_information,
     "e5_feature_rank": q_feature_rank,
     "e6_relevant_features": q_relevant_features,
 })
@@ -631,7 +647,7 @@ def q_mutual_information_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E3 without the tie-breaking jitter: the same k-NN estimator (k=3) on z-scores snapped
     to the 2**-20 grid, so ties are exact and a brute-force SQL twin exists."""
     df, feats = _analysis_input(spark, sf_dir)
-    return normalize(analysis.compute_mutual_information(df, "sales_qty", feats, "order_week", random_state=None,
+    return normalize(analysis.compute_mutual_information(df, "sales_qty", feats, "order_week", method="knn", random_state=None,
                                                          grid=2.0 ** -20))
 
 
@@ -641,7 +657,7 @@ QUERIES["e3_mutual_information_exact"] = q_mutual_information_exact
 def _rank_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     df, feats = _analysis_input(spark, sf_dir)
     pearson = analysis.compute_pearson_corr(df, "sales_qty", feats)
-    mi = analysis.compute_mutual_information(df, "sales_qty", feats, "order_week", random_state=None, grid=2.0 ** -20)
+    mi = analysis.compute_mutual_information(df, "sales_qty", feats, "order_week", method="knn", random_state=None, grid=2.0 ** -20)
     return analysis.add_strength_labels(analysis.combined_rank(pearson, mi))
 
 

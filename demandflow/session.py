@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,15 +64,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint so later branches re-read it instead of
-    recomputing joins; survives executor loss because the files sit in the shared folder."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage: write the rows as a Parquet table into the shared folder and read them from
+    there.  Later branches re-read only the columns they need instead of recomputing joins, and a
+    lost executor costs nothing.  The table goes when the driver ends."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    atexit.register(_delete, spark, path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast hint only behind a proven size bound: a ``limit(max_rows + 1)`` count
-    (one tiny job) must stay within ``max_rows``; otherwise the frame is returned as is and
-    the join shuffles (or AQE decides from measured sizes)."""
+def _delete(spark: SparkSession, path: str) -> None:
+    try:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    except Exception:  # noqa: BLE001 - the JVM may already be gone when Python exits
+        pass
+
+
+def literal_rows(spark: SparkSession, rows: list[tuple], names: list[str]) -> DataFrame:
+    """A small table of plan-time values as literals: no data travels from the driver."""
     from pyspark.sql import functions as F
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    structs = [F.struct(*[F.lit(v).alias(n) for v, n in zip(row, names, strict=True)]) for row in rows]
+    return spark.range(1).select(F.explode(F.array(*structs)).alias("r")).select("r.*")
