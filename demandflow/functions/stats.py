@@ -27,11 +27,13 @@ def masked_wavg(value: str | Column, weight: str | Column) -> Column:
     return F.try_divide(num, F.nullif(den, F.lit(0.0)))
 
 
-def propagating_wavg(value: str | Column, weight: str | Column) -> Column:
-    """sum(v*w)/sum(w); any null value in the group, or a total <= 0, gives null."""
-    v, w = _c(value).cast("double"), _c(weight).cast("double")
+def propagating_wavg(value: str | Column, weight: str | Column, rows: Column | None = None) -> Column:
+    """sum(v*w)/sum(w) over ``rows`` (all by default); any null value among them, or a total
+    <= 0, gives null."""
+    rows = F.lit(True) if rows is None else rows
+    v, w = F.when(rows, _c(value).cast("double")), F.when(rows, _c(weight).cast("double"))
     total = F.sum(w)
-    return F.when((F.count_if(v.isNull()) == 0) & (total > 0), F.try_divide(F.sum(v * w), total))
+    return F.when((F.count_if(rows & v.isNull()) == 0) & (total > 0), F.try_divide(F.sum(v * w), total))
 
 
 def bias_corrected_skew(x: str | Column) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 LOG = logging.getLogger(__name__)
 
+# The raw tables' column names.
 ORDERS_COLS = [
     "order_id", "customer_id", "order_status", "order_purchase_timestamp", "order_approved_at",
     "order_delivered_carrier_date", "order_delivered_customer_date", "order_estimated_delivery_date",
@@ -129,26 +130,24 @@ def dedupe_items(df: DataFrame, keys: Iterable[str] = DEDUP_KEYS,
     """One row per key, the first in the total order ``order_by`` (nulls first),
     then the remaining columns as tie breakers.
 
-    Written as ``min_by`` in a group-by, so duplicates collapse in the map-side partial
-    aggregation: a hot key reaches the shuffle as one row per map task, not as a skewed
-    window partition.
+    The first row of a window: Spark keeps one row per key in each task before a shuffle (window
+    group limit), so a hot key does not reach one task, and rows travel once.
     """
     keys = [k for k in keys if k in df.columns]
     if not keys:
         return df
     order_cols = [c for c in order_by if c in df.columns and c not in keys]
-    rest = [c for c in df.columns if c not in keys]
-    tie = [c for c in rest if c not in order_cols and not isinstance(df.schema[c].dataType, (T.MapType,))]
-    ordering = F.struct(*[F.col(c) for c in order_cols + tie])
-    payload = F.struct(*[F.col(c) for c in rest])
-    agg = df.groupBy(*keys).agg(F.min_by(payload, ordering).alias("__row"))
-    return agg.select(*[F.col(c) for c in df.columns if c in keys] + [F.col(f"__row.{c}") for c in rest]) \
-        .select(*df.columns)
+    tie = [c for c in df.columns if c not in keys and c not in order_cols and not isinstance(df.schema[c].dataType, (T.MapType,))]
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*order_cols, *tie))
+    return df.withColumn("__nth", nth).where(F.col("__nth") == 1).drop("__nth")
 
 
-def dedupe_count(before: DataFrame, after: DataFrame) -> int:
-    """Rows removed by P7 (logged by the pipeline)."""
-    return before.count() - after.count()
+def dedupe_report(df: DataFrame, keys: Iterable[str] = DEDUP_KEYS) -> DataFrame:
+    """P7's count of removed rows, in one pass with partial aggregation: ``rows``, ``kept`` and
+    ``removed``."""
+    per = df.groupBy(*[k for k in keys if k in df.columns]).agg(F.count(F.lit(1)).alias("__n"))
+    return per.agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("bigint").alias("rows"), F.count(F.lit(1)).cast("bigint").alias("kept"),
+                   F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).cast("bigint").alias("removed"))
 
 
 def filter_top_categories(df: DataFrame, state: str | None = "SP", k: int = 7,
@@ -175,7 +174,9 @@ def build_merged(orders: DataFrame, items: DataFrame, products: DataFrame, custo
     products first (shuffle on product_id), then the order side (orders with their
     customers, both order grain, region already mapped on the customers) on order_id.  The final shuffle is on order_id, which
     already clusters the (order_id, order_item_id) deduplication, so the item-grain data
-    is shuffled twice instead of four times.  Inner/left semantics are the same.
+    is shuffled twice instead of four times.  Inner/left semantics are the same.  A state filter
+    is applied to the customers, so that items of other states drop out in the first join
+    with the orders (an order has one customer).
     """
     orders = cast_ids_to_str(safe_select(orders, ORDERS_COLS))
     products = cast_ids_to_str(safe_select(products, PRODUCTS_COLS))
@@ -191,7 +192,9 @@ def build_merged(orders: DataFrame, items: DataFrame, products: DataFrame, custo
     order_cols = list(orders.columns)
 
     items_p = items.join(products, "product_id", "left")
-    order_side = orders.join(customers, "customer_id", "left")
+    if filter_state is not None:
+        customers = customers.where(F.col("customer_state") == filter_state)
+    order_side = orders.join(customers, "customer_id", "left" if filter_state is None else "inner")
     df = order_side.join(items_p, "order_id", "inner")
     df = df.select(*order_cols, *item_cols, *prod_cols, *cust_cols)
     df = coerce_datetime(df, DATE_COLS)
@@ -199,5 +202,5 @@ def build_merged(orders: DataFrame, items: DataFrame, products: DataFrame, custo
     if dedupe:
         df = dedupe_items(df)
     if filter_state is not None:
-        df = filter_top_categories(df, filter_state, top_k)
+        df = filter_top_categories(df, None, top_k)  # the state is filtered already
     return df

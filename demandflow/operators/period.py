@@ -1,17 +1,17 @@
 """Period table: time deltas, period key, price changes, regional metrics, target
 (F1, F2, A1-A12, W1-W5, J4-J8).
 
-Shuffle plan of ``build_period_table`` over item-grain rows (the only large input):
+Shuffle plan of ``build_period_table`` over item-grain rows (the only large input): one
+``groupBy(product, category, region, period)`` of additive partials (item counts, price sums,
+sums and counts of the three deltas), written to the shared folder, from which both branches
+are rolled up:
 
-* price branch: one ``groupBy(product, category, period)`` with map-side partial sums,
-  then everything else runs on those partials (re-partitioned by product for the
-  per-product window, then grouped by category and by period);
-* time branch: one ``groupBy(region, period)`` with partial sums, from which the wide
-  regional columns, the sales-weighted means *and* the target are read in a single
-  ``groupBy(period)``.
+* price branch: partials by product for the per-product window, then by category and period;
+* time branch: partials by (region, period), from which the wide regional columns, the
+  sales-weighted means and the target are read in a single ``groupBy(period)``.
 
 Hot products or regions are absorbed by the partial aggregation: after it a product has
-at most (#periods x #categories) rows, a number bounded by the calendar.
+at most (#periods x #categories x #regions) rows, a number bounded by the calendar.
 """
 
 from __future__ import annotations
@@ -24,10 +24,12 @@ from pyspark.sql import functions as F
 from demandflow.functions.stats import masked_wavg, propagating_wavg
 from demandflow.functions.timecols import PERIOD_COLUMN, floor_days_between, hours_between, period_start
 from demandflow.operators.clean import require_columns
+from demandflow.session import materialize
 
 # Region name -> column suffix.
 REGION_SUFFIX = {"Norte": "n", "Nordeste": "ne", "Sudeste": "se", "Sul": "s", "Centro-Oeste": "co"}
 
+# Output column names.
 PRICE_VARS = ["price_var_w1_point", "price_var_w1_smooth", "price_var_w4_point", "price_var_m4_vs_prev4"]
 PRICE_MEANS = [f"{c}_mean" for c in PRICE_VARS]
 DELTA_COLS = {  # row-level delta -> regional mean name
@@ -80,6 +82,43 @@ def _weight_mode(df: DataFrame) -> str:
     return "sum"
 
 
+PRICE_SUMS = ("n_items", "price_sum", "price_n")
+
+
+def _in_days(col: str) -> bool:
+    return not col.endswith("_hours")
+
+
+def _delta_sums() -> list[Column]:
+    """Additive partials of the three deltas.  Hours are summed as whole microseconds, so that the
+    mean does not depend on the order of summation (day counts are whole numbers already)."""
+    out = []
+    for c in DELTA_COLS:
+        x = F.col(c) if _in_days(c) else F.round(F.col(c) * 3.6e9).cast("bigint")
+        out += [F.sum(x).alias(f"__s_{c}"), F.count(c).alias(f"__n_{c}")]
+    return out
+
+
+def _delta_means() -> list[Column]:
+    """Means from the partials, as the reference's column names."""
+    out = []
+    for c, name in DELTA_COLS.items():
+        total = F.sum(f"__s_{c}")
+        out.append(F.try_divide(total if _in_days(c) else total / F.lit(3.6e9), F.sum(f"__n_{c}")).alias(name))
+    return out
+
+
+def item_partials(df: DataFrame, time_col: str, series_keys: Iterable[str] = (), product_col: str = "product_id",
+                  category_col: str = "product_category_name", region_col: str = "customer_region") -> DataFrame:
+    """The one aggregation of item-grain rows: additive partials per (series, product, category,
+    region, period).  Null products, categories and regions are groups of their own."""
+    keys = list(dict.fromkeys([*series_keys, product_col, category_col, region_col, time_col]))
+    qty = F.count("order_item_id") if _weight_mode(df) == "items" else F.lit(None).cast("bigint")
+    return df.where(F.col(time_col).isNotNull()).groupBy(*keys).agg(
+        qty.alias("n_items"), F.sum("price").alias("price_sum"), F.count("price").alias("price_n"),
+        F.count(F.lit(1)).alias("__rows"), *_delta_sums())
+
+
 def product_period_partials(df: DataFrame, time_col: str, series_keys: Iterable[str] = (),
                             product_col: str = "product_id",
                             category_col: str = "product_category_name") -> DataFrame:
@@ -94,6 +133,24 @@ def product_period_partials(df: DataFrame, time_col: str, series_keys: Iterable[
             .agg(qty.alias("n_items"), F.sum("price").alias("price_sum"), F.count("price").alias("price_n")))
 
 
+def products_of_partials(partials: DataFrame, time_col: str, series_keys: Iterable[str] = (), product_col: str = "product_id",
+                         category_col: str = "product_category_name") -> DataFrame:
+    """:func:`product_period_partials` from :func:`item_partials`.  Dealt by product, as the price
+    changes need them, so nothing moves again."""
+    keys = list(dict.fromkeys([*series_keys, product_col, category_col, time_col]))
+    dealt = partials.where(F.col(product_col).isNotNull()).select(*keys, *PRICE_SUMS)
+    return dealt.repartition(*[F.col(k) for k in dict.fromkeys([*series_keys, product_col])]) \
+        .groupBy(*keys).agg(*[F.sum(c).alias(c) for c in PRICE_SUMS])
+
+
+def regions_of_partials(partials: DataFrame, time_col: str, series_keys: Iterable[str] = (),
+                        region_col: str = "customer_region") -> DataFrame:
+    """:func:`region_period_partials` from :func:`item_partials`."""
+    target = F.sum("n_items")
+    return partials.groupBy(*dict.fromkeys([*series_keys, region_col, time_col])).agg(
+        *_delta_means(), F.sum("__rows").alias("sales"), target.alias("__target"))
+
+
 def _order_weights(df: DataFrame, keys: list[str], out: str) -> DataFrame:
     """A2 (ii): distinct orders x mean price per group (distinct counts do not add up
     across groups, so this weight needs its own group-by)."""
@@ -140,7 +197,7 @@ def price_vars_from_partials(partials: DataFrame, time_col: str, series_keys: It
     """
     keys = [*series_keys, product_col]
     per_product = (
-        partials.repartition(*[F.col(k) for k in keys])
+        partials.repartition(*[F.col(k) for k in dict.fromkeys(keys)])
         .groupBy(*keys, time_col)
         .agg(
             (F.sum("price_sum") / F.nullif(F.sum("price_n"), F.lit(0))).alias("price_mean"),
@@ -229,9 +286,8 @@ def region_period_partials(df: DataFrame, time_col: str, series_keys: Iterable[s
 
 
 def _order_free_mean(col: str) -> Column:
-    """Mean that does not depend on the order of summation: hours are summed as whole
-    microseconds (day counts are whole numbers already)."""
-    if not col.endswith("_hours"):
+    """Mean that does not depend on the order of summation (see :func:`_delta_sums`)."""
+    if _in_days(col):
         return F.avg(col)
     return F.try_divide(F.sum(F.round(F.col(col) * 3.6e9).cast("bigint")) / F.lit(3.6e9), F.count(col))
 
@@ -240,6 +296,19 @@ def _suffix(region: str, suffix_map: Mapping[str, str]) -> str:
     return suffix_map.get(region, region.lower())
 
 
+#: As Spark's own pivot refuses more values.
+MAX_REGIONS = 10_000
+
+
+def regions_in(df: DataFrame, region_col: str = "customer_region", suffix_map: Mapping[str, str] = REGION_SUFFIX) -> list[str]:
+    """A7's regions: those of the map and, after them, those in the data beyond it.  One small
+    distinct at plan time; a pivot needs its columns."""
+    found = {r[0] for r in df.select(region_col).where(F.col(region_col).isNotNull()).distinct().limit(MAX_REGIONS + 1).collect()}
+    if len(found) > MAX_REGIONS:
+        raise ValueError(f"more than {MAX_REGIONS} regions: pass the wanted ones as regions=")
+    return [*suffix_map, *sorted(found - set(suffix_map))]
+
+
 def wide_weighted_from_partials(per_reg: DataFrame, time_col: str, series_keys: Iterable[str] = (),
                                 region_col: str = "customer_region",
                                 suffix_map: Mapping[str, str] = REGION_SUFFIX,
@@ -247,9 +316,9 @@ def wide_weighted_from_partials(per_reg: DataFrame, time_col: str, series_keys:
                                 with_target: bool = True) -> DataFrame:
     """A7 + A8 (+ A10 when ``with_target``) in one ``groupBy(period)``.
 
-    The pivot uses an explicit region list, so the schema is static and no extra job
-    discovers the regions; the weighted mean propagates a null regional mean (A8)."""
-    regions = list(suffix_map) if regions is None else list(regions)
+    The pivot is over ``regions``; by default those of the map and any others in the data, which
+    get their lower-cased name as suffix.  The weighted mean propagates a null regional mean (A8)."""
+    regions = regions_in(per_reg, region_col, suffix_map) if regions is None else list(regions)
     reg = F.col(region_col)
     aggs: list[Column] = []
     if with_target:
@@ -259,11 +328,7 @@ def wide_weighted_from_partials(per_reg: DataFrame, time_col: str, series_keys:
             aggs.append(F.max(F.when(reg == r, F.col(metric))).alias(f"{metric}_{_suffix(r, suffix_map)}"))
     known = reg.isNotNull()
     for metric, out in WEIGHTED_COLS.items():
-        v = F.when(known, F.col(metric))
-        w = F.when(known, F.col("sales"))
-        has_null = F.count_if(known & F.col(metric).isNull()) > 0
-        total = F.sum(w).cast("double")
-        aggs.append(F.when(~has_null & (total > 0), F.try_divide(F.sum(v * w), total)).alias(out))
+        aggs.append(propagating_wavg(metric, "sales", known).alias(out))
     return per_reg.groupBy(*series_keys, time_col).agg(*aggs)
 
 
@@ -274,6 +339,7 @@ def aggregate_time_metrics_wide_weighted(df: DataFrame, time_col: str, series_ke
     """Wide regional means and sales-weighted means per period."""
     require_columns(df, [region_col, time_col, *DELTA_COLS])
     per_reg = region_period_partials(df, time_col, series_keys, region_col)
+    per_reg = per_reg if regions is not None else materialize(per_reg)
     return wide_weighted_from_partials(per_reg, time_col, series_keys, region_col, suffix_map, regions,
                                        with_target=False)
 
@@ -294,22 +360,29 @@ def aggregate_sales_target(df: DataFrame, time_col: str, series_keys: Iterable[s
 def period_table_from_keyed(df: DataFrame, time_col: str, series_keys: Iterable[str] = (),
                             suffix_map: Mapping[str, str] = REGION_SUFFIX,
                             regions: Iterable[str] | None = None) -> DataFrame:
-    """A12 body on rows that already carry deltas and the period key."""
+    """A12 body on rows that already carry deltas and the period key.  Unless the weights need
+    distinct orders, which do not add up, the rows are read and aggregated once."""
     series_keys = list(series_keys)
     mode = _weight_mode(df)
-    partials = product_period_partials(df, time_col, series_keys)
-    price_vars = price_vars_from_partials(partials, time_col, series_keys, weight_mode=mode, rows=df)
-    price_cat = aggregate_price_vars_to_category(price_vars, time_col, series_keys, weight_mode=mode, rows=df)
-    price_time = aggregate_price_vars_to_time(price_cat, time_col, series_keys)
-    per_reg = region_period_partials(df, time_col, series_keys)
     keys = [*series_keys, time_col]
-    if mode == "items":
-        target_time = wide_weighted_from_partials(per_reg, time_col, series_keys, suffix_map=suffix_map,
-                                                  regions=regions)
+    if mode == "orders":
+        rows = df
+        partials = product_period_partials(df, time_col, series_keys)
+        per_reg = materialize(region_period_partials(df, time_col, series_keys))
     else:
-        target_time = aggregate_sales_target(df, time_col, series_keys).join(
-            wide_weighted_from_partials(per_reg, time_col, series_keys, suffix_map=suffix_map, regions=regions,
-                                        with_target=False), keys, "left")
+        rows = None
+        once = materialize(item_partials(df, time_col, series_keys))
+        partials = products_of_partials(once, time_col, series_keys)
+        per_reg = regions_of_partials(once, time_col, series_keys)
+        regions = regions_in(once, suffix_map=suffix_map) if regions is None else regions
+    price_vars = price_vars_from_partials(partials, time_col, series_keys, weight_mode=mode, rows=rows)
+    price_cat = aggregate_price_vars_to_category(price_vars, time_col, series_keys, weight_mode=mode, rows=rows)
+    price_time = aggregate_price_vars_to_time(price_cat, time_col, series_keys)
+    if mode == "sum":
+        per_reg = per_reg.withColumn("__target", F.col("sales"))
+    wide = wide_weighted_from_partials(per_reg, time_col, series_keys, suffix_map=suffix_map, regions=regions,
+                                       with_target=mode != "orders")
+    target_time = wide if mode != "orders" else aggregate_sales_target(df, time_col, series_keys).join(wide, keys, "left")
     out = target_time.join(price_time, keys, "left")
     front = [*keys, "sales_qty", *PRICE_MEANS]
     return out.select(*front, *[c for c in out.columns if c not in front])
