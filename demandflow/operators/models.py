@@ -1,5 +1,5 @@
-"""Forecasters for the backtest (B3, B4, B6, B7, B8, B8b) on Spark ML, plus a pure-SQL
-seasonal naive baseline.
+"""Forecasters for the backtest loop (B3, B4, B6) on Spark ML, plus a pure-SQL seasonal
+naive baseline.  The linear forecasters (B7, B8, B8b) are in :mod:`panel`.
 
 Each ``*_fit_predict`` factory returns ``fit_predict(train, valid) -> valid + prediction``
 for ``backtest``.  Fitting statistics (means, changepoints, scales) are computed on the
@@ -10,21 +10,19 @@ backtest, compare) is the same.
 
 from __future__ import annotations
 
-import itertools
 import math
 import random
 from collections.abc import Iterable, Mapping
 
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.ml.regression import GBTRegressor
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandflow.operators.backtest import cv_frames, lit_like
 
-# Search space of the gradient-boosted trees.  Sizes follow the original grid where Spark
+# Search space of the gradient-boosted trees.  Sizes follow the original grid where Spark
 # has the parameter (depth, learning rate, rounds, row and column sampling, minimum leaf
 # size); leaf count and L1/L2 penalties have no GBTRegressor counterpart.  Unlimited depth
 # maps to 6.
@@ -160,117 +158,6 @@ def random_search_gbt(df: DataFrame, features: list[str], date_col: str, target_
     return sample_grid(grid, n_iter, seed)[best_i], table
 
 
-# --- additive trend + seasonality --------------------------------------------------------------
-def additive_fit_predict(target_col: str, date_col: str, n_changepoints: int = 25,
-                         changepoint_range: float = 0.8, yearly_order: int = 10, weekly_order: int = 3,
-                         reg_param: float = 0.1, extra_features: Iterable[str] = ()):
-    """B7 re-aimed: piecewise-linear trend (hinges at changepoints placed on the first 80 %
-    of the training dates) + yearly and weekly Fourier terms (+ regressors), fitted by ridge
-    regression."""
-    extra = list(extra_features)
-
-    def design(df: DataFrame, t0: float, span: float, cps: list[float]) -> DataFrame:
-        epoch = F.unix_date(F.col(date_col).cast("date")).cast("double")
-        t = (epoch - F.lit(t0)) / F.lit(span)
-        cols = {"__t": t}
-        for i, c in enumerate(cps):
-            cols[f"__cp{i}"] = F.greatest(t - F.lit((c - t0) / span), F.lit(0.0))
-        for k in range(1, yearly_order + 1):
-            ang = F.lit(2 * math.pi * k / 365.25) * epoch
-            cols[f"__ys{k}"], cols[f"__yc{k}"] = F.sin(ang), F.cos(ang)
-        for k in range(1, weekly_order + 1):
-            ang = F.lit(2 * math.pi * k / 7.0) * epoch
-            cols[f"__ws{k}"], cols[f"__wc{k}"] = F.sin(ang), F.cos(ang)
-        return df.withColumns(cols), list(cols)
-
-    def fit_predict(train: DataFrame, valid: DataFrame) -> DataFrame:
-        epoch = F.unix_date(F.col(date_col).cast("date")).cast("double")
-        b = train.agg(F.min(epoch).alias("lo"), F.max(epoch).alias("hi"),
-                      F.percentile(epoch, [changepoint_range * (i + 1) / (n_changepoints + 1)
-                                           for i in range(n_changepoints)]).alias("cps")).first()
-        t0, span = float(b["lo"]), max(float(b["hi"] - b["lo"]), 1.0)
-        cps = sorted(set(float(c) for c in (b["cps"] or [])))
-        tr, cols = design(train, t0, span, cps)
-        va, _ = design(valid, t0, span, cps)
-        if extra:
-            tr, va = fill_from_train(tr, [tr, va], extra)
-        assembler = VectorAssembler(inputCols=cols + extra, outputCol="__x", handleInvalid="keep")
-        lr = LinearRegression(featuresCol="__x", labelCol=target_col, regParam=reg_param, elasticNetParam=0.0,
-                              standardization=True, solver="normal")
-        model = lr.fit(assembler.transform(tr.withColumn(target_col, F.col(target_col).cast("double"))))
-        return model.transform(assembler.transform(va)).drop("__x", *cols)
-
-    return fit_predict
-
-
-# --- seasonal autoregression on differences -----------------------------------------------------
-def seasonal_ar_fit_predict(target_col: str, date_col: str, season: int = 7, reg_param: float = 0.0):
-    """B8 re-aimed: regular and seasonal differencing (d = D = 1) of the target, then
-    z_t = phi * z_(t-1) + Phi * z_(t-s) + c by least squares on the training rows.  The
-    forecast starts from the end of the training rows and feeds its own values back,
-    y_hat_t = y_(t-1) + y_(t-s) - y_(t-s-1) + z_hat_t, so it never reads a validation target.
-    Fewer than 2s + 2 training rows, or a null among the last 2s + 2 targets, give null."""
-    s = season
-
-    def lags(df: DataFrame) -> DataFrame:
-        w = Window.orderBy(date_col)
-        y = F.col(target_col).cast("double")
-        z = df.select(date_col, (y - F.lag(y, 1).over(w) - F.lag(y, s).over(w) + F.lag(y, s + 1).over(w)).alias("__z"))
-        return z.select("__z", F.lag("__z", 1).over(w).alias("__z1"), F.lag("__z", s).over(w).alias("__zs"))
-
-    def fit_predict(train: DataFrame, valid: DataFrame) -> DataFrame:
-        # the last 2s + 2 targets: a number of rows fixed by the season
-        tail = train.select(F.col(target_col).cast("double").alias("y"), date_col).orderBy(F.desc(date_col)).limit(2 * s + 2).collect()
-        if len(tail) < 2 * s + 2:
-            return valid.withColumn("prediction", F.lit(None).cast("double"))
-        assembler = VectorAssembler(inputCols=["__z1", "__zs"], outputCol="__x")
-        model = LinearRegression(featuresCol="__x", labelCol="__z", regParam=reg_param, solver="normal") \
-            .fit(assembler.transform(lags(train).na.drop()))
-        phi, phi_s = (float(c) for c in model.coefficients)
-
-        def following(path: Column) -> Column:
-            def y(back: int) -> Column:
-                return F.element_at(path, -back)
-            z1 = y(1) - y(2) - y(s + 1) + y(s + 2)
-            zs = y(s) - y(s + 1) - y(2 * s) + y(2 * s + 1)
-            return y(1) + y(s) - y(s + 1) + F.lit(phi) * z1 + F.lit(phi_s) * zs + F.lit(float(model.intercept))
-
-        history = F.array(*[F.lit(r["y"]).cast("double") for r in reversed(tail)])
-        dates = valid.agg(F.sort_array(F.collect_set(date_col)).alias("date"))   # one fold's calendar
-        path = F.aggregate("date", history, lambda acc, _: F.concat(acc, F.array(following(acc))))
-        steps = dates.withColumn("y", F.slice(path, 2 * s + 3, F.size("date"))).select(F.explode(F.arrays_zip("date", "y")).alias("p"))
-        return _with_prediction(valid, steps.select(F.col("p.date").alias(date_col), F.col("p.y").alias("prediction")), [date_col])
-
-    return fit_predict
-
-
-# --- look-back sequence regression ------------------------------------------------------------
-def lookback_fit_predict(target_col: str, date_col: str, lookback: int = 14, reg_param: float = 0.0):
-    """B8b re-aimed: target standardised with training statistics (E4), the previous
-    ``lookback`` values as a vector (W11), linear autoregression; one-step forecasts use
-    the true past values and are transformed back."""
-
-    def fit_predict(train: DataFrame, valid: DataFrame) -> DataFrame:
-        cols = [date_col, target_col]
-        hist = train.select(*cols, F.lit(True).alias("__train")) \
-            .unionByName(valid.select(*cols, F.lit(False).alias("__train")))
-        y = F.col(target_col).cast("double")
-        whole = Window.partitionBy()   # one series: rows bounded by its calendar
-        mu = F.avg(F.when(F.col("__train"), y)).over(whole)
-        sd = F.coalesce(F.nullif(F.stddev_pop(F.when(F.col("__train"), y)).over(whole), F.lit(0.0)), F.lit(1.0))
-        hist = hist.select("*", mu.alias("__mu"), sd.alias("__sd")).withColumn("__z", (y - F.col("__mu")) / F.col("__sd"))
-        frame = Window.orderBy(date_col).rowsBetween(-lookback, -1)
-        seq = hist.select(date_col, "__train", "__z", "__mu", "__sd", F.collect_list("__z").over(frame).alias("__seq")) \
-            .where(F.size("__seq") == lookback).withColumn("__x", array_to_vector("__seq"))
-        model = LinearRegression(featuresCol="__x", labelCol="__z", regParam=reg_param, solver="normal") \
-            .fit(seq.where(F.col("__train")))
-        pred = model.transform(seq.where(~F.col("__train"))) \
-            .select(date_col, (F.col("prediction") * F.col("__sd") + F.col("__mu")).alias("prediction"))
-        return _with_prediction(valid, pred, [date_col])
-
-    return fit_predict
-
-
 def feature_subset_sweep(df: DataFrame, importances: DataFrame, ks: Iterable[int], target_col: str, date_col: str,
                          first_train_end, step, test_start=None, test_end=None, params: Mapping | None = None,
                          parallelism: int = 4) -> DataFrame:

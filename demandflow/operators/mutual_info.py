@@ -25,18 +25,17 @@ def default_bins(n: Column) -> Column:
 
 
 def quantile_edges(pairs: DataFrame, keys: list[str], bins: int | None) -> DataFrame:
-    """Per keys, the lowest value of each bin that is not empty: ``ex`` and ``ey``, ascending, at
+    """Per keys, the lowest value of each bin that is not empty: ``__ex`` and ``__ey``, ascending, at
     most ``MAX_BINS`` (or ``bins``) each."""
-    sides = pairs.select(*keys, F.explode(F.array(*[F.struct(F.lit(s).alias("side"), F.col(s).alias("v")) for s in ("x", "y")])).alias("s")) \
-        .select(*keys, "s.side", "s.v")
-    ranks = value_ranks(sides, [*keys, "side"], "v")
-    total = ranks.groupBy(*keys, "side").agg(F.sum("c").alias("n"))
-    both = ranks.alias("a").join(total.alias("b"), _equal("a", "b", [*keys, "side"])).select("a.*", "b.n")
-    wanted = default_bins(F.col("n")) if bins is None else F.lit(bins)
-    bin_no = F.floor((F.col("upto") - F.col("c")) * wanted / F.col("n"))
-    lows = both.groupBy(*keys, "side", bin_no.alias("bin")).agg(F.min("v").alias("low"))
-    one = lows.groupBy(*keys).agg(*[F.sort_array(F.collect_list(F.when(F.col("side") == s, F.col("low")))).alias(f"e{s}") for s in ("x", "y")])
-    return one
+    sides = pairs.select(*keys, F.explode(F.array(*[F.struct(F.lit(s).alias("__side"), F.col(s).alias("__v")) for s in ("x", "y")])).alias("__s")) \
+        .select(*keys, "__s.*")
+    ranks = value_ranks(sides, [*keys, "__side"], "__v")
+    total = ranks.groupBy(*keys, "__side").agg(F.sum("c").alias("__n"))
+    both = ranks.alias("a").join(total.alias("b"), _equal("a", "b", [*keys, "__side"])).select("a.*", "b.__n")
+    wanted = default_bins(F.col("__n")) if bins is None else F.lit(bins)
+    bin_no = F.floor((F.col("upto") - F.col("c")) * wanted / F.col("__n"))
+    lows = both.groupBy(*keys, "__side", bin_no.alias("__bin")).agg(F.min("__v").alias("__low"))
+    return lows.groupBy(*keys).agg(*[F.sort_array(F.collect_list(F.when(F.col("__side") == s, F.col("__low")))).alias(f"__e{s}") for s in ("x", "y")])
 
 
 def _equal(a: str, b: str, keys: list[str]) -> Column:
@@ -47,11 +46,11 @@ def _equal(a: str, b: str, keys: list[str]) -> Column:
 
 
 def contingency(pairs: DataFrame, keys: list[str], bins: int | None = None) -> DataFrame:
-    """``keys, bx, by, c``: rows per cell."""
+    """``keys, __bx, __by, __c``: rows per cell."""
     edges = quantile_edges(pairs, keys, bins)
     rows = pairs.alias("a").join(edges.alias("b"), _equal("a", "b", keys))
-    place = {s: F.size(F.expr(f"filter(b.e{s}, e -> e <= a.{s})")).alias(f"b{s}") for s in ("x", "y")}
-    return rows.select(*[F.col(f"a.{k}") for k in keys], *place.values()).groupBy(*keys, "bx", "by").agg(F.count(F.lit(1)).alias("c"))
+    place = {s: F.size(F.expr(f"filter(b.__e{s}, e -> e <= a.{s})")).alias(f"__b{s}") for s in ("x", "y")}
+    return rows.select(*[F.col(f"a.{k}") for k in keys], *place.values()).groupBy(*keys, "__bx", "__by").agg(F.count(F.lit(1)).alias("__c"))
 
 
 def binned_mutual_information(pairs: DataFrame, keys: Iterable[str], bins: int | None = None, min_rows: int = 5) -> DataFrame:
@@ -61,11 +60,11 @@ def binned_mutual_information(pairs: DataFrame, keys: Iterable[str], bins: int |
     keys = list(keys)
     cells = contingency(pairs, keys, bins)
     # a group has at most MAX_BINS^2 cells
-    row, column = (F.sum("c").over(Window.partitionBy(*keys, b)) for b in ("bx", "by"))
-    marked = cells.select(*keys, "bx", "by", "c", row.alias("cx"), column.alias("cy"))
-    log = F.col("c") * (F.log(F.col("c").cast("double")) - F.log(F.col("cx").cast("double")) - F.log(F.col("cy").cast("double")))
-    out = marked.groupBy(*keys).agg(F.sum("c").alias("n"), F.sum(log).alias("s"), F.count(F.lit(1)).alias("kxy"),
-                                    F.count_distinct("bx").alias("kx"), F.count_distinct("by").alias("ky"))
-    n = F.col("n").cast("double")
-    raw = F.col("s") / n + F.log(n) + (F.col("kx") + F.col("ky") - F.col("kxy") - 1) / (2 * n)
-    return out.select(*keys, F.when(F.col("n") >= min_rows, F.greatest(F.lit(0.0), raw)).alias("mi"), F.col("n").cast("bigint").alias("n_used"))
+    row, column = (F.sum("__c").over(Window.partitionBy(*keys, b)) for b in ("__bx", "__by"))
+    marked = cells.select("*", row.alias("__cx"), column.alias("__cy"))
+    log = F.col("__c") * (F.log(F.col("__c").cast("double")) - F.log(F.col("__cx").cast("double")) - F.log(F.col("__cy").cast("double")))
+    out = marked.groupBy(*keys).agg(F.sum("__c").alias("__n"), F.sum(log).alias("__s"), F.count(F.lit(1)).alias("__kxy"),
+                                    F.count_distinct("__bx").alias("__kx"), F.count_distinct("__by").alias("__ky"))
+    n = F.col("__n").cast("double")
+    raw = F.col("__s") / n + F.log(n) + (F.col("__kx") + F.col("__ky") - F.col("__kxy") - 1) / (2 * n)
+    return out.select(*keys, F.when(n >= min_rows, F.greatest(F.lit(0.0), raw)).alias("mi"), F.col("__n").cast("bigint").alias("n_used"))

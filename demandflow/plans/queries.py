@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandflow.operators import analysis, backtest, clean, features, impute, metrics, models, period, profile
+from demandflow.operators import analysis, backtest, clean, features, impute, metrics, models, panel, period, profile
 from demandflow.plans.common import merged, normalize
 from demandflow.sources import fixtures
 from demandflow.sources.fixtures import FIXTURE_REGION_SUFFIX
@@ -504,16 +504,20 @@ def _gbt_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _bt(df, models.gbt_fit_predict(lag_roll_features(df), "sales_qty", "order_week", GBT_PARAMS))
 
 
+def _panel(df: DataFrame, model, series_keys: tuple[str, ...] = ()) -> DataFrame:
+    return panel.panel_backtest(df, model, "order_week", "sales_qty", FIRST_TRAIN_END, STEP, TEST_START, TEST_END, series_keys)
+
+
 def _additive_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _bt(_weekly_input(spark, sf_dir), models.additive_fit_predict("sales_qty", "order_week"))
+    return _panel(weekly_target(spark, sf_dir), panel.additive())
 
 
-def _seasonal_ar_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _bt(_weekly_input(spark, sf_dir), models.seasonal_ar_fit_predict("sales_qty", "order_week", 52))
+def _seasonal_arma_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _panel(weekly_target(spark, sf_dir), panel.seasonal_arma(52))
 
 
 def _lookback_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _bt(_weekly_input(spark, sf_dir), models.lookback_fit_predict("sales_qty", "order_week", 4))
+    return _panel(weekly_target(spark, sf_dir), panel.lookback(4))
 
 
 def q_gbt_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -527,8 +531,8 @@ def q_additive_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_seasonal_ar_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Seasonal autoregression on (1, 52) differences, per fold."""
-    return normalize(_seasonal_ar_predictions(spark, sf_dir))
+    """(1, 1, 1)(0, 1, 1, 52) by two-stage least squares, per fold."""
+    return normalize(_seasonal_arma_predictions(spark, sf_dir))
 
 
 def q_lookback_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -542,7 +546,7 @@ def q_model_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         "seasonal_naive": q_backtest_seasonal_naive(spark, sf_dir),
         "gbt": _gbt_predictions(spark, sf_dir),
         "additive": _additive_predictions(spark, sf_dir),
-        "seasonal_ar": _seasonal_ar_predictions(spark, sf_dir),
+        "seasonal_ar": _seasonal_arma_predictions(spark, sf_dir),
         "lookback": _lookback_predictions(spark, sf_dir),
     }
     return normalize(metrics.compare_models(preds))
@@ -607,7 +611,37 @@ def q_region_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   series_keys=["customer_region"])
 
 
+def q_fold_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The weekly rows of every fold with their role."""
+    return panel.fold_rows(weekly_target(spark, sf_dir), "order_week", FIRST_TRAIN_END, STEP)
+
+
+def q_region_fold_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J17 per series."""
+    return panel.fold_rows(region_weekly_target(spark, sf_dir), "order_week", FIRST_TRAIN_END, STEP, ["customer_region"])
+
+
+def q_region_additive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B7 per series: all regions and folds in one job."""
+    return normalize(_panel(region_weekly_target(spark, sf_dir), panel.additive(), ("customer_region",)))
+
+
+def q_region_lookback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B8b per series: all regions and folds in one job."""
+    return normalize(_panel(region_weekly_target(spark, sf_dir), panel.lookback(4), ("customer_region",)))
+
+
+def q_region_seasonal_arma(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B8 per series: all regions and folds in one job."""
+    return normalize(_panel(region_weekly_target(spark, sf_dir), panel.seasonal_arma(13), ("customer_region",)))
+
+
 QUERIES.update({
+    "j17_fold_rows_weekly": q_fold_rows,
+    "j17_region_fold_rows": q_region_fold_rows,
+    "b7_region_additive_backtest": q_region_additive,
+    "b8_region_seasonal_arma_backtest": q_region_seasonal_arma,
+    "b8b_region_lookback_backtest": q_region_lookback,
     "w7_region_lags_rollings": q_region_lags_rollings,
     "b9_region_lag_model_metrics": q_region_lag_model_metrics,
     "b1_region_folds": q_region_folds,

@@ -16,7 +16,7 @@ import os
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from demandflow.operators import analysis, backtest, clean, features, impute, metrics, models, period
+from demandflow.operators import analysis, backtest, clean, features, impute, metrics, models, panel, period
 from demandflow.sources.catalog import load_dataset, read_csv_semi, read_parquet, resolve_table, write_csv, write_parquet
 
 MERGED = "merged.parquet"
@@ -92,15 +92,14 @@ def run_backtest_stage(spark: SparkSession, imputed_path: str, reports_dir: str,
         chosen = spark.createDataFrame([(f,) for f in feats], "feature string")
         kept = {r.feature for r in read_csv_semi(spark, relevant_csv, chosen, schema="feature string").collect()}
         feats = [f for f in feats if f in kept] or feats
-    fps = {
-        "seasonal_naive": models.seasonal_naive_fit_predict(target_col, date_col, 1),
-        "gbt": models.gbt_fit_predict(feats, target_col, date_col, gbt_params),
-        "additive": models.additive_fit_predict(target_col, date_col),
-        "seasonal_ar": models.seasonal_ar_fit_predict(target_col, date_col, 52),
-        "lookback": models.lookback_fit_predict(target_col, date_col, 4),
+    window = (date_col, target_col, first_train_end, step, test_start, test_end)
+    preds = {
+        "seasonal_naive": backtest.backtest(df, models.seasonal_naive_fit_predict(target_col, date_col, 1), *window),
+        "gbt": backtest.backtest(df, models.gbt_fit_predict(feats, target_col, date_col, gbt_params), *window),
+        "additive": panel.panel_backtest(df, panel.additive(), *window),
+        "seasonal_ar": panel.panel_backtest(df, panel.seasonal_arma(52), *window),
+        "lookback": panel.panel_backtest(df, panel.lookback(4), *window),
     }
-    preds = {name: backtest.backtest(df, fp, date_col, target_col, first_train_end, step, test_start, test_end)
-             for name, fp in fps.items()}
     out = os.path.join(reports_dir, "metrics_all.csv")
     write_csv(metrics.compare_models(preds), out)
     return out

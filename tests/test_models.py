@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from demandflow.operators import backtest, metrics, models
+from demandflow.operators import backtest, metrics, models, panel
 
 
 @pytest.fixture(scope="module")
@@ -49,9 +49,8 @@ def test_seasonal_models_beat_naive(seasonal):
     n_valid = seasonal.where(F.col("d") > F.lit(dt.date(2020, 6, 1))).count()
     assert naive.count() == n_valid
     base = _rmse(naive)
-    for fp in (models.seasonal_ar_fit_predict("y", "d", 7), models.lookback_fit_predict("y", "d", 14),
-               models.additive_fit_predict("y", "d", n_changepoints=5, yearly_order=2, weekly_order=3)):
-        pred = _run(seasonal, fp)
+    for model in (panel.seasonal_arma(7), panel.lookback(14), panel.additive(changepoint_days=60, yearly_order=2)):
+        pred = panel.panel_backtest(seasonal, model, "d", "y", dt.datetime(2020, 6, 1), 7)
         assert pred.count() == n_valid and pred.where(F.col("y_pred").isNull()).count() == 0
         assert _rmse(pred) < base
 
@@ -90,13 +89,90 @@ def test_b6_feature_subset_sweep(spark, seasonal):
     assert all(rows[k].rmse is not None for k in rows)
 
 
-def test_seasonal_ar_does_not_read_validation_targets(seasonal):
-    fp = models.seasonal_ar_fit_predict("y", "d", 7)
-    cut = F.lit(dt.date(2020, 6, 1))
-    train, valid = seasonal.where(F.col("d") <= cut), seasonal.where(F.col("d") > cut)
-    def got(v):
-        return [r.prediction for r in fp(train, v).orderBy("d").collect()]
-    plain = got(valid)
-    assert len(plain) == valid.count() and None not in plain
-    assert plain == got(valid.withColumn("y", F.col("y") * 10))
-    assert all(p is None for p in [r.prediction for r in fp(train.limit(10), valid).collect()])
+def test_forecasts_read_no_later_target(spark, seasonal):
+    cut = dt.datetime(2020, 6, 1)
+    for model in (panel.seasonal_arma(7), panel.additive(changepoint_days=60)):
+        def got(df):
+            return [r["y_pred"] for r in panel.panel_backtest(df, model, "d", "y", cut, 200).orderBy("date").collect()]
+        plain = got(seasonal)
+        assert len(plain) == 47 and None not in plain
+        assert plain == got(seasonal.withColumn("y", F.when(F.col("d") > F.lit(cut.date()), F.col("y") * 10).otherwise(F.col("y"))))
+    short = seasonal.where(F.col("d") > F.lit(dt.date(2020, 5, 20)))
+    assert all(r["y_pred"] is None for r in panel.panel_backtest(short, panel.seasonal_arma(7), "d", "y", cut, 7).where("fold_id = 0").collect())
+
+
+def arma_by_hand(y, s, steps, lags):
+    """Hannan-Rissanen and the forecast, one value at a time."""
+    z = [y[t] - y[t - 1] - y[t - s] + y[t - s - 1] for t in range(s + 1, len(y))]
+    top = max(lags)
+    a = np.array([[z[t - k] for k in lags] for t in range(top, len(z))])
+    coef = np.linalg.solve(a.T @ a, a.T @ np.array(z[top:]))
+    e = [0.0] * top + [z[t] - sum(c * z[t - k] for c, k in zip(coef, lags)) for t in range(top, len(z))]
+    first = top + s + 1
+    b = np.array([[z[t - 1], e[t - 1], e[t - s]] for t in range(first, len(z))])
+    phi, theta, big = np.linalg.solve(b.T @ b, b.T @ np.array(z[first:]))
+    shocks = {}
+    def ahead(t):
+        at = lambda d, k: d.get(k, 0.0)
+        return phi * at(values, t - 1) + theta * at(shocks, t - 1) + big * at(shocks, t - s) + theta * big * at(shocks, t - s - 1)
+    values = {}
+    for t, v in enumerate(z):
+        shocks[t] = v - ahead(t)
+        values[t] = v
+    path = list(y)
+    for t in range(len(z), len(z) + steps):
+        values[t], shocks[t] = ahead(t), 0.0
+        path.append(path[-1] + path[-s] - path[-s - 1] + values[t])
+    return path[len(y):]
+
+
+def test_seasonal_arma_and_additive_against_plain_code():
+    rng = np.random.default_rng(3)
+    t = np.arange(150)
+    y = 30 + 0.2 * t + 5 * np.sin(2 * np.pi * t / 7) + rng.normal(0, 1, 150).cumsum() * 0.3
+    got = panel.seasonal_arma(7)(t.astype(float), y, np.zeros((150, 0)), 140, slice(140, 150))
+    assert np.allclose(got, arma_by_hand(y[:140], 7, 10, [1, 2, 3, 4, 7, 8]))
+    # ridge: the gradient of its objective is 0, with and without regressors
+    x, target = rng.normal(size=(60, 4)), rng.normal(size=60)
+    x[:, 2] = 5.0
+    intercept, b = panel.ridge(x, target, 0.1)
+    z = (x - x.mean(0)) / np.where(x.std(0) > 0, x.std(0), 1)
+    w = b * x.std(0)
+    residual = target - intercept - x @ b
+    assert abs(residual.mean()) < 1e-12 and b[2] == 0
+    assert np.allclose(z[:, [0, 1, 3]].T @ residual / 60, 0.1 * w[[0, 1, 3]])
+
+
+def test_panel_over_series_with_nulls_and_regressors(spark):
+    rng = np.random.default_rng(1)
+    rows = []
+    for s in (None, "a", "b"):
+        for k in range(80):
+            x = float(rng.normal())
+            rows.append((s, dt.date(2024, 1, 1) + dt.timedelta(days=k), None if k == 5 else 3.0 + 2.0 * x, x, "keep"))
+    rows += [("c", None, 1.0, 1.0, "keep"), ("d", dt.date(2024, 1, 1), 1.0, 1.0, "keep")]
+    df = spark.createDataFrame(rows, "s string, d date, y double, x double, y_pred string")
+    model = panel.additive(changepoint_days=1000, yearly_order=0, weekly_order=0, penalty=0.0)
+    out = panel.panel_backtest(df, model, "d", "y", dt.datetime(2024, 2, 1), 7, series_keys=["s"], extra_features=["x"])
+    got = out.collect()
+    assert len(got) == 3 * 48 and {r["s"] for r in got} == {None, "a", "b"}
+    assert all(abs(r["y_pred"] - r["y_true"]) < 1e-9 for r in got)
+    one = panel.panel_backtest(df.where("s = 'a'"), model, "d", "y", dt.datetime(2024, 2, 1), 7, extra_features=["x"]).collect()
+    assert sorted(r["y_pred"] for r in one) == sorted(r["y_pred"] for r in got if r["s"] == "a")
+    assert panel.panel_backtest(df.limit(0), model, "d", "y", dt.datetime(2024, 2, 1), 7, series_keys=["s"], extra_features=["x"]).count() == 0
+
+
+def test_fold_rows_are_the_folds(spark):
+    days = [0, 1, 2, 5, 6, 7, 9, 10, 11, 30]
+    rows = [(s, dt.date(2024, 1, 1) + dt.timedelta(days=d), d) for s in (None, "a") for d in days] + [("z", None, 3), ("y", dt.date(2023, 1, 1), 1)]
+    df = spark.createDataFrame(rows, "s string, d date, n int")
+    first = dt.date(2024, 1, 3)
+    for keys, frame in ((["s"], df), ([], df.where("s = 'a'"))):
+        got = sorted(((r["s"] or "", r["fold_id"], r["role"], r["n"]) for r in panel.fold_rows(frame, "d", first, 3, keys).collect()))
+        want = []
+        for s in (("", "a") if keys else ("a",)):
+            # folds of three days after day 2: (2, 5], (5, 8], (8, 11], then none is left before day 30
+            for k in range(3):
+                end = 2 + 3 * k
+                want += [(s, k, "train", d) for d in days if d <= end] + [(s, k, "valid", d) for d in days if end < d <= end + 3]
+        assert got == sorted(want)
