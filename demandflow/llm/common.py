@@ -6,6 +6,7 @@ import atexit
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -54,9 +55,24 @@ class Scratch:
         self._n += 1
         return f"{self.root}/{name}-{self._n}"
 
+    @contextmanager
+    def _released(self) -> Iterator[None]:
+        """Shuffle files of what runs inside go when it ends: its result is a table by then."""
+        name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+        before = self.spark.conf.get(name, None)
+        self.spark.conf.set(name, "true")
+        try:
+            yield
+        finally:
+            if before is None:
+                self.spark.conf.unset(name)
+            else:
+                self.spark.conf.set(name, before)
+
     def write(self, df: DataFrame, name: str) -> DataFrame:
         path = self.path(name)
-        df.write.option("compression", "zstd").parquet(path)
+        with self._released():
+            df.write.option("compression", "zstd").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
         return out
@@ -67,18 +83,18 @@ class Scratch:
         be dealt by ``key``.  ``drop`` it when it is done with, as the catalog names it."""
         path, label = self.path(name), f"scratch_{uuid.uuid4().hex}"
         buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        df.write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(buckets, key).saveAsTable(label)
+        with self._released():
+            df.write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(buckets, key).saveAsTable(label)
         out = self.spark.table(label)
         out._scratch_path, out._scratch_table = path, label
         return out
 
     def drop(self, *frames: DataFrame) -> None:
-        """Remove these tables, and let the driver notice which shuffle files nothing reads any more."""
+        """Remove these tables."""
         for df in frames:
             if hasattr(df, "_scratch_table"):
                 self.spark.sql(f"DROP TABLE IF EXISTS {df._scratch_table}")
             delete(self.spark, df._scratch_path)
-        self.spark._jvm.System.gc()
 
     def _end(self) -> None:
         try:

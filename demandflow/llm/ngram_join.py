@@ -11,7 +11,7 @@ empty and linked with nothing.  Two sets link when ``100 * |x & y| >= percent *
    documents share out of the prefixes.
 2. *Prefix join* (second pass): a set's rarest ``n - ceil(t n) + 1`` shingles go to the
    partitions of their keys; linked sets share one of them.  Equal sets enter once per task.
-   Sorted partitions are streamed and only shingles of two or more sets stay.
+   Sorted partitions are streamed, and a set stays in a shingle's group only if it may link there.
 3. *Rounds*: in each shingle's group every set is compared with its neighbour and with the
    first set, in a new order each round, so a group of copies costs its size, not its square.
    Candidates pass the length and positional filters, and the suffix filter (parities in 1024
@@ -150,34 +150,66 @@ def prefixes(docs: DataFrame, ranks: np.ndarray, n: int, percent: int) -> DataFr
     return docs.where("doc_id IS NOT NULL").select(F.col("text").cast("string")).mapInArrow(run, "key long, n int, sid long, pos int")
 
 
-def _shared_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by (key, n, sid): each (key, sid) once, and only keys of two sets or more.
-    The last row waits until the next one is known, so memory does not grow with a group."""
-    def emit(rows: list[np.ndarray], ok: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c[ok]) for c in rows], names=["key", "n", "sid", "pos"])
+#: Groups of at most this many sets are compared pair by pair while they stream past.
+SMALL = 16
 
-    held: list[np.ndarray] | None = None
-    before: int | None = None  # key of the row before the held one
-    for batch in batches:
-        rows = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+
+def _shared_rows(percent: int):
+    """Of rows sorted by (key, n, sid): each (key, sid) once, and only those that may link with
+    another set of their key.  In a small group that is decided by the length and positional filter
+    of every pair.  In a larger one a row stays if its neighbour is near enough in size: sizes rise
+    within a key, so a set with any possible partner there has one next to it.  No more than a
+    small group, or the last row of a larger one, waits for the next batch."""
+    names = ["key", "n", "sid", "pos"]
+
+    def pairs_of(rows: list[np.ndarray], d: int, positional: bool) -> np.ndarray:
+        """Whether each row may link with the one ``d`` rows on."""
+        key, n, pos = rows[0], rows[1].astype(np.int64), rows[3].astype(np.int64)
+        small, large = n[:-d], n[d:]
+        ok = (key[d:] == key[:-d]) & (100 * small >= percent * large)
+        if positional:
+            ok &= (100 + percent) * np.minimum(small - pos[:-d], large - pos[d:]) >= percent * (small + large)
+        return ok
+
+    def small_groups(rows: list[np.ndarray]) -> np.ndarray:
+        ok = np.zeros(len(rows[0]), bool)
+        for d in range(1, min(SMALL, len(ok))):
+            pairs = pairs_of(rows, d, True)
+            ok[:-d] |= pairs
+            ok[d:] |= pairs
+        return ok
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] | None = None
+        big: int | None = None  # key of a large group whose first rows are gone
+        before = False          # the held row of such a group may link with the one before it
+        for batch in batches:
+            rows = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            if held is not None:
+                rows = [np.concatenate(x) for x in zip(held, rows, strict=True)]
+            if not len(rows[0]):
+                continue
+            new = np.r_[True, (rows[0][1:] != rows[0][:-1]) | (rows[2][1:] != rows[2][:-1])]
+            rows = [c[new] for c in rows]
+            key = rows[0]
+            starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+            sizes = np.diff(np.r_[starts, len(key)])
+            large = sizes > SMALL
+            large[0] |= big is not None and key[0] == big
+            near = pairs_of(rows, 1, False)
+            ok = np.where(np.repeat(large, sizes), np.r_[before, near] | np.r_[near, False], small_groups(rows))
+            cut = len(key) - 1 if large[-1] else starts[-1]
+            yield pa.RecordBatch.from_arrays([pa.array(c[:cut][ok[:cut]]) for c in rows], names=names)
+            held = [c[cut:] for c in rows]
+            if large[-1]:
+                before, big = bool(near[-1]) if len(near) else before, int(key[-1])
+            else:
+                before, big = False, None
         if held is not None:
-            rows = [np.concatenate(x) for x in zip(held, rows, strict=True)]
-        if not len(rows[0]):
-            continue
-        new = np.r_[True, (rows[0][1:] != rows[0][:-1]) | (rows[2][1:] != rows[2][:-1])]
-        rows = [c[new] for c in rows]
-        key = rows[0]
-        like_last = np.r_[before is not None and key[0] == before, key[1:] == key[:-1]]
-        like_next = np.r_[key[1:] == key[:-1], False]
-        ok = like_last | like_next
-        last = len(key) - 1
-        if last:
-            before = int(key[last - 1])
-        ok[last] = False
-        yield emit(rows, ok)
-        held = [c[last:] for c in rows]
-    if held is not None and before is not None and int(held[0][0]) == before:
-        yield emit(held, np.array([True]))
+            ok = np.array([before]) if big is not None else small_groups(held)
+            yield pa.RecordBatch.from_arrays([pa.array(c[ok]) for c in held], names=names)
+
+    return run
 
 
 def _sketch(s: np.ndarray) -> np.ndarray:
@@ -201,6 +233,41 @@ def member_sets(texts: DataFrame, n: int) -> DataFrame:
     return texts.select("sid", "text").mapInArrow(run, f"sid long, size int, {', '.join(f'z{i} long' for i in range(WORDS))}, items binary")
 
 
+BITS = 27
+_WORD = 15
+
+
+def _bitmap(keys: DataFrame, count: int) -> tuple[np.ndarray, int]:
+    """Bits of the ``h`` of all rows, about 16 a row, at most 2^27 (16 MB whatever the input), and
+    how many bits of a hash they are."""
+    bits = min(BITS, max(_WORD, (16 * count).bit_length()))
+    at = F.col("h").bitwiseAND(F.lit((1 << bits) - 1))
+
+    def pack(group: pa.Table) -> pa.Table:
+        p = group.column("p").to_numpy()
+        word = np.zeros(1 << _WORD, np.uint8)
+        word[p & ((1 << _WORD) - 1)] = 1
+        return pa.table({"slice": pa.array([int(p[0]) >> _WORD], pa.int64()), "b": pa.array([np.packbits(word).tobytes()], pa.binary())})
+
+    rows = keys.select(at.alias("p")).distinct().groupBy(F.shiftright("p", _WORD)).applyInArrow(pack, "slice long, b binary")
+    out = np.zeros(1 << (bits - 3), np.uint8)
+    for r in rows.toLocalIterator():
+        out[r["slice"] << (_WORD - 3):(r["slice"] + 1) << (_WORD - 3)] = np.frombuffer(r["b"], np.uint8)
+    return out, bits
+
+
+def _likely(rows: DataFrame, bitmap: np.ndarray, bits: int) -> DataFrame:
+    """Rows whose ``h`` may be among the bitmap's."""
+    shared = rows.sparkSession.sparkContext.broadcast(bitmap)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h = batch.column("h").to_numpy() & ((1 << bits) - 1)
+            yield batch.filter(pa.array((shared.value[h >> 3] >> (7 - (h & 7)).astype(np.uint8)) & 1 == 1))
+
+    return rows.mapInArrow(run, rows.schema)
+
+
 def _renamed(members: DataFrame, key: str, mark: str) -> DataFrame:
     return members.select(F.col("sid").alias(key), F.col("size").alias(f"size_{mark}"), *[F.col(f"z{i}").alias(f"z{i}_{mark}") for i in range(WORDS)])
 
@@ -256,10 +323,15 @@ def links(docs: DataFrame, scratch: Scratch, n: int = 5, percent: int = 80, roun
     rows = profiled.where("slice IS NULL").select("doc_id", "n", "sid", "mark")
     ranks = rarity(profiled)
     dealt = prefixes(docs, ranks, n, percent).repartition("key").sortWithinPartitions("key", "n", "sid")
-    groups = scratch.write(dealt.mapInArrow(_shared_rows, "key long, n int, sid long, pos int"), "groups")
-    named = rows.where("doc_id IS NOT NULL").join(groups.select("sid").distinct(), "sid", "left_semi").groupBy("sid").agg(F.min(F.struct("doc_id", "mark")).alias("x"))
-    # a set's text travels, not its hashes, which take more room
-    texts = _marked(docs).join(named.select("sid", "x.*"), ["doc_id", "mark"]).select("sid", "text").repartition("sid")
+    groups = scratch.write(dealt.mapInArrow(_shared_rows(percent), "key long, n int, sid long, pos int"), "groups")
+    # one row per set first, so that a large class of copies moves as one row
+    named = rows.where("doc_id IS NOT NULL AND sid IS NOT NULL").groupBy("sid").agg(F.min(F.struct("doc_id", "mark")).alias("x"))
+    named = named.join(groups.select("sid").distinct(), "sid", "left_semi")
+    named = scratch.write(named.select("sid", "x.*", F.xxhash64("x.doc_id", "x.mark").alias("h")), "named")
+    # a set's text travels, not its hashes, which take more room; most others stay where they are
+    bitmap, bits = _bitmap(named, named.count())
+    likely = _likely(_marked(docs).where("doc_id IS NOT NULL AND mark IS NOT NULL").withColumn("h", F.xxhash64("doc_id", "mark")), bitmap, bits)
+    texts = likely.join(named, ["doc_id", "mark"]).select("sid", "text").repartition("sid")
     members = scratch.write_bucketed(member_sets(texts, n), "members", "sid")
     if members.count() > members.select("sid").distinct().count():  # rows that occur several times
         repeated, members = members, scratch.write_bucketed(members.dropDuplicates(["sid"]), "members", "sid")
@@ -303,7 +375,7 @@ def links(docs: DataFrame, scratch: Scratch, n: int = 5, percent: int = 80, roun
                 k += 1
                 continue
         if k >= rounds:
-            scratch.drop(members, groups)
+            scratch.drop(members, groups, named)
             return rows.drop("mark"), found
         k = rounds  # a round without a link: only the rest is left
 
