@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandflow.llm import decontamination, ngram_join, packing, pii, quality_rules
@@ -42,21 +42,32 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "near")
-    # rows are linked by numbers of their own, not by their ids; wholly equal rows share a number
-    number = F.when(F.col("text").isNotNull(), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])).alias("__row")
-    found = ngram_join.clusters(docs.select(number.alias("doc_id"), "text"), scratch).where("n_shingles > 0")
-    groups = found.select(F.col("doc_id").alias("__row"), F.col("component_id").alias("__group")).distinct()
-    groups = scratch.write(groups, "groups")
-    others = [F.col(f"`{c}`").alias(f"o{i}") for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")]
+
+    def orderable(c: str) -> Column:
+        """Columns that Spark cannot compare or hash (maps, at any depth) stand as text."""
+        return F.to_json(F.struct(f"`{c}`")) if "map<" in docs.schema[c].dataType.simpleString() else F.col(f"`{c}`")
+
+    values = [orderable(c) for c in docs.columns]
+    # rows are linked by numbers of their own, not by their ids; wholly equal rows share them.
+    # One number joins, the other tells rows apart that share it by chance
+    numbers = [F.xxhash64(*values).alias("number"), F.xxhash64(F.lit(1), *reversed(values)).alias("check")]
+    numbered = docs.where("text IS NOT NULL").select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *numbers)
+    found = ngram_join.clusters(numbered.select(F.col("number").alias("doc_id"), "row.text"), scratch).where("n_shingles > 0")
+    # the short list of rows in groups of two or more, without their texts
+    several = found.groupBy("component_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("component_id")
+    members = found.select(F.col("doc_id").alias("number"), "component_id").distinct().join(several, "component_id")
+    others = [orderable(c).alias(f"o{i}") for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")]
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), *others)
-    rows = docs.select(number, order.alias("o")).groupBy("__row").agg(F.min("o").alias("o"), F.count(F.lit(1)).alias("n"))
-    first = rows.join(groups, "__row").groupBy("__group").agg(F.min(F.struct("o", "__row", "n")).alias("x"))
-    first = scratch.write(first.select(F.col("x.__row").alias("__row"), F.col("x.n").alias("__n")), "first")
-    numbered = docs.select("*", number)
-    alone = numbered.join(groups.select("__row"), "__row", "left_anti").select(docs.columns)
-    kept = numbered.join(first, "__row")
-    equal = kept.where("__n > 1").dropDuplicates(["__row"])
-    return alone.unionByName(kept.where("__n = 1").select(docs.columns)).unionByName(equal.select(docs.columns))
+    keyed = docs.where("text IS NOT NULL").select(order.alias("o"), *numbers)
+    group = scratch.write(keyed.join(members, "number").groupBy("component_id", "number", "check").agg(
+        F.min("o").alias("o"), F.count(F.lit(1)).alias("n")), "group")
+    first = group.groupBy("component_id").agg(F.min(F.struct("o", "number", "check", "n")).alias("x")).select("x.number", "x.check", "x.n")
+    first = scratch.write(first, "first")
+    # rows of a group go, but for the first; if that one occurs several times, one of them stays
+    once = group.select("number", "check").join(first.where("n = 1"), ["number", "check"], "left_anti")
+    alone = numbered.join(once, ["number", "check"], "left_anti").select("row.*")
+    again = numbered.join(first.where("n > 1").select("number", "check"), ["number", "check"], "left_semi").dropDuplicates(["number", "check"])
+    return alone.unionByName(again.select("row.*")).unionByName(docs.where("text IS NULL"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,10 +75,12 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = pii.replace(docs, Scratch(spark, "pii"))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("n_entities") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
-    return out.select(docs.columns)
+    # behind a struct, no column of the documents can clash with those of the operator
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    out = pii.replace(docs.select("doc_id", "text", row.alias("row")), Scratch(spark, "pii"))
+    chars = F.when(F.col("n_entities") > 0, F.char_length("text").cast("long")).otherwise(F.col("row.n_chars")) if "n_chars" in docs.columns else None
+    new = {"text": F.col("text"), "n_chars": chars}
+    return out.select(*[(new[c] if c in new else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
