@@ -38,35 +38,17 @@ _ARROW = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa
 _PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
-class _Cache:
-    """Two generations of at most ``size`` entries: what is used again stays."""
-
-    def __init__(self, size: int):
-        self.size = size
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def missing(self, keys: set[str]) -> list[str]:
-        """Keys that are in neither generation; the others are in the young one afterwards."""
-        if len(self.young) > self.size:
-            self.old, self.young = self.young, {}
-        new = keys.difference(self.young)
-        known = new.intersection(self.old)
-        self.young.update((k, self.old[k]) for k in known)
-        return list(new - known)
-
-
 class WordTokenizer:
-    """Ids of texts, with bounded caches.
+    """Ids of texts, by looking words up in a kept dictionary of bounded size.
 
     The tokenizer lower-cases, drops white space and never makes a token across it, so a
     text's ids are those of its words in a row.  Letters are one word to the tokenizer, whose
     last token is marked as a word end: many new ones are encoded in one call and cut at these
     marks.  Punctuation after letters is encoded apart from them.  Anything else is encoded as
-    it is.
+    it is.  Only parts of words that are new to the dictionary become Python strings.
     """
 
-    def __init__(self, path: str, cache: int = 200_000, longest: int = 40):
+    def __init__(self, path: str, cache: int = 400_000, cache_bytes: int = 50_000_000):
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -76,46 +58,57 @@ class WordTokenizer:
         vocabulary = self.tokenizer.get_vocab()
         self.is_end = np.zeros(max(vocabulary.values()) + 1, bool)
         self.is_end[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.longest = longest
-        self.words, self.parts = _Cache(cache), _Cache(cache)
+        self.cache, self.cache_bytes = cache, cache_bytes
+        self.known = pa.array([], pa.string())
+        self.size, self.pool = np.zeros(0, np.int64), np.zeros(0, "<u4")
 
-    def _each(self, chunks: list[str]) -> list[bytes]:
-        out = []
+    def _each(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Number of ids of each chunk, and all ids."""
+        ids: list[list[int]] = []
         for i in range(0, len(chunks), 1000):
-            encoded = self.tokenizer.encode_batch_fast(chunks[i:i + 1000], add_special_tokens=False)
-            out += [np.array(e.ids, "<u4").tobytes() for e in encoded]
-        return out
+            ids += [e.ids for e in self.tokenizer.encode_batch_fast(chunks[i:i + 1000], add_special_tokens=False)]
+        return np.fromiter(map(len, ids), np.int64, len(ids)), np.array([x for own in ids for x in own], "<u4")
 
-    def _together(self, tokenizer, words: list[str]) -> list[bytes]:
-        out = []
+    def _together(self, tokenizer, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = []
         for i in range(0, len(words), 4000):
             own = words[i:i + 4000]
             ids = np.array(tokenizer.encode_batch_fast([" ".join(own)], add_special_tokens=False)[0].ids, "<u4")
-            ends = 4 * (np.flatnonzero(self.is_end[ids]) + 1)
-            if len(ends) != len(own):  # a letter that lower-cases to more than letters
-                out += self._each(own)
-                continue
-            raw = ids.tobytes()
-            out += [raw[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
-        return out
-
-    def _learn(self, words: list[str]) -> dict[str, bytes]:
-        bases = [w.rstrip(_PUNCTUATION) for w in words]
-        letters = [b.isalpha() for b in bases]
-        # letters, and the punctuation after them
-        need = {x for w, b, ok in zip(words, bases, letters, strict=True) if ok for x in (b, w[len(b):])}
-        new = self.parts.missing(need)
-        part = self.parts.young
-        ascii_words = [x for x in new if x.isascii() and x.isalpha() and x.islower()]
-        part.update(zip(ascii_words, self._together(self.plain, ascii_words), strict=True))
-        other_words = [x for x in new if x.isalpha() and x not in part]
-        part.update(zip(other_words, self._together(self.tokenizer, other_words), strict=True))
-        rest = [x for x in new if not x.isalpha()]
-        part.update(zip(rest, self._each(rest), strict=True))
-        odd = [w for w, ok in zip(words, letters, strict=True) if not ok]
-        out = dict(zip(odd, self._each(odd), strict=True))
-        out.update((w, part[b] if len(w) == len(b) else part[b] + part[w[len(b):]]) for w, b, ok in zip(words, bases, letters, strict=True) if ok)
-        return out
+            ends = np.flatnonzero(self.is_end[ids]) + 1
+            if len(ends) == len(own):
+                found.append((np.diff(np.r_[0, ends]), ids))
+            else:  # a letter that lower-cases to more than letters
+                found.append(self._each(own))
+        return np.concatenate([n for n, _ in found]), np.concatenate([ids for _, ids in found])
+
+    def _learn(self, new: pa.Array) -> None:
+        """Add these parts to the dictionary."""
+        plain = pc.match_substring_regex(new, "^[a-z]+$")
+        letters = pc.and_not(pc.utf8_is_alpha(new), plain)
+        other = pc.invert(pc.or_(plain, letters))
+        for kind, encode in ((plain, lambda w: self._together(self.plain, w)), (letters, lambda w: self._together(self.tokenizer, w)),
+                             (other, self._each)):
+            parts = new.filter(kind)
+            if len(parts):
+                size, ids = encode(parts.to_pylist())
+                self.known = pa.concat_arrays([self.known.cast(parts.type), parts])
+                self.size, self.pool = np.r_[self.size, size], np.r_[self.pool, ids]
+
+    def _places(self, parts: pa.Array) -> np.ndarray:
+        """Place of each part in the dictionary."""
+        at = pc.index_in(parts, value_set=self.known.cast(parts.type))
+        if at.null_count:
+            self._learn(parts.filter(pc.is_null(at)))
+            at = pc.index_in(parts, value_set=self.known)
+        return at.to_numpy().astype(np.int64)
+
+    def _trim(self) -> None:
+        """Forget the older half of a full dictionary."""
+        n = len(self.known)
+        if n > self.cache or self.known.nbytes + self.pool.nbytes > self.cache_bytes:
+            self.pool = self.pool[self.size[:n // 2].sum():].copy()
+            self.size = self.size[n // 2:].copy()
+            self.known = pa.concat_arrays([self.known.slice(n // 2)])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, flat (little-endian unsigned 32-bit), with the offsets of each."""
@@ -124,18 +117,26 @@ class WordTokenizer:
         flat, offsets = word_lists(texts, lower=not special)
         if not len(flat):
             return np.zeros(0, "<u4"), np.zeros_like(offsets)
+        self._trim()
         coded = flat.dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        new = self._learn(self.words.missing(set(words)))
-        known = self.words.young
-        known.update((w, ids) for w, ids in new.items() if len(w) <= self.longest)
-        ids = [known[w] if w in known else new[w] for w in words]
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        pool, begin = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(size) - size
-        codes = coded.indices.to_numpy()
-        upto = np.r_[0, np.cumsum(size[codes])]
-        at = np.arange(upto[-1]) + np.repeat(begin[codes] - upto[:-1], size[codes])
-        return pool[at], upto[offsets]
+        words, codes = coded.dictionary, coded.indices.to_numpy()
+        bases = pc.utf8_rtrim(words, characters=_PUNCTUATION)
+        first = pc.if_else(pc.utf8_is_alpha(bases), bases, words)
+        longer = pc.less(pc.binary_length(first), pc.binary_length(words))
+        rest = [w[len(b):] for w, b in zip(words.filter(longer).to_pylist(), first.filter(longer).to_pylist(), strict=True)]
+        parts = pa.concat_arrays([first, pa.array(rest, first.type)]).dictionary_encode()
+        place = self._places(parts.dictionary)[parts.indices.to_numpy()]
+        second = np.full(len(words), -1)
+        second[longer.to_numpy(zero_copy_only=False)] = place[len(words):]
+        # each word is one part or two
+        two = second[codes] >= 0
+        word_at = np.r_[0, np.cumsum(1 + two)]
+        seq = np.repeat(place[:len(words)][codes], 1 + two)
+        seq[word_at[1:][two] - 1] = second[codes[two]]
+        begin = np.cumsum(self.size) - self.size
+        upto = np.r_[0, np.cumsum(self.size[seq])]
+        at = np.arange(upto[-1]) + np.repeat(begin[seq] - upto[:-1], self.size[seq])
+        return self.pool[at], upto[word_at[offsets]]
 
 
 _loaded: dict[str, WordTokenizer] = {}
@@ -156,22 +157,22 @@ def pieces(docs: DataFrame, max_tokens: int = 2048, tokenizer: str = "word_bpe_4
     """One row per piece: ``doc_id, start, length, doc_tokens, ids`` (ids: little-endian
     unsigned 32-bit).  ``tokenizer`` names a file of the public_tokenizers package on every
     machine."""
-    end = np.array([end_id], "<u4").tobytes()
-
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = _tokenizer(tokenizer)
         for batch in batches:
-            for part in slices(batch, "text", 2_000_000):
+            for part in slices(batch, "text", 8_000_000):
                 flat, offsets = tok.encode(part.column("text"))
-                out: list[tuple] = []
-                for doc_id, a, b in zip(part.column("doc_id").to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
-                    ids = flat[a:b].tobytes() + end
-                    total = len(ids) // 4
-                    for start in range(0, total, max_tokens):
-                        own = ids[4 * start:4 * (start + max_tokens)]
-                        out.append((doc_id, start, len(own) // 4, total, own))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), _ARROW.types, strict=True)],
-                                                 schema=_ARROW)
+                total = np.diff(offsets) + 1
+                ids = np.insert(flat, offsets[1:], np.uint32(end_id)).astype("<u4")
+                pieces_of = -(-total // max_tokens)
+                doc = np.repeat(np.arange(len(total)), pieces_of)
+                nth = np.arange(len(doc)) - np.repeat(np.cumsum(pieces_of) - pieces_of, pieces_of)
+                start = nth * max_tokens
+                length = np.minimum(max_tokens, total[doc] - start)
+                cuts = (4 * np.r_[0, np.cumsum(length)]).astype(np.int32)  # pieces follow each other as the ids do
+                blob = pa.Array.from_buffers(pa.binary(), len(doc), [None, pa.py_buffer(cuts), pa.py_buffer(ids)])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id").take(pa.array(doc)), pa.array(start), pa.array(length),
+                                                  pa.array(total[doc]), blob], schema=_ARROW)
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(cut, PIECES)
 
