@@ -267,10 +267,6 @@ def standardize(df: DataFrame, cols: Iterable[str], fit_df: DataFrame | None = N
     return df.withColumns(out), params
 
 
-def inverse_standardize(col: Column, mean: float, std: float) -> Column:
-    return col * F.lit(std) + F.lit(mean)
-
-
 # --- E5, E6 ----------------------------------------------------------------------------------
 def combined_rank(pearson: DataFrame, mi: DataFrame, series_keys: Iterable[str] = ()) -> DataFrame:
     """E5 (J16): full outer join on the feature; |r| / max|r| and mi / max mi (null when

@@ -72,7 +72,11 @@ d AS (
 
 
 def _qty(mode: str) -> str:
-    return "count(order_item_id)" if mode == "items" else "count(DISTINCT order_id)"
+    return {"items": "count(order_item_id)", "orders": "count(DISTINCT order_id)", "sum": "count(*)"}[mode]
+
+
+def _revenue(mode: str) -> str:
+    return "CAST(sum(price) AS DOUBLE)" if mode == "sum" else f"{_qty(mode)} * avg(price)"
 
 
 def price_ctes(key: str, mode: str = "items", series: str | None = None) -> str:
@@ -83,7 +87,7 @@ def price_ctes(key: str, mode: str = "items", series: str | None = None) -> str:
     g2 = ", ".join(str(i) for i in range(1, 3 + n))
     return f"""
 pp AS (
-  SELECT {sk}product_id, {key}, avg(price) price_mean, {_qty(mode)} * avg(price) revenue
+  SELECT {sk}product_id, {key}, avg(price) price_mean, {_revenue(mode)} revenue
   FROM d WHERE product_id IS NOT NULL AND {key} IS NOT NULL GROUP BY {g2}),
 pf AS (
   SELECT *, last_value(price_mean IGNORE NULLS) OVER (PARTITION BY {sp}product_id ORDER BY {key}
@@ -110,7 +114,7 @@ pcat AS (
   WHERE dp.product_category_name IS NOT NULL
   GROUP BY {g2}),
 wcat AS (
-  SELECT {sk}product_category_name, {key}, {_qty(mode)} * avg(price) revenue_cat
+  SELECT {sk}product_category_name, {key}, {_revenue(mode)} revenue_cat
   FROM d WHERE product_category_name IS NOT NULL GROUP BY {g2}),
 ptime AS (
   SELECT {('pcat.' + series + ', ') if series else ''}pcat.{key}, {', '.join(wavg_sql('pcat.' + m, 'wcat.revenue_cat') + ' ' + m for m in PRICE_MEANS)}
@@ -137,7 +141,7 @@ def region_ctes(key: str, suffix: dict[str, str], mode: str = "items", series: s
 preg AS (
   SELECT {sk}customer_region, {key}, avg(delivery_diff_estimated) delivery_diff_estimated_mean,
     avg(estimated_delivery_lead_days) est_delivery_lead_days_mean, CAST(sum(CAST(round(approval_time_hours * 3600000000.0) AS BIGINT)) AS DOUBLE) / 3600000000.0 / nullif(count(approval_time_hours), 0) approval_time_hours_mean,
-    {'count(*)' if mode == 'items' else 'count(DISTINCT order_id)'} sales
+    {'count(DISTINCT order_id)' if mode == 'orders' else 'count(*)'} sales
   FROM d WHERE customer_region IS NOT NULL AND {key} IS NOT NULL GROUP BY {", ".join(str(i) for i in range(1, 3 + n))}),
 treg AS (SELECT {sk}{key}, {', '.join(wide + weighted)} FROM preg GROUP BY {", ".join(str(i) for i in range(1, 2 + n))}),
 target AS (SELECT {sk}{key}, CAST({_qty(mode)} AS BIGINT) sales_qty FROM d WHERE {key} IS NOT NULL GROUP BY {", ".join(str(i) for i in range(1, 2 + n))})"""
@@ -722,6 +726,54 @@ ORACLE.update({
 })
 
 
+_MORE_ITEMS = f"""WITH {RAW_CTES},
+many AS (SELECT * FROM items_x UNION ALL SELECT * REPLACE (price + 1 AS price) FROM items_x WHERE CAST(order_id AS BIGINT) % 50 = 0
+  UNION ALL SELECT * FROM items_x WHERE CAST(order_id AS BIGINT) % 75 = 0)"""
+_ITEM_COLS = ("order_id, order_item_id, product_id, seller_id, " + r("price", "price") + ", " + r("freight_value", "freight_value")
+              + ", order_delivered_carrier_date, order_delivered_customer_date")
+_ASIA_LAST = {**{k: v for k, v in FIXTURE_REGION_SUFFIX.items() if k != "ASIA"}, "ASIA": "asia"}
+
+ORACLE.update({
+    "s1_csv_round_trip": f"""WITH {RAW_CTES}
+SELECT order_id, customer_id, order_status, order_purchase_timestamp,
+  CASE WHEN CAST(order_id AS BIGINT) % 91 <> 0 THEN order_approved_at END order_approved_at, order_estimated_delivery_date FROM orders_x""",
+    "s1_csv_multi_line": EXP + """
+SELECT review_id, order_id, review_score, 'score ' || review_score || chr(10) || 'of "' || order_id || '", fine' AS "comment" FROM reviews_x""",
+    "s3_parquet_round_trip": f"WITH {RAW_CTES}\nSELECT customer_id, customer_unique_id, customer_state FROM customers_x",
+    "s6_csv_semi": "SELECT * FROM (" + ORACLE["a20_category_table"] + ") WHERE categoria LIKE 'Brand#1%'",
+    "p5_state_codes": """WITH s AS (SELECT CAST(c_custkey AS VARCHAR) customer_id, upper(list_extract(
+  ['ac','al','am','ap','ba','ce','df','es','go','ma','mg','ms','mt','pa','pb','pe','pi','pr','rj','rn','ro','rr','rs','sc','se','sp','to','xx'],
+  c_custkey % 28 + 1)) customer_state FROM customer),
+g AS (SELECT *, CASE WHEN customer_state IN ('AC','AP','AM','PA','RO','RR','TO') THEN 'Norte'
+       WHEN customer_state IN ('AL','BA','CE','MA','PB','PE','PI','RN','SE') THEN 'Nordeste'
+       WHEN customer_state IN ('DF','GO','MT','MS') THEN 'Centro-Oeste'
+       WHEN customer_state IN ('ES','MG','RJ','SP') THEN 'Sudeste' WHEN customer_state IN ('PR','RS','SC') THEN 'Sul' END customer_region FROM s)
+SELECT customer_id, customer_state, coalesce(customer_region, 'estado inválido') region_typed, customer_region FROM g""",
+    "p7_removed_items": _MORE_ITEMS + """
+SELECT CAST(count(*) AS BIGINT) AS "rows", CAST(count(DISTINCT (order_id, order_item_id)) AS BIGINT) kept,
+  CAST(count(*) - count(DISTINCT (order_id, order_item_id)) AS BIGINT) removed FROM many""",
+    "p7_deduped_items": _MORE_ITEMS + f"""
+SELECT {_ITEM_COLS} FROM many QUALIFY row_number() OVER (PARTITION BY order_id, order_item_id ORDER BY product_id, seller_id, price) = 1""",
+    "a12_period_table_weekly_price_sums": period_table_sql("W", mode="sum"),
+    "a9_regions_from_data": f"WITH {RAW_CTES},{keyed_cte('W')},{region_ctes('order_week', _ASIA_LAST)}\nSELECT order_week, "
+                            + ", ".join(r(c, c) for c in region_cols(_ASIA_LAST)) + " FROM treg",
+    "f8_holiday_table": f"WITH {HOLIDAY_CTE}\nSELECT CAST(hd AS DATE) AS \"date\" FROM hol WHERE year(hd) BETWEEN "
+                        "(SELECT min(year(o_orderdate)) FROM orders) AND (SELECT max(year(o_orderdate)) FROM orders)",
+    "j9_holiday_join": _WT + f""",{HOLIDAY_CTE},
+n AS (SELECT order_week, (SELECT count(DISTINCT CAST(hd AS DATE)) FROM hol WHERE hd BETWEEN order_week AND order_week + INTERVAL 6 DAY) n FROM wt)
+SELECT order_week, CAST(n > 0 AS INTEGER) is_br_holiday_week, CAST(n AS INTEGER) n_br_holidays_week FROM n""",
+    "a16_capped_sales_frequency_40": ORACLE["a16_capped_sales_frequency"].replace("count(order_id), 10)", "count(order_id), 40)"),
+    "a17_a19_sales_volume_buckets_40": ORACLE["a17_a19_sales_volume_buckets"].replace("count(order_id), 10)", "count(order_id), 40)").replace(
+        "generate_series(1, 10)", "generate_series(1, 40)"),
+    "a18_review_examples": EXP + """,
+j AS (SELECT i.order_id, i.product_id, r.review_id, r.review_score FROM items_x i LEFT JOIN reviews_x r ON i.order_id = r.order_id),
+per AS (SELECT order_id, product_id, count(DISTINCT review_id) n_reviews FROM j GROUP BY 1, 2)
+SELECT j.*, n_reviews FROM j JOIN per USING (order_id, product_id) WHERE n_reviews = 2""",
+    "e4_standardized_sales": _WT + f""",
+s AS (SELECT avg(sales_qty) m, stddev_pop(sales_qty) d FROM wt WHERE order_week <= DATE '2000-06-25')
+SELECT order_week, sales_qty, {r('(sales_qty - m) / d', 'sales_qty_z')} FROM wt, s""",
+})
+
 ORACLE["a12_period_table_weekly_by_state"] = period_table_sql("W", series="customer_state")
 
 

@@ -125,6 +125,7 @@ q AS (SELECT k.g, k.k, v.i, a.y + b.y - c.y + fc.nxt p FROM k JOIN f v ON v.g =
 
 
 ORACLE: dict[str, str] = {
+    "b12_real_vs_predicted": lookback_sql(False, 4),
     "j17_fold_rows_weekly": fold_rows_sql(False),
     "j17_region_fold_rows": fold_rows_sql(True),
     "b8b_lookback_backtest": lookback_sql(False, 4),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from demandflow.operators import analysis, backtest, clean, features, impute, metrics, models, panel, period, profile
 from demandflow.plans.common import merged, normalize
-from demandflow.sources import fixtures
+from demandflow.sources import catalog, fixtures
 from demandflow.sources.fixtures import FIXTURE_REGION_SUFFIX
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -725,3 +725,147 @@ def q_feature_subset_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["b6_feature_subset_sweep"] = q_feature_subset_sweep
+
+
+# --- sources and sinks, and data that reaches the rarer branches -----------------------------------
+def _round_trip_dir(spark: SparkSession) -> str:
+    from uuid import uuid4
+
+    from demandflow.session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/round-trip-{uuid4().hex}"
+
+
+def q_csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders written as CSV with dates as text, some of them no dates, loaded by
+    name and parsed."""
+    base, o = _round_trip_dir(spark), fixtures.orders(spark, sf_dir)
+    approved = F.when(F.col("order_id").cast("bigint") % 91 == 0, "not a date").otherwise(F.col("order_approved_at").cast("string"))
+    catalog.write_csv(o.withColumns({"order_approved_at": approved, "order_purchase_timestamp": F.col("order_purchase_timestamp").cast("string"),
+                                     "order_estimated_delivery_date": F.col("order_estimated_delivery_date").cast("string")}), f"{base}/shop_orders.csv")
+    return clean.coerce_datetime(catalog.resolve_table(catalog.load_dataset(spark, base), "ORDERS"))
+
+
+def q_csv_multi_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Review comments with line breaks and quotes, through CSV."""
+    base, rv = _round_trip_dir(spark), fixtures.order_reviews(spark, sf_dir)
+    comment = F.concat(F.lit("score "), F.col("review_score"), F.lit('\nof "'), F.col("order_id"), F.lit('", fine'))
+    catalog.write_csv(rv.withColumn("comment", comment), f"{base}/shop_order_reviews.csv")
+    return catalog.resolve_table(catalog.load_dataset(spark, base), "order_reviews")
+
+
+def q_parquet_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers written as Parquet by state and read back."""
+    path = f"{_round_trip_dir(spark)}/customers"
+    catalog.write_parquet(fixtures.customers(spark, sf_dir), path, ["customer_state"])
+    return catalog.read_parquet(spark, path)
+
+
+def q_csv_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The category report re-read, for categories of the first brand group."""
+    path, raw = f"{_round_trip_dir(spark)}/report", _raw(spark, sf_dir)
+    report = profile.category_table(raw["order_items"], raw["products"], 20)
+    catalog.write_csv(report, path)
+    chosen = raw["products"].where(F.col("product_category_name").startswith("Brand#1")).select(F.col("product_category_name").alias("categoria"))
+    return normalize(catalog.read_csv_semi(spark, path, chosen, "categoria", report.schema))
+
+
+def q_state_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P5 with the fixed map: each nation stands for a state code (lower case, as typed), one code unknown."""
+    codes = ["ac", "al", "am", "ap", "ba", "ce", "df", "es", "go", "ma", "mg", "ms", "mt", "pa", "pb", "pe", "pi", "pr", "rj", "rn", "ro", "rr",
+             "rs", "sc", "se", "sp", "to", "xx"]
+    state = F.element_at(F.lit(codes), (F.col("c_custkey") % 28 + 1).cast("int"))
+    cust = fixtures.table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("customer_id"), state.alias("customer_state"))
+    typed = clean.add_customer_region(cust, out_col="region_typed", default=clean.INVALID_STATE_LABEL, upper=True)
+    return clean.add_customer_region(typed.withColumn("customer_state", F.upper("customer_state")))
+
+
+def _repeated_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items of which some come again with another price, others as they are."""
+    items = fixtures.order_items(spark, sf_dir)
+    key = F.col("order_id").cast("bigint")
+    return items.unionByName(items.where(key % 50 == 0).withColumn("price", F.col("price") + 1)).unionByName(items.where(key % 75 == 0))
+
+
+def q_removed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, kept and removed."""
+    return clean.dedupe_report(_repeated_items(spark, sf_dir))
+
+
+def q_deduped_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first row of each item key."""
+    return normalize(clean.dedupe_items(_repeated_items(spark, sf_dir), order_by=("product_id", "seller_id", "price")))
+
+
+def q_period_table_price_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2 (iii): without item and order ids, price sums weigh and rows count."""
+    m = merged(spark, sf_dir).drop("order_item_id", "order_id")
+    return normalize(period.build_period_table(m, "W", suffix_map=FIXTURE_REGION_SUFFIX))
+
+
+def q_regions_from_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A region outside the suffix map gets columns of its own."""
+    df, key = _keyed(spark, sf_dir)
+    known = {k: v for k, v in FIXTURE_REGION_SUFFIX.items() if k != "ASIA"}
+    return normalize(period.aggregate_time_metrics_wide_weighted(df, key, suffix_map=known))
+
+
+def q_holiday_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F8: the holiday calendar over the years of the orders."""
+    span = fixtures.orders(spark, sf_dir).agg(F.min(F.year("order_purchase_timestamp")).alias("a"), F.max(F.year("order_purchase_timestamp")).alias("b")).first()
+    return features.br_holiday_table(spark, span["a"], span["b"]).select("date")
+
+
+def q_holiday_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J9 with a holiday table: holidays of each week."""
+    weeks = weekly_target(spark, sf_dir)
+    out = features.add_calendar_features(weeks, "order_week", "W", features.br_holiday_table(spark, 1980, 2030))
+    return out.select("order_week", "is_br_holiday_week", "n_br_holidays_week")
+
+
+def q_capped_frequency_40(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A16, W9 with a cap that many products stay below."""
+    return normalize(profile.capped_frequency(_raw(spark, sf_dir)["order_items"], 40))
+
+
+def q_sales_volume_buckets_40(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A17, A19 with a cap that many products stay below."""
+    raw = _raw(spark, sf_dir)
+    return normalize(profile.sales_volume_by_bucket(raw["order_items"], raw["order_reviews"], 40))
+
+
+def q_review_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of products with two reviews of one order."""
+    raw = _raw(spark, sf_dir)
+    return profile.review_examples(raw["order_items"], raw["order_reviews"], 2)
+
+
+def q_standardized_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weekly sales standardised with the statistics of the first training window."""
+    t = weekly_target(spark, sf_dir)
+    out, _ = analysis.standardize(t, ["sales_qty"], t.where(F.col("order_week") <= F.lit(FIRST_TRAIN_END.date())), "_z")
+    return normalize(out)
+
+
+def q_real_vs_predicted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Real and predicted sales of the look-back forecasts in time order."""
+    return normalize(metrics.real_vs_predicted(_lookback_predictions(spark, sf_dir)))
+
+
+QUERIES.update({
+    "s1_csv_round_trip": q_csv_round_trip,
+    "s1_csv_multi_line": q_csv_multi_line,
+    "s3_parquet_round_trip": q_parquet_round_trip,
+    "s6_csv_semi": q_csv_semi,
+    "p5_state_codes": q_state_codes,
+    "p7_removed_items": q_removed_items,
+    "p7_deduped_items": q_deduped_items,
+    "a12_period_table_weekly_price_sums": q_period_table_price_sums,
+    "a9_regions_from_data": q_regions_from_data,
+    "f8_holiday_table": q_holiday_table,
+    "j9_holiday_join": q_holiday_join,
+    "a16_capped_sales_frequency_40": q_capped_frequency_40,
+    "a17_a19_sales_volume_buckets_40": q_sales_volume_buckets_40,
+    "a18_review_examples": q_review_examples,
+    "e4_standardized_sales": q_standardized_sales,
+    "b12_real_vs_predicted": q_real_vs_predicted,
+})

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import glob
-import os
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,23 +58,40 @@ def _schema_for(name: str, schemas: dict[str, T.StructType] | None) -> T.StructT
     return None
 
 
-def load_dataset(spark: SparkSession, base_dir: str, fmt: str = "csv",
-                 schemas: dict[str, T.StructType] | None = None) -> dict[str, DataFrame]:
-    """Every ``*.csv`` (or ``*.parquet``) file of ``base_dir`` keyed by base name.
+#: Roles whose CSV holds free text with line breaks.
+MULTI_LINE_ROLES = ("review",)
+
+
+def _path(spark: SparkSession, path: str):
+    """A path and its file system, whichever store it names."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def list_tables(spark: SparkSession, base_dir: str, fmt: str) -> dict[str, str]:
+    """Base name -> path of every ``*.<fmt>`` file or directory of ``base_dir``, sorted, on any
+    store that Spark reads."""
+    p, fs = _path(spark, f"{base_dir.rstrip('/')}/*.{fmt}")
+    return {s.getPath().getName(): s.getPath().toString() for s in sorted(fs.globStatus(p) or [], key=lambda s: s.getPath().getName())}
+
+
+def load_dataset(spark: SparkSession, base_dir: str, fmt: str = "csv", schemas: dict[str, T.StructType] | None = None,
+                 multi_line: Iterable[str] = MULTI_LINE_ROLES) -> dict[str, DataFrame]:
+    """Every ``*.csv`` (or ``*.parquet``) table of ``base_dir`` keyed by base name.
 
     CSV columns are read by header name as text (no inference pass over the data), then
     the columns declared for the file's role are cast by name; a declared schema is never
     applied by position, so column order in the file does not matter.  Reads are lazy.
+    A CSV is cut into as many tasks as its size asks for, unless its name holds one of
+    ``multi_line``: quoted line breaks can only be read from a file's start.
     """
-    pattern = os.path.join(base_dir, f"*.{fmt}")
     catalog: dict[str, DataFrame] = {}
-    for path in sorted(glob.glob(pattern)):
-        name = os.path.basename(path)
+    for name, path in list_tables(spark, base_dir, fmt).items():
         if fmt != "csv":
             catalog[name] = spark.read.parquet(path)
             continue
-        # quoted fields may hold line breaks and doubled quotes, as review comments do
-        df = (spark.read.option("header", True).option("inferSchema", False).option("multiLine", True)
+        whole = any(role in name.lower() for role in multi_line)
+        df = (spark.read.option("header", True).option("inferSchema", False).option("multiLine", whole)
               .option("escape", '"').csv(path))
         schema = _schema_for(name, schemas)
         if schema is not None:
@@ -97,8 +113,9 @@ def resolve_table(catalog: dict[str, DataFrame], role: str) -> DataFrame:
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """S3: Parquet scan; a missing local path raises ``FileNotFoundError`` up front."""
-    if "://" not in path and not os.path.exists(path):
+    """S3: Parquet scan; a path that its store does not have raises ``FileNotFoundError`` up front."""
+    p, fs = _path(spark, path)
+    if not fs.exists(p):
         raise FileNotFoundError(path)
     return spark.read.parquet(path)
 
@@ -112,14 +129,14 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Report table as CSV with a header row."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """Report table as CSV with a header row, quotes doubled as in RFC 4180."""
+    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
 def read_csv_semi(spark: SparkSession, path: str, df: DataFrame, key: str = "feature",
                   schema: T.StructType | str | None = None) -> DataFrame:
     """Re-read a saved report and keep its rows whose ``key`` is in ``df``."""
-    reader = spark.read.option("header", True)
+    reader = spark.read.option("header", True).option("escape", '"')
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
     report = reader.csv(path)
     return report.join(df.select(key).distinct(), key, "left_semi")
