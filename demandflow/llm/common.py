@@ -108,14 +108,15 @@ def delete(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 4_000_000) -> Iterator[pa.RecordBatch]:
-    """Cut a record batch so that one slice holds about ``max_bytes`` of text (or one row)."""
+def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 4_000_000, max_rows: int = 50_000) -> Iterator[pa.RecordBatch]:
+    """Cut a record batch so that one slice holds about ``max_bytes`` of text (or one row), and at
+    most ``max_rows`` rows."""
     n = batch.num_rows
     if not n:
         return
     size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-    part = np.cumsum(size.astype(np.int64)) // max_bytes
-    starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
+    part, rows = np.cumsum(size.astype(np.int64)) // max_bytes, np.arange(n) // max_rows
+    starts = np.flatnonzero(np.r_[True, (part[1:] != part[:-1]) | (rows[1:] != rows[:-1])])
     for a, b in zip(starts, np.r_[starts[1:], n], strict=True):
         yield batch.slice(int(a), int(b - a))
 

@@ -9,10 +9,11 @@ their order does not matter, so a reordered passage is covered all the same.  Th
 when the tiles cover at least ``percent`` of the item's words.
 
 The benchmark is read in blocks of at most ``block_bytes`` of text (a longer item is a block of
-its own), and only one block is broadcast at a time; more blocks mean more passes, not more
-memory.
+its own).  A pass is written before the next block is broadcast, so more blocks mean more
+passes, not more memory.
 
-Null and empty texts match nothing, nor do items with fewer than ``min_tile`` words.  Repeated
+Null and empty texts match nothing.  An item with fewer than ``min_tile`` words is one tile of its
+own length: it leaks where a document holds it whole.  Repeated
 documents are reported again, repeated items each by their own row; rows with a null id are
 reported with that null.  Empty tables give an empty result.  Extra columns are ignored, and
 :func:`clean` keeps them as they are.
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandflow.llm.common import slices, window_hashes, word_hashes
+from demandflow.llm.common import Scratch, slices, window_hashes, word_hashes
 
 _B = np.uint64(0x9E3779B97F4A7C15 | 1)
 
@@ -65,52 +66,57 @@ def tiles(item: np.ndarray, text: np.ndarray, min_tile: int) -> list[tuple[int,
     p_hash, t_hash = _Rolling(item), _Rolling(text)
     out: list[tuple[int, int, int]] = []
 
-    def matches(length: int) -> list[tuple[int, int]]:
+    def common(length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
+        """Open starts in the item that have a match, open starts in the text by hash, and the range
+        of those for each of the former; None without any."""
         p, t = _open_starts(p_marked, length), _open_starts(t_marked, length)
         if not len(p) or not len(t):
-            return []
-        # both hashes brought to a common power of B
-        hp = p_hash.windows(p, length)
-        ht = t_hash.windows(t, length)
+            return None
         # sums carry B^(n - end); multiplying by B^start leaves B^(n - length) on either side
-        hp = hp * t_hash.powers[t_hash.n - length]
-        ht = ht * _power(p_hash.n - length)
+        hp = p_hash.windows(p, length) * t_hash.powers[t_hash.n - length]
+        ht = t_hash.windows(t, length) * p_hash.powers[p_hash.n - length]
         order = np.argsort(ht, kind="stable")
         lo, hi = np.searchsorted(ht[order], hp, "left"), np.searchsorted(ht[order], hp, "right")
-        found = []
-        for i in np.flatnonzero(hi > lo).tolist():
-            a = int(p[i])
-            for j in order[lo[i]:hi[i]].tolist():
+        some = hi > lo
+        return (p[some], t[order], lo[some], hi[some]) if some.any() else None
+
+    def mark(length: int, p: np.ndarray, t: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> None:
+        # marks only grow, so what one window had to skip the next of its hash skips too
+        upto: dict[int, int] = {}
+        for a, first, end in zip(p.tolist(), lo.tolist(), hi.tolist(), strict=True):
+            # tiles are at least this long: one that overlaps a window covers one of its ends
+            if p_marked[a] or p_marked[a + length - 1]:
+                continue
+            j = upto.get(first, first)
+            while j < end and (t_marked[t[j]] or t_marked[t[j] + length - 1]):
+                j += 1
+            upto[first] = j
+            while j < end:
                 b = int(t[j])
-                if np.array_equal(item[a:a + length], text[b:b + length]):
-                    found.append((a, b))
-        return found
-
-    def _power(k: int) -> np.uint64:
-        return p_hash.powers[k]
+                if not (t_marked[b] or t_marked[b + length - 1]) and np.array_equal(item[a:a + length], text[b:b + length]):
+                    p_marked[a:a + length] = True
+                    t_marked[b:b + length] = True
+                    out.append((a, b, length))
+                    break
+                j += 1  # only if unlike windows share a hash
 
     upper = min(len(item), len(text)) + 1  # no common open run has this length
     while True:
         # bisect on the longest length with a match: a run of length s has runs of s - 1
-        low, high, best = min_tile, upper, []
+        low, high, best = min_tile, upper, None
         while low < high:
             mid = (low + high) // 2 if best else low
-            got = matches(mid)
-            if got:
-                best, low = [(mid, *x) for x in got], mid + 1
+            got = common(mid)
+            if got is not None:
+                best, low = (mid, got), mid + 1
             else:
                 high = mid
                 if not best:
                     break
         if not best:
             return out
-        length = best[0][0]
-        for _, a, b in best:
-            if not p_marked[a:a + length].any() and not t_marked[b:b + length].any():
-                p_marked[a:a + length] = True
-                t_marked[b:b + length] = True
-                out.append((a, b, length))
-        upper = length + 1
+        upper, found = best
+        mark(upper, *found)
 
 
 class _Block:
@@ -125,11 +131,33 @@ class _Block:
         seeds = np.concatenate(seeds) if seeds else np.zeros(0, np.uint64)
         order = np.argsort(seeds, kind="stable")
         self.seeds, self.item = seeds[order], item[order]
+        # items with fewer words than a tile are looked for whole, by their length
+        self.short: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for n in {len(w) for w in self.words if 0 < len(w) < min_tile}:
+            own = [i for i, w in enumerate(self.words) if len(w) == n]
+            h = np.concatenate([window_hashes(self.words[i], n) for i in own])
+            order = np.argsort(h, kind="stable")
+            self.short[n] = h[order], np.array(own)[order]
+
+    def _short_leaks(self, words: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        for n, (seeds, item) in self.short.items():
+            grams = window_hashes(words, n)
+            if not len(grams):
+                continue
+            lo = np.searchsorted(seeds, grams, "left")
+            hit = np.flatnonzero(seeds[np.minimum(lo, len(seeds) - 1)] == grams)
+            row = np.searchsorted(offsets, hit, "right") - 1
+            inside = hit + n <= offsets[row + 1]
+            found = {(int(r), int(at)) for r, at in zip(row[inside], lo[hit[inside]], strict=True)}
+            for r, at in sorted(found):
+                for i in item[at:np.searchsorted(seeds, seeds[at], "right")].tolist():
+                    yield r, i, n, n
 
     def leaks(self, texts: pa.Array, percent: int) -> Iterator[tuple[int, int, int, int]]:
         """``(row, item, covered words, words of the item)`` of the pairs that leak."""
         k = self.min_tile
         words, offsets = word_hashes(texts)
+        yield from self._short_leaks(words, offsets)
         grams = window_hashes(words, k)
         if not len(grams) or not len(self.seeds):
             return
@@ -181,11 +209,11 @@ def blocks(benchmark: DataFrame, min_tile: int, block_bytes: int) -> Iterator[_B
         yield _Block(ids, texts, min_tile)
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, percent: int = 50, min_tile: int = 5, block_bytes: int = 8_000_000) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, percent: int = 50, min_tile: int = 5, block_bytes: int = 8_000_000) -> DataFrame:
     """``doc_id, item_id, covered_words, item_words`` of every pair that leaks."""
     text = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
 
-    def one(block: _Block) -> DataFrame:
+    def one(block: _Block) -> tuple[DataFrame, object]:
         shared = docs.sparkSession.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,16 +225,26 @@ def leaks(docs: DataFrame, benchmark: DataFrame, percent: int = 50, min_tile: in
                         "item_id": pa.array([shared.value.ids[g[1]] for g in got], pa.int64()),
                         "covered_words": pa.array([g[2] for g in got], pa.int64()), "item_words": pa.array([g[3] for g in got], pa.int64())})
 
-        return text.mapInArrow(run, "doc_id long, item_id long, covered_words long, item_words long")
+        return text.mapInArrow(run, "doc_id long, item_id long, covered_words long, item_words long"), shared
 
-    found = [one(b) for b in blocks(benchmark, min_tile, block_bytes)]
+    found, before = [], None
+    for block in blocks(benchmark, min_tile, block_bytes):
+        if before is not None:  # the pass before ends here, and its block goes
+            found[-1] = scratch.write(found[-1], "leaks")
+            before.unpersist()
+        out, before = one(block)
+        found.append(out)
     return reduce(DataFrame.unionByName, found) if found else docs.sparkSession.createDataFrame([], "doc_id long, item_id long, covered_words long, item_words long")
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, percent: int = 50, min_tile: int = 5, block_bytes: int = 8_000_000) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, percent: int = 50, min_tile: int = 5, block_bytes: int = 8_000_000) -> DataFrame:
     """``docs`` without the documents that leak an item; all columns as they are."""
+    before = None
     for block in blocks(benchmark, min_tile, block_bytes):
-        shared = docs.sparkSession.sparkContext.broadcast(block)
+        if before is not None:
+            docs = scratch.write(docs, "clean")
+            before.unpersist()
+        before = shared = docs.sparkSession.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:

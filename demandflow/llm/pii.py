@@ -37,18 +37,28 @@ from pyspark.sql import functions as F
 from demandflow.llm.common import Scratch
 
 FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Госпожа")
+NEUTRAL = ("Dr", "Prof", "Professor", "Doctor")
 MALE = ("Mr", "Herr", "Monsieur", "Señor", "Господин")
 _LATIN = ("ba", "ce", "di", "fo", "ga", "he", "ji", "ko", "la", "me", "ni", "po", "ra", "se", "ti", "vo")
+#: Lower-case letters (or signs) that stand for those of a script.
+LETTERS = {
+    "Cyrillic": "абвгдежзиклмнопрстуфхцчшэюя", "Greek": "αβγδεζηθικλμνξοπρστυφχψω", "Armenian": "աբգդեզլկմնոպսվտր",
+    "Hebrew": "אבגדהוזחטכלמנסעפצקרשת", "Arabic": "ابتثجحدرزسشصضطعغفقكلمنهوي", "Devanagari": "कखगघचछजटडतदनपबमयरलवसह",
+    "Thai": "กขคงจชซดตถทนบปผพมยรลวสหอ", "Hiragana": "あいうえおかきくけこさしすせそたちつてとなにぬねの",
+    "Katakana": "アイウエオカキクケコサシスセソタチツテトナニヌネノ", "Hangul": "가나다라마바사아자차카타파하고노도로모보소오조호",
+    "Han": "一人口日月木水火山石田土金心手目耳車門雨",
+}
+_CASED = ("Greek", "Armenian")  # of names, beside Latin and Cyrillic, which have syllables
 _CYRILLIC = ("ба", "ве", "ги", "до", "жа", "зе", "ки", "ло", "ма", "не", "пи", "ро", "са", "те", "фи", "хо")
 
-_TITLES = "|".join(sorted(FEMALE + MALE, key=lambda t: (-len(t), t)))
+_TITLES = "|".join(sorted(FEMALE + MALE + NEUTRAL, key=lambda t: (-len(t), t)))
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _RUN = r"[\p{L}\p{M}\p{N}._+-]"
 _LABEL = r"[\p{L}\p{M}\p{N}-]"
 _NAME = r"\p{Lu}(?:[\p{L}\p{M}]++|(?=[\x27’-]\p{L}))(?:(?:[\x27’]\p{Lu}|-\p{L})[\p{L}\p{M}]*+)*+"
 #: An e-mail is the whole run before its '@' (leading dots and dashes are no part of the entity) and starts
 #: where a run or the rest after the last match starts.
-_EMAIL = (rf"(?:\G|(?<!{_RUN}))[.-]*+{_RUN}++@(?:{_LABEL}{{1,63}}\.){{1,8}}"
+_EMAIL = (rf"(?:\G|(?<!{_RUN}))[.-]*+{_RUN}++@(?:{_LABEL}{{1,63}}\.){{1,126}}"
           r"(?:[Xx][Nn]--[A-Za-z0-9-]{2,59}|[A-Za-z]{2,24}|[\p{L}\p{M}]{2,24}+)(?![A-Za-z0-9])")
 #: One alternative per type, none of which starts inside a word.  A run is entered only at its start
 #: and left possessively, or its length is bounded, so long unbroken texts take linear time.
@@ -58,9 +68,9 @@ MENTION = rf"(?:{_EMAIL}|(?<![A-Za-z0-9])(?:" + "|".join((
     r"(?<![0-9A-Za-z(])\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?![0-9])",
     r"(?<![0-9A-Za-z.-])[0-9]{3}([.-])[0-9]{3}\1[0-9]{4}(?![0-9-]|\.[0-9])",
     r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128}|AKIA[0-9A-Z]{16}|(?:sk|pk|ghp)_[A-Za-z0-9_]{16,128})(?![0-9A-Za-z])",
+    r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+|AKIA[0-9A-Z]{16}|(?:sk|pk|ghp)_[A-Za-z0-9_]{16,}+)(?![0-9A-Za-z])",
     r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])",
-    rf"(?=[MHFSГ])(?<!\p{{L}})(?:{_TITLES})\.? {_NAME}(?: {_NAME})?+(?!\p{{L}})",
+    rf"(?=[DPMHFSГ])(?<!\p{{L}})(?:{_TITLES})\.? {_NAME}(?: {_NAME})?+(?!\p{{L}})",
 )) + "))"
 
 
@@ -92,11 +102,13 @@ def _canon(m: str) -> str:
 
 
 def _script(m: str) -> str:
-    return f"if({m} rlike r'\\p{{IsCyrillic}}', 'cyrillic', 'latin')"
+    others = " ".join(f"when split({m}, ' ', 2)[1] rlike r'\\p{{Is{s}}}' then '{s.lower()}'" for s in _CASED)
+    return f"case when {m} rlike r'\\p{{IsCyrillic}}' then 'cyrillic' {others} else 'latin' end"
 
 
 def _gender(m: str) -> str:
-    return f"if(replace(split({m}, ' ')[0], '.', '') in ({', '.join(repr(t) for t in FEMALE)}), 'f', 'm')"
+    title = f"replace(split({m}, ' ')[0], '.', '')"
+    return f"case when {title} in ({', '.join(map(repr, FEMALE))}) then 'f' when {title} in ({', '.join(map(repr, NEUTRAL))}) then 'n' else 'm' end"
 
 
 def _given(m: str) -> str:
@@ -152,8 +164,12 @@ def surrogate(key: str) -> dict[str, str]:
     def drawn(s: str, hexes: bool = False, byte: str = byte) -> str:
         digit = f"substr('0123456789abcdef', {byte} % 16 + 1, 1)" if hexes else f"cast({byte} % 10 as string)"
         lower = digit if hexes else f"substr('abcdefghijklmnopqrstuvwxyz', {byte} % 26 + 1, 1)"
+        # a letter of another script is drawn from its own, in its own case
+        own = "" if hexes else " ".join(
+            f"when c rlike r'\\p{{Is{s}}}' then if(c = lower(c), substr('{x}', {byte} % {len(x)} + 1, 1), upper(substr('{x}', {byte} % {len(x)} + 1, 1)))"
+            for s, x in LETTERS.items())
         return f"""array_join(transform(split({s}, ''), (c, i) -> case when c rlike '[0-9]' then {digit} when c rlike '[a-z]' then {lower}
-            when c rlike '[A-Z]' then upper({lower}) when c rlike r'\\p{{N}}' then {digit} when c rlike r'[\\p{{L}}\\p{{M}}]' then {lower}
+            when c rlike '[A-Z]' then upper({lower}) when c rlike r'\\p{{N}}' then {digit} {own} when c rlike r'[\\p{{L}}\\p{{M}}]' then {lower}
             else c end), '')"""
 
     def name(syllables: tuple[str, ...], ends: tuple[str, ...]) -> str:
@@ -172,6 +188,8 @@ def surrogate(key: str) -> dict[str, str]:
         i -> cast(conv(substr({more}, 2 * i + 1, 2), 16, 10) as int) % 10), ''), '')"""
     other = byte.replace("(h,", "(reverse(h),")
     email = f"concat({drawn(local)}, {extra}, '@', if(size({labels}) > 2, concat({drawn(inner, byte=other)}, '.'), ''), {tail})"
+    alike = " ".join(f"when type like 'given:%:{s.lower()}' or type = 'surname:{s.lower()}' then {name(tuple(LETTERS[s]), tuple(LETTERS[s][:4]))}"
+                     for s in _CASED)
     octets = ", ".join(f"cast(cast(conv(substr(h, {8 * k + 1}, 6), 16, 10) as int) % 254 + 1 as string)" for k in range(4))
     card = "concat(left(canon, 1), substr(d, 2, char_length(d) - 2))"
     valid = f"right(canon, 1) = {_check_digit('left(canon, char_length(canon) - 1)')}"
@@ -183,8 +201,9 @@ def surrogate(key: str) -> dict[str, str]:
             when 'card' then concat({card}, if({valid}, {_check_digit(card)}, right(d, 1)))
             when 'secret' then if(canon rlike '^([0-9a-f]+|[0-9A-F]+)$', {drawn('canon', True)}, concat(left(canon, 4), {drawn('substr(canon, 5)')}))
             when 'given:f:latin' then {name(_LATIN, ('na', 'lia', 'ra', 'sa'))} when 'given:m:latin' then {name(_LATIN, ('n', 'rt', 's', 'ld'))}
+            when 'given:n:latin' then {name(_LATIN, ('n', 'ra', 's', 'lia'))} when 'given:n:cyrillic' then {name(_CYRILLIC, ('н', 'ра', 'с', 'лия'))}
             when 'given:f:cyrillic' then {name(_CYRILLIC, ('на', 'лия', 'ра', 'са'))} when 'given:m:cyrillic' then {name(_CYRILLIC, ('н', 'рт', 'с', 'льд'))}
-            when 'surname:cyrillic' then {name(_CYRILLIC, ('к', 'ц', 'нь', 'р'))} else {name(_LATIN, ('ck', 'll', 'nd', 'r'))} end""",
+            when 'surname:cyrillic' then {name(_CYRILLIC, ('к', 'ц', 'нь', 'р'))} else case {alike} else {name(_LATIN, ('ck', 'll', 'nd', 'r'))} end end""",
     }
 
 
@@ -220,7 +239,7 @@ def surrogates(entities: DataFrame, scratch: Scratch, key: str) -> DataFrame:
         scratch.drop(before, again)
 
 
-def replace(docs: DataFrame, scratch: Scratch, key: str = "public-example-key") -> DataFrame:
+def replace(docs: DataFrame, scratch: Scratch, key: str) -> DataFrame:
     """``docs`` with its mentions rewritten in ``text``, and ``n_entities`` (mentions in the text).
     ``key`` is the secret; without it surrogates can't be linked to entities."""
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").cast("string").alias("text"))

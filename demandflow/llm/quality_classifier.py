@@ -124,7 +124,10 @@ def fit(slots: list[np.ndarray], grades: np.ndarray, min_docs: int = 10, l2: flo
 
 
 def train(docs: DataFrame, ratings: DataFrame, sample_rows: int = 8000, **options) -> Model:
-    """A model of ``ratings`` (``doc_id, grade``) of ``docs`` (``doc_id, text``)."""
+    """A model of ``ratings`` (``doc_id, grade``) of ``docs`` (``doc_id, text``).  It is fitted on at most
+    ``sample_rows`` ratings, those with the smallest hash of their id, and, as an id may stand on
+    many rows, on at most twice as many of their rows, those with the smallest hash of id and
+    text: the same rows however the tables are partitioned."""
     rated = ratings.where("doc_id IS NOT NULL AND grade IS NOT NULL").select(F.col("doc_id").cast("long"), F.col("grade").cast("long"))
     sample = rated.orderBy(F.xxhash64("doc_id"), "doc_id", "grade").limit(sample_rows)
     # at most sample_rows short rows, so they may be broadcast
@@ -134,11 +137,12 @@ def train(docs: DataFrame, ratings: DataFrame, sample_rows: int = 8000, **option
         for batch in batches:
             for part in slices(batch, "text"):
                 slots, at = features(part.column("text"))
-                yield pa.RecordBatch.from_pydict({"grade": part.column("grade"), "slots": pa.array(
+                yield pa.RecordBatch.from_pydict({"h": part.column("h"), "grade": part.column("grade"), "slots": pa.array(
                     [slots[a:b].astype("<i4").tobytes() for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary())})
 
     # a hot id may stand on many rows: the bound holds for rows as well
-    rows = texts.select("grade", "text").mapInArrow(run, "grade long, slots binary").limit(2 * sample_rows).collect()
+    rows = texts.select(F.xxhash64("doc_id", "text").alias("h"), "grade", "text").mapInArrow(run, "h long, grade long, slots binary")
+    rows = rows.orderBy("h", "grade", "slots").limit(2 * sample_rows).collect()
     return fit([np.frombuffer(r["slots"], "<i4") for r in rows], np.array([r["grade"] for r in rows], np.int64), **options)
 
 

@@ -39,7 +39,7 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every pair of a document and a benchmark item that it leaks."""
-    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), Scratch(spark, "op5"))
 
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,14 +48,13 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch.path("archives")
     warc.write_archives(table(spark, sf_dir, "pages"), path)
     found = warc.candidates(spark, path).select(
-        "file", "offset", "next", "page_id", "record_type", "refers_to", F.octet_length("payload").cast("long").alias("payload_bytes"),
-        F.sha1("payload").alias("payload_digest"))
+        "file", "offset", "next", "page_id", "record_type", "refers_to", "digest", F.octet_length("payload").cast("long").alias("own_bytes"))
     records = scratch.write(warc.reachable(scratch.write(found, "candidates"), scratch), "records")
-    # a revisit's payload is that of the response it refers to
-    full = records.where("record_type = 'response'").groupBy(F.col("page_id").alias("refers_to")).agg(
-        F.min(F.struct("payload_bytes", "payload_digest")).alias("full"))
-    out = records.join(full, "refers_to", "left")
-    return out.select("page_id", *[F.coalesce(f"full.{c}", c).alias(c) for c in ("payload_bytes", "payload_digest")], "record_type", "refers_to")
+    # a revisit's payload is that of the response it refers to: ids may repeat, so the digest decides as well
+    full = records.where("record_type = 'response'").groupBy(F.col("page_id").alias("refers_to"), "digest").agg(F.max("own_bytes").alias("full_bytes"))
+    out = records.join(full, ["refers_to", "digest"], "left")
+    return out.select("page_id", F.coalesce("full_bytes", "own_bytes").alias("payload_bytes"), F.col("digest").alias("payload_digest"),
+                      "record_type", "refers_to")
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,7 +77,7 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     hosts = url_filter.with_parts(pages).select(F.col("host").alias("key"))
     listed = hosts.where("key LIKE 'ads%' OR (key <> '' AND char_length(key) % 5 = 0)")
-    return url_filter.judge(pages, listed, URL_RULES, Scratch(spark, "op8")).select("page_id", "host", "path", "rule", "verdict")
+    return url_filter.judge(pages, listed, URL_RULES, Scratch(spark, "op8")).select("row.page_id", "host", "path", "rule", "verdict")
 
 
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,7 +87,7 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's text with surrogates in place of detected entities."""
-    return pii.replace(table(spark, sf_dir, "documents").select("doc_id", "text"), Scratch(spark, "op10"))
+    return pii.replace(table(spark, sf_dir, "documents").select("doc_id", "text"), Scratch(spark, "op10"), "stand-in key of the query")
 
 
 def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:

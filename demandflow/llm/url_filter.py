@@ -82,6 +82,8 @@ class Bloom:
 
 def build(listed: np.ndarray, unlisted: np.ndarray) -> list[Bloom]:
     """The cascade of two disjoint arrays of key hashes."""
+    if len(np.intersect1d(listed, unlisted)):
+        raise ValueError("listed and unlisted keys share a hash")
     levels: list[Bloom] = []
     inside, outside = listed, unlisted
     # the first level is stricter where unlisted keys are many; the others halve what is left
@@ -103,13 +105,21 @@ def listed_of(levels: list[Bloom], keys: np.ndarray) -> np.ndarray:
     return out
 
 
-def cascade(universe: DataFrame, listed: DataFrame, shard_keys: int = 200_000) -> tuple[DataFrame, int]:
+def _hash(key: Column) -> Column:
+    return F.xxhash64(key)
+
+
+def cascade(universe: DataFrame, listed: DataFrame, scratch: Scratch, shard_keys: int = 200_000) -> tuple[DataFrame, int, DataFrame]:
     """``shard, level, size, hashes, bits`` for the distinct ``key`` of ``universe``, of which those in
-    ``listed`` (``key``) are listed, and the number of shards."""
+    ``listed`` (``key``) are listed; the number of shards; and ``key, listed`` of the keys that share
+    their hash with one of the other side, which no filter can tell apart (none, as a rule)."""
     keys = universe.select("key").distinct().join(listed.select("key").distinct().withColumn("listed", F.lit(True)), "key", "left")
     shards = max(1, -(-universe.select("key").distinct().count() // shard_keys))
-    keys = keys.select(F.xxhash64("key").alias("h"), F.coalesce("listed", F.lit(False)).alias("listed"),
+    keys = keys.select("key", _hash(F.col("key")).alias("h"), F.coalesce("listed", F.lit(False)).alias("listed"),
                        _shard(F.col("key"), shards).alias("shard"))
+    both = keys.groupBy("h", "shard").agg(F.min("listed").alias("lo"), F.max("listed").alias("hi")).where("lo != hi").select("h", "shard")
+    odd = scratch.write(keys.join(both, ["h", "shard"]).select("key", "listed"), "odd")
+    keys = keys.join(odd.select("key"), "key", "left_anti").drop("key")
 
     def run(rows: pa.Table) -> pa.Table:
         h = rows.column("h").to_numpy().view(np.uint64)
@@ -120,7 +130,7 @@ def cascade(universe: DataFrame, listed: DataFrame, shard_keys: int = 200_000) -
                          "size": pa.array([x.size for x in levels], pa.int64()), "hashes": pa.array([x.hashes for x in levels], pa.int64()),
                          "bits": pa.array([x.bits.tobytes() for x in levels], pa.binary())})
 
-    return keys.groupBy("shard").applyInArrow(run, "shard long, level long, size long, hashes long, bits binary"), shards
+    return keys.groupBy("shard").applyInArrow(run, "shard long, level long, size long, hashes long, bits binary"), shards, odd
 
 
 def _shard(key: Column, shards: int) -> Column:
@@ -140,10 +150,12 @@ def _blocks(filters: DataFrame, block_bytes: int) -> Iterator[dict[int, list[Blo
         yield block
 
 
-def with_listed(rows: DataFrame, key: str, filters: DataFrame, shards: int, scratch: Scratch, block_bytes: int = 32_000_000) -> DataFrame:
-    """Adds ``listed``: whether the row's key, which must be in the universe, is listed."""
+def with_listed(rows: DataFrame, key: str, filters: DataFrame, shards: int, odd: DataFrame, scratch: Scratch,
+                block_bytes: int = 32_000_000) -> DataFrame:
+    """Adds ``listed``: whether the row's key, which must be in the universe, is listed.  The other
+    columns must not be named like the helpers ``_h, _shard, _odd``."""
     spark = rows.sparkSession
-    out = rows.withColumn("_h", F.xxhash64(key)).withColumn("_shard", _shard(F.col(key), shards)).withColumn("listed", F.lit(False))
+    out = rows.withColumn("_h", _hash(F.col(key))).withColumn("_shard", _shard(F.col(key), shards)).withColumn("listed", F.lit(False))
     schema = T.StructType(out.schema.fields)
 
     def judged(df: DataFrame, block: dict[int, list[Bloom]]) -> tuple[DataFrame, object]:
@@ -169,16 +181,21 @@ def with_listed(rows: DataFrame, key: str, filters: DataFrame, shards: int, scra
             out = scratch.write(out, "judged")
             before.unpersist()
         out, before = judged(out, block)
+    if odd.limit(1).count():
+        out = out.join(odd.select(F.col("key").alias(key), F.col("listed").alias("_odd")), key, "left")
+        out = out.withColumn("listed", F.coalesce("_odd", "listed")).drop("_odd")
     return out.drop("_h", "_shard")
 
 
 def judge(pages: DataFrame, listed: DataFrame, rules: list[Rule], scratch: Scratch, shard_keys: int = 200_000,
           block_bytes: int = 32_000_000) -> DataFrame:
-    """Adds ``host, path, rule, verdict`` (allow or block) to ``pages``; ``listed`` holds the hosts to
-    block as ``key``."""
-    rows = with_parts(pages)
-    filters, shards = cascade(rows.select(F.col("host").alias("key")), listed, shard_keys)
+    """``row`` (a struct of the columns of ``pages``, so that no name can clash), ``host, path, rule`` and
+    ``verdict`` (allow or block); ``listed`` holds the hosts to block as ``key``."""
+    rows = pages.select(F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("row"), F.col("url").cast("string").alias("url"))
+    rows = with_parts(rows).drop("url")
+    filters, shards, odd = cascade(rows.select(F.col("host").alias("key")), listed, scratch, shard_keys)
     filters = scratch.write(filters, "filters")
     text, verdict = rule_of(rules)
-    rows = with_listed(rows.withColumn("rule", text).withColumn("_verdict", verdict), "host", filters, shards, scratch, block_bytes)
-    return rows.withColumn("verdict", F.coalesce("_verdict", F.when(F.col("listed"), "block").otherwise("allow"))).drop("_verdict", "listed")
+    rows = with_listed(rows.withColumn("rule", text).withColumn("_verdict", verdict), "host", filters, shards, odd, scratch, block_bytes)
+    verdict = F.coalesce("_verdict", F.when(F.col("listed"), "block").otherwise("allow"))
+    return rows.select("row", "host", "path", "rule", verdict.alias("verdict"))

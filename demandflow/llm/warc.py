@@ -3,7 +3,9 @@
 *Writing*: one record per page.  Of pages with equal payloads of at least ``least`` bytes the one
 with the largest id is the response, the others are revisits that refer to it.  Records are the
 lines of Spark's text writer with ``CRLF CRLF`` as the line separator, which is exactly WARC's
-framing, so archives go to any store Spark writes to; a file holds at most ``records`` records.
+framing, so archives go to any store Spark writes to.  A file holds at most ``records`` records, and
+half as many for each doubling of their size, so that it has about ``file_bytes`` at most (or one
+longer record) before compression, whatever the sizes.
 
 *Reading*: a task takes whole archives and emits every candidate record, wherever the record
 magic stands, with the offset of its successor by its own Content-Length.  A payload may hold
@@ -35,7 +37,7 @@ from demandflow.llm.common import Scratch
 END = "\r\n\r\n"
 
 
-def write_archives(pages: DataFrame, path: str, least: int = 1000, records: int = 1000) -> None:
+def write_archives(pages: DataFrame, path: str, least: int = 1000, records: int = 1000, file_bytes: int = 64_000_000) -> None:
     """``page_id, url, html`` rows as gzip-compressed WARC files below ``path``."""
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"),
                         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("payload"))
@@ -54,8 +56,13 @@ def write_archives(pages: DataFrame, path: str, least: int = 1000, records: int
         F.lit("Content-Type: text/html; charset=utf-8"),
         F.concat(F.lit("Content-Length: "), F.when(F.col("refers_to").isNull(), F.col("size")).otherwise(F.lit(0)).cast("string")))
     body = F.when(F.col("refers_to").isNull(), F.col("payload")).otherwise(F.lit(""))
-    (rows.select(F.concat(header, F.lit(END), body).alias("value")).write.option("lineSep", END)
-     .option("compression", "gzip").option("maxRecordsPerFile", records).text(path))
+    record = F.concat(header, F.lit(END), body)
+    # the class of a record's size: 0 up to its share of a file, then one more for each doubling
+    size_class = F.greatest(F.lit(0), F.ceil(F.log2(F.octet_length("value") / F.lit(file_bytes / records)))).cast("int")
+    in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    rows = rows.select(record.alias("value")).select("value", size_class.alias("c"), in_task.alias("nth"))
+    part = F.concat_ws("-", "c", F.expr(f"nth DIV greatest(1, shiftright({records}, least(c, 30)))"))
+    rows.select("value", part.alias("part")).write.partitionBy("part").option("lineSep", END).option("compression", "gzip").text(path)
 
 
 CANDIDATES = T.StructType([

@@ -73,7 +73,7 @@ def test_tiles_are_the_longest_first_and_order_free():
         assert sum(x[2] for x in got) == slow(p, t, 3)
 
 
-def test_reordered_and_edited_items_leak_and_others_do_not(spark, awkward):
+def test_reordered_and_edited_items_leak_and_others_do_not(spark, scratch, awkward):
     rng = random.Random(4)
     items = [prose(rng, 40, 3000) for _ in range(6)]
     words = items[0].split()
@@ -83,11 +83,11 @@ def test_reordered_and_edited_items_leak_and_others_do_not(spark, awkward):
     bench = spark.createDataFrame([(i, t) for i, t in enumerate(items)] + [(6, None), (7, "too short"), (None, items[4])], "item_id long, text string")
     df = spark.createDataFrame(docs, "doc_id long, text string")
     for size in (8_000_000, 300):
-        got = sorted((r["doc_id"], r["item_id"]) for r in decontamination.leaks(df, bench, block_bytes=size).collect())
+        got = sorted((r["doc_id"], r["item_id"]) for r in decontamination.leaks(df, bench, scratch, block_bytes=size).collect())
         assert got == [(1, 1), (1, 1), (2, 0), (5, 3)]
-        assert sorted(r["doc_id"] for r in decontamination.clean(df, bench, block_bytes=size).collect()) == [3, 4, 6, 7]
-    assert decontamination.leaks(awkward, bench.limit(0)).count() == 0
-    assert decontamination.clean(awkward, bench).columns == awkward.columns
+        assert sorted(r["doc_id"] for r in decontamination.clean(df, bench, scratch, block_bytes=size).collect()) == [3, 4, 6, 7]
+    assert decontamination.leaks(awkward, bench.limit(0), scratch).count() == 0
+    assert decontamination.clean(awkward, bench, scratch).columns == awkward.columns
 
 
 def test_warc_rejects_records_inside_payloads(spark, scratch, tmp_path):
@@ -139,15 +139,15 @@ def test_cascade_is_exact(spark, scratch):
     rows = [(1, "HTTP://A.ÉX.org/a?b"), (2, None), (3, "nothing"), (4, "x://h#f/"), (5, "x://h?q://z/"), (6, "x://"), (6, "x://")]
     got = url_filter.judge(spark.createDataFrame(rows, "page_id long, url string"), spark.createDataFrame([("h",)], "key string"),
                            [("allow", "org", "/"), ("block", "org", "/a")], scratch, shard_keys=2, block_bytes=8).collect()
-    assert sorted((r["page_id"], r["host"], r["path"], r["rule"], r["verdict"]) for r in got)[0] == (1, "a.Éx.org", "/a", "org/a", "block")
-    assert {r["page_id"]: r["verdict"] for r in got} == {1: "block", 2: "allow", 3: "allow", 4: "block", 5: "block", 6: "allow"}
+    assert sorted((r["row"]["page_id"], r["host"], r["path"], r["rule"], r["verdict"]) for r in got)[0] == (1, "a.Éx.org", "/a", "org/a", "block")
+    assert {r["row"]["page_id"]: r["verdict"] for r in got} == {1: "block", 2: "allow", 3: "allow", 4: "block", 5: "block", 6: "allow"}
 
 
 def test_surrogates_keep_type_format_identity_and_distinctness(spark, scratch, awkward):
     rows = [(1, "Mr. John Smith met Mrs Anna Smith; Mr Smith: John.Smith7@corp.example.com, JOHN.SMITH7@CORP.EXAMPLE.COM or a@b.co."),
             (2, "+1 (743) 555-3824 or (743) 555-3824, 743-555-3824; 10.0.0.1, 999.1.1.1, 4111 1111 1111 1111 / 4111111111111111, 078-05-1120"),
             (3, 'token = "2321bac4d15ec8f90433955bf9d3cf61da5bdd1e"'), (3, "clean text of version 3.1"), (4, None), (5, "")]
-    got = {(r["doc_id"], i): r for i, r in enumerate(pii.replace(spark.createDataFrame(rows, "doc_id long, text string"), scratch).orderBy("doc_id", F.desc("n_entities")).collect())}
+    got = {(r["doc_id"], i): r for i, r in enumerate(pii.replace(spark.createDataFrame(rows, "doc_id long, text string"), scratch, "k").orderBy("doc_id", F.desc("n_entities")).collect())}
     text = [r["text"] for r in got.values()]
     assert text[3] == "clean text of version 3.1" and text[4] is None and text[5] == ""
     m = re.fullmatch(r"Mr\. (\w+) (\w+) met Mrs (\w+) (\w+); Mr (\w+): (\S+@\S+), (\S+@\S+) or (\S+@\S+)\.", text[0])
@@ -159,7 +159,7 @@ def test_surrogates_keep_type_format_identity_and_distinctness(spark, scratch, a
     emails = spark.createDataFrame([("email", f"{c}@x.org") for c in "abcdefghijklmnopqrstuvwxyz0123456789"], "type string, canon string")
     named = pii.surrogates(emails, scratch, "k").collect()
     assert len({r["surrogate"] for r in named}) == 36 and not {r["surrogate"] for r in named} & {r["canon"] for r in named}
-    out = pii.replace(awkward, scratch)
+    out = pii.replace(awkward, scratch, "k")
     assert out.count() == awkward.count() and out.columns == [*awkward.columns, "n_entities"]
 
 
@@ -170,7 +170,7 @@ def test_mentions_start_anywhere_in_a_run_and_in_any_script(spark, scratch):
     long = ["x" * 300_000, ".-" * 150_000, "a.b-" * 80_000, "é" * 300_000, "1.2." * 80_000, "A-" * 100_000]
     rows = [(k, f"{x} {t} {x}") for k, (t, x) in enumerate((t, x) for t in hidden for x in ("so", *long[:2]))]
     rows += [(1000 + k, x) for k, x in enumerate(long)] + [(2000, "john.doe@corp.com"), (2001, "Mr O'Brien"), (2002, "Mr " + "A-" * 100_000 + "Ab")]
-    got = {r["doc_id"]: r for r in pii.replace(spark.createDataFrame(rows, "doc_id long, text string"), scratch).collect()}
+    got = {r["doc_id"]: r for r in pii.replace(spark.createDataFrame(rows, "doc_id long, text string"), scratch, "k").collect()}
     for k, (t, x) in enumerate((t, x) for t in hidden for x in ("so", *long[:2])):
         assert got[k]["n_entities"] >= 1 and hidden[t] not in got[k]["text"], t
         assert got[k]["text"].startswith(x + " ") and got[k]["text"].endswith(" " + x)
@@ -234,3 +234,69 @@ def test_ordinal_model_separates_grades(spark, awkward):
     assert quality_classifier.scored(awkward, model).count() == awkward.count()
     empty = quality_classifier.train(awkward, spark.createDataFrame([], "doc_id long, grade long"))
     assert quality_classifier.scored(awkward, empty).where("tail_probability < 1").count() == 0
+
+
+def test_warc_pages_that_share_an_id_and_large_pages(spark, tmp_path):
+    from demandflow.llm.queries import QUERIES
+    a, b = "a" * 1500, "b" * 2500
+    rows = [(3, "u", a), (3, "u", b), (2, "u", b), (1, "u", a), (None, "u", "c" * 9_000_000), (7, "u", "d" * 20_000_000), (7, "u", "small")]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = sorted(QUERIES["op6_warc"](spark, str(tmp_path)).collect(), key=lambda r: (r["page_id"] or 0, r["payload_bytes"]))
+    import hashlib
+    sha = lambda t: hashlib.sha1(t.encode()).hexdigest()
+    assert [tuple(r) for r in got] == [
+        (None, 9_000_000, sha("c" * 9_000_000), "response", None), (1, 1500, sha(a), "revisit", 3), (2, 2500, sha(b), "revisit", 3),
+        (3, 1500, sha(a), "response", None), (3, 2500, sha(b), "response", None), (7, 5, sha("small"), "response", None),
+        (7, 20_000_000, sha("d" * 20_000_000), "response", None)]
+
+
+def test_warc_files_are_bounded_by_bytes(spark, tmp_path):
+    rows = [(k, "u", "x" * (10 if k % 5 else 40_000)) for k in range(200)]
+    path = str(tmp_path / "w")
+    warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), path, least=10**9, records=50, file_bytes=100_000)
+    sizes = [len(warc.plain(p.read_bytes())) for p in (tmp_path / "w").rglob("*.gz")]
+    assert len(sizes) > 8 and max(sizes) <= 2 * 100_000
+
+
+def test_url_filter_with_clashing_names_and_shared_hashes(spark, scratch, monkeypatch):
+    rows = [(k, f"http://h{k}.net/", "a", "b", 5, 6, "c") for k in range(40)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, host string, listed string, _h int, _shard int, verdict string")
+    listed = spark.createDataFrame([(f"h{k}.net",) for k in range(0, 40, 3)], "key string")
+    want = {k: "block" if k % 3 == 0 else "allow" for k in range(40)}
+    for coarse in (False, True):
+        if coarse:  # seven hashes for forty hosts: listed and unlisted ones share them
+            monkeypatch.setattr(url_filter, "_hash", lambda key: F.pmod(F.xxhash64(key), F.lit(7)))
+        got = url_filter.judge(pages, listed, [], scratch, shard_keys=10).collect()
+        assert {r["row"]["page_id"]: r["verdict"] for r in got} == want and len(got) == 40
+        assert got[0]["row"]["host"] == "a" and got[0]["row"]["listed"] == "b" and got[0]["row"]["_shard"] == 6
+    with pytest.raises(ValueError):
+        url_filter.build(np.array([1, 2], np.uint64), np.array([2], np.uint64))
+
+
+def test_tiling_of_repeated_words_is_linear_and_short_items_match_whole(spark, scratch):
+    import time
+    begun = time.time()
+    got = decontamination.tiles(np.array([7] * 30, np.uint64), np.array([7] * 1_000_000, np.uint64), 5)
+    assert got == [(0, 0, 30)] and time.time() - begun < 10
+    bench = spark.createDataFrame([(1, "Alpha beta"), (2, "gamma"), (3, "one two three four"), (4, "")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "x alpha BETA y"), (2, "alpha"), (3, "beta alpha"), (4, "gamma"), (5, "one two three"), (6, "one two three four"), (7, "alpha"), (8, "beta")],
+                                 "doc_id long, text string").coalesce(1)
+    found = sorted(tuple(r) for r in decontamination.leaks(docs, bench, scratch).collect())
+    assert found == [(1, 1, 2, 2), (4, 2, 1, 1), (6, 3, 4, 4)]
+    assert sorted(r["doc_id"] for r in decontamination.clean(docs, bench, scratch, block_bytes=8).collect()) == [2, 3, 5, 7, 8]
+
+
+def test_surrogates_of_long_secrets_deep_hosts_scripts_and_neutral_titles(spark, scratch):
+    deep = "joe@" + ".".join(f"l{k}" for k in range(30)) + ".com"
+    secret, token = "0123456789abcdef" * 20, "ghp_" + "aB3" * 100
+    rows = [(1, f"a {deep} b"), (2, f"k={secret} and {token}."), (3, "Dr. Anna Schmidt, Prof Braun, Mr Γιώργος Παπαδόπουλος"), (4, "иван@почта.рф νίκος@παράδειγμα.gr"),
+            (5, "Dr. Anna Weber and Mrs Γιώργος")]
+    got = {r["doc_id"]: r for r in pii.replace(spark.createDataFrame(rows, "doc_id long, text string"), scratch, "k").collect()}
+    assert [got[k]["n_entities"] for k in range(1, 6)] == [1, 2, 3, 2, 2]
+    assert "joe@" not in got[1]["text"] and got[1]["text"].startswith("a ") and got[1]["text"].endswith(" b")
+    new = re.fullmatch(r"k=([0-9a-f]{320}) and (ghp_[A-Za-z0-9]{300})\.", got[2]["text"])
+    assert new and new[1] != secret and new[2] != token
+    m = re.fullmatch(r"Dr\. ([A-Z][a-z]+) ([A-Z][a-z]+), Prof ([A-Z][a-z]+), Mr ([Α-Ω][α-ω]+) ([Α-Ω][α-ω]+)", got[3]["text"])
+    assert m and "Anna" not in got[3]["text"] and "Παπαδ" not in got[3]["text"]
+    assert re.fullmatch(r"[а-я]+[0-9]*@example\.(com|net|org) [α-ω]+[0-9]*@example\.(com|net|org)", got[4]["text"])
+    assert got[5]["text"].split()[1] == m[1]  # the same given name under the same title
