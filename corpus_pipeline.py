@@ -71,13 +71,13 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontamination.clean(docs, table(spark, sf_dir, "benchmark"))
+    return decontamination.clean(docs, table(spark, sf_dir, "benchmark"), Scratch(spark, "clean"))
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # behind a struct, no column of the documents can clash with those of the operator
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    out = pii.replace(docs.select("doc_id", "text", row.alias("row")), Scratch(spark, "pii"))
+    out = pii.replace(docs.select("doc_id", "text", row.alias("row")), Scratch(spark, "pii"), "stand-in key of the pipeline")
     chars = F.when(F.col("n_entities") > 0, F.char_length("text").cast("long")).otherwise(F.col("row.n_chars")) if "n_chars" in docs.columns else None
     new = {"text": F.col("text"), "n_chars": chars}
     return out.select(*[(new[c] if c in new else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])

@@ -153,7 +153,9 @@ def backtest(df: DataFrame, fit_predict: FitPredict, date_col: str, target_col:
             F.col("prediction").cast("double").alias("y_pred"), F.lit(fold_id).alias("fold_id"))
 
     if not tasks:
-        return df.sparkSession.createDataFrame([], f"date {dtype.simpleString()}, y_true double, y_pred double, fold_id int")
+        none = F.lit(None)
+        return df.where(F.lit(False)).select(F.col(date_col).alias("date"), F.col(target_col).cast("double").alias("y_true"),
+                                             none.cast("double").alias("y_pred"), none.cast("int").alias("fold_id"))
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         parts = list(pool.map(run, tasks))
     out = parts[0]

@@ -73,8 +73,10 @@ def test_previous_sales_read_the_items_once(spark, monkeypatch):
 def test_state_filter_reaches_the_customers(spark, static_plans):
     from demandflow.plans.common import merged
     lines = _plan(merged(spark, SF, filter_state="NATION_11", top_k=7)).splitlines()
-    state = min(i for i, line in enumerate(lines) if "NATION_11" in line and "Filter" in line)
-    assert all("row_number" not in line for line in lines[state:])
+    state = [i for i, line in enumerate(lines) if "NATION_11" in line and "Filter" in line]
+    dedup = [i for i, line in enumerate(lines) if "Window [row_number()" in line]
+    # the top list and the rows that it selects: in both the filter lies below the dedup
+    assert len(state) == len(dedup) == 2 and dedup[0] < state[0] < dedup[1] < state[1]
 
 
 def test_merge_shuffles_item_rows_twice(spark):
