@@ -151,7 +151,7 @@ def prefixes(docs: DataFrame, ranks: np.ndarray, n: int, percent: int) -> DataFr
 
 
 #: Groups of at most this many sets are compared pair by pair while they stream past.
-SMALL = 16
+SMALL = 256
 
 
 def _shared_rows(percent: int):
@@ -162,21 +162,26 @@ def _shared_rows(percent: int):
     small group, or the last row of a larger one, waits for the next batch."""
     names = ["key", "n", "sid", "pos"]
 
-    def pairs_of(rows: list[np.ndarray], d: int, positional: bool) -> np.ndarray:
-        """Whether each row may link with the one ``d`` rows on."""
-        key, n, pos = rows[0], rows[1].astype(np.int64), rows[3].astype(np.int64)
-        small, large = n[:-d], n[d:]
-        ok = (key[d:] == key[:-d]) & (100 * small >= percent * large)
-        if positional:
-            ok &= (100 + percent) * np.minimum(small - pos[:-d], large - pos[d:]) >= percent * (small + large)
-        return ok
-
-    def small_groups(rows: list[np.ndarray]) -> np.ndarray:
-        ok = np.zeros(len(rows[0]), bool)
-        for d in range(1, min(SMALL, len(ok))):
-            pairs = pairs_of(rows, d, True)
-            ok[:-d] |= pairs
-            ok[d:] |= pairs
+    def neighbours(rows: list[np.ndarray]) -> np.ndarray:
+        """Whether each row is near enough in size to the next one."""
+        n = rows[1].astype(np.int64)
+        return (rows[0][1:] == rows[0][:-1]) & (100 * n[:-1] >= percent * n[1:])
+
+    def small_groups(rows: list[np.ndarray], starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Whether each row of a small group may link with another one."""
+        n, pos = rows[1].astype(np.int64), rows[3].astype(np.int64)
+        ok = np.zeros(len(n), bool)
+        after = np.repeat(starts + sizes, sizes) - np.arange(len(n))  # rows from here to the group's end
+        at = np.flatnonzero(np.repeat(sizes <= SMALL, sizes))
+        for d in range(1, SMALL):
+            at = at[after[at] > d]
+            if not len(at):
+                break
+            x, y = n[at], n[at + d]
+            link = (100 * x >= percent * y) & ((100 + percent) * np.minimum(x - pos[at], y - pos[at + d]) >= percent * (x + y))
+            ok[at[link]] = True
+            ok[at[link] + d] = True
+            at = at[100 * x >= percent * y]  # sizes only rise: beyond this one none is near enough
         return ok
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,8 +201,8 @@ def _shared_rows(percent: int):
             sizes = np.diff(np.r_[starts, len(key)])
             large = sizes > SMALL
             large[0] |= big is not None and key[0] == big
-            near = pairs_of(rows, 1, False)
-            ok = np.where(np.repeat(large, sizes), np.r_[before, near] | np.r_[near, False], small_groups(rows))
+            near = neighbours(rows)
+            ok = np.where(np.repeat(large, sizes), np.r_[before, near] | np.r_[near, False], small_groups(rows, starts, sizes))
             cut = len(key) - 1 if large[-1] else starts[-1]
             yield pa.RecordBatch.from_arrays([pa.array(c[:cut][ok[:cut]]) for c in rows], names=names)
             held = [c[cut:] for c in rows]
@@ -206,7 +211,7 @@ def _shared_rows(percent: int):
             else:
                 before, big = False, None
         if held is not None:
-            ok = np.array([before]) if big is not None else small_groups(held)
+            ok = np.array([before]) if big is not None else small_groups(held, np.zeros(1, np.int64), np.array([len(held[0])]))
             yield pa.RecordBatch.from_arrays([pa.array(c[ok]) for c in held], names=names)
 
     return run
