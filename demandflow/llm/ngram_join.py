@@ -15,8 +15,8 @@ empty and linked with nothing.  Two sets link when ``100 * |x & y| >= percent *
 3. *Rounds*: in each shingle's group every set is compared with its neighbour and with the
    first set, in a new order each round, so a group of copies costs its size, not its square.
    Candidates pass the length and positional filters, and the suffix filter (parities in 1024
-   hash ranges bound how far two sets differ); what is left is verified exactly, once per
-   pair.  Links become components.
+   hash ranges bound how far two sets differ); of what is left, each set's nearest pair by
+   these parities is verified exactly, once per pair.  Links become components.
 4. *Rest*: all pairs of a group that are still in different components and pass the filters
    are verified as well, so no link between components is missed.
 
@@ -29,8 +29,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from demandflow.llm.common import Scratch, mix, slices, window_hashes, word_hashes
@@ -242,7 +243,7 @@ BITS = 27
 _WORD = 15
 
 
-def _bitmap(keys: DataFrame, count: int) -> tuple[np.ndarray, int]:
+def bitmap(keys: DataFrame, count: int) -> tuple[np.ndarray, int]:
     """Bits of the ``h`` of all rows, about 16 a row, at most 2^27 (16 MB whatever the input), and
     how many bits of a hash they are."""
     bits = min(BITS, max(_WORD, (16 * count).bit_length()))
@@ -261,27 +262,29 @@ def _bitmap(keys: DataFrame, count: int) -> tuple[np.ndarray, int]:
     return out, bits
 
 
-def _likely(rows: DataFrame, bitmap: np.ndarray, bits: int) -> DataFrame:
-    """Rows whose ``h`` may be among the bitmap's."""
-    shared = rows.sparkSession.sparkContext.broadcast(bitmap)
+def maybe(spark: SparkSession, h: Column, found: np.ndarray, bits: int) -> Column:
+    """Whether the hash ``h`` may be among the bitmap's.  Only ``h`` goes to Python."""
+    shared = spark.sparkContext.broadcast(found)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            h = batch.column("h").to_numpy() & ((1 << bits) - 1)
-            yield batch.filter(pa.array((shared.value[h >> 3] >> (7 - (h & 7)).astype(np.uint8)) & 1 == 1))
+    @F.pandas_udf("boolean")
+    def hit(values: pd.Series) -> pd.Series:
+        at = values.to_numpy() & ((1 << bits) - 1)
+        return pd.Series((shared.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1)
 
-    return rows.mapInArrow(run, rows.schema)
+    return hit(h)
 
 
 def _renamed(members: DataFrame, key: str, mark: str) -> DataFrame:
     return members.select(F.col("sid").alias(key), F.col("size").alias(f"size_{mark}"), *[F.col(f"z{i}").alias(f"z{i}_{mark}") for i in range(WORDS)])
 
 
+_APART = " + ".join(f"bit_count(z{i}_x ^ z{i}_y)" for i in range(WORDS))
+
+
 def _close(percent: int) -> str:
     """Suffix filter: sets that link differ in at most ``(100 - p) / (100 + p)`` of their sizes'
     sum, and every hash range of odd difference holds at least one element of one set only."""
-    apart = " + ".join(f"bit_count(z{i}_x ^ z{i}_y)" for i in range(WORDS))
-    return f"{100 + percent} * ({apart}) <= {100 - percent} * (size_x + size_y)"
+    return f"{100 + percent} * ({_APART}) <= {100 - percent} * (size_x + size_y)"
 
 
 def _needed(pairs: DataFrame, members: DataFrame, columns: list[str], scratch: Scratch, name: str) -> DataFrame:
@@ -291,8 +294,17 @@ def _needed(pairs: DataFrame, members: DataFrame, columns: list[str], scratch: S
     return scratch.write(members.select("sid", *columns).join(ids.hint("shuffle_hash"), "sid", "left_semi"), name)
 
 
-def verified(pairs: DataFrame, members: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
-    """The pairs ``a, b`` that link, written: first the suffix filter, then the sets themselves."""
+def _nearest(near: DataFrame) -> DataFrame:
+    """Of ``near`` the pair of each set whose sketches differ least."""
+    ends = [near.select(F.col(x).alias("sid"), F.struct("apart", F.col(y).alias("other")).alias("to")) for x, y in ("ab", "ba")]
+    best = ends[0].unionByName(ends[1]).groupBy("sid").agg(F.min("to").alias("to"))
+    return best.select(F.least("sid", "to.other").alias("a"), F.greatest("sid", "to.other").alias("b")).distinct()
+
+
+def verified(pairs: DataFrame, members: DataFrame, percent: int, scratch: Scratch, nearest: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The pairs ``a, b`` that link and all that were tested, written: first the suffix filter, then
+    the sets themselves.  With ``nearest``, of the pairs that pass the filter only the nearest one
+    of each set is tested now, so no more sets move than there are."""
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ok = []
@@ -303,16 +315,22 @@ def verified(pairs: DataFrame, members: DataFrame, percent: int, scratch: Scratc
             yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
 
     sketches = _needed(pairs, members, ["size", *[f"z{i}" for i in range(WORDS)]], scratch, "sketches")
-    near = pairs.join(_renamed(sketches, "a", "x"), "a").join(_renamed(sketches, "b", "y"), "b").where(_close(percent)).select("a", "b")
-    near = scratch.write(near, "near")
+    near = pairs.join(_renamed(sketches, "a", "x"), "a").join(_renamed(sketches, "b", "y"), "b").where(_close(percent))
+    near = scratch.write(near.select("a", "b", F.expr(f"({_APART}) / (size_x + size_y)").alias("apart")), "near")
     scratch.drop(sketches)
+    tested = pairs
+    if nearest:
+        every, near = near, scratch.write(_nearest(near), "nearest")
+        later = every.join(near, ["a", "b"], "left_anti")
+        tested = scratch.write(pairs.join(later, ["a", "b"], "left_anti"), "tested")
+        scratch.drop(every, pairs)
     whole = _needed(near, members, ["items"], scratch, "whole")
     # both joins read one exchange of the sets
     both = near.alias("p").join(whole.alias("x"), F.expr("p.a = x.sid")).join(whole.alias("y"), F.expr("p.b = y.sid"))
     both = both.select("p.a", "p.b", F.col("x.items").alias("x"), F.col("y.items").alias("y"))
     out = scratch.write(both.mapInArrow(exact, "a long, b long"), "links")
     scratch.drop(near, whole)
-    return out
+    return out, tested
 
 
 def _possible(percent: int) -> str:
@@ -328,14 +346,14 @@ def links(docs: DataFrame, scratch: Scratch, n: int = 5, percent: int = 80, roun
     rows = profiled.where("slice IS NULL").select("doc_id", "n", "sid", "mark")
     ranks = rarity(profiled)
     dealt = prefixes(docs, ranks, n, percent).repartition("key").sortWithinPartitions("key", "n", "sid")
-    groups = scratch.write(dealt.mapInArrow(_shared_rows(percent), "key long, n int, sid long, pos int"), "groups")
+    groups = scratch.write_bucketed(dealt.mapInArrow(_shared_rows(percent), "key long, n int, sid long, pos int"), "groups", "key")
     # one row per set first, so that a large class of copies moves as one row
     named = rows.where("doc_id IS NOT NULL AND sid IS NOT NULL").groupBy("sid").agg(F.min(F.struct("doc_id", "mark")).alias("x"))
     named = named.join(groups.select("sid").distinct(), "sid", "left_semi")
     named = scratch.write(named.select("sid", "x.*", F.xxhash64("x.doc_id", "x.mark").alias("h")), "named")
     # a set's text travels, not its hashes, which take more room; most others stay where they are
-    bitmap, bits = _bitmap(named, named.count())
-    likely = _likely(_marked(docs).where("doc_id IS NOT NULL AND mark IS NOT NULL").withColumn("h", F.xxhash64("doc_id", "mark")), bitmap, bits)
+    likely = _marked(docs).where("doc_id IS NOT NULL AND mark IS NOT NULL").withColumn("h", F.xxhash64("doc_id", "mark"))
+    likely = likely.where(maybe(scratch.spark, F.col("h"), *bitmap(named, named.count())))
     texts = likely.join(named, ["doc_id", "mark"]).select("sid", "text").repartition("sid")
     members = scratch.write_bucketed(member_sets(texts, n), "members", "sid")
     if members.count() > members.select("sid").distinct().count():  # rows that occur several times
@@ -370,9 +388,9 @@ def links(docs: DataFrame, scratch: Scratch, n: int = 5, percent: int = 80, roun
         pairs = pairs.where(_possible(percent)).select(F.least("sid", "other").alias("a"), F.greatest("sid", "other").alias("b")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = scratch.write(pairs, "pairs")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        new = verified(pairs, members, percent, scratch).select(F.col("a").alias("u"), F.col("b").alias("v"))
+        new, tested = verified(scratch.write(pairs, "pairs"), members, percent, scratch, nearest=k < rounds)
+        tried = tested if tried is None else tried.unionByName(tested)
+        new = new.select(F.col("a").alias("u"), F.col("b").alias("v"))
         if new.limit(1).count():
             old = found.select(F.col("node").alias("u"), F.col("component").alias("v"))
             found = scratch.write(components(new.unionByName(old), scratch), "found")
