@@ -43,31 +43,37 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "near")
 
-    def orderable(c: str) -> Column:
+    def orderable(c: str, of: str = "") -> Column:
         """Columns that Spark cannot compare or hash (maps, at any depth) stand as text."""
-        return F.to_json(F.struct(f"`{c}`")) if "map<" in docs.schema[c].dataType.simpleString() else F.col(f"`{c}`")
+        return F.to_json(F.struct(f"{of}`{c}`")) if "map<" in docs.schema[c].dataType.simpleString() else F.col(f"{of}`{c}`")
 
     values = [orderable(c) for c in docs.columns]
     # rows are linked by numbers of their own, not by their ids; wholly equal rows share them.
     # One number joins, the other tells rows apart that share it by chance
     numbers = [F.xxhash64(*values).alias("number"), F.xxhash64(F.lit(1), *reversed(values)).alias("check")]
-    numbered = docs.where("text IS NOT NULL").select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *numbers)
-    found = ngram_join.clusters(numbered.select(F.col("number").alias("doc_id"), "row.text"), scratch).where("n_shingles > 0")
+    numbered = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *numbers)
+    texts = numbered.where("row.text IS NOT NULL").select(F.col("number").alias("doc_id"), "row.text")
+    found = ngram_join.clusters(texts, scratch).where("n_shingles > 0")
     # the short list of rows in groups of two or more, without their texts
     several = found.groupBy("component_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("component_id")
     members = found.select(F.col("doc_id").alias("number"), "component_id").distinct().join(several, "component_id")
-    others = [orderable(c).alias(f"o{i}") for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")]
-    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), *others)
-    keyed = docs.where("text IS NOT NULL").select(order.alias("o"), *numbers)
+    members = scratch.write(members, "members")
+    # rows that a bitmap of the list does not hold stay where they are, the joins move the others only
+    listed = ngram_join.bitmap(members.select(F.col("number").alias("h")), members.count())
+    numbered = numbered.withColumn("maybe", F.col("row.text").isNotNull() & ngram_join.maybe(spark, F.col("number"), *listed))
+    likely = scratch.write(numbered.where("maybe").drop("maybe"), "likely")
+    others = [orderable(c, "row.").alias(f"o{i}") for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")]
+    order = F.struct(F.col("row.doc_id").isNull().alias("none"), F.col("row.doc_id").alias("id"), *others)
+    keyed = likely.select(order.alias("o"), "number", "check")
     group = scratch.write(keyed.join(members, "number").groupBy("component_id", "number", "check").agg(
         F.min("o").alias("o"), F.count(F.lit(1)).alias("n")), "group")
     first = group.groupBy("component_id").agg(F.min(F.struct("o", "number", "check", "n")).alias("x")).select("x.number", "x.check", "x.n")
     first = scratch.write(first, "first")
     # rows of a group go, but for the first; if that one occurs several times, one of them stays
     once = group.select("number", "check").join(first.where("n = 1"), ["number", "check"], "left_anti")
-    alone = numbered.join(once, ["number", "check"], "left_anti").select("row.*")
-    again = numbered.join(first.where("n > 1").select("number", "check"), ["number", "check"], "left_semi").dropDuplicates(["number", "check"])
-    return alone.unionByName(again.select("row.*")).unionByName(docs.where("text IS NULL"))
+    alone = likely.join(once, ["number", "check"], "left_anti").select("row.*")
+    again = likely.join(first.where("n > 1").select("number", "check"), ["number", "check"], "left_semi").dropDuplicates(["number", "check"])
+    return numbered.where("NOT maybe").select("row.*").unionByName(alone).unionByName(again.select("row.*"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
