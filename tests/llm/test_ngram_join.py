@@ -1,6 +1,8 @@
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from demandflow.llm import ngram_join
 from demandflow.llm.graph import components
 from tests.llm.conftest import SF, prose
@@ -107,3 +109,22 @@ def test_a_null_id_beside_copies_hides_no_link(spark, scratch):
                                  "doc_id long, text string")
     found = got(ngram_join.clusters(docs, scratch))
     assert found == {None: (56, None), 4: (56, 4), 9: (56, 4), 2: (56, 2)}
+
+
+def test_bitmap_holds_every_listed_hash(spark):
+    rng = random.Random(0)
+    hashes = [rng.getrandbits(63) for _ in range(3000)] + [0, -1, -(2 ** 63), 2 ** 63 - 1]
+    listed = spark.createDataFrame([(h,) for h in hashes], "h long")
+    found = ngram_join.bitmap(listed, len(hashes))
+    others = spark.createDataFrame([(-rng.getrandbits(63),) for _ in range(3000)], "h long")
+    hit = ngram_join.maybe(spark, F.col("h"), *found)
+    assert listed.where(hit).count() == len(hashes)
+    assert others.where(hit).count() < 600  # about one in sixteen
+    empty = ngram_join.bitmap(listed.limit(0), 0)
+    assert listed.where(ngram_join.maybe(spark, F.col("h"), *empty)).count() == 0
+
+
+def test_nearest_keeps_the_best_pair_of_each_set(spark):
+    near = spark.createDataFrame([(1, 2, 0.1), (1, 3, 0.2), (2, 3, 0.3), (3, 4, 0.2), (5, 6, 0.0)], "a long, b long, apart double")
+    got = {tuple(r) for r in ngram_join._nearest(near).collect()}
+    assert got == {(1, 2), (1, 3), (3, 4), (5, 6)}  # 3 is as near to 1 as to 4: the smaller one; 4 has only 3
