@@ -483,8 +483,11 @@ def _bt(df: DataFrame, fp, target: str = "sales_qty") -> DataFrame:
 
 def q_backtest_seasonal_naive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expanding-window backtest of the naive forecast over the test weeks."""
-    t = weekly_target(spark, sf_dir)
-    return _bt(t, models.seasonal_naive_fit_predict("sales_qty", "order_week", 1))
+    return _naive_predictions(_weekly_input(spark, sf_dir))
+
+
+def _naive_predictions(weekly: DataFrame) -> DataFrame:
+    return _bt(weekly, models.seasonal_naive_fit_predict("sales_qty", "order_week", 1))
 
 
 def _model_input(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -499,6 +502,7 @@ def _weekly_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(weekly_target(spark, sf_dir))
 
 
+    """The weekly target, checkpointed once: every fold of every model reads these few rows."""
 def _gbt_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = _model_input(spark, sf_dir)
     return _bt(df, models.gbt_fit_predict(lag_roll_features(df), "sales_qty", "order_week", GBT_PARAMS))
@@ -508,16 +512,16 @@ def _panel(df: DataFrame, model, series_keys: tuple[str, ...] = ()) -> DataFrame
     return panel.panel_backtest(df, model, "order_week", "sales_qty", FIRST_TRAIN_END, STEP, TEST_START, TEST_END, series_keys)
 
 
-def _additive_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _panel(weekly_target(spark, sf_dir), panel.additive())
+def _additive_predictions(weekly: DataFrame) -> DataFrame:
+    return _panel(weekly, panel.additive())
 
 
-def _seasonal_arma_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _panel(weekly_target(spark, sf_dir), panel.seasonal_arma(52))
+def _seasonal_arma_predictions(weekly: DataFrame) -> DataFrame:
+    return _panel(weekly, panel.seasonal_arma(52))
 
 
-def _lookback_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _panel(weekly_target(spark, sf_dir), panel.lookback(4))
+def _lookback_predictions(weekly: DataFrame) -> DataFrame:
+    return _panel(weekly, panel.lookback(4))
 
 
 def q_gbt_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -527,29 +531,30 @@ def q_gbt_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_additive_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trend + Fourier seasonality ridge regression, per fold."""
-    return normalize(_additive_predictions(spark, sf_dir))
+    return normalize(_additive_predictions(weekly_target(spark, sf_dir)))
 
 
 def q_seasonal_ar_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(1, 1, 1)(0, 1, 1, 52) by two-stage least squares, per fold."""
-    return normalize(_seasonal_arma_predictions(spark, sf_dir))
+    return normalize(_seasonal_arma_predictions(weekly_target(spark, sf_dir)))
 
 
 def q_lookback_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Standardised 4-week look-back linear autoregression, per fold."""
-    return normalize(_lookback_predictions(spark, sf_dir))
+    return normalize(_lookback_predictions(weekly_target(spark, sf_dir)))
 
 
 def q_model_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metric table of the five forecasters over the test weeks."""
     preds = {
-        "seasonal_naive": q_backtest_seasonal_naive(spark, sf_dir),
+        "seasonal_naive": _naive_predictions(weekly),
         "gbt": _gbt_predictions(spark, sf_dir),
-        "additive": _additive_predictions(spark, sf_dir),
-        "seasonal_ar": _seasonal_arma_predictions(spark, sf_dir),
-        "lookback": _lookback_predictions(spark, sf_dir),
+        "additive": _additive_predictions(weekly),
+        "seasonal_ar": _seasonal_arma_predictions(weekly),
+        "lookback": _lookback_predictions(weekly),
     }
     return normalize(metrics.compare_models(preds))
+    weekly = _weekly_input(spark, sf_dir)
 
 
 def q_gbt_random_search(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -848,7 +853,7 @@ def q_standardized_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_real_vs_predicted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Real and predicted sales of the look-back forecasts in time order."""
-    return normalize(metrics.real_vs_predicted(_lookback_predictions(spark, sf_dir)))
+    return normalize(metrics.real_vs_predicted(_lookback_predictions(weekly_target(spark, sf_dir))))
 
 
 QUERIES.update({

@@ -74,6 +74,16 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a task where :func:`partitions_for` deals them.
+TASK_ROWS = 250_000
+
+
+def partitions_for(rows: DataFrame) -> int:
+    """Partitions for about TASK_ROWS of ``rows`` each, so that what a task sorts or hashes stays
+    the same size whatever the input.  Meant for scans, of which a count reads footers only."""
+    return max(1, -(-rows.count() // TASK_ROWS))
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     try:
         p = spark._jvm.org.apache.hadoop.fs.Path(path)
