@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from demandflow.functions.stats import bias_corrected_skew, excess_kurtosis, round_ratio_half_even
 from demandflow.operators.impute import numeric_columns
 from demandflow.operators.ranks import dense_numbers, exact_quantiles, previous_values, quantiles_of_ranks, running_totals
-from demandflow.session import literal_rows, materialize
+from demandflow.session import literal_rows, materialize, partitions_for
 
 OTHERS_LABEL = "outros"   # fixed value: label of the categories outside the top 20
 
@@ -170,19 +170,41 @@ def sales_volume_by_bucket(items: DataFrame, reviews: DataFrame | None = None, c
 
 
 def review_multiplicity(items: DataFrame, reviews: DataFrame) -> DataFrame:
+def _reviews_per_order(reviews: DataFrame) -> DataFrame:
+    """Distinct reviews of each order that has reviews."""
+    return reviews.groupBy("order_id").agg(F.count_distinct("review_id").alias("n_reviews"))
+
+
     """Distinct reviews per (order, product) after the n:m join; per multiplicity the
-    number of distinct orders and products."""
-    joined = items.select("order_id", "product_id").join(reviews.select("order_id", "review_id"), "order_id", "left")
-    per = joined.groupBy("order_id", "product_id").agg(F.count_distinct("review_id").alias("n_reviews"))
-    return per.groupBy("n_reviews").agg(F.count_distinct("order_id").cast("bigint").alias("orders"),
-                                         F.count_distinct("product_id").cast("bigint").alias("products"))
+    number of distinct orders and products.
+
+    Every product of an order has the order's reviews, so these are counted per order before they
+    meet the items.  All rows of an order lie in one of :func:`partitions_for` partitions, so what
+    a task holds does not grow with the input."""
+    n = partitions_for(items)
+    counts = _reviews_per_order(reviews.select("order_id", "review_id").repartition(n, "order_id"))
+
+    def counted(*columns: str) -> DataFrame:
+        per = items.select("order_id", *columns).repartition(n, "order_id").join(counts, "order_id", "left")
+        return per.select("order_id", *columns, F.coalesce("n_reviews", F.lit(0).cast("bigint")).alias("n_reviews"))
+
+    orders = counted().distinct().groupBy("n_reviews").agg(F.count("order_id").alias("orders"))
+    pairs = counted("product_id").select("n_reviews", "product_id").distinct()
+    return orders.join(pairs.groupBy("n_reviews").agg(F.count("product_id").alias("products")), "n_reviews")
 
 
 def review_examples(items: DataFrame, reviews: DataFrame, n_reviews: int = 3) -> DataFrame:
-    """The joined rows of every (order, product) with ``n_reviews`` distinct reviews."""
-    joined = items.select("order_id", "product_id").join(reviews, "order_id", "left")
-    per = joined.groupBy("order_id", "product_id").agg(F.count_distinct("review_id").alias("n_reviews"))
-    return joined.join(per.where(F.col("n_reviews") == n_reviews), ["order_id", "product_id"])
+    """The joined rows of every (order, product) with ``n_reviews`` distinct reviews, counted
+    per order as in :func:`review_multiplicity`."""
+    n = partitions_for(items)
+    reviews = reviews.repartition(n, "order_id")
+    items = items.where(F.col("order_id").isNotNull() & F.col("product_id").isNotNull()) \
+        .select("order_id", "product_id").repartition(n, "order_id")
+    counts = _reviews_per_order(reviews)
+    if n_reviews > 0:
+        return items.join(reviews.join(counts.where(F.col("n_reviews") == n_reviews), "order_id"), "order_id")
+    without = items.join(counts.where(F.col("n_reviews") > 0), "order_id", "left_anti")
+    return without.join(reviews, "order_id", "left").withColumn("n_reviews", F.lit(0).cast("bigint"))
 
 
 def top_k(df: DataFrame, order: list[Column], k: int) -> DataFrame:
