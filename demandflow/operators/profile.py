@@ -117,7 +117,8 @@ def summarize_features(df: DataFrame, exclude: Iterable[str] = ("product_categor
 # --- order / product structure -----------------------------------------------------------------
 def share_with_more_than_one(df: DataFrame, group_col: str, count_col: str) -> DataFrame:
     """Distinct ``count_col`` per ``group_col`` and the % of groups with more than
-    one (two-stage group-by: distinct pairs, then counts)."""
+    one (two-stage group-by: distinct pairs, then counts).  Rows already dealt by ``group_col``
+    do not move again."""
     per = df.where(F.col(group_col).isNotNull()).groupBy(group_col) \
         .agg(F.count_distinct(count_col).alias("n_distinct"))
     return per.agg(F.count(F.lit(1)).cast("bigint").alias("groups"),

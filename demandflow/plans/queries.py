@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from demandflow.operators import analysis, backtest, clean, features, impute, metrics, models, panel, period, profile
 from demandflow.plans.common import merged, normalize
+from demandflow.session import partitions_for
 from demandflow.sources import catalog, fixtures
 from demandflow.sources.fixtures import FIXTURE_REGION_SUFFIX
 
@@ -280,6 +281,9 @@ def q_products_per_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = _raw(spark, sf_dir)
     o, i = raw["orders"].select("order_id"), raw["order_items"].select("order_id", "product_id")
     shared = [c for c in o.columns if c in i.columns]
+    # join and group-by share one exchange, in parts of a fixed size
+    n = partitions_for(i)
+    o, i = o.repartition(n, *shared), i.repartition(n, *shared)
     return normalize(profile.share_with_more_than_one(o.join(i, shared), "order_id", "product_id"))
 
 
@@ -498,11 +502,11 @@ def _model_input(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _weekly_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The weekly target, checkpointed once: every fold of every model reads these few rows."""
     from demandflow.session import materialize
     return materialize(weekly_target(spark, sf_dir))
 
 
-    """The weekly target, checkpointed once: every fold of every model reads these few rows."""
 def _gbt_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = _model_input(spark, sf_dir)
     return _bt(df, models.gbt_fit_predict(lag_roll_features(df), "sales_qty", "order_week", GBT_PARAMS))
@@ -546,6 +550,7 @@ def q_lookback_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_model_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metric table of the five forecasters over the test weeks."""
+    weekly = _weekly_input(spark, sf_dir)
     preds = {
         "seasonal_naive": _naive_predictions(weekly),
         "gbt": _gbt_predictions(spark, sf_dir),
@@ -554,7 +559,6 @@ def q_model_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         "lookback": _lookback_predictions(weekly),
     }
     return normalize(metrics.compare_models(preds))
-    weekly = _weekly_input(spark, sf_dir)
 
 
 def q_gbt_random_search(spark: SparkSession, sf_dir: str) -> DataFrame:
