@@ -366,7 +366,9 @@ def period_table_from_keyed(df: DataFrame, time_col: str, series_keys: Iterable[
     mode = _weight_mode(df)
     keys = [*series_keys, time_col]
     if mode == "orders":
-        rows = df
+        # each of the five aggregates below reads these few columns, not the joins again
+        used = [*keys, "order_id", "product_id", "product_category_name", "customer_region", "price", *DELTA_COLS]
+        rows = df = materialize(df.where(F.col(time_col).isNotNull()).select(*dict.fromkeys(used)))
         partials = product_period_partials(df, time_col, series_keys)
         per_reg = materialize(region_period_partials(df, time_col, series_keys))
     else:
