@@ -170,12 +170,12 @@ def sales_volume_by_bucket(items: DataFrame, reviews: DataFrame | None = None, c
     return out
 
 
-def review_multiplicity(items: DataFrame, reviews: DataFrame) -> DataFrame:
 def _reviews_per_order(reviews: DataFrame) -> DataFrame:
     """Distinct reviews of each order that has reviews."""
     return reviews.groupBy("order_id").agg(F.count_distinct("review_id").alias("n_reviews"))
 
 
+def review_multiplicity(items: DataFrame, reviews: DataFrame) -> DataFrame:
     """Distinct reviews per (order, product) after the n:m join; per multiplicity the
     number of distinct orders and products.
 
@@ -257,7 +257,8 @@ def item_price_changes(orders: DataFrame, items: DataFrame, min_sales: int = 3)
     rows = items.where(F.col("product_id").isNotNull()).join(known, "order_id", "left") \
         .select("product_id", *order, F.col("__sold").isNotNull().alias("__sold"))
     out = previous_values(rows, ["product_id", "__sold"], order, "price", "__prev",
-                          total=("order_id", ["product_id"], "__sales"))
+                          total=("order_id", ["product_id"], "__sales"),
+                          keep=["product_id", "order_id", "order_item_id", "order_purchase_timestamp", "price", "__sold"])
     change = (F.try_divide(F.col("price"), F.col("__prev")) - 1) * 100
     return out.where((F.col("__sales") >= min_sales) & F.col("__sold")).select(
         "product_id", "order_id", "order_item_id", "order_purchase_timestamp", "price", change.alias("price_pct_change"))

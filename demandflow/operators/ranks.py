@@ -22,7 +22,11 @@ def _ranged(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFra
     """The rows with the number of their range partition.  Written once: both readers must see
     the same bounds, whatever is recomputed after a lost executor."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return materialize(df.repartitionByRange(n, *keys, *order).withColumn(_PART, F.spark_partition_id()))
+    return materialize(_dealt(df, n, keys, order))
+
+
+def _dealt(df: DataFrame, n: int, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    return df.repartitionByRange(n, *keys, *order).withColumn(_PART, F.spark_partition_id())
 
 
 def _same(a: str, b: str, keys: Sequence[str]) -> Column:
@@ -48,26 +52,37 @@ def running_totals(df: DataFrame, keys: Iterable[str], order: Iterable[str], wei
 
 
 def previous_values(df: DataFrame, keys: Iterable[str], order: Iterable[str], value: str, out: str,
-                    total: tuple[str, list[str], str] | None = None) -> DataFrame:
+                    total: tuple[str, list[str], str] | None = None, keep: Iterable[str] | None = None) -> DataFrame:
     """``out``: ``value`` of the previous row of the same keys by ``order`` (null on the first).
     ``total`` (column, some of the keys, name) adds the number of non-null entries of a column
-    among the rows that share these keys, from the same pass."""
+    among the rows that share these keys, from the same pass.  ``keep`` names the columns that are
+    wanted beside these (default: all); columns that only order the rows are not written.
+
+    Rows are written in order with their place, a number, so that what follows sorts by it and the
+    border rows are a plain aggregate.  The rows move once more, to the window and the join together."""
     keys, order = list(keys), list(order)
-    rows = _ranged(df, keys, order)
-    inside = Window.partitionBy(_PART, *keys).orderBy(*order)
-    local = rows.withColumns({"__lag": F.lag(value).over(inside), "__nth": F.row_number().over(inside),
-                              "__next": F.lead(F.lit(1)).over(inside)})
-    # one row of a partition and key has no next one
-    last = F.max(F.when(F.col("__next").isNull(), F.col(value))).alias("__last")
-    borders = local.groupBy(_PART, *keys).agg(last, F.count(total[0] if total else F.lit(1)).alias("__n"))
+    keep = list(df.columns) if keep is None else list(keep)
+    counted = total[0] if total else None
+    carried = list(dict.fromkeys([*keep, *keys, value, *([counted] if counted else [])]))
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = _dealt(df, n, keys, order).sortWithinPartitions(*keys, *order)
+    rows = materialize(ordered.select(*carried, _PART, F.monotonically_increasing_id().alias("__at")))
+    borders = rows.groupBy(_PART, *keys).agg(F.max_by(value, "__at").alias("__last"),
+                                             F.count(counted if counted else F.lit(1)).alias("__n"))
     columns = [F.lag("__last").over(Window.partitionBy(*keys).orderBy(_PART)).alias("__carried")]
     if total:
         columns.append(F.sum("__n").over(Window.partitionBy(*total[1])).alias(total[2]))
-    borders = borders.select(_PART, *keys, *columns)
-    joined = local.alias("a").join(borders.alias("b"), _same("a", "b", keys))
+    # nulls in a struct are equal, so window and join share one exchange (eqNullSafe would add another)
+    key = F.struct(*keys).alias("__key")
+    borders = borders.select(_PART, key, *columns)
+    inside = Window.partitionBy(_PART, "__key").orderBy("__at")
+    local = rows.select(_PART, "__at", key, *[c for c in carried if c not in keys])
+    local = local.withColumns({"__lag": F.lag(value if value not in keys else f"__key.{value}").over(inside),
+                               "__nth": F.row_number().over(inside)})
+    joined = local.alias("a").join(borders.alias("b"), [_PART, "__key"])
     first = F.when(F.col("a.__nth") == 1, F.col("b.__carried")).otherwise(F.col("a.__lag"))
     extra = [F.col(f"b.{total[2]}")] if total else []
-    return joined.select(*[F.col(f"a.`{c}`") for c in df.columns], first.alias(out), *extra)
+    return joined.select(*[F.col(f"__key.`{c}`" if c in keys else f"a.`{c}`") for c in keep], first.alias(out), *extra)
 
 
 def dense_numbers(values: DataFrame, key: str, out: str) -> DataFrame:
