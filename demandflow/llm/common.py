@@ -56,7 +56,7 @@ class Scratch:
         return f"{self.root}/{name}-{self._n}"
 
     @contextmanager
-    def _released(self) -> Iterator[None]:
+    def released(self) -> Iterator[None]:
         """Shuffle files of what runs inside go when it ends: its result is a table by then."""
         name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
         before = self.spark.conf.get(name, None)
@@ -71,7 +71,7 @@ class Scratch:
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         path = self.path(name)
-        with self._released():
+        with self.released():
             df.write.option("compression", "zstd").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
@@ -83,7 +83,7 @@ class Scratch:
         be dealt by ``key``.  ``drop`` it when it is done with, as the catalog names it."""
         path, label = self.path(name), f"scratch_{uuid.uuid4().hex}"
         buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        with self._released():
+        with self.released():
             df.write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(buckets, key).saveAsTable(label)
         out = self.spark.table(label)
         out._scratch_path, out._scratch_table = path, label

@@ -8,8 +8,12 @@ from pyspark.sql import functions as F
 from demandflow.llm.common import Scratch
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node of these distinct edges is either a centre or has one edge, to its centre."""
+    nodes = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    nodes = nodes.unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    other = nodes.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 OR (up = 1 AND down = 1)")
+    return not other.limit(1).count()
 
 
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
@@ -19,8 +23,7 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     edges change nothing."""
     e = edges.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     e = scratch.write(e, "edges")
-    seen = _fingerprint(e)
-    while True:
+    while not _stars(e):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -29,10 +32,7 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
         small = large.join(parent, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         nxt = scratch.write(small.unionByName(parent.select("u", F.col("m").alias("v"))).distinct(), "edges")
         scratch.drop(e, large)
-        e, before = nxt, seen
-        seen = _fingerprint(e)
-        if seen == before:
-            break
+        e = nxt
     roots = e.select(F.col("v").alias("node")).distinct()
     out = e.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return out.unionByName(roots.select("node", F.col("node").alias("component")))

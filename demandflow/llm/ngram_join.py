@@ -26,6 +26,7 @@ document for linking: it has the links of each of its texts.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -82,7 +83,7 @@ def profile(docs: DataFrame, n: int) -> DataFrame:
                     "sid": pa.array([identity(s) if len(s) else None for s in own], pa.int64()), "mark": part.column("mark"),
                     "slice": pa.nulls(rows, pa.int32()), "counts": pa.nulls(rows, pa.binary())})
         parts = [(i, counts[i * SLICE:(i + 1) * SLICE]) for i in range(BUCKETS // SLICE)]
-        parts = [(i, c.astype("<u4").tobytes()) for i, c in parts if c.any()]
+        parts = [(i, zlib.compress(c.astype("<u4").tobytes(), 1)) for i, c in parts if c.any()]
         empty = pa.nulls(len(parts), pa.int64())
         yield pa.RecordBatch.from_pydict({
             "doc_id": empty, "n": empty, "sid": empty, "mark": empty, "slice": pa.array([i for i, _ in parts], pa.int32()),
@@ -103,7 +104,7 @@ def rarity(profiled: DataFrame) -> np.ndarray:
         totals: dict[int, np.ndarray] = {}
         for batch in batches:
             for i, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                c = np.frombuffer(blob, "<u4").astype(np.int64)
+                c = np.frombuffer(zlib.decompress(blob), "<u4").astype(np.int64)
                 totals[i] = totals[i] + c if i in totals else c
         if totals:
             yield pa.RecordBatch.from_pydict({"slice": pa.array(list(totals), pa.int32()),
@@ -224,10 +225,35 @@ def _sketch(s: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view("<i8")
 
 
+def _numbered(texts: DataFrame, n: int) -> DataFrame:
+    """``sid, text`` of every ``text`` with words, equal sets once per task."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
+        for batch in batches:
+            for part in slices(batch, "text"):
+                sids = [identity(s) if len(s) else None for s in sets(part.column("text"), n)]
+                new = _first_of_each(sids, seen)
+                yield pa.RecordBatch.from_pydict({"sid": pa.array(sids, pa.int64()), "text": part.column("text")}).filter(new)
+
+    return texts.select("text").mapInArrow(run, "sid long, text string")
+
+
+def _first_of_each(sids: list[int | None], seen: set[int]) -> pa.Array:
+    """Whether each of ``sids`` is neither null nor seen before; ``seen`` grows with them."""
+    new = []
+    for sid in sids:
+        new.append(sid is not None and sid not in seen)
+        seen.add(sid)
+    return pa.array(new, pa.bool_())
+
+
 def member_sets(texts: DataFrame, n: int) -> DataFrame:
-    """``sid, size, z0 ..., items`` per text of ``sid, text``: the sketch and the sorted hashes."""
+    """``sid, size, z0 ..., items`` per set of ``sid, text``, dealt by ``sid``: the sketch and the
+    sorted hashes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
         for batch in batches:
+            batch = batch.filter(_first_of_each(batch.column("sid").to_pylist(), seen))
             for part in slices(batch, "text"):
                 own = sets(part.column("text"), n)
                 z = np.array([_sketch(s) for s in own], np.int64).reshape(len(own), WORDS)
@@ -257,7 +283,7 @@ def bitmap(keys: DataFrame, count: int) -> tuple[np.ndarray, int]:
 
     rows = keys.select(at.alias("p")).distinct().groupBy(F.shiftright("p", _WORD)).applyInArrow(pack, "slice long, b binary")
     out = np.zeros(1 << (bits - 3), np.uint8)
-    for r in rows.toLocalIterator():
+    for r in rows.collect():  # 2^bits bits in all
         out[r["slice"] << (_WORD - 3):(r["slice"] + 1) << (_WORD - 3)] = np.frombuffer(r["b"], np.uint8)
     return out, bits
 
@@ -301,6 +327,33 @@ def _nearest(near: DataFrame) -> DataFrame:
     return best.select(F.least("sid", "to.other").alias("a"), F.greatest("sid", "to.other").alias("b")).distinct()
 
 
+#: Sets with more pairs than this are moved by joins that can split them.
+BUSY = 256
+
+
+def _both_sets(near: DataFrame, members: DataFrame, scratch: Scratch) -> tuple[DataFrame, list[DataFrame]]:
+    """``a, b, x, y``: the items of both sets of each pair, and the tables this reads.  The bucketed
+    sets stay where they are, but for one of each pair, which moves to the other one's bucket."""
+    ends = near.select(F.col("a").alias("sid")).unionByName(near.select(F.col("b").alias("sid")))
+    busy = scratch.write(ends.groupBy("sid").agg(F.count(F.lit(1)).alias("n")).where(f"n > {BUSY}").select("sid"), "busy")
+    columns = ["p.a", "p.b", F.col("x.items").alias("x"), F.col("y.items").alias("y")]
+
+    def joined(pairs: DataFrame, whole: DataFrame) -> DataFrame:
+        moved = pairs.alias("p").join(whole.alias("x"), F.expr("p.a = x.sid"))
+        return moved.join(whole.alias("y"), F.expr("p.b = y.sid")).select(*columns)
+
+    items = members.select("sid", "items")
+    if not busy.limit(1).count():
+        return joined(near, items), [busy]
+    a, b = (busy.select(F.col("sid").alias(x), F.lit(True).alias(f"busy_{x}")) for x in "ab")
+    marked = near.select("a", "b").join(a, "a", "left").join(b, "b", "left").withColumn("busy", F.expr("busy_a IS NOT NULL OR busy_b IS NOT NULL"))
+    marked = scratch.write(marked.select("a", "b", "busy"), "marked")
+    crowded = marked.where("busy").select("a", "b")
+    # written, so that its joins can split a set with many pairs; both read one exchange of it
+    whole = _needed(crowded, members, ["items"], scratch, "whole")
+    return joined(marked.where("NOT busy"), items).unionByName(joined(crowded, whole)), [busy, marked, whole]
+
+
 def verified(pairs: DataFrame, members: DataFrame, percent: int, scratch: Scratch, nearest: bool = False) -> tuple[DataFrame, DataFrame]:
     """The pairs ``a, b`` that link and all that were tested, written: first the suffix filter, then
     the sets themselves.  With ``nearest``, of the pairs that pass the filter only the nearest one
@@ -324,12 +377,9 @@ def verified(pairs: DataFrame, members: DataFrame, percent: int, scratch: Scratc
         later = every.join(near, ["a", "b"], "left_anti")
         tested = scratch.write(pairs.join(later, ["a", "b"], "left_anti"), "tested")
         scratch.drop(every, pairs)
-    whole = _needed(near, members, ["items"], scratch, "whole")
-    # both joins read one exchange of the sets
-    both = near.alias("p").join(whole.alias("x"), F.expr("p.a = x.sid")).join(whole.alias("y"), F.expr("p.b = y.sid"))
-    both = both.select("p.a", "p.b", F.col("x.items").alias("x"), F.col("y.items").alias("y"))
+    both, used = _both_sets(near, members, scratch)
     out = scratch.write(both.mapInArrow(exact, "a long, b long"), "links")
-    scratch.drop(near, whole)
+    scratch.drop(near, *used)
     return out, tested
 
 
@@ -344,7 +394,8 @@ def links(docs: DataFrame, scratch: Scratch, n: int = 5, percent: int = 80, roun
     """``doc_id, n, sid`` per row of ``docs`` and ``node, component`` per linked set."""
     profiled = scratch.write(profile(docs, n), "profile")
     rows = profiled.where("slice IS NULL").select("doc_id", "n", "sid", "mark")
-    ranks = rarity(profiled)
+    with scratch.released():
+        ranks = rarity(profiled)
     dealt = prefixes(docs, ranks, n, percent).repartition("key").sortWithinPartitions("key", "n", "sid")
     groups = scratch.write_bucketed(dealt.mapInArrow(_shared_rows(percent), "key long, n int, sid long, pos int"), "groups", "key")
     # one row per set first, so that a large class of copies moves as one row
@@ -354,21 +405,22 @@ def links(docs: DataFrame, scratch: Scratch, n: int = 5, percent: int = 80, roun
     # a set's text travels, not its hashes, which take more room; most others stay where they are
     likely = _marked(docs).where("doc_id IS NOT NULL AND mark IS NOT NULL").withColumn("h", F.xxhash64("doc_id", "mark"))
     likely = likely.where(maybe(scratch.spark, F.col("h"), *bitmap(named, named.count())))
-    texts = likely.join(named, ["doc_id", "mark"]).select("sid", "text").repartition("sid")
+    # found again where the texts lie, the sets' ids let the texts move once, straight to their buckets
+    texts = _numbered(likely, n).repartition("sid").join(named.select("sid"), "sid", "left_semi")
     members = scratch.write_bucketed(member_sets(texts, n), "members", "sid")
-    if members.count() > members.select("sid").distinct().count():  # rows that occur several times
-        repeated, members = members, scratch.write_bucketed(members.dropDuplicates(["sid"]), "members", "sid")
-        scratch.drop(repeated)
     # the texts of one id belong together
     same = rows.where("sid IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("sid").alias("u"), F.max("sid").alias("v")).where("u != v")
     if same.limit(1).count():
         first = rows.join(same.select("doc_id", "u"), "doc_id").where("sid != u")
         found = components(first.select("u", F.col("sid").alias("v")), scratch)
     else:
-        found = scratch.spark.createDataFrame([], "node long, component long")
+        found = None
     tried, k = None, 0
     while True:
-        now = groups.join(found.withColumnRenamed("node", "sid"), "sid", "left").withColumn("c", F.coalesce("component", "sid")).drop("component")
+        if found is None:  # the groups stay where they are
+            now = groups.withColumn("c", F.col("sid"))
+        else:
+            now = groups.join(found.withColumnRenamed("node", "sid"), "sid", "left").withColumn("c", F.coalesce("component", "sid")).drop("component")
         one = Window.partitionBy("key")
         now = now.withColumn("lo", F.min("c").over(one)).withColumn("hi", F.max("c").over(one)).where("lo != hi").drop("lo", "hi")
         if k < rounds:
@@ -392,13 +444,16 @@ def links(docs: DataFrame, scratch: Scratch, n: int = 5, percent: int = 80, roun
         tried = tested if tried is None else tried.unionByName(tested)
         new = new.select(F.col("a").alias("u"), F.col("b").alias("v"))
         if new.limit(1).count():
-            old = found.select(F.col("node").alias("u"), F.col("component").alias("v"))
-            found = scratch.write(components(new.unionByName(old), scratch), "found")
+            if found is not None:
+                new = new.unionByName(found.select(F.col("node").alias("u"), F.col("component").alias("v")))
+            found = scratch.write(components(new, scratch), "found")
             if k < rounds:
                 k += 1
                 continue
         if k >= rounds:
             scratch.drop(members, groups, named)
+            if found is None:
+                found = scratch.spark.createDataFrame([], "node long, component long")
             return rows.drop("mark"), found
         k = rounds  # a round without a link: only the rest is left
 

@@ -128,3 +128,38 @@ def test_nearest_keeps_the_best_pair_of_each_set(spark):
     near = spark.createDataFrame([(1, 2, 0.1), (1, 3, 0.2), (2, 3, 0.3), (3, 4, 0.2), (5, 6, 0.0)], "a long, b long, apart double")
     got = {tuple(r) for r in ngram_join._nearest(near).collect()}
     assert got == {(1, 2), (1, 3), (3, 4), (5, 6)}  # 3 is as near to 1 as to 4: the smaller one; 4 has only 3
+
+
+def test_sets_with_many_pairs_are_verified_like_others(spark, scratch, monkeypatch):
+    rng = random.Random(7)
+    base = prose(rng, 80, 5000)
+    rows = list(enumerate([base, base, *[near(rng, base, 1) for _ in range(12)], prose(rng, 80, 5000), near(rng, base, 40)]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(ngram_join, "BUSY", 1)  # some sets have one pair, others more
+    assert got(ngram_join.clusters(docs, scratch)) == brute(rows)
+
+
+def test_the_sets_of_a_pair_are_not_both_moved(spark, scratch):
+    """One set of a pair moves to the bucket of the other: the table of sets itself is not shuffled."""
+    members = scratch.write_bucketed(spark.createDataFrame([(i, bytes(8 * i)) for i in range(40)], "sid long, items binary").repartition("sid"), "members", "sid")
+    pairs = scratch.write(spark.createDataFrame([(i, i + 1) for i in range(0, 39, 2)], "a long, b long"), "pairs")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        both, _ = ngram_join._both_sets(pairs, members, scratch)
+        plan = both._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("Exchange") == 2  # of the pairs, then of the pairs with their first set
+    assert {(r.a, r.b, len(r.x), len(r.y)) for r in both.collect()} == {(i, i + 1, 8 * i, 8 * i + 8) for i in range(0, 39, 2)}
+    scratch.drop(members)
+
+
+def test_stars_need_no_further_step(spark, scratch, monkeypatch):
+    made = []
+    monkeypatch.setattr(scratch, "write", lambda df, name, keep=scratch.write: (made.append(name), keep(df, name))[1])
+    out = components(spark.createDataFrame([(5, 1), (6, 1), (8, 7)], "u long, v long"), scratch)
+    assert {tuple(r) for r in out.collect()} == {(1, 1), (5, 1), (6, 1), (7, 7), (8, 7)}
+    assert made == ["edges"]
