@@ -17,6 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 #: Words are maximal runs of anything but these ASCII white-space characters.
 SPACE = r"[\x20\x09-\x0D]+"
 
+#: Bytes of rows that go to Python at once where :meth:`Scratch.small_batches` holds.
+BATCH_BYTES = 4 << 20
+
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _MIX1 = np.uint64(0xBF58476D1CE4E5B9)
 _MIX2 = np.uint64(0x94D049BB133111EB)
@@ -56,11 +59,9 @@ class Scratch:
         return f"{self.root}/{name}-{self._n}"
 
     @contextmanager
-    def released(self) -> Iterator[None]:
-        """Shuffle files of what runs inside go when it ends: its result is a table by then."""
-        name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    def _set(self, name: str, value: str) -> Iterator[None]:
         before = self.spark.conf.get(name, None)
-        self.spark.conf.set(name, "true")
+        self.spark.conf.set(name, value)
         try:
             yield
         finally:
@@ -69,6 +70,19 @@ class Scratch:
             else:
                 self.spark.conf.set(name, before)
 
+    @contextmanager
+    def released(self) -> Iterator[None]:
+        """Shuffle files of what runs inside go when it ends: its result is a table by then."""
+        with self._set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+            yield
+
+    @contextmanager
+    def small_batches(self) -> Iterator[None]:
+        """What runs inside hands rows to Python and back in batches of about 4 MB, however wide the
+        rows are, so that neither the JVM nor a worker holds thousands of long texts or sets at once."""
+        with self._set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES)):
+            yield
+
     def write(self, df: DataFrame, name: str) -> DataFrame:
         path = self.path(name)
         with self.released():

@@ -40,6 +40,7 @@ from demandflow.llm.graph import components
 
 BUCKETS = 1 << 20
 SLICE = 1 << 12
+SLICE_BYTES = 1 << 20  # of text whose shingles are in memory at once
 PARTS = 1024
 WORDS = PARTS // 64
 
@@ -73,7 +74,7 @@ def profile(docs: DataFrame, n: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(BUCKETS, np.int64)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE_BYTES):
                 own = sets(part.column("text"), n)
                 rows = len(own)
                 every = np.concatenate(own) if own else np.zeros(0, np.uint64)
@@ -128,7 +129,7 @@ def prefixes(docs: DataFrame, ranks: np.ndarray, n: int, percent: int) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank, seen = shared.value, set()
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE_BYTES):
                 keys, sizes, sids, lens = [], [], [], []
                 for s in sets(part.column("text"), n):
                     sid = identity(s) if len(s) else None
@@ -230,7 +231,7 @@ def _numbered(texts: DataFrame, n: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE_BYTES):
                 sids = [identity(s) if len(s) else None for s in sets(part.column("text"), n)]
                 new = _first_of_each(sids, seen)
                 yield pa.RecordBatch.from_pydict({"sid": pa.array(sids, pa.int64()), "text": part.column("text")}).filter(new)
@@ -254,7 +255,7 @@ def member_sets(texts: DataFrame, n: int) -> DataFrame:
         seen = set()
         for batch in batches:
             batch = batch.filter(_first_of_each(batch.column("sid").to_pylist(), seen))
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE_BYTES):
                 own = sets(part.column("text"), n)
                 z = np.array([_sketch(s) for s in own], np.int64).reshape(len(own), WORDS)
                 yield pa.RecordBatch.from_pydict({
@@ -392,6 +393,11 @@ def _possible(percent: int) -> str:
 
 def links(docs: DataFrame, scratch: Scratch, n: int = 5, percent: int = 80, rounds: int = 4) -> tuple[DataFrame, DataFrame]:
     """``doc_id, n, sid`` per row of ``docs`` and ``node, component`` per linked set."""
+    with scratch.small_batches():
+        return _links(docs, scratch, n, percent, rounds)
+
+
+def _links(docs: DataFrame, scratch: Scratch, n: int, percent: int, rounds: int) -> tuple[DataFrame, DataFrame]:
     profiled = scratch.write(profile(docs, n), "profile")
     rows = profiled.where("slice IS NULL").select("doc_id", "n", "sid", "mark")
     with scratch.released():

@@ -163,3 +163,23 @@ def test_stars_need_no_further_step(spark, scratch, monkeypatch):
     out = components(spark.createDataFrame([(5, 1), (6, 1), (8, 7)], "u long, v long"), scratch)
     assert {tuple(r) for r in out.collect()} == {(1, 1), (5, 1), (6, 1), (7, 7), (8, 7)}
     assert made == ["edges"]
+
+
+def test_wide_rows_reach_python_in_small_batches(spark, scratch, monkeypatch):
+    """An executor's memory: 400 texts of 100 kB came as one batch of 40 MB, and so did as many pairs of sets."""
+    import pyarrow as pa
+
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    docs = spark.range(400).coalesce(1).select(F.col("id").alias("doc_id"), F.repeat(F.concat(F.lit("word"), "id", F.lit(" ")), 12_000).alias("text"))
+
+    def held(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"b": pa.array([batch.nbytes], pa.int64())})
+
+    with scratch.small_batches():
+        assert docs.mapInArrow(held, "b long").agg(F.max("b")).first()[0] < 10_000_000
+    seen, keep = [], scratch.write
+    monkeypatch.setattr(scratch, "write", lambda df, label: (seen.append(spark.conf.get(name)), keep(df, label))[1])
+    ngram_join.links(docs.limit(3), scratch)
+    assert len(seen) > 2 and set(seen) == {str(4 << 20)} and spark.conf.get(name) == before
