@@ -121,17 +121,10 @@ def cv_frames(df: DataFrame, date_col: str, n_splits: int = 3) -> list[tuple[Dat
 FitPredict = Callable[[DataFrame, DataFrame], DataFrame]
 
 
-def backtest(df: DataFrame, fit_predict: FitPredict, date_col: str, target_col: str, first_train_end,
-             step: dt.timedelta | int, test_start=None, test_end=None, parallelism: int = 4) -> DataFrame:
-    """For each fold, restrict validation to [test_start, test_end] (P14), fit on the
-    training rows, predict the validation rows; returns the union of
-    (date, y_true, y_pred, fold_id).
-
-    The fold table is tiny and drives a loop on the driver; every fit is a Spark job, and
-    up to ``parallelism`` folds are fitted concurrently from driver threads (the scheme of
-    ``CrossValidator(parallelism=...)``), which hides per-job latency."""
-    from concurrent.futures import ThreadPoolExecutor
-
+def fold_tasks(df: DataFrame, date_col: str, first_train_end, step: dt.timedelta | int, test_start=None,
+               test_end=None) -> list[tuple[int, DataFrame, DataFrame]]:
+    """The (fold_id, train, valid) frames with validation restricted to
+    [test_start, test_end]."""
     folds = split_rolling(df, date_col, first_train_end, step)
     if test_start is not None:   # folds whose window ends before the test period never contribute
         folds = folds.where(F.col("valid_end") >= _ts(test_start))
@@ -145,6 +138,21 @@ def backtest(df: DataFrame, fit_predict: FitPredict, date_col: str, target_col:
         if test_end is not None:
             valid = valid.where(F.col(date_col) <= lit_like(test_end, dtype))
         tasks.append((fold_id, train, valid))
+    return tasks
+
+
+def backtest(df: DataFrame, fit_predict: FitPredict, date_col: str, target_col: str, first_train_end,
+             step: dt.timedelta | int, test_start=None, test_end=None, parallelism: int = 4) -> DataFrame:
+    """For each fold, restrict validation to [test_start, test_end] (P14), fit on the
+    training rows, predict the validation rows; returns the union of
+    (date, y_true, y_pred, fold_id).
+
+    The fold table is tiny and drives a loop on the driver; every fit is a Spark job, and
+    up to ``parallelism`` folds are fitted concurrently from driver threads (the scheme of
+    ``CrossValidator(parallelism=...)``), which hides per-job latency."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    tasks = fold_tasks(df, date_col, first_train_end, step, test_start, test_end)
 
     def run(task):
         fold_id, train, valid = task

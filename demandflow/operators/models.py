@@ -15,7 +15,7 @@ import random
 from collections.abc import Iterable, Mapping
 
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -56,13 +56,18 @@ def seasonal_naive_fit_predict(target_col: str, date_col: str, season: int = 1,
 
 
 # --- gradient-boosted trees -------------------------------------------------------------------
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def fill_from_train(train: DataFrame, frames: list[DataFrame], features: list[str]) -> list[DataFrame]:
     """Mean imputation fitted on ``train`` (all-null columns fall back to 0) plus a cast to
-    double, applied to every frame."""
-    row = train.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in features]).first()
-    fills = {c: (row[c] if row[c] is not None else 0.0) for c in features}
-    return [f.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(float(v))) for c, v in fills.items()})
-            for f in frames]
+    double, applied to every frame.  SQL text, as each call on a column object costs the driver
+    milliseconds and there are many features and folds."""
+    row = train.selectExpr(*[f"avg(cast({_quoted(c)} as double)) as {_quoted(c)}" for c in features]).first()
+    fills = {c: float(v if v is not None else 0.0) for c, v in zip(features, row)}
+    filled = {c: F.expr(f"coalesce(cast({_quoted(c)} as double), cast('{v!r}' as double))") for c, v in fills.items()}
+    return [f.withColumns(filled) for f in frames]
 
 
 def _tail_flag(train: DataFrame, date_col: str, fraction: float) -> DataFrame:
@@ -82,11 +87,16 @@ def gbt_model(train: DataFrame, features: list[str], target_col: str, date_col:
     if validation_fraction > 0:
         data = _tail_flag(data, date_col, validation_fraction)
         kw["validationIndicatorCol"] = "__is_val"
+    data = data.select("__features", F.col(target_col).cast("double").alias(target_col), *kw.values())
+    return _fit_gbt(data, target_col, params, seed, **kw), assembler
+
+
+def _fit_gbt(data: DataFrame, target_col: str, params: Mapping, seed: int, **kw):
     gbt = GBTRegressor(featuresCol="__features", labelCol=target_col, seed=seed, **kw, **params)
     # the estimator scans its input several times; persist it for the fit only
-    data = data.withColumn(target_col, F.col(target_col).cast("double")).persist()
+    data = data.persist()
     try:
-        return gbt.fit(data), assembler
+        return gbt.fit(data)
     finally:
         data.unpersist()
 
@@ -158,19 +168,51 @@ def random_search_gbt(df: DataFrame, features: list[str], date_col: str, target_
     return sample_grid(grid, n_iter, seed)[best_i], table
 
 
+def _subset_predictions(train: DataFrame, valid: DataFrame, sets: Mapping[int, list[str]], target_col: str,
+                        date_col: str, params: Mapping, seed: int = 42) -> DataFrame:
+    """One fold of the sweep: (k, date, y_true, y_pred).  Every set is the head of the longest one,
+    so that one is filled, assembled and written once and each fit takes the head of its vector.
+    Written, as each of the many short tasks of a fit carries the plan of its input."""
+    from demandflow.session import materialize
+
+    longest = max(sets.values(), key=len)
+    tr, va = fill_from_train(train, [train, valid], longest)
+    assembler = VectorAssembler(inputCols=longest, outputCol="__all", handleInvalid="keep")
+    y = F.col(target_col).cast("double")
+    data = materialize(assembler.transform(tr).select("__all", y.alias(target_col)))
+    out = assembler.transform(va).select(F.col(date_col).alias("date"), y.alias("y_true"), "__all")
+    for k, feats in sets.items():
+        head = VectorSlicer(inputCol="__all", outputCol="__features", indices=list(range(len(feats))))
+        model = _fit_gbt(head.transform(data).drop("__all"), target_col, params, seed).setPredictionCol(f"__pred{k}")
+        out = model.transform(head.transform(out)).drop("__features")
+    preds = [F.struct(F.lit(k).alias("k"), F.col(f"__pred{k}").alias("y_pred")) for k in sets]
+    return out.select("date", "y_true", F.explode(F.array(*preds)).alias("__p")).select("__p.k", "date", "y_true", "__p.y_pred")
+
+
 def feature_subset_sweep(df: DataFrame, importances: DataFrame, ks: Iterable[int], target_col: str, date_col: str,
                          first_train_end, step, test_start=None, test_end=None, params: Mapping | None = None,
                          parallelism: int = 4) -> DataFrame:
     """For each k, backtest the tree model on the k most important features and report
-    one metric row per k (B9), labelled ``k``."""
-    from demandflow.operators.backtest import backtest
-    from demandflow.operators.metrics import calculate_metrics
-
-    out = None
-    for k, feats in top_k_feature_sets(importances, ks).items():
-        preds = backtest(df, gbt_fit_predict(feats, target_col, date_col, params), date_col, target_col,
-                         first_train_end, step, test_start, test_end, parallelism)
-        row = calculate_metrics(preds, order_col="date").withColumn("k", F.lit(k)) \
-            .withColumn("n_features", F.lit(len(feats)))
-        out = row if out is None else out.unionByName(row)
-    return out
+    one metric row per k (B9), labelled ``k``.  The folds, their fill values and their vectors
+    serve all k; up to ``parallelism`` folds are fitted concurrently."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from demandflow.operators.backtest import fold_tasks
+    from demandflow.operators.metrics import METRICS, calculate_metrics
+    from demandflow.session import literal_rows
+
+    sets = top_k_feature_sets(importances, ks)
+    if not sets:
+        return None
+    tasks = fold_tasks(df, date_col, first_train_end, step, test_start, test_end)
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        parts = list(pool.map(lambda t: _subset_predictions(t[1], t[2], sets, target_col, date_col, params or {}), tasks))
+    sizes = literal_rows(df.sparkSession, [(k, len(feats)) for k, feats in sets.items()], ["k", "n_features"])
+    if not parts:   # no fold: one all-null row per k
+        return sizes.select(*[F.lit(None).cast("double").alias(m) for m in METRICS], "k", "n_features")
+    preds = parts[0]
+    for p in parts[1:]:
+        preds = preds.unionByName(p)
+    # a k without any prediction keeps its row
+    rows = sizes.join(calculate_metrics(preds, order_col="date", group_cols=["k"]), "k", "left")
+    return rows.select(*METRICS, "k", "n_features")
