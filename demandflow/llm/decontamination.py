@@ -119,14 +119,22 @@ def tiles(item: np.ndarray, text: np.ndarray, min_tile: int) -> list[tuple[int,
         mark(upper, *found)
 
 
+#: Seeds at hits, one for each item that has it, that are worked on at once (more if one document has more).
+HITS = 1_000_000
+
+
 class _Block:
-    """One block of items and the index of their seeds."""
+    """One block of items and the index of their seeds.  Items of the same words share one entry."""
 
     def __init__(self, ids: list, texts: list, min_tile: int):
         self.min_tile = min_tile
         words, offsets = word_hashes(pa.array(texts, pa.string()))
-        self.ids, self.words = ids, [words[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-        seeds = [window_hashes(w, min_tile) for w in self.words]
+        same: dict[bytes, list[int]] = {}
+        for i, (a, b) in enumerate(zip(offsets[:-1], offsets[1:], strict=True)):
+            same.setdefault(words[a:b].tobytes(), []).append(i)
+        self.ids, self.same = ids, list(same.values())
+        self.words = [words[offsets[own[0]]:offsets[own[0] + 1]] for own in self.same]
+        seeds = [np.unique(window_hashes(w, min_tile)) for w in self.words]
         item = np.repeat(np.arange(len(seeds)), [len(s) for s in seeds])
         seeds = np.concatenate(seeds) if seeds else np.zeros(0, np.uint64)
         order = np.argsort(seeds, kind="stable")
@@ -155,9 +163,14 @@ class _Block:
 
     def leaks(self, texts: pa.Array, percent: int) -> Iterator[tuple[int, int, int, int]]:
         """``(row, item, covered words, words of the item)`` of the pairs that leak."""
-        k = self.min_tile
         words, offsets = word_hashes(texts)
-        yield from self._short_leaks(words, offsets)
+        for found in (self._short_leaks(words, offsets), self._long_leaks(words, offsets, percent)):
+            for row, at, covered, n in found:
+                for item in self.same[at]:
+                    yield row, item, covered, n
+
+    def _long_leaks(self, words: np.ndarray, offsets: np.ndarray, percent: int) -> Iterator[tuple[int, int, int, int]]:
+        k = self.min_tile
         grams = window_hashes(words, k)
         if not len(grams) or not len(self.seeds):
             return
@@ -166,17 +179,34 @@ class _Block:
         row = np.searchsorted(offsets, hit, "right") - 1
         inside = hit + k <= offsets[row + 1]
         hit, row = hit[inside], row[inside]
+        if not len(hit):
+            return
         lo, hi = lo[hit], np.searchsorted(self.seeds, grams[hit], "right")
-        # one entry for each seed of each item at a hit
+        # whole documents at a time, so that a seed of many items fits as well
+        last = np.flatnonzero(np.r_[row[1:] != row[:-1], True])
+        part = (np.cumsum(hi - lo)[last] - 1) // HITS
+        ends = last[np.r_[part[1:] != part[:-1], True]] + 1
+        for a, b in zip(np.r_[0, ends[:-1]], ends, strict=True):
+            yield from self._tiled(words, hit[a:b], row[a:b], lo[a:b], hi[a:b], percent)
+
+    def _tiled(self, words: np.ndarray, hit: np.ndarray, row: np.ndarray, lo: np.ndarray, hi: np.ndarray, percent: int) -> Iterator[tuple[int, int, int, int]]:
+        k = self.min_tile
+        # one entry for each item that has the seed of a hit
         many = hi - lo
         at = np.repeat(np.arange(len(hit)), many)
         item = self.item[np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + lo[at]]
         order = np.lexsort((hit[at], item, row[at]))
-        at, item = at[order], item[order]
-        pair = np.flatnonzero(np.r_[True, (row[at][1:] != row[at][:-1]) | (item[1:] != item[:-1])]) if len(at) else []
-        for a, b in zip(pair, np.r_[pair[1:], len(at)] if len(at) else [], strict=True):
+        hit, row, item = hit[at[order]], row[at[order]], item[order]
+        pair = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (item[1:] != item[:-1])])
+        # tiles cover no more words than lie under seeds
+        under = np.minimum(np.r_[hit[1:] - hit[:-1], k], k)
+        ends = np.r_[pair[1:], len(hit)]
+        under[ends - 1] = k
+        size = np.array([len(w) for w in self.words])[item[pair]]
+        some = 100 * np.add.reduceat(under, pair) >= percent * size
+        for a, b in zip(pair[some].tolist(), ends[some].tolist(), strict=True):
             own = self.words[item[a]]
-            starts = np.unique(hit[at[a:b]])
+            starts = hit[a:b]
             # all tiles lie in words under a seed; runs of such words are kept apart by a word of no text
             gap = np.r_[True, starts[1:] > starts[:-1] + k]
             upto = np.r_[np.minimum(starts[:-1] + k, np.where(gap[1:], starts[:-1] + k, starts[1:])), starts[-1] + k]

@@ -3,6 +3,7 @@
 import itertools
 import random
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -90,6 +91,34 @@ def test_reordered_and_edited_items_leak_and_others_do_not(spark, scratch, awkwa
     assert decontamination.clean(awkward, bench, scratch).columns == awkward.columns
 
 
+def test_items_that_share_seeds_or_repeat_leak_from_the_right_documents(spark, scratch, monkeypatch):
+    rng = random.Random(6)
+    common = prose(rng, 9, 3000)
+    items = [f"{common} {prose(rng, 12, 3000)}" for _ in range(5)]
+    items += [items[1], items[1].upper(), f"{common} {common}", "same " * 20, common, "two words", "TWO  words"]
+    docs = ["", common, f"{prose(rng, 50, 3000)} {items[1]} {items[3]}", prose(rng, 60, 3000), f"{items[0]} {items[2]} tail", "same " * 40, None, f"x {items[4]}",
+            f"{items[7]} two words", " ".join(items[1].split()[:13])]
+
+    def codes(text):
+        return np.array([zlib.crc32(w.lower().encode()) for w in (text or "").split()], np.uint64)
+
+    def covered(item, doc):
+        n = min(5, len(item))  # an item shorter than a tile is one tile
+        return sum(x[2] for x in decontamination.tiles(item, doc, n))
+
+    want = sorted((d, i, c, len(p)) for d, t in enumerate(docs) for i, p in enumerate(map(codes, items))
+                  if 100 * (c := covered(p, codes(t))) >= (50 if len(p) >= 5 else 100) * len(p))
+    assert len(want) == 25
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").coalesce(1)
+    assert sorted(tuple(r) for r in decontamination.leaks(df, bench, scratch).collect()) == want
+    assert sorted(r["doc_id"] for r in decontamination.clean(df, bench, scratch).collect()) == sorted({*range(len(docs))} - {w[0] for w in want})
+    # as many documents at once as have so many seeds
+    monkeypatch.setattr(decontamination, "HITS", 7)
+    block = decontamination._Block([*range(len(items))], items, 5)
+    assert sorted(block.leaks(pa.array(docs), 50)) == want
+
+
 def test_warc_rejects_records_inside_payloads(spark, scratch, tmp_path):
     fake = "WARC/1.1\r\nWARC-Type: response\r\nX-Page-ID: 99\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
     big = "x" * 1500
