@@ -77,10 +77,10 @@ class Scratch:
             yield
 
     @contextmanager
-    def small_batches(self) -> Iterator[None]:
-        """What runs inside hands rows to Python and back in batches of about 4 MB, however wide the
+    def small_batches(self, size: int = BATCH_BYTES) -> Iterator[None]:
+        """What runs inside hands rows to Python and back in batches of about ``size`` bytes, however wide the
         rows are, so that neither the JVM nor a worker holds thousands of long texts or sets at once."""
-        with self._set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES)):
+        with self._set("spark.sql.execution.arrow.maxBytesPerBatch", str(size)):
             yield
 
     def write(self, df: DataFrame, name: str) -> DataFrame:

@@ -6,19 +6,22 @@ logarithm is a *mass* of the pair and a *norm* of the context, and both are know
 occurrences of one word meet: the mass of (v, w) and the norm of w as a context where the
 occurrences of w do.
 
-1. Words that make up over 1/1024 of the training tokens are found and counted in two scans
-   (at most 2048 candidates reach the driver).
+1. Words that make up over 1/1024 of the training tokens (of a part's, with over 256 shards) are
+   found and counted in two scans; at most twice as many candidates reach the driver.
 2. One scan cuts the documents into blocks and sends each block's distinct pairs, with the
    documents that hold them, to shards by the hash of w; pairs of a frequent w are dealt by v
    as well, as its count is already known.  So no shard holds more than its share, and a word or
    a pair that a third of all documents hold comes once per block and document.
-3. A shard sums the counts of its training pairs, writes its trie (predicted words, their left
-   contexts, quantised masses) into memory-mapped levels, looks every pair of every block up by
-   successor search in the word's range, and returns sums per document.
-4. Sums are added up per block.
+3. Each of a shard's four parts sums the counts of its training pairs, writes its trie (predicted
+   words, their left contexts, quantised masses) into memory-mapped levels, looks every pair of
+   every block up by successor search in the word's range, and adds to sums per document.
+4. A task takes its shards one part after the other, in order, and holds the messages of one part.
+   Its sums per document lie in memory-mapped files and leave it once, for all its shards.
+5. Sums are added up per block.
 
-The number of shards follows the number of input partitions.  Left contexts travel as 48-bit
-hashes, words as 64-bit ones.  Lower case is A-Z only; a text's tokens are its words and an end.
+The number of shards follows the number of input partitions and of training tokens.  Left contexts
+travel as 48-bit hashes, words as 64-bit ones.  Lower case is A-Z only; a text's tokens are its
+words and an end.
 
 Null text is empty (its one token is the end).  Repeated rows are scored and learned from as
 often as they occur.  A null id counts as training data.  An empty table, or one without
@@ -27,6 +30,9 @@ training documents, gives rows with N = 0 where all words are unknown.  Extra co
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 import zlib
 from collections.abc import Iterator
 
@@ -36,13 +42,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandflow.llm.common import Scratch, mix, slices, word_codes
+from demandflow.llm.common import BATCH_BYTES, Scratch, mix, slices, word_codes
 from demandflow.llm.elias_fano import Trie
 
 BEGIN, END = np.uint64(0xB0), np.uint64(0xE0)
 FREQUENT = 1024
 #: Parts of a shard that are worked on one after the other, each with a trie of its own.
 SUB = 4
+#: Training tokens of a shard at most, on average.
+SHARD_TOKENS = 4_000_000
+#: Documents of pairs that are spread out at once.
+ENTRIES = 500_000
 V_BITS = np.uint64(16)  # dropped from a context's hash
 
 
@@ -59,16 +69,16 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.
             yield *word_codes(part.column("text")), ids, np.array([not is_held_out(i) for i in ids], bool)
 
 
-def frequent_words(docs: DataFrame, scratch: Scratch) -> tuple[dict[int, int], int, int]:
-    """Counts of the words (and the end) above 1/FREQUENT of the training tokens, with the number of
+def frequent_words(docs: DataFrame, scratch: Scratch, share: int = FREQUENT) -> tuple[dict[int, int], int, int]:
+    """Counts of the words (and the end) above 1/``share`` of the training tokens, with the number of
     training tokens and documents."""
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for word, code, offsets, _, train in _blocks(batches):
             own = code[np.repeat(train, np.diff(offsets))]
             count = np.bincount(own, minlength=len(word))
             tokens = len(own) + int(train.sum())
-            many = (count > 0) & (count * 2 * FREQUENT >= tokens)
-            # a word of more than 1/FREQUENT overall has half of that share in blocks that report it
+            many = (count > 0) & (count * 2 * share >= tokens)
+            # a word of more than 1/share overall has half of that share in blocks that report it
             yield pa.RecordBatch.from_pydict({"word": pa.array([None, *word[many].view(np.int64).tolist()], pa.int64()),
                                               "n": pa.array([tokens, *count[many].tolist()], pa.int64()),
                                               "d": pa.array([int(train.sum()), *[0] * int(many.sum())], pa.int64())})
@@ -76,7 +86,7 @@ def frequent_words(docs: DataFrame, scratch: Scratch) -> tuple[dict[int, int], i
     some = scratch.write(docs.mapInArrow(local, "word long, n long, d long").groupBy("word").agg(F.sum("n").alias("n"), F.sum("d").alias("d")), "frequent")
     whole = some.where("word IS NULL").first()
     tokens, texts = (whole["n"], whole["d"]) if whole else (0, 0)
-    got = some.where(f"word IS NOT NULL AND {2 * FREQUENT} * n >= {tokens}").collect()  # at most 2 * FREQUENT rows
+    got = some.where(f"word IS NOT NULL AND {2 * share} * n >= {tokens}").collect()  # at most 2 * share rows
     names = np.sort(np.array([r["word"] for r in got], np.int64).view(np.uint64))
     shared = docs.sparkSession.sparkContext.broadcast(names)
 
@@ -91,8 +101,8 @@ def frequent_words(docs: DataFrame, scratch: Scratch) -> tuple[dict[int, int], i
         yield pa.RecordBatch.from_pydict({"word": pa.array(names.view(np.int64)), "n": pa.array(counts)})
 
     rows = docs.mapInArrow(exact, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).collect() if len(names) else []
-    out = {r["word"] % (1 << 64): r["n"] for r in rows if r["n"] * FREQUENT > tokens}
-    if texts * FREQUENT > tokens:  # the end
+    out = {r["word"] % (1 << 64): r["n"] for r in rows if r["n"] * share > tokens}
+    if texts * share > tokens:  # the end
         out[int(END)] = texts
     return out, tokens, texts
 
@@ -140,7 +150,7 @@ def messages(docs: DataFrame, frequent: list[int], shards: int) -> DataFrame:
             e_at = np.r_[0, np.cumsum(docs_of)]
             cuts = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1], True]) if len(shard) else np.zeros(1, np.int64)
             flags = np.packbits(train).tobytes()
-            out: list[tuple] = [(block % shards, 0, block, None, None, None, np.array([i is not None for i in ids], np.uint8).tobytes(),
+            out: list[tuple] = [((block ^ block >> 32) % shards, 0, block, None, None, None, np.array([i is not None for i in ids], np.uint8).tobytes(),
                                  np.array([i or 0 for i in ids], "<i8").tobytes(), (size + 1).astype("<i8").tobytes(), flags)]
             for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
                 own = pw[a:b]
@@ -158,48 +168,114 @@ _SUMS = "block long, kind string, ids binary, known binary, held binary, base bi
 _SUM_TYPES = [pa.int64(), pa.string(), *[pa.binary()] * 6, pa.int64()]
 
 
-def shard_sums(rows: pa.Table, frequent: dict[int, int], tokens: int, mu: float) -> pa.Table:
-    """Sums of one shard per block and document, and the number of its known words."""
-    out: list[tuple] = []
-    subs: list[list] = [[] for _ in range(SUB)]
-    for batch in rows.to_batches():
-        for sub, block, words, *rest in zip(*[batch.column(c) for c in _FIELDS[1:]], strict=True):
-            if words.is_valid:
-                subs[sub.as_py()].append((block.as_py(), *[x.as_buffer() for x in (words, *rest)]))
-            else:
-                _, _, has, ids, times, train = (x.as_py() for x in rest)
-                out.append((block.as_py(), "docs", ids, has, train, None, None, times, None))
-    known_words = 0
-    sums: dict[int, list[np.ndarray]] = {}
-    for parts in subs:
-        known, got = _part_sums(parts, frequent, tokens, mu)
-        known_words += known
-        for block, *new in got:
-            if block in sums:
-                for have, x in zip(sums[block], new, strict=True):
-                    have += x
-            else:
-                sums[block] = [x.copy() for x in new]
-    out += [(block, "sums", None, None, None, base.tobytes(), scores.astype("<f4").tobytes(), n_known.astype("<u4").tobytes(), None)
-            for block, (base, scores, n_known) in sums.items()]
-    out.append((None, "words", None, None, None, None, None, None, known_words))
-    names = [c.split(" ")[0] for c in _SUMS.split(", ")]
-    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), _SUM_TYPES, strict=True)], names=names)
-
-
-def _part_sums(parts: list, frequent: dict[int, int], tokens: int, mu: float) -> tuple[int, Iterator[tuple]]:
-    """Known words, and sums of base, score and known tokens per document of each block, of the
-    messages of one part of a shard."""
-    w = np.concatenate([np.repeat(np.frombuffer(p[1], "<u8"), np.frombuffer(p[2], "<u4")) for p in parts] or [np.zeros(0, np.uint64)])
-    v = np.concatenate([_unpack48(p[3]) for p in parts] or [np.zeros(0, np.uint64)])
-    docs_of = np.concatenate([np.frombuffer(p[4], "<u4") for p in parts] or [np.zeros(0, np.int64)]).astype(np.int64)
-    times = np.concatenate([np.frombuffer(p[6], "<u4") for p in parts] or [np.zeros(0, np.int64)]).astype(np.int64)
+class _Totals:
+    """Base, score and known tokens per document, summed over the shards of a task, in mapped files
+    that grow with the blocks that come."""
+
+    def __init__(self):
+        self.folder = tempfile.mkdtemp(prefix="sums-")
+        self.at: dict[int, tuple[int, int]] = {}
+        self.end = self.room = 0
+
+    def starts(self, blocks: list[int], sizes: list[int]) -> np.ndarray:
+        """The place of each block's first document."""
+        for block, n in zip(blocks, sizes, strict=True):
+            if block not in self.at:
+                self.at[block] = (self.end, n)
+                self.end += n
+        if self.end > self.room:
+            self.room = max(2 * self.end, 1 << 16)
+            # score: of the shards that are done, own: of the one that is worked on
+            self.base, self.score, self.own, self.n_known = (self._mapped(x, t) for x, t in (("base", "<f8"), ("score", "<f8"), ("own", "<f8"), ("n_known", "<u4")))
+        return np.array([self.at[block][0] for block in blocks], np.int64)
+
+    def _mapped(self, name: str, kind: str) -> np.ndarray:
+        path = os.path.join(self.folder, name)
+        with open(path, "ab") as f:
+            f.truncate(self.room * np.dtype(kind).itemsize)  # what is new reads as zeros
+        return np.asarray(np.memmap(path, kind, "r+", shape=(self.room,)))
+
+    def end_shard(self) -> None:
+        if self.end:
+            self.score[:self.end] += self.own[:self.end].astype("<f4")
+            self.own[:self.end] = 0
+
+    def rows(self) -> Iterator[tuple]:
+        for block, (a, n) in self.at.items():
+            yield block, "sums", None, None, None, self.base[a:a + n].tobytes(), self.score[a:a + n].tobytes(), self.n_known[a:a + n].tobytes(), None
+
+    def close(self) -> None:
+        shutil.rmtree(self.folder, ignore_errors=True)
+
+
+def _sums_batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _SUM_TYPES, strict=True)],
+                                      names=[c.split(" ")[0] for c in _SUMS.split(", ")])
+
+
+def shard_sums(batches: Iterator[pa.RecordBatch], frequent: dict[int, int], tokens: int, mu: float) -> Iterator[pa.RecordBatch]:
+    """Sums over the shards of one task per block and document, and the number of their known words.
+    Messages come by shard and part."""
+    totals, known_words, now, parts = _Totals(), 0, (-1, 0), []
+    try:
+        for batch in batches:
+            out: list[tuple] = []
+            for shard, sub, block, words, *rest in zip(*[batch.column(c) for c in _FIELDS], strict=True):
+                if not words.is_valid:
+                    _, _, has, ids, times, train = (x.as_py() for x in rest)
+                    out.append((block.as_py(), "docs", ids, has, train, None, None, times, None))
+                    continue
+                own = shard.as_py(), sub.as_py()
+                if own != now:
+                    known_words += _add_part(totals, parts, frequent, tokens, mu)
+                    if own[0] != now[0]:
+                        totals.end_shard()
+                    now, parts = own, []
+                parts.append((block.as_py(), *[x.as_buffer() for x in (words, *rest)]))
+            if out:
+                yield _sums_batch(out)
+        known_words += _add_part(totals, parts, frequent, tokens, mu)
+        totals.end_shard()
+        out, size = [(None, "words", None, None, None, None, None, None, known_words)], 0
+        for row in totals.rows():
+            out.append(row)
+            size += 20 * totals.at[row[0]][1]
+            if size > 4_000_000:
+                yield _sums_batch(out)
+                out, size = [], 0
+        if out:
+            yield _sums_batch(out)
+    finally:
+        totals.close()
+
+
+def _add_part(totals: _Totals, parts: list, frequent: dict[int, int], tokens: int, mu: float) -> int:
+    """Add the base, score and known tokens of one part of a shard, and return its known words."""
+    if not parts:
+        return 0
+    words_of = [np.frombuffer(p[2], "<u4") for p in parts]
+    w = np.concatenate([np.repeat(np.frombuffer(p[1], "<u8"), n) for p, n in zip(parts, words_of, strict=True)])
+    v = np.concatenate([_unpack48(p[3]) for p in parts])
+    docs_of = np.concatenate([np.frombuffer(p[4], "<u4") for p in parts]).astype(np.int64)
+    pairs_at = np.cumsum([0, *[int(n.sum()) for n in words_of]])
     n_docs = [8 * len(p[7]) for p in parts]  # rounded up to whole bytes
-    base_at = np.r_[0, np.cumsum(n_docs)].astype(np.int64)
-    doc = np.concatenate([np.frombuffer(p[5], "<u2").astype(np.int64) + a for p, a in zip(parts, base_at, strict=False)] or [np.zeros(0, np.int64)])
-    train = np.concatenate([np.unpackbits(np.frombuffer(p[7], np.uint8)) for p in parts] or [np.zeros(0, np.uint8)]).astype(bool)
-    pair_of = np.repeat(np.arange(len(w)), docs_of)
-    learned = np.bincount(pair_of, times * train[doc], len(w))
+    starts = totals.starts([p[0] for p in parts], n_docs)
+    # messages that are spread out together
+    group = np.cumsum([len(p[5]) // 2 for p in parts]) // ENTRIES
+    cuts = [0, *(np.flatnonzero(group[1:] != group[:-1]) + 1).tolist(), len(parts)]
+
+    def spread() -> Iterator[tuple[slice, list, np.ndarray, np.ndarray, np.ndarray]]:
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            some, own = parts[a:b], slice(pairs_at[a], pairs_at[b])
+            docs = [np.frombuffer(p[5], "<u2") for p in some]
+            times = np.concatenate([np.frombuffer(p[6], "<u4") for p in some]).astype(np.int64)
+            pair_of = np.repeat(np.arange(own.stop - own.start), docs_of[own])
+            yield own, docs, times, pair_of, range(a, b)
+
+    learned = np.empty(len(w))
+    for own, docs, times, pair_of, at in spread():
+        trains = np.concatenate([np.unpackbits(np.frombuffer(parts[i][7], np.uint8))[d] for i, d in zip(at, docs, strict=True)])
+        learned[own] = np.bincount(pair_of, times * trains, own.stop - own.start)
     # distinct pairs and words, with what training holds of them
     with np.errstate(over="ignore"):
         _, one, same = np.unique(mix(w) + np.uint64(3) * v, return_index=True, return_inverse=True)
@@ -223,21 +299,24 @@ def _part_sums(parts: list, frequent: dict[int, int], tokens: int, mu: float) ->
     unseen = np.where(backoff != 0, backoff, np.log10(per_count * np.maximum(c_word[w_of], 1)))
     norm = np.where(w == END, 0.0, np.log10(c_word[w_of] + mu))
     score = np.where(np.isnan(log_p), unseen, log_p) - norm
-    total = int(base_at[-1])
-    base = np.bincount(doc, times * np.log10(c_word + 0.5)[w_of][pair_of], total)
-    scores = np.bincount(doc, times * score[pair_of], total)
-    n_known = np.bincount(doc, times * (c_word > 0)[w_of][pair_of], total)
-    return known_words, ((p[0], base[a:b], scores[a:b], n_known[a:b]) for p, a, b in zip(parts, base_at[:-1], base_at[1:], strict=True))
+    base, known = np.log10(c_word + 0.5)[w_of], (c_word > 0)[w_of]
+    for own, docs, times, pair_of, at in spread():
+        place = np.concatenate([starts[i] + d for i, d in zip(at, docs, strict=True)])
+        np.add.at(totals.base, place, times * base[own][pair_of])
+        np.add.at(totals.own, place, times * score[own][pair_of])
+        np.add.at(totals.n_known, place, (times * known[own][pair_of]).astype("<u4"))
+    return known_words
 
 
 def score(docs: DataFrame, scratch: Scratch, mu: float = 500.0) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    frequent, tokens, texts = frequent_words(docs, scratch)
     shards = 2 * max(4, docs.rdd.getNumPartitions())
-    sent = messages(docs, list(frequent), shards)
-    sums = scratch.write(sent.groupBy("shard").applyInArrow(
-        lambda rows: shard_sums(rows.drop_columns(["shard"]), frequent, tokens, mu), _SUMS), "sums")
+    frequent, tokens, texts = frequent_words(docs, scratch, max(FREQUENT, SUB * shards))
+    shards = max(shards, -(-tokens // SHARD_TOKENS))
+    sent = messages(docs, list(frequent), shards).repartition("shard").sortWithinPartitions("shard", "sub")
+    with scratch.small_batches(4 * BATCH_BYTES):
+        sums = scratch.write(sent.mapInArrow(lambda batches: shard_sums(batches, frequent, tokens, mu), _SUMS), "sums")
     known = (sums.where("kind = 'words'").agg(F.sum("n")).first()[0] or 0) + sum(c > 0 for c in frequent.values())
     log_all, log_begin = np.log10(tokens + 0.5 * (known + 1)), np.log10(texts + mu)
 
@@ -250,7 +329,7 @@ def score(docs: DataFrame, scratch: Scratch, mu: float = 500.0) -> DataFrame:
                 train = np.unpackbits(np.frombuffer(r["held"], np.uint8))[:n].astype(bool)
                 n_tokens = np.frombuffer(r["n_known"], "<i8")
                 continue
-            got = np.frombuffer(r["base"], "<f8"), np.frombuffer(r["score"], "<f4").astype(np.float64), np.frombuffer(r["n_known"], "<u4").astype(np.int64)
+            got = np.frombuffer(r["base"], "<f8"), np.frombuffer(r["score"], "<f8"), np.frombuffer(r["n_known"], "<u4").astype(np.int64)
             base, scores, n_known = got if base is None else (base + got[0], scores + got[1], n_known + got[2])
         return pa.table({"doc_id": pa.array(ids, pa.int64(), mask=~has), "held_out": pa.array(~train), "n_tokens": pa.array(n_tokens),
                          "n_known": pa.array(n_known[:n]), "train_tokens": pa.array(np.full(n, tokens, np.int64)),

@@ -69,6 +69,30 @@ def test_awkward_rows(spark, scratch, awkward):
     compare(lm_scoring.score(only, scratch).collect(), brute([tuple(r) for r in only.select("doc_id", "text").collect()]))
 
 
+def test_a_task_holds_one_part_and_returns_each_block_once(spark, scratch, monkeypatch):
+    rows = [(i, " ".join(f"w{(i * k) % 90}" for k in range(i % 50))) for i in range(300)] + [(i, "the same text") for i in range(40)] + [(None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    compare(lm_scoring.score(docs, scratch).collect(), brute(rows))
+    frequent, tokens, _ = lm_scoring.frequent_words(docs, scratch)
+    sent = lm_scoring.messages(docs, list(frequent), 6).toArrow().sort_by([("shard", "ascending"), ("sub", "ascending")])
+    held = []
+    add = lm_scoring._add_part
+    monkeypatch.setattr(lm_scoring, "_add_part", lambda totals, parts, *a: held.append(len(parts)) or add(totals, parts, *a))
+
+    def sums(rows_of_batch, entries):
+        monkeypatch.setattr(lm_scoring, "ENTRIES", entries)
+        got = [r for b in lm_scoring.shard_sums(iter(sent.to_batches(rows_of_batch)), frequent, tokens, 500.0) for r in b.to_pylist()]
+        assert sum(r["kind"] == "words" for r in got) == 1
+        docs_of, sums_of = ({r["block"]: r for r in got if r["kind"] == k} for k in ("docs", "sums"))
+        assert len(sums_of) == len(docs_of) == sum(r["kind"] == "sums" for r in got)  # once for all six shards
+        return {b: np.r_[np.frombuffer(r["base"]), np.frombuffer(r["score"]), np.frombuffer(r["n_known"], "<u4")] for b, r in sums_of.items()}
+
+    whole, cut = sums(10_000, 500_000), sums(3, 7)
+    assert max(held) <= len(whole) and whole.keys() == cut.keys()
+    for b, x in whole.items():
+        assert cut[b] == pytest.approx(x, rel=1e-12)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 5000), max_size=300), st.integers(5001, 10 ** 9))
 def test_elias_fano_round_trip(values, universe):
